@@ -16,6 +16,9 @@ FLAT_COLUMNS = [
 ]
 
 
+FEATURE_NAMES = ["frame_len", "ether_type", "ip_proto", "src_port", "dst_port"]
+
+
 def has(col: str | Column) -> Column:
     """B1: header-valid predicate (the header struct / field is present)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -53,7 +56,8 @@ def features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     any ``keep`` columns) and adds frame_len, ether_type, ip_proto,
     src_port, dst_port. Everything is a projection: no shuffle.
     """
-    extra = [c for c in (keep or []) if c in df.columns]
+    produced = {"pkt_id", "ingress_port", "ipv4_identification", *FEATURE_NAMES}
+    extra = [c for c in dict.fromkeys(keep or []) if c in df.columns and c not in produced]
     return df.select(
         "pkt_id", "ingress_port", "ipv4_identification",
         frame_len().alias("frame_len"),
