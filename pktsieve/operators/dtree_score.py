@@ -112,31 +112,213 @@ def match_cells(df: DataFrame, model: DTModel) -> DataFrame:
     return df.withColumn("cell", cell_id()).join(right, ["model_id", "cell"], "left").drop("cell")
 
 
-def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
-    """First rule (lowest rule_id) whose 5 id ranges all hold the packet's ids.
+BITS = 63  # rule bits per word; bit 63 stays clear so masks never go negative
+
+
+def rule_masks(model: DTModel) -> DataFrame:
+    """Per (model, feature, bin, word): the bitmask of rules whose range holds the bin.
 
-    The model's rules ride along as one sorted array per model (a broadcast
-    of the rule table, checked), and the first match is found per row.
+    Each rule lists the bins of its five ranges (a generator over its own
+    ranges) and sets bit ``rule_id % 63`` of word ``rule_id / 63``.
     """
-    r = model.rules
-    n = r.count()
-    if n > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{n} rules exceed the broadcast limit for range matching")
-    per = r.groupBy("model_id").agg(
-        F.sort_array(F.collect_list(F.struct("rule_id", "class", "id_start", "id_end"))).alias("__rules")
+    r = model.rules.select(
+        "model_id", "rule_id", F.posexplode(F.arrays_zip("id_start", "id_end")).alias("fpos", "rng")
+    )
+    e = r.select(
+        "model_id", "rule_id", "fpos", F.explode(F.sequence("rng.id_start", "rng.id_end")).alias("bin_id")
+    )
+    return e.groupBy(
+        "model_id", "fpos", "bin_id", F.floor(F.col("rule_id") / BITS).cast("int").alias("word")
+    ).agg(F.bit_or(F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(rule_id % {BITS} AS INT))")).alias("mask"))
+
+
+def mask_vectors(model: DTModel, words: int) -> DataFrame:
+    """One row per model: for each feature an array (by bin id) of word arrays,
+    and the class of every rule by rule_id."""
+    m = rule_masks(model)
+    per_bin = model.bins.select("model_id", "fpos", "bin_id").join(m, ["model_id", "fpos", "bin_id"], "left")
+    dense = per_bin.groupBy("model_id", "fpos", "bin_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("mm")
+    ).select(
+        "model_id", "fpos", "bin_id",
+        F.transform(
+            F.sequence(F.lit(0), F.lit(words - 1)),
+            lambda w: F.coalesce(F.try_element_at(F.col("mm"), w), F.lit(0).cast("bigint")),
+        ).alias("words"),
+    )
+    per_feat = dense.groupBy("model_id", "fpos").agg(
+        F.sort_array(F.collect_list(F.struct("bin_id", "words"))).alias("b")
+    ).select("model_id", "fpos", F.transform("b", lambda x: x["words"]).alias("mk"))
+    wide = per_feat.groupBy("model_id").agg(
+        *[F.first(F.when(F.col("fpos") == i, F.col("mk")), ignorenulls=True).alias(f"mk{i}") for i in range(N_FEATURES)]
     )
-    j = df.join(F.broadcast(per), "model_id", "left")
+    classes = model.rules.groupBy("model_id").agg(
+        F.sort_array(F.collect_list(F.struct("rule_id", "class"))).alias("rc")
+    ).select("model_id", F.transform("rc", lambda x: x["class"]).alias("rule_class"))
+    return wide.join(classes, "model_id")
 
-    def holds(x):
-        c = F.lit(True)
+
+def _ctz(m: F.Column) -> F.Column:
+    """Trailing zero count of a positive BIGINT: bits set below its lowest set bit."""
+    return F.bit_count(m.bitwiseAND(-m) - F.lit(1))
+
+
+def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
+    """First rule (lowest rule_id) whose 5 id ranges all hold the packet's ids.
+
+    Bit-vector form of the 5-way interval match: per feature, the bin id
+    picks the bitmask of rules whose range holds it; the AND over the five
+    features is the set of matching rules and its lowest bit the first one.
+    Plain BIGINT expressions per row, one broadcast row per model (size
+    checked), no theta join and no shuffle.
+    """
+    stats = model.rules.groupBy("model_id").count().agg(F.max("count"), F.sum("count")).collect()[0]
+    most, total = int(stats[0] or 0), int(stats[1] or 0)
+    words = max(1, -(-most // BITS))
+    bins = model.bins.count()
+    if bins * words > MAX_BROADCAST_ROWS or total > MAX_BROADCAST_ROWS:
+        raise ValueError("rule masks exceed the broadcast limit; use the cell table")
+    vec = mask_vectors(model, words)
+    j = df.join(F.broadcast(vec), "model_id", "left")
+    hit_words = []
+    for w in range(words):
+        m = None
         for i in range(N_FEATURES):
-            c = c & (x["id_start"][i] <= F.col(f"id{i}")) & (F.col(f"id{i}") <= x["id_end"][i])
-        return c
+            x = F.try_element_at(F.try_element_at(F.col(f"mk{i}"), F.col(f"id{i}") + 1), F.lit(w + 1))
+            m = x if m is None else m.bitwiseAND(x)
+        hit_words.append(F.coalesce(m, F.lit(0).cast("bigint")))
+    rule = None
+    for w, m in enumerate(hit_words):
+        idx = F.lit(w * BITS) + _ctz(m)
+        rule = F.when(m != 0, idx) if rule is None else rule.when(m != 0, idx)
+    rule = rule.cast("int")
+    klass = F.try_element_at(F.col("rule_class"), rule + 1)
+    return j.select(*df.columns, rule.alias("rule_id"), klass.cast("int").alias("class_id"))
 
-    first = F.element_at(F.filter(F.coalesce("__rules", F.array()), holds), 1)
-    # element_at on an empty array is NULL only outside ANSI mode; guard by size.
-    hit = F.when(F.size(F.filter(F.coalesce("__rules", F.array()), holds)) > 0, first)
-    return j.select(*df.columns, hit["rule_id"].alias("rule_id"), hit["class"].alias("class_id"))
+
+# --------------------------------------------------------------------------- single model, inlined
+
+# A single model's compiled tables are folded into the expression when they
+# are at most this many entries (cells, or bins x words of masks).
+MAX_INLINE = 1 << 20
+
+
+class InlineDT:
+    """One compiled tree as Python values, for literal (constant) expressions.
+
+    Built from the compiled DataFrames of one model after a size check; the
+    tables are bounded by the model (edges by the feature domain, cells by
+    the product of bin counts), never by the packet data.
+    """
+
+    def __init__(self, model: DTModel, model_id: str, method: str = "auto"):
+        vec = model.vectors().filter(F.col("model_id") == model_id).collect()
+        if not vec:
+            raise ValueError(f"model {model_id} not compiled")
+        v = vec[0]
+        self.uppers = [list(v[f"u{i}"]) for i in range(N_FEATURES)]
+        self.strides = [int(v[f"s{i}"]) for i in range(N_FEATURES)]
+        n_cells = 1
+        for u in self.uppers:
+            n_cells *= len(u)
+        if method == "auto":
+            method = "cells" if n_cells <= MAX_INLINE and model.cell_pairs() <= MAX_CELL_PAIRS else "ranges"
+        self.method = method
+        one = DTModel(model.bins.filter(F.col("model_id") == model_id), model.rules.filter(F.col("model_id") == model_id))
+        if method == "cells":
+            if n_cells > MAX_INLINE:
+                raise ValueError("cell table too large to inline")
+            rule_of = [None] * n_cells
+            class_of = [None] * n_cells
+            for r in one.cells().select("cell", "rule_id", "class").collect():
+                rule_of[r.cell] = r.rule_id
+                class_of[r.cell] = r["class"]
+            self.rule_of, self.class_of = rule_of, class_of
+        else:
+            rules = one.rules.select("rule_id", "class", "id_start", "id_end").orderBy("rule_id").collect()
+            self.words = max(1, -(-len(rules) // BITS))
+            if sum(len(u) for u in self.uppers) * self.words > MAX_INLINE:
+                raise ValueError("rule masks too large to inline")
+            self.rule_class = [r["class"] for r in rules]
+            self.masks = [[[0] * self.words for _ in u] for u in self.uppers]
+            for r in rules:
+                w, bit = divmod(r.rule_id, BITS)
+                for i in range(N_FEATURES):
+                    for b in range(r.id_start[i], r.id_end[i] + 1):
+                        self.masks[i][b][w] |= 1 << bit
+
+    def ids(self) -> list[F.Column]:
+        """C1 with literal edges: id = number of edges strictly below the value."""
+        out = []
+        for i, f in enumerate(DT_FEATURES):
+            c = F.lit(0)
+            for t in self.uppers[i][:-1]:  # the last edge is the domain maximum
+                c = c + (F.col(f) > F.lit(t)).cast("int")
+            out.append(c.cast("int").alias(f"id{i}"))
+        return out
+
+    def match(self) -> tuple[F.Column, F.Column]:
+        """(rule_id, class_id) from the ids columns."""
+        if self.method == "cells":
+            cell = F.lit(0)
+            for i in range(N_FEATURES):
+                cell = cell + F.col(f"id{i}") * F.lit(self.strides[i])
+            idx = cell + 1
+            rule = F.try_element_at(array_literal(self.rule_of), idx)
+            klass = F.try_element_at(array_literal(self.class_of), idx)
+            return rule, klass
+        hit_words = []
+        for w in range(self.words):
+            m = None
+            for i in range(N_FEATURES):
+                arr = array_literal([b[w] for b in self.masks[i]], "BIGINT")
+                x = F.try_element_at(arr, F.col(f"id{i}") + 1)
+                m = x if m is None else m.bitwiseAND(x)
+            hit_words.append(F.coalesce(m, F.lit(0).cast("bigint")))
+        rule = None
+        for w, m in enumerate(hit_words):
+            idx = F.lit(w * BITS) + _ctz(m)
+            rule = F.when(m != 0, idx) if rule is None else rule.when(m != 0, idx)
+        rule = rule.cast("int")
+        klass = F.try_element_at(array_literal(self.rule_class), rule + 1)
+        return rule, klass
+
+
+def array_literal(values: list, sql_type: str = "INT") -> F.Column:
+    """A constant array as one SQL expression (NULL for None)."""
+    items = ", ".join("NULL" if v is None else str(int(v)) for v in values)
+    return F.expr(f"CAST(array({items}) AS ARRAY<{sql_type}>)")
+
+
+def port_expr(class_col: str, mapping: dict[int, int]) -> F.Column:
+    """C4 with a literal class -> port map; no entry gives NULL (drop)."""
+    c = None
+    for k, p in sorted(mapping.items()):
+        c = F.when(F.col(class_col) == k, F.lit(p)) if c is None else c.when(F.col(class_col) == k, F.lit(p))
+    return c.cast("int")
+
+
+def score_dt_inline(
+    packets: DataFrame, model: DTModel, model_id: str, mapping: dict[int, int], method: str = "auto",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """J3 for one model: a single projection over the scan (no join, no shuffle)."""
+    key = ("inline", model_id, method)
+    if key not in model._cache:
+        model._cache[key] = InlineDT(model, model_id, method)
+    inl = model._cache[key]
+    missing = {c for c in (inl.class_of if inl.method == "cells" else inl.rule_class) if c is not None} - set(mapping)
+    if missing:
+        raise ValueError(f"model {model_id}: classes {sorted(missing)} have no egress port")
+    f = features(packets, keep=keep)
+    d = f.select("*", *inl.ids())
+    rule, klass = inl.match()
+    m = d.select("*", rule.alias("rule_id"), klass.alias("class_id"))
+    p = m.select("*", port_expr("class_id", mapping).alias("egress_port"))
+    base = ["pkt_id", "ingress_port", "rule_id", "class_id", "egress_port"]
+    out = p.select(*base, *[c for c in dict.fromkeys(keep or []) if c not in base])
+    res = finish(out, ["rule_id", "class_id"])
+    return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
 
 
 # --------------------------------------------------------------------------- C3 / C4 / J3
@@ -182,6 +364,8 @@ def score_dt(
     Output: pkt_id, rule_id, class_id, egress_port, outcome (+ ``keep``).
     One narrow stage: projections and broadcast joins, no shuffle.
     """
+    if model_id is not None and ports is None and discretise_by in ("auto", "expr"):
+        return score_dt_inline(packets, model, str(model_id), DT_CLASS_PORTS, method=method, keep=keep)
     ports = class_port_table(model.model_ids()) if ports is None else ports
     if check:
         check_ports(model.rules, ports)

@@ -21,7 +21,7 @@ from ..functions.arith import cap, delta_u32, sq, stamp_identification
 from ..functions.features import features
 from ..session import MAX_BROADCAST_ROWS
 from ..sources.models import parse_km_lines, read_model_lines, require_centres
-from .dtree_score import assign_port, class_port_table, finish, with_model_id
+from .dtree_score import assign_port, class_port_table, finish, port_expr, with_model_id
 
 # Largest k for which centres are laid out as columns of one row.
 MAX_CLASSES = 256
@@ -104,6 +104,36 @@ def distances(df: DataFrame, model: KMModel) -> DataFrame:
     return j.select(*df.columns, *ds)
 
 
+def centres_of(model: KMModel, model_id: str) -> list[tuple[int, int, int]]:
+    """The centres of one model, in class order (k rows, checked small)."""
+    key = ("centres", model_id)
+    if key not in model._cache:
+        rows = (
+            model.centres.filter(F.col("model_id") == model_id)
+            .orderBy("class_id")
+            .limit(MAX_CLASSES + 1)
+            .collect()
+        )
+        if not rows:
+            raise ValueError(f"model {model_id} not compiled")
+        if len(rows) > MAX_CLASSES:
+            raise ValueError(f"model {model_id}: more than {MAX_CLASSES} centres")
+        model._cache[key] = [tuple(int(r[f]) for f in KM_FEATURES) for r in rows]
+    return model._cache[key]
+
+
+def distances_inline(df: DataFrame, centres: list[tuple[int, int, int]]) -> DataFrame:
+    """B12-B14 with the centre values as literals (one model)."""
+    ds = []
+    for c, centre in enumerate(centres, start=1):
+        d = None
+        for f, v in zip(KM_FEATURES, centre):
+            term = cap(sq(f, F.lit(v)))
+            d = term if d is None else d + term
+        ds.append(d.alias(f"d{c}"))
+    return df.select("*", *ds)
+
+
 def nearest(df: DataFrame, k: int) -> DataFrame:
     """Min distance and class; a later class wins only if strictly nearer."""
     m = F.col("d1")
@@ -196,6 +226,15 @@ def score_km(
     for k = 3, delta and the stamped ipv4_identification (IPv4 only, never
     on bypass). ``method="lookup"`` takes distances from the C8 table.
     """
+    inline = model_id is not None and ports is None and method == "arith"
+    if inline:
+        centres = centres_of(model, str(model_id))
+        k = len(centres)
+        f = features(packets, keep=keep)
+        d = distances_inline(f, centres)
+        n = nearest(d, k)
+        p = n.select("*", port_expr("class_id", KM_CLASS_PORTS).alias("egress_port"))
+        return _finish_km(p, k, keep)
     k = model.k()
     ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
     f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
@@ -206,6 +245,10 @@ def score_km(
         d = distances(f, model)
     n = nearest(d, k)
     p = assign_port(n, ports)
+    return _finish_km(p, k, keep)
+
+
+def _finish_km(p: DataFrame, k: int, keep: list[str] | None) -> DataFrame:
     dcols = [f"d{c}" for c in range(1, k + 1)]
     extra = []
     if k == 3:

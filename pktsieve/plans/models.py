@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import DT_MODEL_PATH, KM_MODEL_PATH
 from ..operators.dtree_compile import DTModel, compile_dt, compile_from_lines
-from ..operators.kmeans import KMModel, compile_km
+from ..operators.kmeans import KMModel, compile_km, compile_km_lines
 from ..sources.models import read_model_lines
 
 DT_ID = "decision_tree"
 KM_ID = "kmeans"
+ALT_ID = "dt_no_rule10"
+KM_ALT_ID = "kmeans_reversed"
 
 _memo: dict = {}
 
@@ -55,3 +57,36 @@ def dt_without_rule(spark: SparkSession, rule_no: int) -> DTModel:
         )
         _memo[k] = compile_from_lines(spark, lines.filter(F.col("line_no") != rule_line)).persist()
     return _memo[k]
+
+
+def _rule_line(lines: DataFrame, rule_no: int) -> int:
+    return (
+        lines.filter(F.col("line").rlike(r"^\s*when\s"))
+        .select("line_no")
+        .orderBy("line_no")
+        .limit(rule_no + 1)
+        .agg(F.max("line_no"))
+        .collect()[0][0]
+    )
+
+
+def two_trees(spark: SparkSession) -> DTModel:
+    """The shipped tree and its copy without rule 10, compiled in one run."""
+    k = _key(spark, "two")
+    if k not in _memo:
+        lines = dt_lines(spark)
+        alt = lines.filter(F.col("line_no") != _rule_line(lines, 10)).withColumn("model_id", F.lit(ALT_ID))
+        _memo[k] = compile_from_lines(spark, lines.unionByName(alt)).persist()
+    return _memo[k]
+
+
+def two_kmeans(spark: SparkSession) -> KMModel:
+    """The shipped centres and a copy listing them in reverse order (classes
+    permuted), compiled in one run."""
+    k = _key(spark, "two-km")
+    if k not in _memo:
+        lines = read_model_lines(spark, KM_MODEL_PATH)
+        rev = lines.withColumn("line_no", -F.col("line_no")).withColumn("model_id", F.lit(KM_ALT_ID))
+        m = compile_km_lines(lines.unionByName(rev))
+        _memo[k] = KMModel(m.centres.checkpoint())
+    return _memo[k]

@@ -115,13 +115,30 @@ def dt_ctes(skip: set[int] | None = None) -> str:
     )
 
 
+def dt_multi_ctes(port: int, alt_id: str, skip: set[int]) -> str:
+    """Two trees: packets arriving on ``port`` use the tree without ``skip``."""
+    byp = f"ingress_port = {BYPASS_INGRESS_PORT}"
+    port_c = port_case("class_id", DT_CLASS_PORTS)
+    return (
+        f"raw AS (SELECT pkt_id, ingress_port, "
+        f"CASE WHEN ingress_port = {port} THEN '{alt_id}' ELSE 'decision_tree' END AS model_id, "
+        f"CASE WHEN ingress_port = {port} THEN {rule_case('class', skip)} ELSE {rule_case('class')} END AS class_id "
+        f"FROM feats), "
+        f"dt AS (SELECT pkt_id, model_id, "
+        f"CASE WHEN {byp} THEN NULL ELSE class_id END AS class_id, "
+        f"CAST(CASE WHEN {byp} THEN {BYPASS_EGRESS_PORT} ELSE {port_c} END AS INT) AS egress_port, "
+        f"CASE WHEN {byp} THEN 'bypass' WHEN ({port_c}) IS NOT NULL THEN 'forward' ELSE 'drop' END AS outcome "
+        f"FROM raw)"
+    )
+
+
 def dt_scored(kind: str, skip: set[int] | None = None) -> str:
     return f"WITH {with_packets(kind)}, {dt_ctes(skip)}"
 
 
-def km_dist_sql() -> str:
+def km_dist_sql(centres: list[tuple[int, int, int]] | None = None) -> str:
     out = []
-    for i, (a, b, c) in enumerate(KM_CENTRES, start=1):
+    for i, (a, b, c) in enumerate(centres or KM_CENTRES, start=1):
         terms = [
             f"LEAST((CAST({f} AS BIGINT) - {v}) * (CAST({f} AS BIGINT) - {v}), {KM_DIST_CAP})"
             for f, v in (("frame_len", a), ("src_port", b), ("dst_port", c))
@@ -130,15 +147,16 @@ def km_dist_sql() -> str:
     return ", ".join(out)
 
 
-def km_ctes() -> str:
-    """CTEs over ``feats`` ending in ``km`` with the J4 output columns."""
+def km_ctes(centres: list[tuple[int, int, int]] | None = None, where: str = "TRUE", sfx: str = "") -> str:
+    """CTEs over ``feats`` ending in ``km{sfx}`` with the J4 output columns."""
     byp = f"ingress_port = {BYPASS_INGRESS_PORT}"
     port = port_case("cls", KM_CLASS_PORTS)
     return (
-        f"dist AS (SELECT pkt_id, ingress_port, ipv4_identification, ts, {km_dist_sql()} FROM feats), "
-        f"near AS (SELECT *, CASE WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS cls, "
-        f"LEAST(d1, d2, d3) AS md, ((d3 - LEAST(d1, d2)) % 4294967296 + 4294967296) % 4294967296 AS dl FROM dist), "
-        f"km AS (SELECT pkt_id, ts, "
+        f"dist{sfx} AS (SELECT pkt_id, ingress_port, ipv4_identification, ts, {km_dist_sql(centres)} "
+        f"FROM feats WHERE {where}), "
+        f"near{sfx} AS (SELECT *, CASE WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS cls, "
+        f"LEAST(d1, d2, d3) AS md, ((d3 - LEAST(d1, d2)) % 4294967296 + 4294967296) % 4294967296 AS dl FROM dist{sfx}), "
+        f"km{sfx} AS (SELECT pkt_id, ts, "
         f"CAST(CASE WHEN {byp} THEN NULL ELSE cls END AS INT) AS class_id, "
         f"CAST(CASE WHEN {byp} THEN {BYPASS_EGRESS_PORT} ELSE {port} END AS INT) AS egress_port, "
         f"CASE WHEN {byp} THEN 'bypass' ELSE 'forward' END AS outcome, "
@@ -148,7 +166,7 @@ def km_ctes() -> str:
         f"CAST(CASE WHEN ipv4_identification IS NOT NULL AND NOT ({byp}) "
         f"THEN (CAST(ipv4_identification AS BIGINT) & 65280) | ((dl & 15) * 16) | (md & 15) "
         f"ELSE ipv4_identification END AS INT) AS ipv4_identification "
-        f"FROM near)"
+        f"FROM near{sfx})"
     )
 
 

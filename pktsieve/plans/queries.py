@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ..constants import BYPASS_INGRESS_PORT
 from ..functions.features import features
 from ..operators import dtree_compile as dc
-from ..operators.dtree_score import discretise, eval_rules, rule_conditions, score_dt
-from ..operators.kmeans import distances, nearest_long, score_km
+from ..operators.dtree_score import InlineDT, eval_rules, rule_conditions, score_dt
+from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
 from ..sources.fixtures import bulk_from, grid_from, predicates_bulk, table
 from . import oracle as O
-from .models import DT_ID, KM_ID, dt_lines, dt_without_rule, shipped_dt, shipped_km
+from .models import ALT_ID, DT_ID, KM_ALT_ID, KM_ID, two_kmeans, dt_lines, dt_without_rule, shipped_dt, shipped_km, two_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,9 +43,8 @@ def q_dt_rules_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_dt_discretise(spark: SparkSession, sf: str) -> DataFrame:
     """C1 (expression form): the five bin ids of every grid packet."""
-    m = shipped_dt(spark)
-    f = features(grid_from(spark, sf)).withColumn("model_id", F.lit(DT_ID))
-    d = discretise(f, m)
+    inl = InlineDT(shipped_dt(spark), DT_ID)
+    d = features(grid_from(spark, sf)).select("pkt_id", *inl.ids())
     return d.select(
         "pkt_id",
         *[F.col(f"id{i}").alias(f"{name}_id") for i, name in enumerate(["frame_len", "ether_type", "ip_proto", "src_port", "dst_port"])],
@@ -63,10 +62,20 @@ def q_dt_score_bulk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dt_match(spark: SparkSession, sf: str) -> DataFrame:
-    """C1 join form + C2 rule-range match: the second path of J3, on volume packets."""
-    return score_dt(
-        bulk_from(spark, sf), shipped_dt(spark), model_id=DT_ID, method="ranges", discretise_by="join"
-    ).select(*DT_COLS)
+    """Rule-range match (bit-vector form), the second path of J3, on volume packets."""
+    return score_dt(bulk_from(spark, sf), shipped_dt(spark), model_id=DT_ID, method="ranges").select(*DT_COLS)
+
+
+def q_dt_score_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """Many models at once: the arrival port picks the model (port 129 gets the
+    tree without rule 10); model tables join on model_id, bins by the block
+    join (C1 join form), rules by the bit-vector match (C2)."""
+    m = two_trees(spark)
+    g = grid_from(spark, sf).withColumn(
+        "model_id", F.when(F.col("ingress_port") == 129, F.lit(ALT_ID)).otherwise(F.lit(DT_ID))
+    )
+    out = score_dt(g, m, method="ranges", discretise_by="join", keep=["model_id"])
+    return out.select("pkt_id", "model_id", "class_id", "egress_port", "outcome")
 
 
 def q_dt_default_drop(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,8 +104,17 @@ def q_class_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_km_distances(spark: SparkSession, sf: str) -> DataFrame:
     """Capped distances to the three centres, every grid packet."""
-    f = features(grid_from(spark, sf)).withColumn("model_id", F.lit(KM_ID))
-    return distances(f, shipped_km(spark)).select("pkt_id", "d1", "d2", "d3")
+    f = features(grid_from(spark, sf))
+    return distances_inline(f, centres_of(shipped_km(spark), KM_ID)).select("pkt_id", "d1", "d2", "d3")
+
+
+def q_km_score_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 for two models at once through the model_id join (the many-model
+    path): port 129 packets use the centres in reverse order."""
+    b = bulk_from(spark, sf).withColumn(
+        "model_id", F.when(F.col("ingress_port") == 129, F.lit(KM_ALT_ID)).otherwise(F.lit(KM_ID))
+    )
+    return score_km(b, two_kmeans(spark), keep=["model_id"]).select("model_id", *KM_COLS)
 
 
 def q_km_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,8 +134,8 @@ def q_km_score_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_km_nearest_long(spark: SparkSession, sf: str) -> DataFrame:
     """Arg-min over (packet, class) rows in long form (grid, unique pkt_id)."""
-    f = features(grid_from(spark, sf)).withColumn("model_id", F.lit(KM_ID))
-    d = distances(f, shipped_km(spark))
+    f = features(grid_from(spark, sf))
+    d = distances_inline(f, centres_of(shipped_km(spark), KM_ID))
     long = d.select(
         "pkt_id",
         F.inline(F.array(*[F.struct(F.lit(c).alias("class_id"), F.col(f"d{c}").alias("dist")) for c in (1, 2, 3)])),
@@ -188,6 +206,7 @@ REGISTRY: dict[str, Query] = {
     "dt_score": q_dt_score,
     "dt_score_bulk": q_dt_score_bulk,
     "dt_match": q_dt_match,
+    "dt_score_multi": q_dt_score_multi,
     "dt_default_drop": q_dt_default_drop,
     "dt_route_counts": q_dt_route_counts,
     "class_counts": q_class_counts,
@@ -195,6 +214,7 @@ REGISTRY: dict[str, Query] = {
     "km_score": q_km_score,
     "km_score_bulk": q_km_score_bulk,
     "km_score_lookup": q_km_score_lookup,
+    "km_score_multi": q_km_score_multi,
     "km_nearest_long": q_km_nearest_long,
     "label_crosstab": q_label_crosstab,
     "bounds_bulk": q_bounds_bulk,
@@ -277,6 +297,10 @@ def oracle_sql() -> dict[str, str]:
         "dt_score": f"{O.dt_scored('grid')} {O.DT_OUT}",
         "dt_score_bulk": f"{O.dt_scored('bulk')} {O.DT_OUT}",
         "dt_match": f"{O.dt_scored('bulk')} {O.DT_OUT}",
+        "dt_score_multi": (
+            f"WITH {O.with_packets('grid')}, {O.dt_multi_ctes(129, 'dt_no_rule10', {10})} "
+            "SELECT pkt_id, model_id, class_id, egress_port, outcome FROM dt"
+        ),
         "dt_default_drop": f"{O.dt_scored('grid', skip={10})} SELECT pkt_id, class_id, egress_port, outcome FROM dt",
         "dt_route_counts": (
             f"{O.dt_scored('grid')} SELECT egress_port, outcome, COUNT(*) AS n_packets FROM dt GROUP BY egress_port, outcome"
@@ -292,6 +316,12 @@ def oracle_sql() -> dict[str, str]:
         "km_score": f"{grid_km} {O.KM_OUT}",
         "km_score_bulk": f"{bulk_km} {O.KM_OUT}",
         "km_score_lookup": f"{bulk_km} {O.KM_OUT}",
+        "km_score_multi": (
+            f"WITH {O.with_packets('bulk')}, {O.km_ctes(None, 'ingress_port <> 129', 'a')}, "
+            f"{O.km_ctes(O.KM_CENTRES[::-1], 'ingress_port = 129', 'b')} "
+            f"SELECT 'kmeans' AS model_id, {', '.join(KM_COLS)} FROM kma UNION ALL "
+            f"SELECT '{KM_ALT_ID}' AS model_id, {', '.join(KM_COLS)} FROM kmb"
+        ),
         "km_nearest_long": (
             f"WITH {O.with_packets('grid')}, dist AS (SELECT pkt_id, {O.km_dist_sql()} FROM feats) "
             "SELECT pkt_id, LEAST(d1, d2, d3) AS min_dist, "
