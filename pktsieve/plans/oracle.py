@@ -16,7 +16,7 @@ from ..constants import (
     KM_CLASS_PORTS,
     KM_DIST_CAP,
 )
-from ..sources.fixtures import oracle_bulk, oracle_grid, oracle_predicates
+from ..sources.fixtures import oracle_bulk, oracle_frames, oracle_grid, oracle_predicates
 
 # --- fixed values: the shipped decision tree as integer conditions on raw
 # features, rule_id from 0 in file order, with the class of each leaf.
@@ -192,3 +192,46 @@ FEATURE_VALUES = (
     "feats5 AS (SELECT * FROM (VALUES ('frame_len', 0, 65535), ('ether_type', 1, 65535), "
     "('ip_proto', 2, 255), ('src_port', 3, 65535), ('dst_port', 4, 65535)) AS t(feature, fpos, fmax))"
 )
+
+
+def frames_ctes() -> str:
+    """``fr``: the frames; ``fe``: with the expected quarantine reason ``err``."""
+    cut = "CASE WHEN pkt_id % 13 = 0 THEN LEAST(CAST(pkt_id % 60 AS INT), full_len) ELSE full_len END"
+    l4 = "CASE WHEN ether_type = 2048 THEN 34 ELSE 54 END"
+    err = (
+        f"CASE WHEN n < 14 THEN 'truncated:ethernet' "
+        f"WHEN ether_type = 2048 AND n < 34 THEN 'truncated:ipv4' "
+        f"WHEN ether_type = 34525 AND n < 54 THEN 'truncated:ipv6' "
+        f"WHEN ether_type = 2054 AND n < 42 THEN 'truncated:arp' "
+        f"WHEN tcp_src_port IS NOT NULL AND n < {l4} + 20 THEN 'truncated:tcp' "
+        f"WHEN udp_src_port IS NOT NULL AND n < {l4} + 8 THEN 'truncated:udp' "
+        f"WHEN ipv4_protocol = 1 AND n < 42 THEN 'truncated:icmp' END"
+    )
+    return f"fr AS ({oracle_frames()}), fn AS (SELECT *, {cut} AS n FROM fr), fe AS (SELECT *, {err} AS err FROM fn)"
+
+
+def checksum_sql(ident: str) -> str:
+    words = [
+        "(4 * 4096 + 5 * 256 + diffserv)", "ipv4_total_len", ident, "(flags * 8192)",
+        "(ttl * 256 + ipv4_protocol)", "(src_ip >> 16)", "(src_ip & 65535)", "(dst_ip >> 16)", "(dst_ip & 65535)",
+    ]
+    s = "(" + " + ".join(f"CAST({w} AS BIGINT)" for w in words) + ")"
+    s1 = f"(({s} & 65535) + ({s} >> 16))"
+    s2 = f"(({s1} & 65535) + ({s1} >> 16))"
+    return f"CAST(65535 - {s2} AS INT)"
+
+
+def rewrite_ctes() -> str:
+    byp = f"ingress_port = {BYPASS_INGRESS_PORT}"
+    return (
+        f"feats AS ({FEATURES_SELECT}, NULL AS ts, ttl, diffserv, flags, src_ip, dst_ip, ipv4_total_len, "
+        f"ipv4_protocol, frame_hex FROM fe WHERE err IS NULL), "
+        f"d AS (SELECT *, {km_dist_sql()} FROM feats), "
+        f"n AS (SELECT *, LEAST(d1, d2, d3) AS md, ((d3 - LEAST(d1, d2)) % 4294967296 + 4294967296) % 4294967296 AS dl FROM d), "
+        f"s AS (SELECT *, CASE WHEN {byp} THEN ipv4_identification ELSE "
+        f"CAST((CAST(ipv4_identification AS BIGINT) & 65280) | ((dl & 15) * 16) | (md & 15) AS INT) END AS ident2 FROM n), "
+        f"rw AS (SELECT pkt_id, CASE WHEN {byp} THEN 'bypass' ELSE 'forward' END AS outcome, "
+        f"CASE WHEN ipv4_total_len IS NULL THEN frame_hex ELSE "
+        f"substr(frame_hex, 1, 36) || lpad(hex(ident2), 4, '0') || substr(frame_hex, 41, 8) || "
+        f"lpad(hex({checksum_sql('ident2')}), 4, '0') || substr(frame_hex, 53) END AS frame_hex FROM s)"
+    )

@@ -17,7 +17,9 @@ from ..functions.features import features
 from ..operators import dtree_compile as dc
 from ..operators.dtree_score import InlineDT, eval_rules, rule_conditions, score_dt
 from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
-from ..sources.fixtures import bulk_from, grid_from, predicates_bulk, table
+from ..operators.frames import decode_frames, frame_checksum
+from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
+from .capture import rewrite_capture
 from . import oracle as O
 from .models import ALT_ID, DT_ID, KM_ALT_ID, KM_ID, two_kmeans, dt_lines, dt_without_rule, shipped_dt, shipped_km, two_trees
 
@@ -153,6 +155,41 @@ def q_label_crosstab(spark: SparkSession, sf: str) -> DataFrame:
     return km.groupBy("dt_class", F.col("class_id").alias("km_class")).agg(F.count(F.lit(1)).alias("n_packets"))
 
 
+# --------------------------------------------------------------------------- captures
+
+
+def q_frame_decode(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: decode raw frames (every 13th cut short) into headers; reasons for the quarantine."""
+    d = decode_frames(frames_from(spark, sf))
+    return d.select(
+        "pkt_id",
+        F.col("ethernet.ether_type").alias("ether_type"),
+        F.col("ipv4.total_len").alias("ipv4_total_len"),
+        F.col("ipv4.protocol").alias("ipv4_protocol"),
+        F.col("ipv4.identification").alias("ipv4_identification"),
+        F.col("ipv4.ttl").alias("ipv4_ttl"),
+        F.col("ipv4.src_ip").alias("ipv4_src_ip"),
+        F.col("ipv4.dst_ip").alias("ipv4_dst_ip"),
+        F.col("tcp.src_port").alias("tcp_src_port"),
+        F.col("tcp.dst_port").alias("tcp_dst_port"),
+        F.col("udp.src_port").alias("udp_src_port"),
+        F.col("udp.dst_port").alias("udp_dst_port"),
+        "decode_error",
+    )
+
+
+def q_ipv4_checksum(spark: SparkSession, sf: str) -> DataFrame:
+    """Header checksum of every decodable IPv4 frame (as captured)."""
+    d = decode_frames(frames_from(spark, sf)).filter(F.col("ipv4").isNotNull())
+    return d.select("pkt_id", frame_checksum("frame").alias("checksum"))
+
+
+def q_frame_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """K-means stamp + new checksum written back into the frames."""
+    out, _ = rewrite_capture(frames_from(spark, sf), shipped_km(spark), KM_ID)
+    return out.select("pkt_id", "outcome", F.hex("frame_out").alias("frame_hex"))
+
+
 # --------------------------------------------------------------------------- compile at scale
 
 
@@ -217,6 +254,9 @@ REGISTRY: dict[str, Query] = {
     "km_score_multi": q_km_score_multi,
     "km_nearest_long": q_km_nearest_long,
     "label_crosstab": q_label_crosstab,
+    "frame_decode": q_frame_decode,
+    "ipv4_checksum": q_ipv4_checksum,
+    "frame_rewrite": q_frame_rewrite,
     "bounds_bulk": q_bounds_bulk,
     "bins_bulk": q_bins_bulk,
     "id_ranges_bulk": q_id_ranges_bulk,
@@ -335,6 +375,28 @@ def oracle_sql() -> dict[str, str]:
             "WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS INT) AS km_class, "
             "COUNT(*) AS n_packets FROM dist GROUP BY 1, 2"
         ),
+        "frame_decode": (
+            f"WITH {O.frames_ctes()} SELECT pkt_id, "
+            "CASE WHEN err IS NULL THEN ether_type END AS ether_type, "
+            + ", ".join(
+                f"CASE WHEN err IS NULL THEN {src} END AS {dst}"
+                for src, dst in (
+                    ("ipv4_total_len", "ipv4_total_len"), ("ipv4_protocol", "ipv4_protocol"),
+                    ("ipv4_identification", "ipv4_identification"),
+                    ("CASE WHEN ipv4_total_len IS NOT NULL THEN ttl END", "ipv4_ttl"),
+                    ("CASE WHEN ipv4_total_len IS NOT NULL THEN src_ip END", "ipv4_src_ip"),
+                    ("CASE WHEN ipv4_total_len IS NOT NULL THEN dst_ip END", "ipv4_dst_ip"),
+                    ("tcp_src_port", "tcp_src_port"), ("tcp_dst_port", "tcp_dst_port"),
+                    ("udp_src_port", "udp_src_port"), ("udp_dst_port", "udp_dst_port"),
+                )
+            )
+            + ", err AS decode_error FROM fe"
+        ),
+        "ipv4_checksum": (
+            f"WITH {O.frames_ctes()} SELECT pkt_id, {O.checksum_sql('ipv4_identification')} AS checksum "
+            "FROM fe WHERE err IS NULL AND ipv4_total_len IS NOT NULL"
+        ),
+        "frame_rewrite": f"WITH {O.frames_ctes()}, {O.rewrite_ctes()} SELECT pkt_id, outcome, frame_hex FROM rw",
         "bounds_bulk": f"{f7}, {_bounds_sql()} SELECT model_id, rule_id, feature, lo, hi FROM bounds",
         "bins_bulk": f"{f7}, {_bins_sql()} SELECT model_id, feature, bin_id, lo, hi FROM bins",
         "id_ranges_bulk": f"{f7}, {_bounds_sql()}, {_bins_sql()} {_ids_sql()}",

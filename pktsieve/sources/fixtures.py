@@ -10,6 +10,7 @@ in the packet schema; they do none of the scoring work.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Boundary values (both sides of every model threshold) cycled by the grid.
 GRID_LENGTHS = "20,44,45,51,52,61,62,64,65,94,95,139,140,176,177,208,209,312,313,335,336,366,367,1500,65535"
@@ -68,18 +69,56 @@ FROM (SELECT l_orderkey, l_partkey, l_suppkey,
       FROM {lineitem}) t
 """
 
-# Extra header fields a real capture carries; derived from pkt_id so that
-# frames can be built for the decode / rewrite jobs. Same text in both engines.
-PACKETS_WIRE_SQL = """
-SELECT p.*,
-  CAST(p.pkt_id % 281474976710656 AS BIGINT) AS dst_mac,
-  CAST(2199023255552 + p.pkt_id % 1048576 AS BIGINT) AS src_mac,
-  CAST(64 - p.pkt_id % 32 AS INT) AS ipv4_ttl,
-  CAST(p.pkt_id % 4 AS INT) AS ipv4_diffserv,
-  CAST(CASE WHEN p.pkt_id % 3 = 0 THEN 2 ELSE 0 END AS INT) AS ipv4_flags,
-  CAST(3232235520 + p.pkt_id % 65536 AS BIGINT) AS ipv4_src_ip,
-  CAST(167772160 + (p.pkt_id * 7) % 16777216 AS BIGINT) AS ipv4_dst_ip
-FROM ({packets}) p
+
+def _h(expr: str, width: int) -> str:
+    return f"lpad(hex({expr}), {width}, '0')"
+
+
+# Raw Ethernet frames (as hex text) built from the grid packets, with the
+# extra header fields a capture carries derived from pkt_id. Every 13th frame
+# is cut short (0..59 bytes) to exercise the quarantine. Same SQL text in
+# Spark and DuckDB; the decode job only ever sees ``frame_hex``.
+FRAMES_SQL = f"""
+SELECT pkt_id, ingress_port, ether_type, ipv4_total_len, ipv4_protocol, ipv4_identification,
+  tcp_src_port, tcp_dst_port, udp_src_port, udp_dst_port,
+  ttl, diffserv, flags, src_ip, dst_ip, full_len,
+  CASE WHEN pkt_id % 13 = 0 THEN substr(full_hex, 1, 2 * CAST(pkt_id % 60 AS INT)) ELSE full_hex END AS frame_hex
+FROM (
+  SELECT *, CAST(length(full_hex) / 2 AS INT) AS full_len FROM (
+    SELECT *,
+      {_h('dst_mac', 12)} || {_h('src_mac', 12)} || {_h('ether_type', 4)} ||
+      CASE
+        WHEN ipv4_total_len IS NOT NULL THEN
+          '45' || {_h('diffserv', 2)} || {_h('ipv4_total_len', 4)} || {_h('ipv4_identification', 4)} ||
+          {_h('flags * 8192', 4)} || {_h('ttl', 2)} || {_h('ipv4_protocol', 2)} || '0000' ||
+          {_h('src_ip', 8)} || {_h('dst_ip', 8)}
+        WHEN ether_type = 34525 THEN
+          '6' || {_h('diffserv', 2)} || '00000' ||
+          CASE WHEN tcp_src_port IS NOT NULL THEN '001406' ELSE '000811' END || {_h('ttl', 2)} ||
+          '20010DB8000000000000' || {_h('src_ip', 12)} || 'FE800000000000000000' || {_h('dst_ip', 12)}
+        WHEN ether_type = 2054 THEN
+          '0001080006040001' || {_h('src_mac', 12)} || {_h('src_ip', 8)} || {_h('dst_mac', 12)} || {_h('dst_ip', 8)}
+        ELSE '8100CAFE'
+      END ||
+      CASE
+        WHEN tcp_src_port IS NOT NULL THEN
+          {_h('tcp_src_port', 4)} || {_h('tcp_dst_port', 4)} || {_h('pkt_id % 4294967296', 8)} || '00000000' ||
+          '5010FFFF00000000'
+        WHEN udp_src_port IS NOT NULL THEN {_h('udp_src_port', 4)} || {_h('udp_dst_port', 4)} || '00080000'
+        WHEN ipv4_protocol = 1 THEN '08000000' || {_h('pkt_id % 65536', 4)} || '0001'
+        WHEN ipv4_total_len IS NOT NULL THEN 'DEADBEEF'
+        ELSE ''
+      END AS full_hex
+    FROM (
+      SELECT p.*,
+        CAST(p.pkt_id % 281474976710656 AS BIGINT) AS dst_mac,
+        CAST(2199023255552 + p.pkt_id % 1048576 AS BIGINT) AS src_mac,
+        CAST(64 - p.pkt_id % 32 AS INT) AS ttl,
+        CAST(p.pkt_id % 4 AS INT) AS diffserv,
+        CAST(CASE WHEN p.pkt_id % 3 = 0 THEN 2 ELSE 0 END AS INT) AS flags,
+        CAST(3232235520 + p.pkt_id % 65536 AS BIGINT) AS src_ip,
+        CAST(167772160 + (p.pkt_id * 7) % 16777216 AS BIGINT) AS dst_ip
+      FROM ({{packets}}) p) w) f) x
 """
 
 
@@ -119,5 +158,29 @@ def oracle_bulk() -> str:
     return PACKETS_BULK_SQL.replace("{lineitem}", "lineitem")
 
 
+_captures: dict = {}
+
+
+def frames_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid packets as a stored capture: (pkt_id, ingress_port, frame BINARY, ...source columns).
+
+    The capture is written once per session as a parquet table in the shared
+    work folder and read back, as a real capture table would be read.
+    """
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _captures:
+        src = spark.sql(FRAMES_SQL, packets=grid_from(spark, sf_dir)).withColumn("frame", F.unhex("frame_hex"))
+        path = scratch_path(spark, "capture")
+        src.write.mode("overwrite").parquet(path)
+        _captures[key] = path
+    return spark.read.parquet(_captures[key])
+
+
+def oracle_frames() -> str:
+    return FRAMES_SQL.replace("{packets}", oracle_grid())
+
+
 def oracle_predicates() -> str:
     return PREDICATES_BULK_SQL.replace("{lineitem}", "lineitem")
