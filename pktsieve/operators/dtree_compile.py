@@ -283,17 +283,21 @@ class DTModel:
         are absent: the scoring left join leaves them NULL, i.e. dropped.
         """
         if "cells" not in self._cache:
-            r = self.rules.join(F.broadcast(self.radix()), "model_id")
-            for i in range(N_FEATURES):
-                r = r.select("*", F.explode(F.sequence(F.col("id_start")[i], F.col("id_end")[i])).alias(f"i{i}"))
-            cell = F.lit(0).cast("bigint")
-            for i in range(N_FEATURES):
-                cell = cell + F.col(f"i{i}").cast("bigint") * F.col(f"s{i}")
-            pairs = r.select("model_id", cell.alias("cell"), "rule_id", "class")
+            pairs = self.cell_rule_pairs()
             best = pairs.groupBy("model_id", "cell").agg(F.min(F.struct("rule_id", "class")).alias("m"))
             self._cache["cells"] = best.select("model_id", "cell", F.col("m.rule_id").alias("rule_id"), F.col("m.class").alias("class"))
         return self._cache["cells"]
 
+    def cell_rule_pairs(self) -> DataFrame:
+        """(model_id, cell, rule_id, class): every cell inside every rule's ranges."""
+        r = self.rules.join(F.broadcast(self.radix()), "model_id")
+        for i in range(N_FEATURES):
+            r = r.select("*", F.explode(F.sequence(F.col("id_start")[i], F.col("id_end")[i])).alias(f"i{i}"))
+        cell = F.lit(0).cast("bigint")
+        for i in range(N_FEATURES):
+            cell = cell + F.col(f"i{i}").cast("bigint") * F.col(f"s{i}")
+        return r.select("model_id", cell.alias("cell"), "rule_id", "class")
+
     def model_ids(self) -> DataFrame:
         return self.bins.select("model_id").distinct()
 

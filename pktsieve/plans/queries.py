@@ -19,6 +19,19 @@ from ..operators.dtree_score import InlineDT, eval_rules, rule_conditions, score
 from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
 from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
+from ..operators.audit import predicate_audit
+from ..session import scratch_path
+from ..sinks.tables import route, write_dt_tables
+from ..sources.fixtures import PACKETS_GRID_SQL
+from ..streaming.score import (
+    grid_stream,
+    read_table_stream,
+    run_to_table,
+    score_dt_stream,
+    score_km_stream,
+    score_reloading,
+    windowed_counts,
+)
 from .capture import rewrite_capture
 from . import oracle as O
 from .models import ALT_ID, DT_ID, KM_ALT_ID, KM_ID, two_kmeans, dt_lines, dt_without_rule, shipped_dt, shipped_km, two_trees
@@ -155,6 +168,53 @@ def q_label_crosstab(spark: SparkSession, sf: str) -> DataFrame:
     return km.groupBy("dt_class", F.col("class_id").alias("km_class")).agg(F.count(F.lit(1)).alias("n_packets"))
 
 
+def q_dt_route(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 + A9: route the tree-without-rule-10 output to per-port folders (salted
+    writers) and a dropped table, then read the written tables back."""
+    out = score_dt(grid_from(spark, sf), dt_without_rule(spark, 10), model_id=DT_ID)
+    path = scratch_path(spark, "route")
+    route(out.select("pkt_id", "egress_port", "outcome"), path, files_per_port=2)
+    sent = spark.read.parquet(f"{path}/sent")
+    dropped = spark.read.parquet(f"{path}/dropped")
+    return sent.select("pkt_id", F.col("egress_port").cast("int"), "outcome").unionByName(
+        dropped.select("pkt_id", F.col("egress_port").cast("int"), "outcome")
+    )
+
+
+def q_class_counts_windowed(spark: SparkSession, sf: str) -> DataFrame:
+    """Packets per hour of event time, class and port (grid, tree)."""
+    out = score_dt(grid_from(spark, sf), shipped_dt(spark), model_id=DT_ID, keep=["ts"])
+    return windowed_counts(out, "1 hour")
+
+
+# --------------------------------------------------------------------------- streams
+
+
+def q_stream_dt_score(spark: SparkSession, sf: str) -> DataFrame:
+    """H1: the grid as a stream over events, scored by the tree, file sink."""
+    s = score_dt_stream(grid_stream(spark, sf), shipped_dt(spark), DT_ID)
+    return run_to_table(spark, s, "stream_dt").select(*DT_COLS)
+
+
+def q_stream_km_score(spark: SparkSession, sf: str) -> DataFrame:
+    """H2: the grid as a stream, scored by k-means, file sink."""
+    s = score_km_stream(grid_stream(spark, sf), shipped_km(spark), KM_ID)
+    return run_to_table(spark, s, "stream_km").select(*KM_COLS)
+
+
+def q_stream_reloading(spark: SparkSession, sf: str) -> DataFrame:
+    """H3 (+ A6): compiled tables written to storage; every micro-batch re-reads them."""
+    base = scratch_path(spark, "reload")
+    write_dt_tables(shipped_dt(spark), f"{base}/tables")
+    score_reloading(
+        spark, read_table_stream(spark, f"{sf.rstrip('/')}/events.parquet", max_files=1).transform(
+            lambda ev: spark.sql(PACKETS_GRID_SQL, events=ev)
+        ),
+        f"{base}/tables", DT_ID, f"{base}/out", f"{base}/_checkpoint",
+    )
+    return spark.read.parquet(f"{base}/out").select(*DT_COLS)
+
+
 # --------------------------------------------------------------------------- captures
 
 
@@ -221,6 +281,13 @@ def q_id_ranges_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return r.filter(~F.col("empty")).select("model_id", "rule_id", "feature", "id_start", "id_end")
 
 
+def q_model_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """X3 on the generated corpus: ignored, clamped and off-threshold predicates,
+    rules with an empty range, per model."""
+    p = _preds(spark, sf)
+    return predicate_audit(spark, p, _bins_bulk(spark, sf), ["model_id", "rule_id"])
+
+
 def q_rules_bulk(spark: SparkSession, sf: str) -> DataFrame:
     """C7 + C11 + D4 + D5: complete every rule to 5 features, keep valid rules."""
     p = _preds(spark, sf)
@@ -247,6 +314,11 @@ REGISTRY: dict[str, Query] = {
     "dt_default_drop": q_dt_default_drop,
     "dt_route_counts": q_dt_route_counts,
     "class_counts": q_class_counts,
+    "class_counts_windowed": q_class_counts_windowed,
+    "dt_route": q_dt_route,
+    "stream_dt_score": q_stream_dt_score,
+    "stream_km_score": q_stream_km_score,
+    "stream_reloading": q_stream_reloading,
     "km_distances": q_km_distances,
     "km_score": q_km_score,
     "km_score_bulk": q_km_score_bulk,
@@ -261,6 +333,7 @@ REGISTRY: dict[str, Query] = {
     "bins_bulk": q_bins_bulk,
     "id_ranges_bulk": q_id_ranges_bulk,
     "rules_bulk": q_rules_bulk,
+    "model_audit": q_model_audit,
 }
 
 
@@ -350,6 +423,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'dt' AS model, class_id, egress_port, COUNT(*) AS n_packets FROM dt GROUP BY class_id, egress_port "
             "UNION ALL SELECT 'km' AS model, class_id, egress_port, COUNT(*) AS n_packets FROM km GROUP BY class_id, egress_port"
         ),
+        "class_counts_windowed": (
+            f"{O.dt_scored('grid')} SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, "
+            "class_id, egress_port, COUNT(*) AS n_packets FROM dt GROUP BY 1, 2, 3"
+        ),
+        "dt_route": f"{O.dt_scored('grid', skip={10})} SELECT pkt_id, egress_port, outcome FROM dt",
+        "stream_dt_score": f"{O.dt_scored('grid')} {O.DT_OUT}",
+        "stream_km_score": f"{grid_km} {O.KM_OUT}",
+        "stream_reloading": f"{O.dt_scored('grid')} {O.DT_OUT}",
         "km_distances": (
             f"WITH {O.with_packets('grid')} SELECT pkt_id, {O.km_dist_sql()} FROM feats"
         ),
@@ -400,5 +481,23 @@ def oracle_sql() -> dict[str, str]:
         "bounds_bulk": f"{f7}, {_bounds_sql()} SELECT model_id, rule_id, feature, lo, hi FROM bounds",
         "bins_bulk": f"{f7}, {_bins_sql()} SELECT model_id, feature, bin_id, lo, hi FROM bins",
         "id_ranges_bulk": f"{f7}, {_bounds_sql()}, {_bins_sql()} {_ids_sql()}",
+        "model_audit": (
+            f"{f7}, {_bounds_sql()}, {_bins_sql()}, "
+            "pa AS (SELECT p.model_id, p.rule_id, f.fmax, f.feature AS kf, "
+            "CAST(FLOOR(GREATEST(-2.0, LEAST(p.value, COALESCE(f.fmax, 0) + 2.0))) AS BIGINT) AS edge, p.feature "
+            "FROM preds p LEFT JOIN feats5 f ON p.feature = f.feature), "
+            "per AS (SELECT model_id, COUNT(*) AS n_predicates, "
+            "SUM(CASE WHEN kf IS NULL THEN 1 ELSE 0 END) AS n_unknown_feature, "
+            "SUM(CASE WHEN kf IS NOT NULL AND (edge < 0 OR edge > fmax) THEN 1 ELSE 0 END) AS n_out_of_domain, "
+            "SUM(CASE WHEN kf IS NOT NULL AND edge BETWEEN 0 AND fmax AND NOT EXISTS (SELECT 1 FROM bins b "
+            "WHERE b.model_id = pa.model_id AND b.feature = pa.feature AND b.hi = pa.edge) THEN 1 ELSE 0 END) "
+            "AS n_off_threshold FROM pa GROUP BY model_id), "
+            "emp AS (SELECT model_id, COUNT(*) AS n_rules_constrained, SUM(e) AS n_rules_empty FROM "
+            "(SELECT model_id, rule_id, MAX(CASE WHEN lo > hi THEN 1 ELSE 0 END) AS e FROM bounds GROUP BY model_id, rule_id) "
+            "GROUP BY model_id) "
+            "SELECT per.model_id, n_predicates, n_unknown_feature, n_out_of_domain, n_off_threshold, "
+            "COALESCE(n_rules_constrained, 0) AS n_rules_constrained, COALESCE(n_rules_empty, 0) AS n_rules_empty "
+            "FROM per LEFT JOIN emp ON per.model_id = emp.model_id"
+        ),
         "rules_bulk": f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}{rules_out}",
     }
