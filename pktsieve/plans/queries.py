@@ -174,11 +174,8 @@ def q_dt_route(spark: SparkSession, sf: str) -> DataFrame:
     out = score_dt(grid_from(spark, sf), dt_without_rule(spark, 10), model_id=DT_ID)
     path = scratch_path(spark, "route")
     route(out.select("pkt_id", "egress_port", "outcome"), path, files_per_port=2)
-    sent = spark.read.parquet(f"{path}/sent")
-    dropped = spark.read.parquet(f"{path}/dropped")
-    return sent.select("pkt_id", F.col("egress_port").cast("int"), "outcome").unionByName(
-        dropped.select("pkt_id", F.col("egress_port").cast("int"), "outcome")
-    )
+    written = spark.read.parquet(path)
+    return written.select("pkt_id", F.col("egress_port").cast("int").alias("egress_port"), "outcome")
 
 
 def q_class_counts_windowed(spark: SparkSession, sf: str) -> DataFrame:

@@ -50,17 +50,17 @@ def split_dropped(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 def route(
     scored: DataFrame, path: str, files_per_port: int | None = None, mode: str = "append", salt_col: str = "pkt_id"
 ) -> None:
-    """Write each sent packet under ``egress_port=<p>``; drops under ``dropped``.
+    """A8 + A9 in one pass: sent packets land under ``route=sent/egress_port=<p>``,
+    dropped ones under ``route=dropped`` (their port is NULL); nothing is lost.
 
     With ``files_per_port`` the rows are first spread over (port, salt)
     buckets, so a port carrying most of the traffic is written by several
     tasks instead of one. The salt is a hash of ``salt_col`` (deterministic,
     so a recomputed task routes the same rows to the same bucket).
     """
-    base = path.rstrip("/")
-    sent, dropped = split_dropped(scored)
+    dest = F.when(F.col("outcome") == "drop", F.lit("dropped")).otherwise(F.lit("sent"))
+    out = scored.withColumn("route", dest)
     if files_per_port:
         salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_port))
-        sent = sent.repartition("egress_port", salt)
-    sent.write.mode(mode).partitionBy("egress_port").parquet(f"{base}/sent")
-    dropped.write.mode(mode).parquet(f"{base}/dropped")
+        out = out.repartition("route", "egress_port", salt)
+    out.write.mode(mode).partitionBy("route", "egress_port").parquet(path.rstrip("/"))
