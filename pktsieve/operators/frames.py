@@ -47,6 +47,9 @@ def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
     Stage 1 reads the frame length, the header hex and the dispatch fields
     once; stage 2 reads fixed offsets from the network-layer and
     transport-layer hex slices, so the generated code stays small.
+    ``frame_col`` should be a stored column (a capture table): every field
+    read refers to it, so a frame computed earlier in the same plan would be
+    inlined into each of them; write such frames out first.
     """
     n, h = F.col("__n"), F.col("__h")
     s1 = df.select(
