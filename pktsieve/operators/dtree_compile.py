@@ -306,9 +306,63 @@ class DTModel:
         return DTModel(self.bins.checkpoint(), self.rules.checkpoint())
 
 
-def compile_from_lines(spark: SparkSession, lines: DataFrame, check: bool = True) -> DTModel:
-    """J1 over numbered model lines (model_id, line_no, line)."""
+def strict_findings(spark: SparkSession, parsed: DataFrame) -> DataFrame:
+    """What the compat reader would silently ignore, clamp or drop, per line:
+    (model_id, line_no, finding)."""
+    item_pat = r"^\s*np\.float64\(([-+]?\d*\.?\d+)\)\s*$"
+    feats = parsed.filter(F.col("kind") == "feature")
+    items = feats.select(
+        "model_id", "line_no", "name",
+        F.explode(F.split(F.regexp_replace("rhs", r"^\[|\]$", ""), ",")).alias("item"),
+    ).filter(F.trim("item") != "")
+    bad_items = items.filter(~F.col("item").rlike(UNI + item_pat)).select(
+        "model_id", "line_no", F.concat(F.lit("unreadable threshold: "), F.trim("item")).alias("finding")
+    )
+    ft = F.broadcast(feature_table(spark))
+    unknown_line = feats.join(ft, feats["name"] == F.col("feature"), "left_anti").select(
+        "model_id", "line_no", F.concat(F.lit("unknown feature line: "), F.col("name")).alias("finding")
+    )
+    vals = threshold_values(spark, parsed).join(ft, "feature").filter(
+        (F.col("value") < 0) | (F.col("value") >= F.col("fmax") + 1)
+    )
+    bad_vals = vals.select(
+        "model_id", F.lit(None).cast("int").alias("line_no"),
+        F.concat(F.lit("threshold outside the domain: "), F.col("feature")).alias("finding"),
+    )
+    rules = rule_lines(parsed)
+    leftover = F.trim(F.regexp_replace(F.regexp_replace("cond", UNI + DT_PREDICATE, ""), r"(?i)\band\b", ""))
+    bad_text = rules.filter(leftover != "").select(
+        "model_id", "line_no", F.concat(F.lit("unread condition text: "), leftover).alias("finding")
+    )
+    keys = ["model_id", "line_no"]
+    preds = predicates(rules, keys).join(ft, "feature", "left")
+    unknown_pred = preds.filter(F.col("fpos").isNull()).select(
+        *keys, F.concat(F.lit("unknown feature: "), F.col("feature")).alias("finding")
+    )
+    out_dom = preds.filter(
+        F.col("fpos").isNotNull() & ((F.col("value") < 0) | (F.col("value") >= F.col("fmax") + 1))
+    ).select(*keys, F.concat(F.lit("value outside the domain: "), F.col("feature")).alias("finding"))
+    empty = rule_bounds(spark, predicates(rules, keys), keys).filter("empty").select(
+        *keys, F.concat(F.lit("empty range on "), F.col("feature")).alias("finding")
+    )
+    return (
+        bad_items.unionByName(unknown_line).unionByName(bad_vals).unionByName(bad_text)
+        .unionByName(unknown_pred).unionByName(out_dom).unionByName(empty)
+    )
+
+
+def compile_from_lines(spark: SparkSession, lines: DataFrame, check: bool = True, mode: str = "compat") -> DTModel:
+    """J1 over numbered model lines (model_id, line_no, line).
+
+    ``mode="compat"`` reads model text exactly as the reference generator
+    does (bad pieces silently ignored or clamped); ``mode="strict"`` raises
+    on the first such finding instead.
+    """
     parsed = parse_dt_lines(lines)
+    if mode == "strict":
+        found = strict_findings(spark, parsed).limit(5).collect()
+        if found:
+            raise ValueError("; ".join(f"model {r.model_id} line {r.line_no}: {r.finding}" for r in found))
     models = lines.select("model_id").distinct()
     bins = build_thresholds(spark, threshold_values(spark, parsed), models)
     rules = rule_lines(parsed)
@@ -321,9 +375,9 @@ def compile_from_lines(spark: SparkSession, lines: DataFrame, check: bool = True
     return DTModel(bins=bins, rules=number_rules(rows))
 
 
-def compile_dt(spark: SparkSession, path: str, check: bool = True) -> DTModel:
+def compile_dt(spark: SparkSession, path: str, check: bool = True, mode: str = "compat") -> DTModel:
     """Compile decision-tree model text file(s) at ``path``."""
-    return compile_from_lines(spark, read_model_lines(spark, path), check=check)
+    return compile_from_lines(spark, read_model_lines(spark, path), check=check, mode=mode)
 
 
 def model_counts(model: DTModel) -> DataFrame:

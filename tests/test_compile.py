@@ -203,3 +203,44 @@ def test_distance_table_golden(spark, km):
         F.sum((F.col("dist")[0] == 715827800).cast("int")).alias("capped"),
     ).collect()[0]
     assert (r.n, r.s, r.capped) == (65536, 33538782645316, 37935)
+
+
+def test_strict_mode(spark):
+    from pktsieve import DT_MODEL_PATH
+    from pktsieve.operators.dtree_compile import compile_dt, compile_from_lines
+    from pktsieve.sources.models import model_lines_from_text
+
+    compile_dt(spark, DT_MODEL_PATH, mode="strict")  # the shipped model is clean
+    for text, what in [
+        ("when frame_len>=5 then 1;\n", "unread condition"),
+        ("when ttl<=5 then 1;\n", "unknown feature"),
+        ("when src_port>70000 then 1;\n", "outside the domain"),
+        ("when src_port<=3.5 and src_port>5.5 then 1;\n", "empty range"),
+        ("frame_len = [94.0];\nwhen frame_len<=5 then 1;\n", "unreadable threshold"),
+    ]:
+        df = spark.createDataFrame([("m", text)], "model_id string, text string")
+        with pytest.raises(ValueError, match=what):
+            compile_from_lines(spark, model_lines_from_text(df), mode="strict")
+
+
+def test_audit_finds_planted_faults(spark):
+    from pktsieve.operators.audit import cell_audit, classes_without_port, predicate_audit
+    from pktsieve.operators.dtree_score import class_port_table
+
+    text = (
+        "src_port = [np.float64(9.5), np.float64(99.5)];\n"
+        "when src_port<=9.5 then 1;\n"
+        "when src_port<=99.5 then 2;\n"  # overlaps the first rule on bin 0
+        "when ttl<=3 and src_port<=50 then 7;\n"  # unknown feature, off-threshold value, class 7 has no port
+    )
+    m = compile_text(spark, text)
+    a = cell_audit(m).collect()[0]
+    assert (a.n_cells, a.n_uncovered, a.n_overlap) == (3, 1, 2)
+    assert [r["class"] for r in classes_without_port(m.rules, class_port_table(m.model_ids())).collect()] == [7]
+    df = spark.createDataFrame(
+        [("m", 1, "src_port", "<=", 9.5), ("m", 2, "src_port", "<=", 99.5), ("m", 3, "ttl", "<=", 3.0),
+         ("m", 3, "src_port", "<=", 50.0), ("m", 4, "dst_port", ">", 70000.0)],
+        "model_id string, rule_id int, feature string, op string, value double",
+    )
+    p = predicate_audit(spark, df, m.bins, ["model_id", "rule_id"]).collect()[0]
+    assert (p.n_predicates, p.n_unknown_feature, p.n_out_of_domain, p.n_off_threshold) == (5, 1, 1, 1)

@@ -78,3 +78,20 @@ def test_rewrite_changes_only_two_fields(spark, km):
     out.select("pkt_id", F.col("frame_out").alias("frame")).write.parquet(path)
     d = decode_frames(spark.read.parquet(path)).filter(F.col("ipv4").isNotNull())
     assert d.filter(F.col("ipv4.checksum") != frame_checksum("frame")).count() == 0
+
+
+def test_packet_table_round_trip(spark, dt):
+    """Decoded headers stored as a packet table (A1) score like the source packets."""
+    from pktsieve.operators.dtree_score import score_dt
+    from pktsieve.plans.models import DT_ID
+    from pktsieve.sources.packets import PACKET, read_packets
+
+    ok, _ = split_quarantine(decode_frames(frames_from(spark, SF001)))
+    path = scratch_path(spark, "t_packets")
+    ok.select(*[F.col(f.name).cast(f.dataType) if f.name != "ts" else F.lit(None).cast("timestamp").alias("ts")
+                for f in PACKET.fields]).write.parquet(path)
+    pk = read_packets(spark, path)
+    a = score_dt(pk, dt, model_id=DT_ID)
+    b = score_dt(grid_from(spark, SF001).join(ok.select("pkt_id"), "pkt_id"), dt, model_id=DT_ID)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert read_packets(spark, path, flat=False).schema == PACKET
