@@ -173,7 +173,9 @@ def frames_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _captures:
         src = spark.sql(FRAMES_SQL, packets=grid_from(spark, sf_dir)).withColumn("frame", F.unhex("frame_hex"))
         path = scratch_path(spark, "capture")
-        src.write.mode("overwrite").parquet(path)
+        # a capture is many files; spread the stand-in over the cluster's slots
+        files = max(1, spark.sparkContext.defaultParallelism)
+        src.repartitionByRange(files, "pkt_id").write.mode("overwrite").parquet(path)
         _captures[key] = path
     return spark.read.parquet(_captures[key])
 
