@@ -34,7 +34,8 @@ def predicate_audit(spark: SparkSession, preds: DataFrame, bins: DataFrame, keys
     )
     known = p.filter(~F.col("unknown"))
     out_dom = (F.col("edge") < 0) | (F.col("edge") > F.col("fmax"))
-    edges = bins.select("model_id", "feature", F.col("hi").cast("bigint").alias("edge"))
+    # computed once: the size check and the anti join read the checkpoint
+    edges = bins.select("model_id", "feature", F.col("hi").cast("bigint").alias("edge")).checkpoint()
     right = F.broadcast(edges) if edges.count() <= MAX_BROADCAST_ROWS else edges
     in_dom = known.filter(~out_dom)
     off = in_dom.join(right, ["model_id", "feature", "edge"], "left_anti")

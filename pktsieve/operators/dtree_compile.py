@@ -181,7 +181,8 @@ def id_ranges(bounds: DataFrame, bins: DataFrame, broadcast: bool | None = None)
     listing every overlapping bin. Empty ranges get NULL ids.
     """
     keys = ["model_id", "feature"]
-    exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"])
+    # computed once (its size check and both lookups read the checkpoint)
+    exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).checkpoint()
     if broadcast is None:
         broadcast = exp.count() <= MAX_BROADCAST_ROWS
     s = locate(bounds, bins, keys, "lo", {"bin_id": "__s"}, expanded=exp, broadcast=broadcast)

@@ -284,6 +284,14 @@ class InlineDT:
         return rule, klass
 
 
+def inline_dt(model: DTModel, model_id: str, method: str = "auto") -> InlineDT:
+    """The inlined form of one model, built once per compiled model."""
+    key = ("inline", model_id, method)
+    if key not in model._cache:
+        model._cache[key] = InlineDT(model, model_id, method)
+    return model._cache[key]
+
+
 def array_literal(values: list, sql_type: str = "INT") -> F.Column:
     """A constant array as one SQL expression (NULL for None)."""
     items = ", ".join("NULL" if v is None else str(int(v)) for v in values)
@@ -303,10 +311,7 @@ def score_dt_inline(
     keep: list[str] | None = None,
 ) -> DataFrame:
     """J3 for one model: a single projection over the scan (no join, no shuffle)."""
-    key = ("inline", model_id, method)
-    if key not in model._cache:
-        model._cache[key] = InlineDT(model, model_id, method)
-    inl = model._cache[key]
+    inl = inline_dt(model, model_id, method)
     missing = {c for c in (inl.class_of if inl.method == "cells" else inl.rule_class) if c is not None} - set(mapping)
     if missing:
         raise ValueError(f"model {model_id}: classes {sorted(missing)} have no egress port")

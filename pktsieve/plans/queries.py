@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import BYPASS_INGRESS_PORT
 from ..functions.features import features
 from ..operators import dtree_compile as dc
-from ..operators.dtree_score import InlineDT, eval_rules, rule_conditions, score_dt
+from ..operators.dtree_score import eval_rules, inline_dt, rule_conditions, score_dt
 from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
 from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
@@ -58,7 +58,7 @@ def q_dt_rules_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_dt_discretise(spark: SparkSession, sf: str) -> DataFrame:
     """C1 (expression form): the five bin ids of every grid packet."""
-    inl = InlineDT(shipped_dt(spark), DT_ID)
+    inl = inline_dt(shipped_dt(spark), DT_ID)
     d = features(grid_from(spark, sf)).select("pkt_id", *inl.ids())
     return d.select(
         "pkt_id",
@@ -106,15 +106,22 @@ def q_dt_route_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_class_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Packets per class and port, both models, on the volume packets."""
+    """Packets per class and port for both models, from one scan of the
+    volume packets (both scorers run in the same pass, one aggregation)."""
     b = bulk_from(spark, sf)
-    dt = score_dt(b, shipped_dt(spark), model_id=DT_ID).groupBy("class_id", "egress_port").agg(
-        F.count(F.lit(1)).alias("n_packets")
-    )
-    km = score_km(b, shipped_km(spark), model_id=KM_ID).groupBy("class_id", "egress_port").agg(
-        F.count(F.lit(1)).alias("n_packets")
+    flat = [c for c in b.columns if c != "ts"]
+    dt = score_dt(b, shipped_dt(spark), model_id=DT_ID, keep=flat)
+    dt = dt.select(*flat, F.col("class_id").alias("dt_class"), F.col("egress_port").alias("dt_port"))
+    km = score_km(dt, shipped_km(spark), model_id=KM_ID, keep=["dt_class", "dt_port"])
+    both = km.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("dt").alias("model"), F.col("dt_class").alias("class_id"), F.col("dt_port").alias("egress_port")),
+                F.struct(F.lit("km").alias("model"), F.col("class_id").alias("class_id"), F.col("egress_port").alias("egress_port")),
+            )
+        )
     )
-    return dt.select(F.lit("dt").alias("model"), "*").unionByName(km.select(F.lit("km").alias("model"), "*"))
+    return both.groupBy("model", "class_id", "egress_port").agg(F.count(F.lit(1)).alias("n_packets"))
 
 
 def q_km_distances(spark: SparkSession, sf: str) -> DataFrame:

@@ -152,3 +152,14 @@ def test_bypass_never_stamped(spark, km):
     assert byp.filter("NOT (ipv4_identification <=> orig)").count() == 0
     assert byp.filter("d1 IS NOT NULL OR class_id IS NOT NULL").count() == 0
     assert byp.filter("egress_port <> 156").count() == 0
+
+
+def test_every_leaf_hit_sf001(spark, dt):
+    """At sf0.01 the grid reaches all 32 leaves (31 at sf0.001)."""
+    from conftest import SF01
+
+    f = features(grid_from(spark, SF01))
+    inl = InlineDT(dt, DT_ID)
+    rule, _ = inl.match()
+    leaves = f.select(*inl.ids()).select(rule.alias("r")).agg(F.countDistinct("r")).collect()[0][0]
+    assert leaves == 32
