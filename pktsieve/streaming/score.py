@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dtree_compile import DTModel
 from ..operators.dtree_score import score_dt
@@ -90,13 +91,23 @@ def score_reloading(
     q.awaitTermination()
 
 
+def as_instant(df: DataFrame, col: str) -> F.Column:
+    """A TIMESTAMP column from ``col``; TIMESTAMP_NTZ is taken as UTC wall time."""
+    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+        return F.timestamp_micros(micros)
+    return F.col(col).cast("timestamp")
+
+
 def windowed_counts(scored: DataFrame, size: str = "1 hour", delay: str | None = None) -> DataFrame:
     """Packets per event-time window, class and port.
 
-    ``ts`` is cast to TIMESTAMP (watermarks need it). On a stream pass
-    ``delay`` for the watermark; windows are emitted once it passes them.
+    ``ts`` becomes a TIMESTAMP (watermarks need it). A TIMESTAMP_NTZ is
+    read as UTC wall-clock time without going through the session time zone,
+    so windows do not move with ``spark.sql.session.timeZone``. On a stream
+    pass ``delay`` for the watermark; windows are emitted once it passes them.
     """
-    df = scored.withColumn("ts", F.col("ts").cast("timestamp"))
+    df = scored.withColumn("ts", as_instant(scored, "ts"))
     if delay is not None:
         df = df.withWatermark("ts", delay)
     g = df.groupBy(F.window("ts", size).alias("w"), "class_id", "egress_port").agg(
