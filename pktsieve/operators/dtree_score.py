@@ -70,7 +70,8 @@ def discretise(df: DataFrame, model: DTModel, vectors: DataFrame | None = None)
     Adds ``id0..id4`` and the model's strides ``s0..s4``.
     """
     vec = model.vectors() if vectors is None else vectors
-    j = df.join(_maybe_broadcast(vec), "model_id", "left")
+    # one row per model, but each row carries every edge: check the edge count
+    j = df.join(_maybe_broadcast(vec, rows=model.bins.count()), "model_id", "left")
     ids = [bin_expr(f, f"u{i}").cast("int").alias(f"id{i}") for i, f in enumerate(DT_FEATURES)]
     keep = [c for c in df.columns]
     return j.select(*keep, *ids, *[f"s{i}" for i in range(N_FEATURES)])
@@ -132,12 +133,11 @@ def rule_masks(model: DTModel) -> DataFrame:
     ).agg(F.bit_or(F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(rule_id % {BITS} AS INT))")).alias("mask"))
 
 
-def mask_vectors(model: DTModel, words: int) -> DataFrame:
-    """One row per model: for each feature an array (by bin id) of word arrays,
-    and the class of every rule by rule_id."""
+def mask_table(model: DTModel, words: int) -> DataFrame:
+    """(model_id, fpos, bin_id, words ARRAY<BIGINT>): dense, one row per bin."""
     m = rule_masks(model)
     per_bin = model.bins.select("model_id", "fpos", "bin_id").join(m, ["model_id", "fpos", "bin_id"], "left")
-    dense = per_bin.groupBy("model_id", "fpos", "bin_id").agg(
+    return per_bin.groupBy("model_id", "fpos", "bin_id").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("mm")
     ).select(
         "model_id", "fpos", "bin_id",
@@ -146,16 +146,6 @@ def mask_vectors(model: DTModel, words: int) -> DataFrame:
             lambda w: F.coalesce(F.try_element_at(F.col("mm"), w), F.lit(0).cast("bigint")),
         ).alias("words"),
     )
-    per_feat = dense.groupBy("model_id", "fpos").agg(
-        F.sort_array(F.collect_list(F.struct("bin_id", "words"))).alias("b")
-    ).select("model_id", "fpos", F.transform("b", lambda x: x["words"]).alias("mk"))
-    wide = per_feat.groupBy("model_id").agg(
-        *[F.first(F.when(F.col("fpos") == i, F.col("mk")), ignorenulls=True).alias(f"mk{i}") for i in range(N_FEATURES)]
-    )
-    classes = model.rules.groupBy("model_id").agg(
-        F.sort_array(F.collect_list(F.struct("rule_id", "class"))).alias("rc")
-    ).select("model_id", F.transform("rc", lambda x: x["class"]).alias("rule_class"))
-    return wide.join(classes, "model_id")
 
 
 def _ctz(m: F.Column) -> F.Column:
@@ -166,34 +156,37 @@ def _ctz(m: F.Column) -> F.Column:
 def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
     """First rule (lowest rule_id) whose 5 id ranges all hold the packet's ids.
 
-    Bit-vector form of the 5-way interval match: per feature, the bin id
-    picks the bitmask of rules whose range holds it; the AND over the five
-    features is the set of matching rules and its lowest bit the first one.
-    Plain BIGINT expressions per row, one broadcast row per model (size
-    checked), no theta join and no shuffle.
+    Bit-vector form of the 5-way interval match: per feature, the packet's
+    bin id picks (equi-join on model_id, bin id) the bitmask of rules whose
+    range holds that bin; the AND over the five features is the set of
+    matching rules and its lowest set bit the first one. The mask table
+    (bins x words entries) is broadcast after its size check, otherwise the
+    five joins shuffle; no theta join either way.
     """
     stats = model.rules.groupBy("model_id").count().agg(F.max("count"), F.sum("count")).collect()[0]
     most, total = int(stats[0] or 0), int(stats[1] or 0)
     words = max(1, -(-most // BITS))
-    bins = model.bins.count()
-    if bins * words > MAX_BROADCAST_ROWS or total > MAX_BROADCAST_ROWS:
-        raise ValueError("rule masks exceed the broadcast limit; use the cell table")
-    vec = mask_vectors(model, words)
-    j = df.join(F.broadcast(vec), "model_id", "left")
+    mt = mask_table(model, words)
+    bc = model.bins.count() * words <= MAX_BROADCAST_ROWS
+    out = df
+    for i in range(N_FEATURES):
+        t = mt.filter(F.col("fpos") == i).select("model_id", F.col("bin_id").alias(f"id{i}"), F.col("words").alias(f"__w{i}"))
+        out = out.join(F.broadcast(t) if bc else t, ["model_id", f"id{i}"], "left")
     hit_words = []
     for w in range(words):
         m = None
         for i in range(N_FEATURES):
-            x = F.try_element_at(F.try_element_at(F.col(f"mk{i}"), F.col(f"id{i}") + 1), F.lit(w + 1))
+            x = F.try_element_at(F.col(f"__w{i}"), F.lit(w + 1))
             m = x if m is None else m.bitwiseAND(x)
         hit_words.append(F.coalesce(m, F.lit(0).cast("bigint")))
     rule = None
     for w, m in enumerate(hit_words):
         idx = F.lit(w * BITS) + _ctz(m)
         rule = F.when(m != 0, idx) if rule is None else rule.when(m != 0, idx)
-    rule = rule.cast("int")
-    klass = F.try_element_at(F.col("rule_class"), rule + 1)
-    return j.select(*df.columns, rule.alias("rule_id"), klass.cast("int").alias("class_id"))
+    hit = out.select(*df.columns, rule.cast("int").alias("rule_id"))
+    classes = model.rules.select("model_id", "rule_id", F.col("class").cast("int").alias("class_id"))
+    right = F.broadcast(classes) if total <= MAX_BROADCAST_ROWS else classes
+    return hit.join(right, ["model_id", "rule_id"], "left")
 
 
 # --------------------------------------------------------------------------- single model, inlined

@@ -91,7 +91,8 @@ def distances(df: DataFrame, model: KMModel) -> DataFrame:
     """
     k = model.k()
     w = model.wide()
-    n = w.count()
+    # one row per model carrying k x 3 coordinates: check the coordinate count
+    n = model.centres.count() * len(KM_FEATURES)
     right = F.broadcast(w) if n <= MAX_BROADCAST_ROWS else w
     j = df.join(right, "model_id", "left")
     ds = []
@@ -192,7 +193,7 @@ def lookup_distances(df: DataFrame, table: DataFrame, k: int) -> DataFrame:
 
     A missing entry adds nothing (the table default is no action).
     """
-    size = table.count()
+    size = table.count() * max(1, k)  # entries: values x classes
     out = df
     for f in KM_FEATURES:
         t = table.filter(F.col("feature") == f).select("model_id", F.col("value").alias(f), F.col("dist").alias(f"__dist_{f}"))

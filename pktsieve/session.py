@@ -8,8 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Broadcast limits for model tables. Model tables are bounded by the model, not
-# by the packet data; these checks are the proof before a broadcast hint.
+# Broadcast limit for model tables, in entries (rows x values carried per row).
+# Model tables are bounded by the model, not by the packet data; the checks
+# against this limit are the proof before a broadcast hint. Above it the same
+# joins run as shuffle joins.
 MAX_BROADCAST_ROWS = 2_000_000
 
 
