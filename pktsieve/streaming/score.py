@@ -68,12 +68,14 @@ def score_reloading(
     model_id: str,
     out_path: str,
     checkpoint: str,
+    on_batch=None,
 ) -> None:
     """H3: each micro-batch re-reads the compiled tables at ``tables_path``, so
     a recompiled model takes effect at the next batch without a restart.
 
     Output goes to ``out_path/epoch=<id>``; a retried batch overwrites its own
-    folder, so the sink stays exactly-once.
+    folder, so the sink stays exactly-once. ``on_batch(epoch_id)`` runs after
+    each batch (metrics, or a model swap in tests).
     """
     from ..sinks.tables import read_dt_tables
 
@@ -81,6 +83,8 @@ def score_reloading(
         model = read_dt_tables(spark, tables_path)
         out = score_dt(batch, model, model_id=model_id)
         out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+        if on_batch is not None:
+            on_batch(epoch_id)
 
     q = (
         stream.writeStream.foreachBatch(per_batch)

@@ -54,3 +54,31 @@ def test_windowed_stream_with_watermark(spark, dt):
     assert got.count() > 0
     # every emitted window is complete and equal to batch
     assert got.exceptAll(batch).count() == 0
+
+
+def test_reload_takes_effect_next_batch(spark, dt):
+    """Swapping the compiled tables between micro-batches changes the model used."""
+    from pktsieve.plans.models import dt_without_rule
+    from pktsieve.sources.fixtures import PACKETS_GRID_SQL
+    from pktsieve.streaming.score import read_table_stream
+
+    base = scratch_path(spark, "t_reload2")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.repartitionByRange(2, "event_id").write.parquet(f"{base}/events")  # two files -> two batches
+    write_dt_tables(dt, f"{base}/tables")
+    alt = dt_without_rule(spark, 10)
+
+    def swap(epoch_id):
+        if epoch_id == 0:
+            write_dt_tables(alt, f"{base}/tables")
+
+    stream = read_table_stream(spark, f"{base}/events", max_files=1).transform(
+        lambda e: spark.sql(PACKETS_GRID_SQL, events=e)
+    )
+    score_reloading(spark, stream, f"{base}/tables", DT_ID, f"{base}/out", f"{base}/ck", on_batch=swap)
+    out = spark.read.parquet(f"{base}/out")
+    epochs = sorted(r.epoch for r in out.select("epoch").distinct().collect())
+    assert epochs == [0, 1]
+    assert out.filter("epoch = 0 AND outcome = 'drop'").count() == 0  # full tree
+    assert out.filter("epoch = 1 AND outcome = 'drop'").count() > 0  # tree without rule 10
+    assert out.count() == ev.count()
