@@ -228,7 +228,12 @@ def number_rules(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class DTModel:
-    """Compiled decision-tree tables (dt_bin / dt_rule), any number of models."""
+    """Compiled decision-tree tables (dt_bin / dt_rule), any number of models.
+
+    Tables derived for scoring (radix, edge vectors, cells, rule masks) are
+    computed once per compiled model and checkpointed into the shared work
+    folder, so every scoring job broadcasts a plain scan of them.
+    """
 
     bins: DataFrame  # model_id, feature, fpos, fmax, bin_id, lo, hi
     rules: DataFrame  # model_id, rule_id, line_no, class, id_start, id_end
@@ -250,7 +255,9 @@ class DTModel:
                 for j in range(i + 1, N_FEATURES):
                     s = s * F.col(f"n{j}")
                 strides.append(s.alias(f"s{i}"))
-            self._cache["radix"] = counts.select("model_id", *[f"n{i}" for i in range(N_FEATURES)], *strides)
+            self._cache["radix"] = counts.select(
+                "model_id", *[f"n{i}" for i in range(N_FEATURES)], *strides
+            ).checkpoint()
         return self._cache["radix"]
 
     def vectors(self) -> DataFrame:
@@ -263,9 +270,22 @@ class DTModel:
             wide = per.groupBy("model_id").agg(
                 *[F.first(F.when(F.col("fpos") == i, F.col("u")), ignorenulls=True).alias(f"u{i}") for i in range(N_FEATURES)]
             )
-            self._cache["vectors"] = wide.join(self.radix(), "model_id")
+            self._cache["vectors"] = wide.join(self.radix(), "model_id").checkpoint()
         return self._cache["vectors"]
 
+    def n_bins(self) -> int:
+        """Total bins over all models (the size of every per-bin table)."""
+        if "n_bins" not in self._cache:
+            self._cache["n_bins"] = self.bins.count()
+        return self._cache["n_bins"]
+
+    def rule_stats(self) -> tuple[int, int]:
+        """(most rules in one model, rules over all models)."""
+        if "rule_stats" not in self._cache:
+            r = self.rules.groupBy("model_id").count().agg(F.max("count"), F.sum("count")).collect()[0]
+            self._cache["rule_stats"] = (int(r[0] or 0), int(r[1] or 0))
+        return self._cache["rule_stats"]
+
     def cell_pairs(self) -> int:
         """Number of (cell, rule) pairs the flat cell table would need."""
         if "pairs" not in self._cache:
@@ -286,7 +306,9 @@ class DTModel:
         if "cells" not in self._cache:
             pairs = self.cell_rule_pairs()
             best = pairs.groupBy("model_id", "cell").agg(F.min(F.struct("rule_id", "class")).alias("m"))
-            self._cache["cells"] = best.select("model_id", "cell", F.col("m.rule_id").alias("rule_id"), F.col("m.class").alias("class"))
+            self._cache["cells"] = best.select(
+                "model_id", "cell", F.col("m.rule_id").alias("rule_id"), F.col("m.class").alias("class")
+            ).checkpoint()
         return self._cache["cells"]
 
     def cell_rule_pairs(self) -> DataFrame:

@@ -71,7 +71,7 @@ def discretise(df: DataFrame, model: DTModel, vectors: DataFrame | None = None)
     """
     vec = model.vectors() if vectors is None else vectors
     # one row per model, but each row carries every edge: check the edge count
-    j = df.join(_maybe_broadcast(vec, rows=model.bins.count()), "model_id", "left")
+    j = df.join(_maybe_broadcast(vec, rows=model.n_bins()), "model_id", "left")
     ids = [bin_expr(f, f"u{i}").cast("int").alias(f"id{i}") for i, f in enumerate(DT_FEATURES)]
     keep = [c for c in df.columns]
     return j.select(*keep, *ids, *[f"s{i}" for i in range(N_FEATURES)])
@@ -163,11 +163,13 @@ def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
     (bins x words entries) is broadcast after its size check, otherwise the
     five joins shuffle; no theta join either way.
     """
-    stats = model.rules.groupBy("model_id").count().agg(F.max("count"), F.sum("count")).collect()[0]
-    most, total = int(stats[0] or 0), int(stats[1] or 0)
+    most, total = model.rule_stats()
     words = max(1, -(-most // BITS))
-    mt = mask_table(model, words)
-    bc = model.bins.count() * words <= MAX_BROADCAST_ROWS
+    key = ("masks", words)
+    if key not in model._cache:
+        model._cache[key] = mask_table(model, words).checkpoint()
+    mt = model._cache[key]
+    bc = model.n_bins() * words <= MAX_BROADCAST_ROWS
     out = df
     for i in range(N_FEATURES):
         t = mt.filter(F.col("fpos") == i).select("model_id", F.col("bin_id").alias(f"id{i}"), F.col("words").alias(f"__w{i}"))

@@ -56,7 +56,7 @@ class KMModel:
             for c in range(1, k + 1):
                 for f in KM_FEATURES:
                     aggs.append(F.max(F.when(F.col("class_id") == c, F.col(f))).alias(f"c{c}_{f}"))
-            self._cache["wide"] = self.centres.groupBy("model_id").agg(*aggs)
+            self._cache["wide"] = self.centres.groupBy("model_id").agg(*aggs).checkpoint()
         return self._cache["wide"]
 
     def model_ids(self) -> DataFrame:
