@@ -62,6 +62,12 @@ class KMModel:
     def model_ids(self) -> DataFrame:
         return self.centres.select("model_id").distinct()
 
+    def distance_table(self) -> DataFrame:
+        """C8, built once per compiled model and checkpointed."""
+        if "distances" not in self._cache:
+            self._cache["distances"] = build_distance_table(self).checkpoint()
+        return self._cache["distances"]
+
 
 def compile_km_lines(lines: DataFrame, check: bool = True) -> KMModel:
     cents = parse_km_lines(lines)
@@ -240,7 +246,7 @@ def score_km(
     ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
     f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
     if method == "lookup":
-        table = build_distance_table(model) if distance_table is None else distance_table
+        table = model.distance_table() if distance_table is None else distance_table
         d = lookup_distances(f, table, k)
     else:
         d = distances(f, model)
