@@ -362,7 +362,10 @@ def score_dt(
     """Score and route flat packets with compiled decision trees.
 
     Output: pkt_id, rule_id, class_id, egress_port, outcome (+ ``keep``).
-    One narrow stage: projections and broadcast joins, no shuffle.
+    With ``model_id`` given (one model), the compiled tables are folded into
+    the projection: one narrow stage, no join. With a ``model_id`` column
+    (many models), model tables join by equi keys - broadcast after their
+    size check, shuffle joins beyond it.
     """
     if model_id is not None and ports is None and discretise_by in ("auto", "expr"):
         return score_dt_inline(packets, model, str(model_id), DT_CLASS_PORTS, method=method, keep=keep)

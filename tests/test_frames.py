@@ -27,8 +27,11 @@ def test_decode_vector(spark):
 
 
 def test_checksum_from_frame(spark):
+    from pktsieve.operators.frames import header_checksum
+
     df = spark.createDataFrame([(VECTOR,)], "h string").select(F.unhex("h").alias("frame"))
     assert df.select(frame_checksum("frame")).collect()[0][0] == 0xB861
+    assert decode_frames(df).select(header_checksum("ipv4")).collect()[0][0] == 0xB861
 
 
 def test_truncated_never_partial(spark):
