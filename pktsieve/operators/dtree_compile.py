@@ -28,6 +28,7 @@ from ..functions.arith import clamp, safe_double
 from ..session import MAX_BROADCAST_ROWS
 from ..sources.models import UNI, parse_dt_lines, read_model_lines
 from .intervals import expand_blocks, locate
+from .numbering import number_in_order
 
 N_FEATURES = len(DT_FEATURES)
 # Above this many (cell, rule) pairs the flat cell table is not built and
@@ -211,11 +212,12 @@ def rule_rows(ranges: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def number_rules(rows: DataFrame) -> DataFrame:
-    """rule_id from 0 in file order, counted after removals, per model."""
-    w = Window.partitionBy("model_id").orderBy("line_no")
-    return rows.select(
+    """rule_id from 0 in file order, counted after removals, per model
+    (two-level numbering: no model is numbered in a single task)."""
+    numbered = number_in_order(rows, "model_id", "line_no", "rule_id", start=0)
+    return numbered.select(
         "model_id",
-        (F.row_number().over(w) - 1).cast("int").alias("rule_id"),
+        "rule_id",
         F.col("line_no").cast("int").alias("line_no"),
         F.col("class").cast("int").alias("class"),
         "id_start",

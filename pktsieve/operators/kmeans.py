@@ -21,6 +21,7 @@ from ..functions.arith import cap, delta_u32, sq, stamp_identification
 from ..functions.features import features
 from ..session import MAX_BROADCAST_ROWS
 from ..sources.models import parse_km_lines, read_model_lines, require_centres
+from .numbering import number_in_order
 from .dtree_score import assign_port, class_port_table, finish, port_expr, with_model_id
 
 # Largest k for which centres are laid out as columns of one row.
@@ -29,10 +30,8 @@ MAX_CLASSES = 256
 
 def number_centres(centres: DataFrame) -> DataFrame:
     """Class id = position of the centre line in its file, from 1."""
-    w = Window.partitionBy("model_id").orderBy("line_no")
-    return centres.select(
-        "model_id", F.row_number().over(w).cast("int").alias("class_id"), *KM_FEATURES
-    )
+    n = number_in_order(centres, "model_id", "line_no", "class_id", start=1)
+    return n.select("model_id", "class_id", *KM_FEATURES)
 
 
 @dataclass

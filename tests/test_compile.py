@@ -244,3 +244,14 @@ def test_audit_finds_planted_faults(spark):
     )
     p = predicate_audit(spark, df, m.bins, ["model_id", "rule_id"]).collect()[0]
     assert (p.n_predicates, p.n_unknown_feature, p.n_out_of_domain, p.n_off_threshold) == (5, 1, 1, 1)
+
+
+def test_number_in_order_across_blocks(spark):
+    from pktsieve.operators.numbering import number_in_order
+
+    df = spark.createDataFrame(
+        [("a", p) for p in (0, 3, 7, 8, 15, 16, 40)] + [("b", p) for p in (5, 6, 33)], "k string, pos int"
+    )
+    got = {(r.k, r.pos): r.n for r in number_in_order(df, "k", "pos", "n", block=8).collect()}
+    assert [got[("a", p)] for p in (0, 3, 7, 8, 15, 16, 40)] == list(range(7))
+    assert [got[("b", p)] for p in (5, 6, 33)] == [0, 1, 2]
