@@ -42,23 +42,6 @@ def dt_lines(spark: SparkSession) -> DataFrame:
     return read_model_lines(spark, DT_MODEL_PATH)
 
 
-def dt_without_rule(spark: SparkSession, rule_no: int) -> DTModel:
-    """A copy of the shipped tree with one rule line taken out of the text."""
-    k = _key(spark, f"dt-{rule_no}")
-    if k not in _memo:
-        lines = dt_lines(spark)
-        rule_line = (
-            lines.filter(F.col("line").rlike(r"^\s*when\s"))
-            .select("line_no")
-            .orderBy("line_no")
-            .limit(rule_no + 1)
-            .agg(F.max("line_no"))
-            .collect()[0][0]
-        )
-        _memo[k] = compile_from_lines(spark, lines.filter(F.col("line_no") != rule_line)).persist()
-    return _memo[k]
-
-
 def _rule_line(lines: DataFrame, rule_no: int) -> int:
     return (
         lines.filter(F.col("line").rlike(r"^\s*when\s"))
@@ -70,6 +53,15 @@ def _rule_line(lines: DataFrame, rule_no: int) -> int:
     )
 
 
+def dt_without_rule(spark: SparkSession, rule_no: int) -> DTModel:
+    """A copy of the shipped tree with one rule line taken out of the text."""
+    k = _key(spark, f"dt-{rule_no}")
+    if k not in _memo:
+        lines = dt_lines(spark)
+        _memo[k] = compile_from_lines(spark, lines.filter(F.col("line_no") != _rule_line(lines, rule_no))).persist()
+    return _memo[k]
+
+
 def two_trees(spark: SparkSession) -> DTModel:
     """The shipped tree and its copy without rule 10, compiled in one run."""
     k = _key(spark, "two")

@@ -98,3 +98,19 @@ def test_packet_table_round_trip(spark, dt):
     b = score_dt(grid_from(spark, SF001).join(ok.select("pkt_id"), "pkt_id"), dt, model_id=DT_ID)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert read_packets(spark, path, flat=False).schema == PACKET
+
+
+def test_ipv4_options_not_followed(spark):
+    """ihl = 6: 20 header bytes are still taken, ports come from the option word."""
+    opt = "0000000000010000000000020800" "4600007800004000400600" "00c0a80001c0a800c7" "AABBCCDD" + "0050" * 10
+    df = spark.createDataFrame([(opt,)], "h string").select(F.unhex("h").alias("frame"))
+    r = decode_frames(df).collect()[0]
+    assert r.ipv4.ihl == 6 and r.ipv4_has_options is True
+    assert (r.tcp.src_port, r.tcp.dst_port) == (0xAABB, 0xCCDD)
+
+
+def test_fragment_flagged(spark):
+    frag = "0000000000010000000000020800" "4500007300002001401100" "00c0a80001c0a800c7" "d903003500000000"
+    df = spark.createDataFrame([(frag,)], "h string").select(F.unhex("h").alias("frame"))
+    r = decode_frames(df).collect()[0]
+    assert r.ipv4_is_fragment is True and r.udp.src_port == 55555
