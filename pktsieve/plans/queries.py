@@ -20,6 +20,7 @@ from ..operators.kmeans import centres_of, distances_inline, nearest_long, score
 from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
 from ..operators.audit import predicate_audit
+from ..operators.numbering import number_in_order
 from ..session import scratch_path
 from ..sinks.tables import route, write_dt_tables
 from ..sources.fixtures import PACKETS_GRID_SQL
@@ -285,6 +286,13 @@ def q_id_ranges_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return r.filter(~F.col("empty")).select("model_id", "rule_id", "feature", "id_start", "id_end")
 
 
+def q_rule_ids_bulk(spark: SparkSession, sf: str) -> DataFrame:
+    """E3 at scale: valid rules of each generated model numbered from 0 in rule
+    order (two-level numbering, no model in one task)."""
+    rows = q_rules_bulk(spark, sf).select("model_id", "rule_id")
+    return number_in_order(rows, "model_id", "rule_id", "rule_no")
+
+
 def q_model_audit(spark: SparkSession, sf: str) -> DataFrame:
     """X3 on the generated corpus: ignored, clamped and off-threshold predicates,
     rules with an empty range, per model."""
@@ -338,6 +346,7 @@ REGISTRY: dict[str, Query] = {
     "id_ranges_bulk": q_id_ranges_bulk,
     "rules_bulk": q_rules_bulk,
     "model_audit": q_model_audit,
+    "rule_ids_bulk": q_rule_ids_bulk,
 }
 
 
@@ -485,6 +494,11 @@ def oracle_sql() -> dict[str, str]:
         "bounds_bulk": f"{f7}, {_bounds_sql()} SELECT model_id, rule_id, feature, lo, hi FROM bounds",
         "bins_bulk": f"{f7}, {_bins_sql()} SELECT model_id, feature, bin_id, lo, hi FROM bins",
         "id_ranges_bulk": f"{f7}, {_bounds_sql()}, {_bins_sql()} {_ids_sql()}",
+        "rule_ids_bulk": (
+            f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}) "
+            "SELECT model_id, rule_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) "
+            "AS rule_no FROM valid"
+        ),
         "model_audit": (
             f"{f7}, {_bounds_sql()}, {_bins_sql()}, "
             "pa AS (SELECT p.model_id, p.rule_id, f.fmax, f.feature AS kf, "
