@@ -34,9 +34,36 @@ from ..functions.arith import ipv4_checksum
 HEAD = 74  # the deepest header end: Ethernet + IPv6 + TCP
 
 
-def _u(hexcol: Column, o: int, nb: int) -> Column:
-    """Unsigned big-endian integer of ``nb`` bytes at byte ``o`` of a hex string."""
-    return F.conv(F.substring(hexcol, o * 2 + 1, nb * 2), 16, 10).cast("bigint")
+CHUNK = 7  # bytes per conv call: 56 bits always fit a positive BIGINT
+
+
+def _chunks(spark_cols: list, hexcol: Column, nbytes: int, prefix: str) -> list[str]:
+    """Add columns holding ``nbytes`` of a hex string as 7-byte integers (zero padded)."""
+    n = -(-nbytes // CHUNK)
+    padded = F.rpad(hexcol, n * CHUNK * 2, "0")
+    names = []
+    for k in range(n):
+        name = f"{prefix}{k}"
+        spark_cols.append(F.conv(F.substring(padded, k * CHUNK * 2 + 1, CHUNK * 2), 16, 10).cast("bigint").alias(name))
+        names.append(name)
+    return names
+
+
+def _reader(names: list[str]):
+    """Field reader over chunk columns: get(offset, nbytes) -> unsigned BIGINT."""
+
+    def get(o: int, nb: int) -> Column:
+        c0, c1 = o // CHUNK, (o + nb - 1) // CHUNK
+        if c0 == c1:
+            shift = 8 * (CHUNK - (o % CHUNK) - nb)
+            return F.shiftright(F.col(names[c0]), shift).bitwiseAND(F.lit((1 << (8 * nb)) - 1))
+        head = CHUNK - (o % CHUNK)  # bytes taken from the first chunk
+        tail = nb - head
+        hi = F.col(names[c0]).bitwiseAND(F.lit((1 << (8 * head)) - 1))
+        lo = F.shiftright(F.col(names[c1]), 8 * (CHUNK - tail))
+        return F.shiftleft(hi, 8 * tail).bitwiseOR(lo)
+
+    return get
 
 
 def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
@@ -44,12 +71,12 @@ def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
 
     Output columns added: ethernet, ipv4, ipv6, arp, tcp, udp, icmp,
     decode_error, ipv4_has_options, ipv4_is_fragment.
-    Stage 1 reads the frame length, the header hex and the dispatch fields
-    once; stage 2 reads fixed offsets from the network-layer and
-    transport-layer hex slices, so the generated code stays small.
-    ``frame_col`` should be a stored column (a capture table): every field
-    read refers to it, so a frame computed earlier in the same plan would be
-    inlined into each of them; write such frames out first.
+    Each header region is read as 7-byte integers (one ``conv`` per 56 bits)
+    and fields are cut out with shifts and masks; the transport region starts
+    where the network header ends (34 or 54). ``frame_col`` should be a
+    stored column (a capture table): every field read refers to it, so a
+    frame computed earlier in the same plan would be inlined into each of
+    them; write such frames out first.
     """
     n, h = F.col("__n"), F.col("__h")
     s1 = df.select(
@@ -57,17 +84,19 @@ def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
         F.length(F.col(frame_col)).alias("__n"),
         F.hex(F.substring(F.col(frame_col), 1, HEAD)).alias("__h"),
     )
-    et = F.when(n >= ETH_LEN, _u(h, 12, 2))
-    s2 = s1.select("*", et.alias("__et"))
+    cols: list = []
+    eth = _reader(_chunks(cols, F.substring(h, 1, ETH_LEN * 2), ETH_LEN, "__e"))
+    net = _reader(_chunks(cols, F.substring(h, ETH_LEN * 2 + 1, IPV6_LEN * 2), IPV6_LEN, "__w"))
+    s2 = s1.select("*", *cols)
+    s3 = s2.select("*", F.when(n >= ETH_LEN, eth(12, 2)).alias("__et"))
     et = F.col("__et")
     is4, is6 = et == ETHERTYPE_IPV4, et == ETHERTYPE_IPV6
-    l4p = F.when(is4, _u(h, ETH_LEN + 9, 1)).when(is6, _u(h, ETH_LEN + 6, 1))
+    l4p = F.when(is4, net(9, 1)).when(is6, net(6, 1))
     l4o = F.when(is4, F.lit(ETH_LEN + IPV4_LEN)).when(is6, F.lit(ETH_LEN + IPV6_LEN))
-    s3 = s2.select(
+    s4 = s3.select(
         "*",
         is4.alias("__is4"), is6.alias("__is6"), (et == ETHERTYPE_ARP).alias("__arp"),
         l4p.alias("__l4p"), l4o.alias("__l4o"),
-        F.substring(h, ETH_LEN * 2 + 1, 80).alias("__nh"),
     )
     is4, is6, isarp = F.col("__is4"), F.col("__is6"), F.col("__arp")
     l4p, l4o = F.col("__l4p"), F.col("__l4o")
@@ -83,77 +112,78 @@ def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
         .when(is_udp & (n < l4o + UDP_LEN), F.lit("truncated:udp"))
         .when(is_icmp & (n < l4o + ICMP_LEN), F.lit("truncated:icmp"))
     )
-    s4 = s3.select(
+    tcols: list = []
+    tr = _reader(_chunks(tcols, F.substring(h, l4o * 2 + 1, TCP_LEN * 2), TCP_LEN, "__t"))
+    s5 = s4.select(
         "*",
         err.alias("decode_error"),
-        F.substring(h, l4o * 2 + 1, 40).alias("__th"),
         is_tcp.alias("__tcp"), is_udp.alias("__udp"), is_icmp.alias("__icmp"),
+        *tcols,
     )
     ok = F.col("decode_error").isNull()
-    nh, th = F.col("__nh"), F.col("__th")
-    b0, b1 = _u(nh, 0, 1), _u(nh, 1, 1)
-    ethernet = F.struct(_u(h, 0, 6).alias("dst_mac"), _u(h, 6, 6).alias("src_mac"), et.cast("int").alias("ether_type"))
+    b0, b1 = net(0, 1), net(1, 1)
+    ethernet = F.struct(eth(0, 6).alias("dst_mac"), eth(6, 6).alias("src_mac"), et.cast("int").alias("ether_type"))
     ipv4 = F.struct(
         F.shiftright(b0, 4).cast("int").alias("version"),
         b0.bitwiseAND(F.lit(15)).cast("int").alias("ihl"),
         b1.cast("int").alias("diffserv"),
-        _u(nh, 2, 2).cast("int").alias("total_len"),
-        _u(nh, 4, 2).cast("int").alias("identification"),
-        F.shiftright(_u(nh, 6, 1), 5).cast("int").alias("flags"),
-        _u(nh, 6, 2).bitwiseAND(F.lit(0x1FFF)).cast("int").alias("frag_offset"),
-        _u(nh, 8, 1).cast("int").alias("ttl"),
-        _u(nh, 9, 1).cast("int").alias("protocol"),
-        _u(nh, 10, 2).cast("int").alias("checksum"),
-        _u(nh, 12, 4).alias("src_ip"),
-        _u(nh, 16, 4).alias("dst_ip"),
+        net(2, 2).cast("int").alias("total_len"),
+        net(4, 2).cast("int").alias("identification"),
+        F.shiftright(net(6, 1), 5).cast("int").alias("flags"),
+        net(6, 2).bitwiseAND(F.lit(0x1FFF)).cast("int").alias("frag_offset"),
+        net(8, 1).cast("int").alias("ttl"),
+        net(9, 1).cast("int").alias("protocol"),
+        net(10, 2).cast("int").alias("checksum"),
+        net(12, 4).alias("src_ip"),
+        net(16, 4).alias("dst_ip"),
     )
     ipv6 = F.struct(
         F.shiftright(b0, 4).cast("int").alias("version"),
         (b0.bitwiseAND(F.lit(15)) * 16 + F.shiftright(b1, 4)).cast("int").alias("traffic_class"),
-        (b1.bitwiseAND(F.lit(15)) * 65536 + _u(nh, 2, 2)).cast("int").alias("flow_label"),
-        _u(nh, 4, 2).cast("int").alias("payload_len"),
-        _u(nh, 6, 1).cast("int").alias("next_hdr"),
-        _u(nh, 7, 1).cast("int").alias("hop_limit"),
+        (b1.bitwiseAND(F.lit(15)) * 65536 + net(2, 2)).cast("int").alias("flow_label"),
+        net(4, 2).cast("int").alias("payload_len"),
+        net(6, 1).cast("int").alias("next_hdr"),
+        net(7, 1).cast("int").alias("hop_limit"),
         F.substring(F.col(frame_col), ETH_LEN + 9, 16).alias("src_ip"),
         F.substring(F.col(frame_col), ETH_LEN + 25, 16).alias("dst_ip"),
     )
     arp = F.struct(
-        _u(nh, 0, 2).cast("int").alias("hw_type"),
-        _u(nh, 2, 2).cast("int").alias("proto_type"),
-        _u(nh, 4, 1).cast("int").alias("hw_addr_len"),
-        _u(nh, 5, 1).cast("int").alias("proto_addr_len"),
-        _u(nh, 6, 2).cast("int").alias("opcode"),
-        _u(nh, 8, 6).alias("sender_mac"),
-        _u(nh, 14, 4).alias("sender_ip"),
-        _u(nh, 18, 6).alias("target_mac"),
-        _u(nh, 24, 4).alias("target_ip"),
+        net(0, 2).cast("int").alias("hw_type"),
+        net(2, 2).cast("int").alias("proto_type"),
+        net(4, 1).cast("int").alias("hw_addr_len"),
+        net(5, 1).cast("int").alias("proto_addr_len"),
+        net(6, 2).cast("int").alias("opcode"),
+        net(8, 6).alias("sender_mac"),
+        net(14, 4).alias("sender_ip"),
+        net(18, 6).alias("target_mac"),
+        net(24, 4).alias("target_ip"),
     )
     tcp = F.struct(
-        _u(th, 0, 2).cast("int").alias("src_port"),
-        _u(th, 2, 2).cast("int").alias("dst_port"),
-        _u(th, 4, 4).alias("seq_no"),
-        _u(th, 8, 4).alias("ack_no"),
-        F.shiftright(_u(th, 12, 1), 4).cast("int").alias("data_offset"),
-        _u(th, 12, 1).bitwiseAND(F.lit(15)).cast("int").alias("res"),
-        _u(th, 13, 1).cast("int").alias("flags"),
-        _u(th, 14, 2).cast("int").alias("window"),
-        _u(th, 16, 2).cast("int").alias("checksum"),
-        _u(th, 18, 2).cast("int").alias("urgent_ptr"),
+        tr(0, 2).cast("int").alias("src_port"),
+        tr(2, 2).cast("int").alias("dst_port"),
+        tr(4, 4).alias("seq_no"),
+        tr(8, 4).alias("ack_no"),
+        F.shiftright(tr(12, 1), 4).cast("int").alias("data_offset"),
+        tr(12, 1).bitwiseAND(F.lit(15)).cast("int").alias("res"),
+        tr(13, 1).cast("int").alias("flags"),
+        tr(14, 2).cast("int").alias("window"),
+        tr(16, 2).cast("int").alias("checksum"),
+        tr(18, 2).cast("int").alias("urgent_ptr"),
     )
     udp = F.struct(
-        _u(th, 0, 2).cast("int").alias("src_port"),
-        _u(th, 2, 2).cast("int").alias("dst_port"),
-        _u(th, 4, 2).cast("int").alias("hdr_length"),
-        _u(th, 6, 2).cast("int").alias("checksum"),
+        tr(0, 2).cast("int").alias("src_port"),
+        tr(2, 2).cast("int").alias("dst_port"),
+        tr(4, 2).cast("int").alias("hdr_length"),
+        tr(6, 2).cast("int").alias("checksum"),
     )
     icmp = F.struct(
-        _u(th, 0, 1).cast("int").alias("type"),
-        _u(th, 1, 1).cast("int").alias("code"),
-        _u(th, 2, 2).cast("int").alias("checksum"),
-        _u(th, 4, 2).cast("int").alias("id"),
-        _u(th, 6, 2).cast("int").alias("seq_no"),
+        tr(0, 1).cast("int").alias("type"),
+        tr(1, 1).cast("int").alias("code"),
+        tr(2, 2).cast("int").alias("checksum"),
+        tr(4, 2).cast("int").alias("id"),
+        tr(6, 2).cast("int").alias("seq_no"),
     )
-    out = s4.select(
+    out = s5.select(
         *df.columns,
         F.when(ok, ethernet).alias("ethernet"),
         F.when(ok & is4, ipv4).alias("ipv4"),
@@ -212,7 +242,8 @@ def frame_checksum(frame_col: str = "frame", identification: Column | None = Non
     for k in range(IPV4_LEN // 2):
         if k == 5:  # the checksum field itself
             continue
-        w = identification.cast("bigint") if (k == 2 and identification is not None) else _u(nh, 2 * k, 2)
+        word = F.conv(F.substring(nh, 4 * k + 1, 4), 16, 10).cast("bigint")
+        w = identification.cast("bigint") if (k == 2 and identification is not None) else word
         s = w if s is None else s + w
     for _ in range(2):
         s = s.bitwiseAND(F.lit(0xFFFF)) + F.shiftright(s, 16)
