@@ -163,3 +163,25 @@ def test_every_leaf_hit_sf001(spark, dt):
     rule, _ = inl.match()
     leaves = f.select(*inl.ids()).select(rule.alias("r")).agg(F.countDistinct("r")).collect()[0][0]
     assert leaves == 32
+
+
+def test_kmeans_any_k(spark):
+    from pktsieve.operators.kmeans import compile_km_lines
+    from pktsieve.sources.models import model_lines_from_text
+
+    text = "".join(f"centre point : ( {a},{b},{c},);\n" for a, b, c in [(0, 0, 0), (100, 100, 100), (50, 60000, 60000), (9, 9, 9)])
+    df = spark.createDataFrame([("k4", text)], "model_id string, text string")
+    m = compile_km_lines(model_lines_from_text(df))
+    pk = spark.createDataFrame(
+        [(1, 130, 2048, 10, 6, 0, 8, 8, None, None), (2, 130, 2048, 100, 6, 0, 100, 100, None, None),
+         (3, 130, 2048, 60, 6, 0, 60000, 59999, None, None)],
+        "pkt_id long, ingress_port int, ether_type int, ipv4_total_len int, ipv4_protocol int, ipv4_identification int, "
+        "tcp_src_port int, tcp_dst_port int, udp_src_port int, udp_dst_port int",
+    )
+    out = score_km(pk, m, model_id="k4", ports=None)
+    assert "delta" not in out.columns and "d4" in out.columns
+    got = {r.pkt_id: r.class_id for r in out.collect()}
+    assert got == {1: 4, 2: 2, 3: 3}
+    # classes beyond the shipped port map have no port: dropped, not stamped
+    r = {r.pkt_id: (r.egress_port, r.outcome, r.ipv4_identification) for r in out.collect()}
+    assert r[1] == (None, "drop", 0) and r[2] == (132, "forward", 0)
