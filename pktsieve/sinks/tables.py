@@ -64,3 +64,17 @@ def route(
         salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_port))
         out = out.repartition("route", "egress_port", salt)
     out.write.mode(mode).partitionBy("route", "egress_port").parquet(path.rstrip("/"))
+
+
+def route_stream(scored: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """A8 + A9 for a stream: the same layout as ``route`` through a file sink
+    with a checkpoint (exactly-once). Returns the started query."""
+    dest = F.when(F.col("outcome") == "drop", F.lit("dropped")).otherwise(F.lit("sent"))
+    w = (
+        scored.withColumn("route", dest)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("route", "egress_port")
+    )
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    return w.start(path.rstrip("/"))

@@ -82,3 +82,16 @@ def test_reload_takes_effect_next_batch(spark, dt):
     assert out.filter("epoch = 0 AND outcome = 'drop'").count() == 0  # full tree
     assert out.filter("epoch = 1 AND outcome = 'drop'").count() > 0  # tree without rule 10
     assert out.count() == ev.count()
+
+
+def test_route_stream(spark):
+    from pktsieve.plans.models import dt_without_rule
+    from pktsieve.sinks.tables import route_stream
+
+    base = scratch_path(spark, "t_route_stream")
+    s = score_dt_stream(grid_stream(spark, SF001), dt_without_rule(spark, 10), DT_ID)
+    route_stream(s.drop("ts"), f"{base}/out", f"{base}/ck").awaitTermination()
+    w = spark.read.parquet(f"{base}/out")
+    batch = score_dt(grid_from(spark, SF001), dt_without_rule(spark, 10), model_id=DT_ID)
+    assert w.count() == batch.count()
+    assert w.filter("route = 'dropped'").count() == batch.filter("outcome = 'drop'").count() > 0
