@@ -85,6 +85,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf,
         "rows": rows,
         "compile_sec": round(compile_sec, 3),
+        "scan_rows_per_sec": round(rows / times["scan_only"]) if times["scan_only"] else None,
         "dt_rows_per_sec": round(rows / times["dt_score_bulk"]) if times["dt_score_bulk"] else None,
         "km_rows_per_sec": round(rows / times["km_score_bulk"]) if times["km_score_bulk"] else None,
     }
