@@ -185,3 +185,14 @@ def test_kmeans_any_k(spark):
     # classes beyond the shipped port map have no port: dropped, not stamped
     r = {r.pkt_id: (r.egress_port, r.outcome, r.ipv4_identification) for r in out.collect()}
     assert r[1] == (None, "drop", 0) and r[2] == (132, "forward", 0)
+
+
+def test_class_without_port_is_an_error(spark):
+    from conftest import compile_text
+
+    m = compile_text(spark, "when src_port<=5 then 9;\n")
+    with pytest.raises(ValueError, match="no egress port"):
+        score_dt(grid_from(spark, SF001), m, model_id="m")
+    g = grid_from(spark, SF001).withColumn("model_id", F.lit("m"))
+    with pytest.raises(ValueError, match="no egress port"):
+        score_dt(g, m, keep=["model_id"], discretise_by="join")
