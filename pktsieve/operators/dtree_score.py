@@ -194,8 +194,35 @@ def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
 # --------------------------------------------------------------------------- single model, inlined
 
 # A single model's compiled tables are folded into the expression when they
-# are at most this many entries (cells, or bins x words of masks).
-MAX_INLINE = 1 << 20
+# are at most this many entries (cells, or bins x words of masks): constants
+# travel with every task, so they stay small; larger tables are broadcast.
+MAX_INLINE = 1 << 16
+
+
+def inline_choice(model: DTModel, model_id: str) -> str | None:
+    """'cells' or 'ranges' when one model fits the inlined form, else None.
+
+    Edges become one comparison each, so at most MAX_EDGES_EXPR per feature;
+    the cell array or the rule masks must fit MAX_INLINE entries.
+    """
+    key = ("inline_choice", model_id)
+    if key not in model._cache:
+        per = (
+            model.bins.filter(F.col("model_id") == model_id)
+            .groupBy("fpos").count()
+            .agg(F.max("count").alias("widest"), F.sum("count").alias("bins"), F.product("count").alias("cells"))
+            .collect()[0]
+        )
+        most = model.rules.filter(F.col("model_id") == model_id).count()
+        words = max(1, -(-most // BITS))
+        choice = None
+        if per.widest is not None and per.widest <= MAX_EDGES_EXPR:
+            if per.cells <= MAX_INLINE and model.cell_pairs() <= MAX_CELL_PAIRS:
+                choice = "cells"
+            elif per.bins * words <= MAX_INLINE:
+                choice = "ranges"
+        model._cache[key] = choice
+    return model._cache[key]
 
 
 class InlineDT:
@@ -368,7 +395,14 @@ def score_dt(
     size check, shuffle joins beyond it.
     """
     if model_id is not None and ports is None and discretise_by in ("auto", "expr"):
-        return score_dt_inline(packets, model, str(model_id), DT_CLASS_PORTS, method=method, keep=keep)
+        choice = inline_choice(model, str(model_id))
+        if choice is not None and method in ("auto", choice, "ranges"):
+            return score_dt_inline(
+                packets, model, str(model_id), DT_CLASS_PORTS, method=choice if method == "auto" else method, keep=keep
+            )
+        # too large to fold: join path; a literal model_id folds away as a join
+        # key, so bins are found by the block join (equi key: the block)
+        discretise_by = "join"
     ports = class_port_table(model.model_ids()) if ports is None else ports
     if check:
         check_ports(model.rules, ports)
@@ -401,8 +435,7 @@ def rule_conditions(spark: SparkSession, lines: DataFrame, model_id: str) -> lis
     rules = rule_lines(parse_dt_lines(lines.filter(F.col("model_id") == model_id)))
     keys = ["line_no", "class"]
     preds = known_predicates(spark, predicates(rules, keys))
-    n = preds.count()
-    if n > 100_000:
+    if rules.count() > 10_000 or preds.count() > 100_000:
         raise ValueError("rule list too long to evaluate as one expression")
     rows = preds.select("line_no", "class", "feature", "op", "value").collect()
     line_order = sorted({r.line_no for r in rules.select("line_no").collect()})

@@ -196,3 +196,34 @@ def test_class_without_port_is_an_error(spark):
     g = grid_from(spark, SF001).withColumn("model_id", F.lit("m"))
     with pytest.raises(ValueError, match="no egress port"):
         score_dt(g, m, keep=["model_id"], discretise_by="join")
+
+
+def test_wide_model_uses_join_path(spark):
+    """More edges than the inlined form takes: same answers through the join path."""
+    from conftest import compile_text
+    from pyspark.sql.functions import lit
+
+    from pktsieve.operators.dtree_score import inline_choice
+    from pktsieve.sources.models import model_lines_from_text
+
+    edges = ", ".join(f"np.float64({v}.5)" for v in range(0, 60000, 200))
+    text = (
+        f"src_port = [{edges}];\n"
+        "dst_port = [np.float64(500.5)];\n"  # every predicate value is an edge (else compat snaps outward)
+        "when src_port<=1000.5 and dst_port<=500.5 then 1;\n"
+        "when src_port>1000.5 and src_port<=30000.5 then 2;\n"
+        "when src_port>30000.5 then 3;\n"
+        "when src_port<=1000.5 and dst_port>500.5 then 4;\n"
+    )
+    m = compile_text(spark, text)
+    assert inline_choice(m, "m") is None
+    g = grid_from(spark, SF001)
+    out = score_dt(g, m, model_id="m").select("pkt_id", "rule_id", "class_id")
+    df = spark.createDataFrame([("m", text)], "model_id string, text string")
+    conds = rule_conditions(spark, model_lines_from_text(df), "m")
+    direct = eval_rules(features(g), conds).select("pkt_id", "rule_id", "class_id")
+    byp = g.filter("ingress_port = 188").select("pkt_id")
+    direct = direct.join(byp, "pkt_id", "left_anti").unionByName(
+        byp.select("pkt_id", lit(None).cast("int").alias("rule_id"), lit(None).cast("int").alias("class_id"))
+    )
+    assert out.exceptAll(direct).count() == 0 and direct.exceptAll(out).count() == 0
