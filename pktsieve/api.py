@@ -47,12 +47,13 @@ from .operators.kmeans import (  # noqa: F401
     distances,
     lookup_distances,
     nearest,
+    nearest_array,
     nearest_long,
     number_centres as number_centers,
     score_km,
 )
 from .plans.capture import rewrite_capture  # noqa: F401
-from .sinks.tables import read_dt_tables, read_km_tables, route, split_dropped  # noqa: F401
+from .sinks.tables import read_dt_tables, read_km_tables, route, route_stream, split_dropped  # noqa: F401
 from .sinks.tables import write_dt_tables, write_km_tables  # noqa: F401
 from .sources.models import read_dt_model, read_km_model, require_centres  # noqa: F401
 from .sources.packets import read_packets  # noqa: F401

@@ -26,6 +26,9 @@ from .dtree_score import assign_port, class_port_table, finish, port_expr, with_
 
 # Largest k for which centres are laid out as columns of one row.
 MAX_CLASSES = 256
+# Above this k, distances are computed over an array of centres (expression
+# size independent of k) and returned as ``dist`` ARRAY<BIGINT>.
+WIDE_MAX = 16
 
 
 def number_centres(centres: DataFrame) -> DataFrame:
@@ -61,6 +64,15 @@ class KMModel:
     def model_ids(self) -> DataFrame:
         return self.centres.select("model_id").distinct()
 
+    def centre_arrays(self) -> DataFrame:
+        """One row per model: ``centres`` ARRAY<STRUCT<class_id, frame_len, src_port, dst_port>>
+        in class order (bounded by the model's k)."""
+        if "arrays" not in self._cache:
+            self._cache["arrays"] = self.centres.groupBy("model_id").agg(
+                F.sort_array(F.collect_list(F.struct("class_id", *KM_FEATURES))).alias("centres")
+            ).checkpoint()
+        return self._cache["arrays"]
+
     def distance_table(self) -> DataFrame:
         """C8, built once per compiled model and checkpointed."""
         if "distances" not in self._cache:
@@ -140,6 +152,25 @@ def distances_inline(df: DataFrame, centres: list[tuple[int, int, int]]) -> Data
     return df.select("*", *ds)
 
 
+def nearest_array(df: DataFrame, centres: F.Column) -> DataFrame:
+    """B12-B15 over an array of centres: ``dist`` in class order, min_dist and
+    the nearest class (ties to the lower class: structs compare field by field)."""
+    pairs = F.transform(
+        centres,
+        lambda c: F.struct(
+            sum((cap(sq(f, c[f])) for f in KM_FEATURES[1:]), cap(sq(KM_FEATURES[0], c[KM_FEATURES[0]]))).alias("d"),
+            c["class_id"].alias("class_id"),
+        ),
+    )
+    m = F.array_min(pairs)
+    return df.select(
+        "*",
+        F.transform(pairs, lambda x: x["d"]).alias("dist"),
+        m["d"].alias("min_dist"),
+        m["class_id"].cast("int").alias("class_id"),
+    )
+
+
 def nearest(df: DataFrame, k: int) -> DataFrame:
     """Min distance and class; a later class wins only if strictly nearer."""
     m = F.col("d1")
@@ -232,6 +263,8 @@ def score_km(
     for k = 3, delta and the stamped ipv4_identification (IPv4 only, never
     on bypass). ``method="lookup"`` takes distances from the C8 table.
     """
+    if method == "arith" and model.k() > WIDE_MAX:
+        return _score_km_array(packets, model, model_id, ports, keep)
     inline = model_id is not None and ports is None and method == "arith"
     if inline:
         centres = centres_of(model, str(model_id))
@@ -254,6 +287,21 @@ def score_km(
     return _finish_km(p, k, keep)
 
 
+def _score_km_array(packets, model: KMModel, model_id, ports, keep) -> DataFrame:
+    """J4 for many centres: the array form, one broadcast row per model."""
+    ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
+    f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
+    arr = model.centre_arrays()
+    n = model.centres.count() * (len(KM_FEATURES) + 1)
+    j = f.join(F.broadcast(arr) if n <= MAX_BROADCAST_ROWS else arr, "model_id", "left")
+    d = nearest_array(j, F.col("centres")).drop("centres")
+    p = assign_port(d, ports)
+    cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", "dist", "min_dist"]
+    cols += [c for c in dict.fromkeys(keep or []) if c not in cols]
+    res = finish(p.select(*cols), ["class_id", "dist", "min_dist"])
+    return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
+
+
 def _finish_km(p: DataFrame, k: int, keep: list[str] | None) -> DataFrame:
     dcols = [f"d{c}" for c in range(1, k + 1)]
     extra = []

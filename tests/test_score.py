@@ -227,3 +227,30 @@ def test_wide_model_uses_join_path(spark):
         byp.select("pkt_id", lit(None).cast("int").alias("rule_id"), lit(None).cast("int").alias("class_id"))
     )
     assert out.exceptAll(direct).count() == 0 and direct.exceptAll(out).count() == 0
+
+
+def test_kmeans_many_centres_array_form(spark):
+    """k = 40: array form (dist array, array_min) equals a brute-force nearest centre."""
+    import random
+
+    from pktsieve.operators.kmeans import compile_km_lines
+    from pktsieve.sources.models import model_lines_from_text
+
+    rnd = random.Random(7)
+    cents = [(rnd.randrange(0, 1500), rnd.randrange(0, 65536), rnd.randrange(0, 65536)) for _ in range(40)]
+    text = "".join(f"centre point : ( {a},{b},{c},);\n" for a, b, c in cents)
+    df = spark.createDataFrame([("big", text)], "model_id string, text string")
+    m = compile_km_lines(model_lines_from_text(df))
+    g = grid_from(spark, SF001)
+    out = score_km(g, m, model_id="big")
+    assert "dist" in out.columns and "d1" not in out.columns
+    feats = {r.pkt_id: (r.frame_len, r.src_port, r.dst_port, r.ingress_port) for r in features(g).collect()}
+    cap_ = 715827800
+    for r in out.collect():
+        x = feats[r.pkt_id]
+        if x[3] == 188:
+            assert r.class_id is None and r.outcome == "bypass"
+            continue
+        d = [sum(min((a - b) * (a - b), cap_) for a, b in zip(x[:3], c)) for c in cents]
+        best = min(range(40), key=lambda i: (d[i], i)) + 1
+        assert (r.class_id, r.min_dist, list(r.dist)) == (best, d[best - 1], d)
