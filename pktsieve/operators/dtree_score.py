@@ -85,8 +85,11 @@ def discretise_join(df: DataFrame, model: DTModel) -> DataFrame:
     """
     keys = ["model_id", "feature"]
     bins = model.bins
-    exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"])
-    bc = exp.count() <= MAX_BROADCAST_ROWS
+    if "blocks" not in model._cache:
+        exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).checkpoint()
+        model._cache["blocks"] = (exp, exp.count())
+    exp, n_blocks = model._cache["blocks"]
+    bc = n_blocks <= MAX_BROADCAST_ROWS
     out = df
     for i, f in enumerate(DT_FEATURES):
         out = out.withColumn("feature", F.lit(f))
