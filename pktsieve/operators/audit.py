@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import MAX_BROADCAST_ROWS
+from ..session import MAX_BROADCAST_ROWS, checkpointed
 from .dtree_compile import N_FEATURES, DTModel, feature_table, rule_bounds
 
 
@@ -35,7 +35,7 @@ def predicate_audit(spark: SparkSession, preds: DataFrame, bins: DataFrame, keys
     known = p.filter(~F.col("unknown"))
     out_dom = (F.col("edge") < 0) | (F.col("edge") > F.col("fmax"))
     # computed once: the size check and the anti join read the checkpoint
-    edges = bins.select("model_id", "feature", F.col("hi").cast("bigint").alias("edge")).checkpoint()
+    edges = bins.select("model_id", "feature", F.col("hi").cast("bigint").alias("edge")).transform(checkpointed)
     right = F.broadcast(edges) if edges.count() <= MAX_BROADCAST_ROWS else edges
     in_dom = known.filter(~out_dom)
     off = in_dom.join(right, ["model_id", "feature", "edge"], "left_anti")

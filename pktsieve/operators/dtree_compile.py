@@ -25,7 +25,7 @@ from ..constants import (
     MAX_CLASS_LABEL,
 )
 from ..functions.arith import clamp, safe_double
-from ..session import MAX_BROADCAST_ROWS
+from ..session import MAX_BROADCAST_ROWS, checkpointed
 from ..sources.models import UNI, parse_dt_lines, read_model_lines
 from .intervals import expand_blocks, locate
 from .numbering import number_in_order
@@ -183,7 +183,7 @@ def id_ranges(bounds: DataFrame, bins: DataFrame, broadcast: bool | None = None)
     """
     keys = ["model_id", "feature"]
     # computed once (its size check and both lookups read the checkpoint)
-    exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).checkpoint()
+    exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).transform(checkpointed)
     if broadcast is None:
         broadcast = exp.count() <= MAX_BROADCAST_ROWS
     s = locate(bounds, bins, keys, "lo", {"bin_id": "__s"}, expanded=exp, broadcast=broadcast)
@@ -259,7 +259,7 @@ class DTModel:
                 strides.append(s.alias(f"s{i}"))
             self._cache["radix"] = counts.select(
                 "model_id", *[f"n{i}" for i in range(N_FEATURES)], *strides
-            ).checkpoint()
+            ).transform(checkpointed)
         return self._cache["radix"]
 
     def vectors(self) -> DataFrame:
@@ -272,7 +272,7 @@ class DTModel:
             wide = per.groupBy("model_id").agg(
                 *[F.first(F.when(F.col("fpos") == i, F.col("u")), ignorenulls=True).alias(f"u{i}") for i in range(N_FEATURES)]
             )
-            self._cache["vectors"] = wide.join(self.radix(), "model_id").checkpoint()
+            self._cache["vectors"] = wide.join(self.radix(), "model_id").transform(checkpointed)
         return self._cache["vectors"]
 
     def n_bins(self) -> int:
@@ -310,7 +310,7 @@ class DTModel:
             best = pairs.groupBy("model_id", "cell").agg(F.min(F.struct("rule_id", "class")).alias("m"))
             self._cache["cells"] = best.select(
                 "model_id", "cell", F.col("m.rule_id").alias("rule_id"), F.col("m.class").alias("class")
-            ).checkpoint()
+            ).transform(checkpointed)
         return self._cache["cells"]
 
     def cell_rule_pairs(self) -> DataFrame:
@@ -328,7 +328,7 @@ class DTModel:
 
     def persist(self) -> "DTModel":
         """Cut lineage: the compiled tables are small; checkpoint them once."""
-        return DTModel(self.bins.checkpoint(), self.rules.checkpoint())
+        return DTModel(self.bins.transform(checkpointed), self.rules.transform(checkpointed))
 
 
 def strict_findings(spark: SparkSession, parsed: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DT_CLASS_PORTS, DT_FEATURES
 from ..functions.features import bypass_port, features, is_bypass
-from ..session import MAX_BROADCAST_ROWS
+from ..session import MAX_BROADCAST_ROWS, checkpointed
 from .dtree_compile import MAX_CELL_PAIRS, N_FEATURES, DTModel, known_predicates, predicates, rule_lines
 from .intervals import expand_blocks, locate
 
@@ -86,7 +86,7 @@ def discretise_join(df: DataFrame, model: DTModel) -> DataFrame:
     keys = ["model_id", "feature"]
     bins = model.bins
     if "blocks" not in model._cache:
-        exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).checkpoint()
+        exp = expand_blocks(bins, keys, "lo", "hi", ["bin_id"]).transform(checkpointed)
         model._cache["blocks"] = (exp, exp.count())
     exp, n_blocks = model._cache["blocks"]
     bc = n_blocks <= MAX_BROADCAST_ROWS
@@ -170,7 +170,7 @@ def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
     words = max(1, -(-most // BITS))
     key = ("masks", words)
     if key not in model._cache:
-        model._cache[key] = mask_table(model, words).checkpoint()
+        model._cache[key] = mask_table(model, words).transform(checkpointed)
     mt = model._cache[key]
     bc = model.n_bins() * words <= MAX_BROADCAST_ROWS
     out = df

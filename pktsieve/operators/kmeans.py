@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..constants import KM_CLASS_PORTS, KM_FEATURES, KM_VALUE_DOMAIN
 from ..functions.arith import cap, delta_u32, sq, stamp_identification
 from ..functions.features import features
-from ..session import MAX_BROADCAST_ROWS
+from ..session import MAX_BROADCAST_ROWS, checkpointed
 from ..sources.models import parse_km_lines, read_model_lines, require_centres
 from .numbering import number_in_order
 from .dtree_score import assign_port, class_port_table, finish, port_expr, with_model_id
@@ -58,7 +58,7 @@ class KMModel:
             for c in range(1, k + 1):
                 for f in KM_FEATURES:
                     aggs.append(F.max(F.when(F.col("class_id") == c, F.col(f))).alias(f"c{c}_{f}"))
-            self._cache["wide"] = self.centres.groupBy("model_id").agg(*aggs).checkpoint()
+            self._cache["wide"] = self.centres.groupBy("model_id").agg(*aggs).transform(checkpointed)
         return self._cache["wide"]
 
     def model_ids(self) -> DataFrame:
@@ -70,13 +70,13 @@ class KMModel:
         if "arrays" not in self._cache:
             self._cache["arrays"] = self.centres.groupBy("model_id").agg(
                 F.sort_array(F.collect_list(F.struct("class_id", *KM_FEATURES))).alias("centres")
-            ).checkpoint()
+            ).transform(checkpointed)
         return self._cache["arrays"]
 
     def distance_table(self) -> DataFrame:
         """C8, built once per compiled model and checkpointed."""
         if "distances" not in self._cache:
-            self._cache["distances"] = build_distance_table(self).checkpoint()
+            self._cache["distances"] = build_distance_table(self).transform(checkpointed)
         return self._cache["distances"]
 
 

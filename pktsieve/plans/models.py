@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import DT_MODEL_PATH, KM_MODEL_PATH
 from ..operators.dtree_compile import DTModel, compile_dt, compile_from_lines
 from ..operators.kmeans import KMModel, compile_km, compile_km_lines
+from ..session import checkpointed
 from ..sources.models import read_model_lines
 
 DT_ID = "decision_tree"
@@ -34,7 +35,7 @@ def shipped_km(spark: SparkSession) -> KMModel:
     k = _key(spark, "km")
     if k not in _memo:
         m = compile_km(spark, KM_MODEL_PATH)
-        _memo[k] = KMModel(m.centres.checkpoint())
+        _memo[k] = KMModel(m.centres.transform(checkpointed))
     return _memo[k]
 
 
@@ -80,5 +81,5 @@ def two_kmeans(spark: SparkSession) -> KMModel:
         lines = read_model_lines(spark, KM_MODEL_PATH)
         rev = lines.withColumn("line_no", -F.col("line_no")).withColumn("model_id", F.lit(KM_ALT_ID))
         m = compile_km_lines(lines.unionByName(rev))
-        _memo[k] = KMModel(m.centres.checkpoint())
+        _memo[k] = KMModel(m.centres.transform(checkpointed))
     return _memo[k]

@@ -59,3 +59,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared work folder."""
     base = work_dir(spark).rstrip("/")
     return f"{base}/pktsieve/{name}/{uuid.uuid4().hex}"
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the shared work folder (reliable, lineage cut)."""
+    work_dir(df.sparkSession)
+    return df.checkpoint()
