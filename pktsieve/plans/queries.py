@@ -207,6 +207,13 @@ def q_stream_km_score(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, s, "stream_km").select(*KM_COLS)
 
 
+def q_stream_windowed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """X2 on a stream: hourly counts per class and port with a 10-minute
+    watermark, append mode (each window is written once, when it closes)."""
+    s = score_dt_stream(grid_stream(spark, sf), shipped_dt(spark), DT_ID)
+    return run_to_table(spark, windowed_counts(s, "1 hour", "10 minutes"), "stream_windows")
+
+
 def q_stream_reloading(spark: SparkSession, sf: str) -> DataFrame:
     """H3 (+ A6): compiled tables written to storage; every micro-batch re-reads them."""
     base = scratch_path(spark, "reload")
@@ -331,6 +338,7 @@ REGISTRY: dict[str, Query] = {
     "stream_dt_score": q_stream_dt_score,
     "stream_km_score": q_stream_km_score,
     "stream_reloading": q_stream_reloading,
+    "stream_windowed_counts": q_stream_windowed_counts,
     "km_distances": q_km_distances,
     "km_score": q_km_score,
     "km_score_bulk": q_km_score_bulk,
@@ -444,6 +452,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_dt_score": f"{O.dt_scored('grid')} {O.DT_OUT}",
         "stream_km_score": f"{grid_km} {O.KM_OUT}",
         "stream_reloading": f"{O.dt_scored('grid')} {O.DT_OUT}",
+        "stream_windowed_counts": (
+            f"{O.dt_scored('grid')}, wm AS (SELECT CAST(epoch(MAX(ts)) * 1000000 AS BIGINT) - 600000000 AS w FROM dt) "
+            "SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, class_id, egress_port, "
+            "COUNT(*) AS n_packets FROM dt GROUP BY 1, 2, 3 "
+            "HAVING (CAST(epoch(date_trunc('hour', MIN(ts))) AS BIGINT) + 3600) * 1000000 <= (SELECT w FROM wm)"
+        ),
         "km_distances": (
             f"WITH {O.with_packets('grid')} SELECT pkt_id, {O.km_dist_sql()} FROM feats"
         ),
