@@ -300,6 +300,31 @@ def q_rule_ids_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return number_in_order(rows, "model_id", "rule_id", "rule_no")
 
 
+def corpus_model(spark: SparkSession, sf: str) -> dc.DTModel:
+    """The 20 generated corpus models compiled to tree tables (no text step):
+    every rule completed to 5 features, empty rules dropped, rules numbered per
+    model in rule order; a rule's class is its id mod 5 (the corpus has none)."""
+    p = _preds(spark, sf)
+    keys = ["model_id", "rule_id"]
+    bins = _bins_bulk(spark, sf)
+    rows = dc.rule_rows(dc.id_ranges(dc.rule_bounds(spark, p, keys, rules=p.select(*keys).distinct()), bins), keys)
+    numbered = number_in_order(rows, "model_id", "rule_id", "rule_no")
+    rules = numbered.select(
+        "model_id", F.col("rule_no").alias("rule_id"), F.col("rule_id").alias("line_no"),
+        (F.col("rule_id") % 5).cast("int").alias("class"), "id_start", "id_end",
+    )
+    return dc.DTModel(bins=bins, rules=rules).persist()
+
+
+def q_dt_score_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """Many large models at once: grid packets, each scored by corpus model
+    pkt_id mod 20, through the join path (block-join bins, multi-word
+    bit-vector rule match, rule -> class join, port map)."""
+    g = grid_from(spark, sf).withColumn("model_id", (F.col("pkt_id") % 20).cast("int"))
+    out = score_dt(g, corpus_model(spark, sf), keep=["model_id"])
+    return out.select("pkt_id", "model_id", "rule_id", "class_id", "egress_port", "outcome")
+
+
 def q_model_audit(spark: SparkSession, sf: str) -> DataFrame:
     """X3 on the generated corpus: ignored, clamped and off-threshold predicates,
     rules with an empty range, per model."""
@@ -355,6 +380,7 @@ REGISTRY: dict[str, Query] = {
     "rules_bulk": q_rules_bulk,
     "model_audit": q_model_audit,
     "rule_ids_bulk": q_rule_ids_bulk,
+    "dt_score_corpus": q_dt_score_corpus,
 }
 
 
@@ -513,6 +539,32 @@ def oracle_sql() -> dict[str, str]:
             "SELECT model_id, rule_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) "
             "AS rule_no FROM valid"
         ),
+        "dt_score_corpus": (
+            f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}), "
+            "vr AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) AS rule_no, "
+            "CAST(rule_id % 5 AS INT) AS cls FROM valid), "
+            f"{O.with_packets('grid')}, "
+            "pm AS (SELECT pkt_id, ingress_port, frame_len, ether_type, ip_proto, src_port, dst_port, "
+            "CAST(pkt_id % 20 AS INT) AS model_id FROM feats), "
+            "pid AS (SELECT pm.pkt_id, pm.ingress_port, pm.model_id, b0.bin_id AS i0, b1.bin_id AS i1, b2.bin_id AS i2, "
+            "b3.bin_id AS i3, b4.bin_id AS i4 FROM pm "
+            + " ".join(
+                f"JOIN bins b{i} ON b{i}.model_id = pm.model_id AND b{i}.feature = '{f}' "
+                f"AND pm.{f} BETWEEN b{i}.lo AND b{i}.hi"
+                for i, f in enumerate(["frame_len", "ether_type", "ip_proto", "src_port", "dst_port"])
+            )
+            + "), hit AS (SELECT pid.pkt_id, pid.model_id, pid.ingress_port, MIN(vr.rule_no) AS rno FROM pid "
+            "LEFT JOIN vr ON vr.model_id = pid.model_id "
+            + " ".join(f"AND pid.i{i} BETWEEN vr.s{i} AND vr.e{i}" for i in range(5))
+            + " GROUP BY pid.pkt_id, pid.model_id, pid.ingress_port), "
+            "lab AS (SELECT hit.*, vr.cls FROM hit LEFT JOIN vr ON vr.model_id = hit.model_id AND vr.rule_no = hit.rno) "
+            f"SELECT pkt_id, model_id, CASE WHEN ingress_port = {BYPASS_INGRESS_PORT} THEN NULL ELSE rno END AS rule_id, "
+            f"CASE WHEN ingress_port = {BYPASS_INGRESS_PORT} THEN NULL ELSE cls END AS class_id, "
+            f"CAST(CASE WHEN ingress_port = {BYPASS_INGRESS_PORT} THEN 156 ELSE {O.port_case('cls', O.DT_CLASS_PORTS)} END AS INT) "
+            "AS egress_port, "
+            f"CASE WHEN ingress_port = {BYPASS_INGRESS_PORT} THEN 'bypass' WHEN cls IS NULL THEN 'drop' ELSE 'forward' END AS outcome "
+            "FROM lab"
+        ),
         "model_audit": (
             f"{f7}, {_bounds_sql()}, {_bins_sql()}, "
             "pa AS (SELECT p.model_id, p.rule_id, f.fmax, f.feature AS kf, "
