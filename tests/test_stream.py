@@ -95,3 +95,19 @@ def test_route_stream(spark):
     batch = score_dt(grid_from(spark, SF001), dt_without_rule(spark, 10), model_id=DT_ID)
     assert w.count() == batch.count()
     assert w.filter("route = 'dropped'").count() == batch.filter("outcome = 'drop'").count() > 0
+
+
+def test_packet_table_stream(spark, dt):
+    """A1 as a stream: a nested packet table read with readStream scores like batch."""
+    from pktsieve.operators.frames import decode_frames, split_quarantine
+    from pktsieve.sources.fixtures import frames_from
+    from pktsieve.sources.packets import PACKET, read_packets
+
+    ok, _ = split_quarantine(decode_frames(frames_from(spark, SF001)))
+    base = scratch_path(spark, "t_pk_stream")
+    ok.select(*[F.col(f.name).cast(f.dataType) if f.name != "ts" else F.lit(None).cast("timestamp").alias("ts")
+                for f in PACKET.fields]).write.parquet(f"{base}/packets")
+    s = score_dt(read_packets(spark, f"{base}/packets", stream=True), dt, model_id=DT_ID)
+    got = run_to_table(spark, s, "t_pk_stream_out").select(*DT)
+    want = score_dt(read_packets(spark, f"{base}/packets"), dt, model_id=DT_ID).select(*DT)
+    assert same(got, want)
