@@ -389,15 +389,15 @@ def compile_from_lines(spark: SparkSession, lines: DataFrame, check: bool = True
         if found:
             raise ValueError("; ".join(f"model {r.model_id} line {r.line_no}: {r.finding}" for r in found))
     models = lines.select("model_id").distinct()
-    bins = build_thresholds(spark, threshold_values(spark, parsed), models)
+    # bins feed the lookups and the result: computed once, lineage cut
+    bins = build_thresholds(spark, threshold_values(spark, parsed), models).transform(checkpointed)
     rules = rule_lines(parsed)
     if check:
         check_classes(rules)
     keys = ["model_id", "line_no", "class"]
     bounds = rule_bounds(spark, predicates(rules, keys), keys, rules=rules)
-    ranges = id_ranges(bounds, bins)
-    rows = rule_rows(ranges, keys)
-    return DTModel(bins=bins, rules=number_rules(rows))
+    rows = rule_rows(id_ranges(bounds, bins), keys).transform(checkpointed)
+    return DTModel(bins=bins, rules=number_rules(rows).transform(checkpointed))
 
 
 def compile_dt(spark: SparkSession, path: str, check: bool = True, mode: str = "compat") -> DTModel:

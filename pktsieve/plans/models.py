@@ -27,7 +27,7 @@ def shipped_dt(spark: SparkSession) -> DTModel:
     """The shipped decision tree, compiled and checkpointed (tables are small)."""
     k = _key(spark, "dt")
     if k not in _memo:
-        _memo[k] = compile_dt(spark, DT_MODEL_PATH).persist()
+        _memo[k] = compile_dt(spark, DT_MODEL_PATH)  # compiled tables come back checkpointed
     return _memo[k]
 
 
@@ -59,7 +59,7 @@ def dt_without_rule(spark: SparkSession, rule_no: int) -> DTModel:
     k = _key(spark, f"dt-{rule_no}")
     if k not in _memo:
         lines = dt_lines(spark)
-        _memo[k] = compile_from_lines(spark, lines.filter(F.col("line_no") != _rule_line(lines, rule_no))).persist()
+        _memo[k] = compile_from_lines(spark, lines.filter(F.col("line_no") != _rule_line(lines, rule_no)))
     return _memo[k]
 
 
@@ -69,7 +69,7 @@ def two_trees(spark: SparkSession) -> DTModel:
     if k not in _memo:
         lines = dt_lines(spark)
         alt = lines.filter(F.col("line_no") != _rule_line(lines, 10)).withColumn("model_id", F.lit(ALT_ID))
-        _memo[k] = compile_from_lines(spark, lines.unionByName(alt)).persist()
+        _memo[k] = compile_from_lines(spark, lines.unionByName(alt))
     return _memo[k]
 
 

@@ -21,7 +21,7 @@ from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
 from ..operators.audit import predicate_audit
 from ..operators.numbering import number_in_order
-from ..session import scratch_path
+from ..session import checkpointed, scratch_path
 from ..sinks.tables import route, write_dt_tables
 from ..sources.fixtures import PACKETS_GRID_SQL
 from ..streaming.score import (
@@ -306,14 +306,14 @@ def corpus_model(spark: SparkSession, sf: str) -> dc.DTModel:
     model in rule order; a rule's class is its id mod 5 (the corpus has none)."""
     p = _preds(spark, sf)
     keys = ["model_id", "rule_id"]
-    bins = _bins_bulk(spark, sf)
+    bins = _bins_bulk(spark, sf).transform(checkpointed)
     rows = dc.rule_rows(dc.id_ranges(dc.rule_bounds(spark, p, keys, rules=p.select(*keys).distinct()), bins), keys)
-    numbered = number_in_order(rows, "model_id", "rule_id", "rule_no")
+    numbered = number_in_order(rows.transform(checkpointed), "model_id", "rule_id", "rule_no")
     rules = numbered.select(
         "model_id", F.col("rule_no").alias("rule_id"), F.col("rule_id").alias("line_no"),
         (F.col("rule_id") % 5).cast("int").alias("class"), "id_start", "id_end",
     )
-    return dc.DTModel(bins=bins, rules=rules).persist()
+    return dc.DTModel(bins=bins, rules=rules.transform(checkpointed))
 
 
 def q_dt_score_corpus(spark: SparkSession, sf: str) -> DataFrame:
