@@ -324,7 +324,10 @@ class DTModel:
         return r.select("model_id", cell.alias("cell"), "rule_id", "class")
 
     def model_ids(self) -> DataFrame:
-        return self.bins.select("model_id").distinct()
+        """Distinct model ids (computed once per compiled model)."""
+        if "ids" not in self._cache:
+            self._cache["ids"] = self.bins.select("model_id").distinct().transform(checkpointed)
+        return self._cache["ids"]
 
     def persist(self) -> "DTModel":
         """Cut lineage: the compiled tables are small; checkpoint them once."""

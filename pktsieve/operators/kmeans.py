@@ -62,7 +62,10 @@ class KMModel:
         return self._cache["wide"]
 
     def model_ids(self) -> DataFrame:
-        return self.centres.select("model_id").distinct()
+        """Distinct model ids (computed once per compiled model)."""
+        if "ids" not in self._cache:
+            self._cache["ids"] = self.centres.select("model_id").distinct().transform(checkpointed)
+        return self._cache["ids"]
 
     def centre_arrays(self) -> DataFrame:
         """One row per model: ``centres`` ARRAY<STRUCT<class_id, frame_len, src_port, dst_port>>
