@@ -571,12 +571,12 @@ def oracle_sql() -> dict[str, str]:
             "CAST(FLOOR(GREATEST(-2.0, LEAST(p.value, COALESCE(f.fmax, 0) + 2.0))) AS BIGINT) AS edge, p.feature "
             "FROM preds p LEFT JOIN feats5 f ON p.feature = f.feature), "
             "per AS (SELECT model_id, COUNT(*) AS n_predicates, "
-            "SUM(CASE WHEN kf IS NULL THEN 1 ELSE 0 END) AS n_unknown_feature, "
-            "SUM(CASE WHEN kf IS NOT NULL AND (edge < 0 OR edge > fmax) THEN 1 ELSE 0 END) AS n_out_of_domain, "
-            "SUM(CASE WHEN kf IS NOT NULL AND edge BETWEEN 0 AND fmax AND NOT EXISTS (SELECT 1 FROM bins b "
-            "WHERE b.model_id = pa.model_id AND b.feature = pa.feature AND b.hi = pa.edge) THEN 1 ELSE 0 END) "
+            "CAST(SUM(CASE WHEN kf IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown_feature, "
+            "CAST(SUM(CASE WHEN kf IS NOT NULL AND (edge < 0 OR edge > fmax) THEN 1 ELSE 0 END) AS BIGINT) AS n_out_of_domain, "
+            "CAST(SUM(CASE WHEN kf IS NOT NULL AND edge BETWEEN 0 AND fmax AND NOT EXISTS (SELECT 1 FROM bins b "
+            "WHERE b.model_id = pa.model_id AND b.feature = pa.feature AND b.hi = pa.edge) THEN 1 ELSE 0 END) AS BIGINT) "
             "AS n_off_threshold FROM pa GROUP BY model_id), "
-            "emp AS (SELECT model_id, COUNT(*) AS n_rules_constrained, SUM(e) AS n_rules_empty FROM "
+            "emp AS (SELECT model_id, COUNT(*) AS n_rules_constrained, CAST(SUM(e) AS BIGINT) AS n_rules_empty FROM "
             "(SELECT model_id, rule_id, MAX(CASE WHEN lo > hi THEN 1 ELSE 0 END) AS e FROM bounds GROUP BY model_id, rule_id) "
             "GROUP BY model_id) "
             "SELECT per.model_id, n_predicates, n_unknown_feature, n_out_of_domain, n_off_threshold, "
