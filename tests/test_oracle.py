@@ -35,9 +35,15 @@ def test_entry_smoke(spark):
     assert df.count() == 1000
 
 
+SQL_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "StringType()": "VARCHAR",
+             "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
+    types = {f.name: SQL_TYPES.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    assert types == {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
