@@ -7,7 +7,7 @@ several centroids, found by spherical k-means over a bounded sample of its
 labelled rows (``per_language`` distinct texts, those with the smallest text
 hashes). A text gets the language of the centroid nearest by cosine; it is
 rejected if its distance is beyond what nearly all training texts of that
-language show (``reject_quantile``, widened by ``reject_slack``).
+language show (a share ``reject_share`` of the cosine at ``reject_quantile``).
 
 Defined results: null texts and texts without letters are ``und`` with score 0
 and rejected; with nothing to learn from every text is ``und``; rows are judged
@@ -123,7 +123,7 @@ def _kmeans(v: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1000, centroids: int = 4,
-        reject_quantile: float = 0.001, reject_slack: float = 0.25) -> LanguageModel:
+        reject_quantile: float = 0.001, reject_share: float = 0.4) -> LanguageModel:
     """Fit on a bounded sample: at most ``per_language`` distinct texts of each language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(5), text).alias("h")
@@ -159,7 +159,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
         v = shell.vectors(np.array([ngram_counts(t) for t in texts]))
         c = _kmeans(v, centroids)
         near = (v @ c.T).max(axis=1)
-        least = float(np.quantile(near, reject_quantile)) - reject_slack
+        least = float(np.quantile(near, reject_quantile)) * reject_share
         return pd.DataFrame({"lang": [name] * len(c), "centre": [x.tolist() for x in c], "least": [least] * len(c)})
 
     found = sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<double>, least double").collect()

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .jaccard_join import link_documents
 from .langid import fit, predict
 from .mixing import mix, word_count
 from .packing import pack
+from .suffix_dedup import dedup_digests
 from .token_counts import count_tokens
 
 
@@ -21,6 +23,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_digests(table(spark, sf, "documents"), "doc_id", "text", length=400)
+
+
 def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text", F.xxhash64("text").alias("text_hash"))
     out = mix(docs, ["doc_id", "text_hash"], word_count("text"))
@@ -43,12 +49,41 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return link_documents(table(spark, sf, "documents"), "doc_id", "text", percent=90, width=3)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN ws IS NULL OR len(ws) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM b JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 90 * (p.n + q.n - i)
+), reach AS (
+  SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(d.doc_id, coalesce((SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = count_tokens(table(spark, sf, "documents"), "doc_id", "text", tokenizer_path("byte_bpe_50k.json"))
     return out.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mix_sources, op5_language_id, op6_packing, op9_token_counts)
+    f.__name__: f for f in (
+    op2_suffix_array_dedup, op4_mix_sources, op5_language_id, op6_packing, op8_ngram_jaccard_join, op9_token_counts)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_ngram_jaccard_join": OP8_SQL}

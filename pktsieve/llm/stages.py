@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid
+from .jaccard_join import link_documents
 from .mixing import mixed_documents
 from .packing import pack
 from .queries import held_out, tokenizer_path
+from .suffix_dedup import dedup_documents
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +20,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(~F.col("rejected")).select("row.*")
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays, the one with the smallest id; rows without an id stay."""
+    linked = link_documents(docs, "doc_id", "text", percent=90, width=3)
+    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(*docs.columns).alias("h"))
+    kept = packed.join(gone, F.col("own") == F.col("gone"), "left_anti")
+    # rows that share an id are one document
+    named = kept.where("own is not null").groupBy("own").agg(F.min_by("row", "h").alias("row")).select("row.*")
+    return named.unionByName(kept.where("own is null").select("row.*"))
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose every byte of a 400-byte string that occurs again; documents of which nothing is left go."""
+    return dedup_documents(docs, "doc_id", "text", length=400)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their source takes them, in the order of the mix."""
     return mixed_documents(docs, "text", "source")
