@@ -40,7 +40,8 @@ from ..session import MAX_BROADCAST_ROWS
 from .common import checkpointed, groups_for, text_or_empty
 from .hashing import Prefix, mixed
 
-SEGMENTS = 1_000  # distinct segments of an anchor that one task compares
+SEGMENTS = 16_000  # distinct segments of an anchor that one task compares
+CHUNK = 1_000  # segments whose strings are hashed at once
 PER_GROUP = 2_000  # segments of small anchors in one group
 
 
@@ -172,14 +173,11 @@ def _segments(docs: DataFrame, length: int, k: int) -> DataFrame:
     )
 
 
-def _window_hashes(bodies: list[bytes], counts: np.ndarray, length: int):
-    """Hashes of every string of every segment, in order, and the segment of each."""
-    prefix = Prefix(np.frombuffer(b"".join(bodies), dtype=np.uint8))
-    base = np.concatenate(([0], np.cumsum([len(b) for b in bodies])))[:-1]
-    owner = np.repeat(np.arange(len(bodies)), counts)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = base[owner] + inside
-    return prefix, base, owner, inside, prefix.spans(start, start + length)
+def _strings_of(counts: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segment and place in the segment of every string of the segments lo..hi-1."""
+    n = counts[lo:hi]
+    owner = np.repeat(np.arange(lo, hi), n)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def repeated_starts(anchor: np.ndarray, far: np.ndarray, near: np.ndarray, bodies: list[bytes], length: int) -> np.ndarray:
@@ -189,7 +187,9 @@ def repeated_starts(anchor: np.ndarray, far: np.ndarray, near: np.ndarray, bodie
     """
     cell = max(1, length // 10)
     whole = (length - cell + 1) // cell  # whole cells in any string
-    prefix, base, owner, inside, strings = _window_hashes(bodies, far - near + 1, length)
+    prefix = Prefix(np.frombuffer(b"".join(bodies), dtype=np.uint8))
+    base = np.concatenate(([0], np.cumsum([len(b) for b in bodies])))[:-1]
+    counts = far - near + 1
     low = -(far // cell)  # the first whole cell of each segment, counted from the anchor
     cells = (length - near) // cell - low
     seg = np.repeat(np.arange(len(bodies)), cells)
@@ -216,15 +216,22 @@ def repeated_starts(anchor: np.ndarray, far: np.ndarray, near: np.ndarray, bodie
     run_of = np.empty(len(text), dtype=np.int64)
     run_of[order] = run
     size = np.bincount(run)
-    back = far[owner] - inside  # bytes from the string's start to the anchor
-    first = heads[owner] + (-(back // cell) - low[owner])
-    r = run_of[first]
-    marked = np.zeros(len(owner), dtype=bool)
-    some = np.flatnonzero(size[r] > 1)
-    if len(some):
-        full = mixed(strings[some] ^ mixed((r[some].astype(np.uint64) << np.uint64(24)) + back[some].astype(np.uint64)))
-        _, inverse, n = np.unique(full, return_inverse=True, return_counts=True)
-        marked[some] = n[inverse] > 1
+    # the strings whose whole cells occur again, some segments at a time
+    ends = np.cumsum(counts)
+    spots, keys = [], []
+    for lo in range(0, m, CHUNK):
+        hi = min(m, lo + CHUNK)
+        owner, inside = _strings_of(counts, lo, hi)
+        back = far[owner] - inside  # bytes from the string's start to the anchor
+        r = run_of[heads[owner] + (-(back // cell) - low[owner])]
+        some = np.flatnonzero(size[r] > 1)
+        start = base[owner[some]] + inside[some]
+        place = (r[some].astype(np.uint64) << np.uint64(24)) + back[some].astype(np.uint64)
+        keys.append(mixed(prefix.spans(start, start + length) ^ mixed(place)))
+        spots.append(some + (ends[lo] - counts[lo]))
+    marked = np.zeros(int(ends[-1]), dtype=bool)
+    _, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    marked[np.concatenate(spots)] = n[inverse] > 1
     return marked
 
 
@@ -293,10 +300,13 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     # the strings of anchors with very many segments, dealt by their content
     def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for i in range(0, len(frame), 500):
-                part = frame.iloc[i : i + 500]
+            for i in range(0, len(frame), CHUNK):
+                part = frame.iloc[i : i + CHUNK]
                 far, near = part["far"].to_numpy().astype(np.int64), part["near"].to_numpy().astype(np.int64)
-                _, _, owner, inside, strings = _window_hashes(list(part["body"]), far - near + 1, length)
+                base = np.concatenate(([0], np.cumsum(part["body"].map(len))))[:-1]
+                owner, inside = _strings_of(far - near + 1, 0, len(part))
+                start = base[owner] + inside
+                strings = Prefix(np.frombuffer(b"".join(part["body"]), dtype=np.uint8)).spans(start, start + length)
                 yield pd.DataFrame({
                     "h": part["h"].to_numpy()[owner], "c": part["c"].to_numpy()[owner],
                     "back": (far[owner] - inside).astype(np.int32), "s": strings.view(np.int64),
