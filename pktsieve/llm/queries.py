@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import license_scan
 from .common import table
+from .html_text import extract
 from .jaccard_join import link_documents
 from .langid import fit, predict
 from .mixing import mix, word_count
 from .packing import pack
 from .suffix_dedup import dedup_digests
 from .token_counts import count_tokens
+from .vector_dedup import link_vectors
+from .winnowing import fingerprints_with_edits
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,6 +27,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return license_scan.scan(docs, license_scan.fit(spark, docs), "doc_id", "text")
+
+
+def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(table(spark, sf, "pages").select("page_id", "url", "html"), "html").drop("html")
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_digests(table(spark, sf, "documents"), "doc_id", "text", length=400)
 
@@ -49,6 +62,10 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), "doc_id", "text", tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints_with_edits(table(spark, sf, "documents"), "doc_id", "text")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return link_documents(table(spark, sf, "documents"), "doc_id", "text", percent=90, width=3)
 
@@ -82,8 +99,13 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return link_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", threshold=0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-    op2_suffix_array_dedup, op4_mix_sources, op5_language_id, op6_packing, op8_ngram_jaccard_join, op9_token_counts)
+    op1_license_scan, op2_suffix_array_dedup, op3_html_extraction, op4_mix_sources, op5_language_id, op6_packing, op7_winnowing, op8_ngram_jaccard_join,
+    op9_token_counts, op10_embedding_near_dedup)
 }
 ORACLES: dict[str, str] = {"op8_ngram_jaccard_join": OP8_SQL}
