@@ -199,7 +199,7 @@ def classify(blocks, short: int = 80, long: int = 200, most_links: float = 0.33,
             else:
                 labels.append(False)
     # inside a marked article only its own blocks are neighbours
-    decided = [i for i, x in enumerate(labels) if x is not None and not (marked and not blocks[i][3])]
+    decided = [i for i, x in enumerate(labels) if x is not None and not (marked and (blocks[i][2] or not blocks[i][3]))]
     out = []
     for i, x in enumerate(labels):
         if x is None:
