@@ -15,6 +15,7 @@ never looked at. Results don't depend on the order of rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,11 +28,53 @@ from .common import groups_for, text_or_empty
 from .tokens import encoder
 
 DOCS_PER_GROUP = 8_000
-CACHE = 300_000  # distinct words that a worker holds
+CACHE = 800_000  # distinct words, and distinct pieces of words, that a worker holds
+BATCH = 256  # documents whose new words are encoded together
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, h long"
 PLACED = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _words: dict[str, bytes] = {}
+_pieces: dict[str, bytes] = {}
+
+# Words of printable Latin-1 characters are cut as the vocabulary's pre-tokeniser
+# cuts them (lower-casing is all that its normaliser does to them), so that words
+# with other case or punctuation share pieces.
+_PLAIN = re.compile(r"[!-~\xa1-\xff]+")
+_LETTERS = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
+_NUMBERS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """How the library writes the bytes of each printable Latin-1 character."""
+    from tokenizers import pre_tokenizers
+
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return {c: level.pre_tokenize_str(chr(c))[0][0] for c in (*range(33, 127), *range(161, 256))}
+
+
+def _encode_words(new: list[str], path: str) -> None:
+    enc = encoder(path)
+    if not hasattr(enc, "alphabet"):
+        enc.alphabet = _byte_alphabet()
+    model, alphabet = enc.tokenizer.model, enc.alphabet
+    rest = []
+    for word in new:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            out = []
+            for piece in _CUT.findall(word.lower()):
+                ids = _pieces.get(piece)
+                if ids is None:
+                    tokens = model.tokenize(piece.translate(alphabet))
+                    ids = _pieces[piece] = np.array([t.id for t in tokens], dtype="<u4").tobytes()
+                out.append(ids)
+            _words[word] = b"".join(out)
+        elif word:
+            rest.append(word)
+        else:
+            _words[word] = b""
+    for word, ids in zip(rest, enc.many(rest)):
+        _words[word] = ids.tobytes()
 
 
 def document_ids(texts: list[str], path: str) -> list[bytes]:
@@ -40,20 +83,14 @@ def document_ids(texts: list[str], path: str) -> list[bytes]:
     The vocabulary drops white space, so the words between spaces and newlines
     are encoded on their own, each distinct one once for as long as it is held.
     """
-    enc = encoder(path)
     if len(_words) > CACHE:
         _words.clear()
-    out = []
-    for text in texts:
-        words = text.replace("\n", " ").split(" ")
-        new = [w for w in set(words) if w not in _words]
-        if new:
-            for w, ids in zip(new, enc.many(new)):
-                _words[w] = ids.tobytes()
-        out.append(b"".join(map(_words.__getitem__, words)))
-        if len(_words) > CACHE:
-            _words.clear()
-    return out
+    if len(_pieces) > CACHE:
+        _pieces.clear()
+    words = [t.replace("\n", " ").split(" ") for t in texts]
+    _encode_words(list(set().union(*words).difference(_words)), path)
+    get = _words.__getitem__
+    return [b"".join(map(get, w)) for w in words]
 
 
 def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit: int = 4096, end_id: int = 2) -> DataFrame:
@@ -63,13 +100,15 @@ def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit:
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for doc, text in zip(frame["doc_id"], frame["text"]):
-                ids = document_ids([text], tokenizer_path)[0] + end
-                n = len(ids) // 4
-                h = zlib.crc32(ids)
-                for start in range(0, n, limit):
-                    piece = ids[4 * start : 4 * (start + limit)]
-                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, h))
+            for i in range(0, len(frame), BATCH):
+                part = frame.iloc[i : i + BATCH]
+                for doc, ids in zip(part["doc_id"], document_ids(list(part["text"]), tokenizer_path)):
+                    ids += end
+                    n = len(ids) // 4
+                    h = zlib.crc32(ids)
+                    for start in range(0, n, limit):
+                        piece = ids[4 * start : 4 * (start + limit)]
+                        rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, h))
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "h"])
 
     plain = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))

@@ -18,7 +18,7 @@ ODD = [
 
 
 def random_texts(rnd, n):
-    chars = "ab cd  \n\t\r'.,!<|>1é́Σ\xa0日🙂\x1c\x85"
+    chars = "abdstlmrve cd  \n\t\r'.,!<|>12²¼ªÀß×é́Σ\xa0\xad日🙂\x1c\x85AB"
     return ["".join(rnd.choice(chars) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
 
 
