@@ -288,15 +288,20 @@ class DTModel:
             self._cache["rule_stats"] = (int(r[0] or 0), int(r[1] or 0))
         return self._cache["rule_stats"]
 
-    def cell_pairs(self) -> int:
-        """Number of (cell, rule) pairs the flat cell table would need."""
-        if "pairs" not in self._cache:
-            width = F.lit(1).cast("bigint")
+    def cell_pairs(self, model_id: str | None = None) -> float:
+        """Number of (cell, rule) pairs the flat cell table would need, over all models or for one.
+
+        A double: the number only serves as a size check, and must not overflow.
+        """
+        key = ("pairs", model_id)
+        if key not in self._cache:
+            width = F.lit(1.0)
             for i in range(N_FEATURES):
-                width = width * (F.col("id_end")[i] - F.col("id_start")[i] + 1).cast("bigint")
-            row = self.rules.agg(F.sum(width).alias("p")).collect()[0]
-            self._cache["pairs"] = int(row.p or 0)
-        return self._cache["pairs"]
+                width = width * (F.col("id_end")[i] - F.col("id_start")[i] + 1).cast("double")
+            rules = self.rules if model_id is None else self.rules.filter(F.col("model_id") == model_id)
+            row = rules.agg(F.sum(width).alias("p")).collect()[0]
+            self._cache[key] = float(row.p or 0)
+        return self._cache[key]
 
     def cells(self) -> DataFrame:
         """C9 + E5: (model_id, cell, rule_id, class) - one class per id combination.

@@ -220,7 +220,7 @@ def inline_choice(model: DTModel, model_id: str) -> str | None:
         words = max(1, -(-most // BITS))
         choice = None
         if per.widest is not None and per.widest <= MAX_EDGES_EXPR:
-            if per.cells <= MAX_INLINE and model.cell_pairs() <= MAX_CELL_PAIRS:
+            if per.cells <= MAX_INLINE and model.cell_pairs(model_id) <= MAX_CELL_PAIRS:
                 choice = "cells"
             elif per.bins * words <= MAX_INLINE:
                 choice = "ranges"
@@ -247,7 +247,7 @@ class InlineDT:
         for u in self.uppers:
             n_cells *= len(u)
         if method == "auto":
-            method = "cells" if n_cells <= MAX_INLINE and model.cell_pairs() <= MAX_CELL_PAIRS else "ranges"
+            method = "cells" if n_cells <= MAX_INLINE and model.cell_pairs(model_id) <= MAX_CELL_PAIRS else "ranges"
         self.method = method
         one = DTModel(model.bins.filter(F.col("model_id") == model_id), model.rules.filter(F.col("model_id") == model_id))
         if method == "cells":
@@ -361,7 +361,7 @@ def assign_port(df: DataFrame, ports: DataFrame) -> DataFrame:
 
 def finish(df: DataFrame, model_cols: list[str]) -> DataFrame:
     """B7 + outcome: bypass first (model columns NULL), then forward or drop."""
-    byp = is_bypass()
+    byp = F.coalesce(is_bypass(), F.lit(False))  # a NULL ingress port is no bypass
     cols = []
     for c in df.columns:
         if c in model_cols:

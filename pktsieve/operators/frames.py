@@ -104,7 +104,8 @@ def decode_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
     is_udp = l4p == IP_PROTO_UDP
     is_icmp = is4 & (l4p == IP_PROTO_ICMP)
     err = (
-        F.when(n < ETH_LEN, F.lit("truncated:ethernet"))
+        F.when(n.isNull(), F.lit("missing:frame"))
+        .when(n < ETH_LEN, F.lit("truncated:ethernet"))
         .when(is4 & (n < ETH_LEN + IPV4_LEN), F.lit("truncated:ipv4"))
         .when(is6 & (n < ETH_LEN + IPV6_LEN), F.lit("truncated:ipv6"))
         .when(isarp & (n < ETH_LEN + ARP_LEN), F.lit("truncated:arp"))

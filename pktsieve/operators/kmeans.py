@@ -42,11 +42,13 @@ class KMModel:
     centres: DataFrame  # model_id, class_id, frame_len, src_port, dst_port
     _cache: dict = field(default_factory=dict, repr=False)
 
-    def k(self) -> int:
-        """Largest number of classes over the models (a tiny aggregate)."""
-        if "k" not in self._cache:
-            self._cache["k"] = int(self.centres.agg(F.max("class_id")).collect()[0][0] or 0)
-        return self._cache["k"]
+    def k(self, model_id: str | None = None) -> int:
+        """Largest number of classes over the models, or of one model (a tiny aggregate)."""
+        key = ("k", model_id)
+        if key not in self._cache:
+            c = self.centres if model_id is None else self.centres.filter(F.col("model_id") == model_id)
+            self._cache[key] = int(c.agg(F.max("class_id")).collect()[0][0] or 0)
+        return self._cache[key]
 
     def wide(self) -> DataFrame:
         """One row per model: centre coordinates as columns c{class}_{feature}."""
@@ -263,10 +265,11 @@ def score_km(
     """Score and route flat packets with nearest-centre models.
 
     Output: pkt_id, class_id, egress_port, outcome, d1..dk, min_dist and,
-    for k = 3, delta and the stamped ipv4_identification (IPv4 only, never
-    on bypass). ``method="lookup"`` takes distances from the C8 table.
+    delta and the stamped ipv4_identification (IPv4 only, never on bypass) for
+    packets whose own model has three centres, whatever other models have. ``method="lookup"`` takes distances from the C8 table.
     """
-    if method == "arith" and model.k() > WIDE_MAX:
+    own = None if model_id is None else str(model_id)
+    if method == "arith" and model.k(own) > WIDE_MAX:
         return _score_km_array(packets, model, model_id, ports, keep)
     inline = model_id is not None and ports is None and method == "arith"
     if inline:
@@ -276,7 +279,7 @@ def score_km(
         d = distances_inline(f, centres)
         n = nearest(d, k)
         p = n.select("*", port_expr("class_id", KM_CLASS_PORTS).alias("egress_port"))
-        return _finish_km(p, k, keep)
+        return _finish_km(p, k, keep, k == 3)
     k = model.k()
     ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
     f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
@@ -287,7 +290,7 @@ def score_km(
         d = distances(f, model)
     n = nearest(d, k)
     p = assign_port(n, ports)
-    return _finish_km(p, k, keep)
+    return _finish_km(p, k, keep, k == 3 or (k > 3 and model_id is None))
 
 
 def _score_km_array(packets, model: KMModel, model_id, ports, keep) -> DataFrame:
@@ -301,25 +304,36 @@ def _score_km_array(packets, model: KMModel, model_id, ports, keep) -> DataFrame
     p = assign_port(d, ports)
     cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", "dist", "min_dist"]
     cols += [c for c in dict.fromkeys(keep or []) if c not in cols]
-    res = finish(p.select(*cols), ["class_id", "dist", "min_dist"])
-    return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
+    if model_id is not None:
+        res = finish(p.select(*cols), ["class_id", "dist", "min_dist"])
+        return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
+    three = p.withColumns({f"d{c}": F.get("dist", F.lit(c - 1)) for c in (1, 2, 3)})
+    delta = F.when(F.size("dist") == 3, delta3()).alias("delta")
+    return _stamped(finish(three.select(*cols, delta), ["class_id", "dist", "min_dist", "delta"]), keep)
 
 
-def _finish_km(p: DataFrame, k: int, keep: list[str] | None) -> DataFrame:
+def _finish_km(p: DataFrame, k: int, keep: list[str] | None, stamp: bool) -> DataFrame:
     dcols = [f"d{c}" for c in range(1, k + 1)]
     extra = []
-    if k == 3:
-        extra.append(delta3().alias("delta"))
+    if stamp:  # three centres of the packet's own model
+        own = sum((F.col(c).isNotNull().cast("int") for c in dcols), F.lit(0))
+        extra.append(F.when(own == 3, delta3()).alias("delta"))
     cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", *dcols, "min_dist"]
     cols += [c for c in dict.fromkeys(keep or []) if c not in cols]
     out = p.select(*cols, *extra)
-    model_cols = ["class_id", *dcols, "min_dist"] + (["delta"] if k == 3 else [])
+    model_cols = ["class_id", *dcols, "min_dist"] + (["delta"] if stamp else [])
     res = finish(out, model_cols)
-    if k == 3:
-        byp = F.col("outcome") == "bypass"
-        ident = F.when(
-            F.col("ipv4_identification").isNotNull() & ~byp,
-            stamp_identification("ipv4_identification", "min_dist", "delta"),
-        ).otherwise(F.col("ipv4_identification"))
-        res = res.withColumn("ipv4_identification", ident.cast("int"))
+    if stamp:
+        return _stamped(res, keep)
+    return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
+
+
+def _stamped(res: DataFrame, keep: list[str] | None) -> DataFrame:
+    """The stamp where there is a delta (three centres), on IPv4, never on bypass."""
+    byp = F.col("outcome") == "bypass"
+    ident = F.when(
+        F.col("ipv4_identification").isNotNull() & F.col("delta").isNotNull() & ~byp,
+        stamp_identification("ipv4_identification", "min_dist", "delta"),
+    ).otherwise(F.col("ipv4_identification"))
+    res = res.withColumn("ipv4_identification", ident.cast("int"))
     return res if "ingress_port" in (keep or []) else res.drop("ingress_port")

@@ -9,12 +9,17 @@ from ..operators.dtree_compile import DTModel
 from ..operators.kmeans import KMModel, build_distance_table
 
 
+def _write_by_model(df: DataFrame, path: str, mode: str, *more: str) -> None:
+    """Partitioned by the model's id; the id stays a data column too, so reading back never infers its type."""
+    df.withColumn("model", F.col("model_id")).write.mode(mode).partitionBy("model", *more).parquet(path)
+
+
 def write_dt_tables(model: DTModel, path: str, mode: str = "overwrite") -> None:
-    """dt_bin, dt_threshold and dt_rule as parquet, partitioned by model_id."""
+    """dt_bin, dt_threshold and dt_rule as parquet, partitioned by model."""
     base = path.rstrip("/")
-    model.bins.write.mode(mode).partitionBy("model_id").parquet(f"{base}/dt_bin")
-    model.thresholds().write.mode(mode).partitionBy("model_id").parquet(f"{base}/dt_threshold")
-    model.rules.write.mode(mode).partitionBy("model_id").parquet(f"{base}/dt_rule")
+    _write_by_model(model.bins, f"{base}/dt_bin", mode)
+    _write_by_model(model.thresholds(), f"{base}/dt_threshold", mode)
+    _write_by_model(model.rules, f"{base}/dt_rule", mode)
 
 
 def read_dt_tables(spark: SparkSession, path: str) -> DTModel:
@@ -29,9 +34,9 @@ def read_dt_tables(spark: SparkSession, path: str) -> DTModel:
 def write_km_tables(model: KMModel, path: str, mode: str = "overwrite", with_distances: bool = False) -> None:
     """km_center (and optionally the per-value km_distance table)."""
     base = path.rstrip("/")
-    model.centres.write.mode(mode).partitionBy("model_id").parquet(f"{base}/km_center")
+    _write_by_model(model.centres, f"{base}/km_center", mode)
     if with_distances:
-        build_distance_table(model).write.mode(mode).partitionBy("model_id", "feature").parquet(f"{base}/km_distance")
+        _write_by_model(build_distance_table(model), f"{base}/km_distance", mode, "feature")
 
 
 def read_km_tables(spark: SparkSession, path: str) -> KMModel:

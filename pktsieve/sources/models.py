@@ -39,12 +39,19 @@ def model_lines_from_text(texts: DataFrame) -> DataFrame:
 
 
 def read_model_texts(spark: SparkSession, path: str) -> DataFrame:
-    """One row per model file: (model_id, text)."""
+    """One row per model file: (model_id, text). Two files of one name are an error, not one model."""
     raw = spark.read.text(path, wholetext=True)
-    return raw.select(
+    named = raw.select(
         model_id_from_path(F.col("_metadata.file_path")).alias("model_id"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("text"),
     )
+    doubled = named.groupBy("model_id").agg(F.count_distinct("path").alias("n")).filter("n > 1").select("model_id")
+    total = doubled.count()
+    if total:
+        first = ", ".join(str(r.model_id) for r in doubled.orderBy("model_id").limit(5).collect())
+        raise ValueError(f"{total} model name(s) stand for several files: {first}")
+    return named.select("model_id", "text")
 
 
 def read_model_lines(spark: SparkSession, path: str) -> DataFrame:

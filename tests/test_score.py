@@ -254,3 +254,26 @@ def test_kmeans_many_centres_array_form(spark):
         d = [sum(min((a - b) * (a - b), cap_) for a, b in zip(x[:3], c)) for c in cents]
         best = min(range(40), key=lambda i: (d[i], i)) + 1
         assert (r.class_id, r.min_dist, list(r.dist)) == (best, d[best - 1], d)
+
+
+def test_neighbour_models_leave_the_stamp_alone(spark):
+    """A 3-centre model stamps its packets also beside models with more centres."""
+    from pyspark.sql import functions as F
+
+    from pktsieve.operators.kmeans import KMModel, score_km
+
+    def centres(model_id, k):
+        return [(model_id, c, 100 * c, 1000 * c, 1000 * c) for c in range(1, k + 1)]
+
+    schema = "model_id string, class_id int, frame_len long, src_port long, dst_port long"
+    fields = "model_id string, pkt_id long, ingress_port int, ether_type int, ipv4_total_len int, ipv4_protocol int, " \
+        "ipv4_identification int, tcp_src_port int, tcp_dst_port int, udp_src_port int, udp_dst_port int"
+    packets = [("a", i, 130, 2048, 60 * i, 6, 0xFFFF, 900 * i, 1100 * i, None, None) for i in range(1, 6)]
+    pk = spark.createDataFrame(packets, fields)
+    alone = KMModel(spark.createDataFrame(centres("a", 3), schema))
+    want = {r.pkt_id: (r.class_id, r.min_dist, r.delta, r.ipv4_identification) for r in score_km(pk, alone, model_id="a").collect()}
+    for k in (4, 20):
+        both = KMModel(spark.createDataFrame(centres("a", 3) + centres("b", k), schema))
+        for got in (score_km(pk, both), score_km(pk, both, model_id="a")):
+            got = {r.pkt_id: (r.class_id, r.min_dist, r.delta, r.ipv4_identification) for r in got.collect()}
+            assert got == want, k
