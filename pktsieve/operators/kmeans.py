@@ -121,7 +121,8 @@ def distances(df: DataFrame, model: KMModel) -> DataFrame:
     for c in range(1, k + 1):
         d = None
         for f in KM_FEATURES:
-            term = cap(sq(f, F.col(f"c{c}_{f}")))
+            centre = F.col(f"c{c}_{f}")
+            term = F.when(centre.isNotNull(), cap(sq(f, centre)))  # the cap would turn NULL into a distance
             d = term if d is None else d + term
         ds.append(d.alias(f"d{c}"))
     return j.select(*df.columns, *ds)
