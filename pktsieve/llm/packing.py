@@ -28,7 +28,7 @@ from .common import groups_for, text_or_empty
 from .tokens import encoder
 
 DOCS_PER_GROUP = 8_000
-CACHE = 800_000  # distinct words, and distinct pieces of words, that a worker holds
+CACHE = 300_000  # distinct words, and distinct pieces of words, that a task holds
 BATCH = 256  # documents whose new words are encoded together
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, h long"
 PLACED = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -110,6 +110,8 @@ def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit:
                         piece = ids[4 * start : 4 * (start + limit)]
                         rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, h))
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "h"])
+        _words.clear()  # a worker lives on, its memory is the next task's
+        _pieces.clear()
 
     plain = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
     return plain.mapInPandas(cut, PIECE)
