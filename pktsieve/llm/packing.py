@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,9 @@ from .tokens import encoder
 
 DOCS_PER_GROUP = 8_000
 CACHE = 300_000  # distinct words, and distinct pieces of words, that a task holds
-BATCH = 256  # documents whose new words are encoded together
+BATCH = 12_000_000  # bytes of texts that are encoded together
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, h long"
+ARROW = pa.schema([(c, pa.string() if c == "doc_id" else pa.int64()) for c in re.findall(r"(\w+) (?:string|long)", PIECE)])
 PLACED = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _words: dict[str, bytes] = {}
@@ -62,7 +65,8 @@ def _encode_words(new: list[str], path: str) -> None:
     for word in new:
         if _PLAIN.fullmatch(word) and "<|" not in word:
             out = []
-            for piece in _CUT.findall(word.lower()):
+            low = word.lower()
+            for piece in (low,) if low.isalpha() else _CUT.findall(low):
                 ids = _pieces.get(piece)
                 if ids is None:
                     tokens = model.tokenize(piece.translate(alphabet))
@@ -77,8 +81,8 @@ def _encode_words(new: list[str], path: str) -> None:
         _words[word] = ids.tobytes()
 
 
-def document_ids(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers, by the tokenizers library.
+def document_ids(texts: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after the other, and where each text's ids end, by the tokenizers library.
 
     The vocabulary drops white space, so the words between spaces and newlines
     are encoded on their own, each distinct one once for as long as it is held.
@@ -87,34 +91,64 @@ def document_ids(texts: list[str], path: str) -> list[bytes]:
         _words.clear()
     if len(_pieces) > CACHE:
         _pieces.clear()
-    words = [t.replace("\n", " ").split(" ") for t in texts]
-    _encode_words(list(set().union(*words).difference(_words)), path)
-    get = _words.__getitem__
-    return [b"".join(map(get, w)) for w in words]
+    words = pc.split_pattern(pc.replace_substring(texts, pattern="\n", replacement=" "), pattern=" ")
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    ids = list(map(_words.get, distinct))
+    new = [i for i, x in enumerate(ids) if x is None]
+    _encode_words([distinct[i] for i in new], path)
+    for i in new:
+        ids[i] = _words[distinct[i]]
+    flat = np.frombuffer(b"".join(ids), dtype="<u4")
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    first = np.cumsum(sizes) - sizes
+    codes = coded.indices.to_numpy()
+    lengths = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    # the i-th id of a word lies i places after the word's first id
+    out = flat[np.repeat(first[codes] - ends[:-1], lengths) + np.arange(ends[-1])]
+    bounds = words.offsets.to_numpy()
+    return out, ends[bounds[1:] - bounds[0]]
+
+
+def _slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Cut a batch into runs of texts of about ``BATCH`` bytes, at least one text each."""
+    start = size = 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > start and size + n > BATCH:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if len(texts):
+        yield start, len(texts)
 
 
 def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit: int = 4096, end_id: int = 2) -> DataFrame:
     """One row per piece: ``doc_id`` (as string), ``start, length, ids_crc32, doc_tokens`` and a hash ``h`` of the document."""
-    end = np.array([end_id], dtype="<u4").tobytes()
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for i in range(0, len(frame), BATCH):
-                part = frame.iloc[i : i + BATCH]
-                for doc, ids in zip(part["doc_id"], document_ids(list(part["text"]), tokenizer_path)):
-                    ids += end
-                    n = len(ids) // 4
+    end = np.array([end_id], dtype="<u4")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, all_texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.string())
+            for lo, hi in _slices(all_texts):
+                rows = []
+                flat, ends = document_ids(all_texts.slice(lo, hi - lo), tokenizer_path)
+                begin = 0
+                for doc, stop in zip(names[lo:hi], ends.tolist()):
+                    ids = np.concatenate([flat[begin:stop], end])
+                    begin = stop
+                    n = len(ids)
                     h = zlib.crc32(ids)
                     for start in range(0, n, limit):
-                        piece = ids[4 * start : 4 * (start + limit)]
-                        rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n, h))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "h"])
+                        piece = ids[start : start + limit]
+                        crc = h if len(piece) == n else zlib.crc32(piece)
+                        rows.append((doc, start, len(piece), crc, n, h))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
         _words.clear()  # a worker lives on, its memory is the next task's
         _pieces.clear()
 
     plain = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
-    return plain.mapInPandas(cut, PIECE)
+    return plain.mapInArrow(cut, PIECE)
 
 
 class RoomTree:
