@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import MAX_BROADCAST_ROWS
 from .common import checkpointed
 
 DIMS = 4096
@@ -133,7 +134,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
     from pyspark.sql import Window
 
     top = keys.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language)
-    bound = top.groupBy("lang").agg(F.max("h").alias("most"))
+    bound = checkpointed(top.groupBy("lang").agg(F.max("h").alias("most")))
+    if bound.count() <= MAX_BROADCAST_ROWS:  # one row per language: the texts are filtered where they are read
+        bound = F.broadcast(bound)
     sample = checkpointed(rows.join(bound, "lang").where("h <= most").dropDuplicates(["lang", "h"]).select("lang", "text"))
 
     def frequencies(frame: pd.DataFrame) -> pd.DataFrame:
