@@ -3,5 +3,4 @@
 import os
 
 MODEL_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "models")
-DT_MODEL_PATH = os.path.join(MODEL_DIR, "decision_tree.txt")
 KM_MODEL_PATH = os.path.join(MODEL_DIR, "kmeans.txt")

@@ -1,15 +1,16 @@
-"""The repository's own model files, compiled once per session."""
+"""The repository's own models, compiled once per session."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import DT_MODEL_PATH, KM_MODEL_PATH
-from ..operators.dtree_compile import DTModel, compile_dt, compile_from_lines
+from .. import KM_MODEL_PATH
+from ..models.tree import tree_text
+from ..operators.dtree_compile import DTModel, compile_from_lines
 from ..operators.kmeans import KMModel, compile_km, compile_km_lines
 from ..session import checkpointed
-from ..sources.models import read_model_lines
+from ..sources.models import model_lines_from_text, read_model_lines
 
 DT_ID = "decision_tree"
 KM_ID = "kmeans"
@@ -27,7 +28,7 @@ def shipped_dt(spark: SparkSession) -> DTModel:
     """The shipped decision tree, compiled and checkpointed (tables are small)."""
     k = _key(spark, "dt")
     if k not in _memo:
-        _memo[k] = compile_dt(spark, DT_MODEL_PATH)  # compiled tables come back checkpointed
+        _memo[k] = compile_from_lines(spark, dt_lines(spark))  # compiled tables come back checkpointed
     return _memo[k]
 
 
@@ -40,7 +41,8 @@ def shipped_km(spark: SparkSession) -> KMModel:
 
 
 def dt_lines(spark: SparkSession) -> DataFrame:
-    return read_model_lines(spark, DT_MODEL_PATH)
+    """The lines of the shipped tree's text, which is rendered from its table of fixed values."""
+    return model_lines_from_text(spark.createDataFrame([(DT_ID, tree_text())], "model_id string, text string"))
 
 
 def _rule_line(lines: DataFrame, rule_no: int) -> int:

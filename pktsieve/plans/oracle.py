@@ -16,53 +16,16 @@ from ..constants import (
     KM_CLASS_PORTS,
     KM_DIST_CAP,
 )
+from ..models.tree import DT_EDGES, DT_LEAVES, leaf_bounds
 from ..sources.fixtures import oracle_bulk, oracle_frames, oracle_grid, oracle_predicates
 
-# --- fixed values: the shipped decision tree as integer conditions on raw
-# features, rule_id from 0 in file order, with the class of each leaf.
-DT_RULES = [
-    (0, "src_port <= 2951 AND dst_port <= 66 AND frame_len <= 94", 4),
-    (1, "src_port <= 2951 AND dst_port <= 66 AND frame_len >= 95", 4),
-    (2, "src_port <= 2951 AND dst_port = 67 AND frame_len <= 335", 3),
-    (3, "src_port <= 2951 AND dst_port = 67 AND frame_len >= 336", 1),
-    (4, "src_port <= 95 AND dst_port >= 68 AND ip_proto <= 3", 3),
-    (5, "src_port BETWEEN 96 AND 2951 AND dst_port >= 68 AND ip_proto <= 3", 4),
-    (6, "src_port <= 2951 AND dst_port >= 68 AND ip_proto >= 4 AND frame_len <= 366", 4),
-    (7, "src_port <= 2951 AND dst_port >= 68 AND ip_proto >= 4 AND frame_len >= 367", 4),
-    (8, "src_port BETWEEN 2952 AND 4500 AND frame_len <= 44", 4),
-    (9, "src_port BETWEEN 4501 AND 4999 AND frame_len <= 44", 0),
-    (10, "src_port BETWEEN 2952 AND 4999 AND dst_port <= 49159 AND frame_len >= 45", 0),
-    (11, "src_port BETWEEN 2952 AND 4999 AND dst_port >= 49160 AND frame_len >= 45", 4),
-    (12, "src_port BETWEEN 5000 AND 27655 AND dst_port <= 66 AND frame_len <= 64", 1),
-    (13, "src_port BETWEEN 5000 AND 27655 AND dst_port <= 66 AND frame_len >= 65", 3),
-    (14, "src_port BETWEEN 5000 AND 8899 AND dst_port >= 67", 4),
-    (15, "src_port BETWEEN 8900 AND 27655 AND dst_port >= 67", 4),
-    (16, "src_port >= 27656 AND dst_port <= 435 AND frame_len <= 44", 4),
-    (17, "src_port >= 27656 AND dst_port <= 435 AND frame_len BETWEEN 45 AND 51", 4),
-    (18, "src_port >= 27656 AND dst_port <= 435 AND frame_len BETWEEN 52 AND 61", 2),
-    (19, "src_port >= 27656 AND dst_port <= 435 AND frame_len >= 62", 2),
-    (20, "src_port BETWEEN 27656 AND 61000 AND dst_port BETWEEN 436 AND 1907 AND frame_len <= 139", 3),
-    (21, "src_port BETWEEN 27656 AND 61000 AND dst_port BETWEEN 436 AND 1907 AND frame_len >= 140", 3),
-    (22, "src_port >= 61001 AND dst_port BETWEEN 436 AND 1907 AND frame_len <= 312", 0),
-    (23, "src_port >= 61001 AND dst_port BETWEEN 436 AND 1907 AND frame_len >= 313", 2),
-    (24, "src_port >= 27656 AND dst_port BETWEEN 1908 AND 3071 AND ip_proto <= 11", 4),
-    (25, "src_port >= 27656 AND dst_port BETWEEN 3072 AND 4999 AND ip_proto <= 11", 0),
-    (26, "src_port >= 27656 AND dst_port BETWEEN 1908 AND 3392 AND ip_proto >= 12", 4),
-    (27, "src_port >= 27656 AND dst_port BETWEEN 3393 AND 4999 AND ip_proto >= 12", 3),
-    (28, "src_port >= 27656 AND dst_port BETWEEN 5000 AND 8946 AND frame_len <= 208", 3),
-    (29, "src_port >= 27656 AND dst_port BETWEEN 5000 AND 8946 AND frame_len >= 209", 1),
-    (30, "src_port >= 27656 AND dst_port >= 8947 AND frame_len <= 176", 4),
-    (31, "src_port >= 27656 AND dst_port >= 8947 AND frame_len >= 177", 2),
-]
-
-# --- fixed values: the shipped tree's upper edges per feature (domain max last)
-DT_EDGES = {
-    "frame_len": [44, 51, 61, 64, 94, 139, 176, 208, 312, 335, 366, 65535],
-    "ether_type": [65535],
-    "ip_proto": [3, 11, 255],
-    "src_port": [95, 2951, 4500, 4999, 8899, 27655, 61000, 65535],
-    "dst_port": [66, 67, 435, 1907, 3071, 3392, 4999, 8946, 49159, 65535],
-}
+
+def _leaf_sql(leaf: tuple) -> str:
+    return " AND ".join(f"{f} BETWEEN {lo} AND {hi}" for f, lo, hi in leaf_bounds(leaf))
+
+
+# the shipped decision tree as integer conditions on raw features, rule_id from 0, with the class of each leaf
+DT_RULES = [(i, _leaf_sql(leaf), leaf[-1]) for i, leaf in enumerate(DT_LEAVES)]
 
 # --- fixed values: the shipped k-means centres (frame_len, src_port, dst_port), class from 1
 KM_CENTRES = [(192, 1171, 846), (372, 49201, 7358), (218, 7690, 50028)]

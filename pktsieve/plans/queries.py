@@ -549,8 +549,8 @@ def oracle_sql() -> dict[str, str]:
             "pid AS (SELECT pm.pkt_id, pm.ingress_port, pm.model_id, b0.bin_id AS i0, b1.bin_id AS i1, b2.bin_id AS i2, "
             "b3.bin_id AS i3, b4.bin_id AS i4 FROM pm "
             + " ".join(
-                f"JOIN bins b{i} ON b{i}.model_id = pm.model_id AND b{i}.feature = '{f}' "
-                f"AND pm.{f} BETWEEN b{i}.lo AND b{i}.hi"
+                f"ASOF JOIN (SELECT * FROM bins WHERE feature = '{f}') b{i} "
+                f"ON b{i}.model_id = pm.model_id AND pm.{f} >= b{i}.lo"
                 for i, f in enumerate(["frame_len", "ether_type", "ip_proto", "src_port", "dst_port"])
             )
             + "), hit AS (SELECT pid.pkt_id, pid.model_id, pid.ingress_port, MIN(vr.rule_no) AS rno FROM pid "

@@ -1,30 +1,22 @@
 """Model compile: golden tables (FIXTURES F1) and hostile model text (F2)."""
 
+from bisect import bisect_left
+
 import pytest
 from conftest import compile_text
 from pyspark.sql import functions as F
 
-from pktsieve.plans.oracle import DT_EDGES
-
-# rule_id -> (frame_len, ip_proto, src_port, dst_port) id ranges and class; ether_type is 0-0.
-GOLDEN_RULES = {
-    0: ((0, 4), (0, 2), (0, 1), (0, 0), 4), 1: ((5, 11), (0, 2), (0, 1), (0, 0), 4),
-    2: ((0, 9), (0, 2), (0, 1), (1, 1), 3), 3: ((10, 11), (0, 2), (0, 1), (1, 1), 1),
-    4: ((0, 11), (0, 0), (0, 0), (2, 9), 3), 5: ((0, 11), (0, 0), (1, 1), (2, 9), 4),
-    6: ((0, 10), (1, 2), (0, 1), (2, 9), 4), 7: ((11, 11), (1, 2), (0, 1), (2, 9), 4),
-    8: ((0, 0), (0, 2), (2, 2), (0, 9), 4), 9: ((0, 0), (0, 2), (3, 3), (0, 9), 0),
-    10: ((1, 11), (0, 2), (2, 3), (0, 8), 0), 11: ((1, 11), (0, 2), (2, 3), (9, 9), 4),
-    12: ((0, 3), (0, 2), (4, 5), (0, 0), 1), 13: ((4, 11), (0, 2), (4, 5), (0, 0), 3),
-    14: ((0, 11), (0, 2), (4, 4), (1, 9), 4), 15: ((0, 11), (0, 2), (5, 5), (1, 9), 4),
-    16: ((0, 0), (0, 2), (6, 7), (0, 2), 4), 17: ((1, 1), (0, 2), (6, 7), (0, 2), 4),
-    18: ((2, 2), (0, 2), (6, 7), (0, 2), 2), 19: ((3, 11), (0, 2), (6, 7), (0, 2), 2),
-    20: ((0, 5), (0, 2), (6, 6), (3, 3), 3), 21: ((6, 11), (0, 2), (6, 6), (3, 3), 3),
-    22: ((0, 8), (0, 2), (7, 7), (3, 3), 0), 23: ((9, 11), (0, 2), (7, 7), (3, 3), 2),
-    24: ((0, 11), (0, 1), (6, 7), (4, 4), 4), 25: ((0, 11), (0, 1), (6, 7), (5, 6), 0),
-    26: ((0, 11), (2, 2), (6, 7), (4, 5), 4), 27: ((0, 11), (2, 2), (6, 7), (6, 6), 3),
-    28: ((0, 7), (0, 2), (6, 7), (7, 7), 3), 29: ((8, 11), (0, 2), (6, 7), (7, 7), 1),
-    30: ((0, 6), (0, 2), (6, 7), (8, 9), 4), 31: ((7, 11), (0, 2), (6, 7), (8, 9), 2),
-}
+from pktsieve.constants import DT_FEATURES, FEATURE_MAX
+from pktsieve.models.tree import DT_EDGES, DT_LEAVES, leaf_bounds, tree_text
+
+def golden_rule(leaf):
+    """The id ranges of a leaf in feature order, and its class."""
+    bounds = {f: (lo, hi) for f, lo, hi in leaf_bounds(leaf)}
+    ids = []
+    for f in DT_FEATURES:
+        lo, hi = bounds.get(f, (0, FEATURE_MAX[f]))
+        ids.append((bisect_left(DT_EDGES[f], lo), bisect_left(DT_EDGES[f], hi)))
+    return ids, leaf[-1]
 
 
 def edges(model, model_id):
@@ -55,12 +47,7 @@ def test_golden_bins_tile_domain(dt):
 
 
 def test_golden_rules(dt):
-    got = rules(dt, "decision_tree")
-    assert len(got) == 32
-    for rid, (fl, ip, sp, dp, klass) in GOLDEN_RULES.items():
-        ranges, c = got[rid]
-        assert ranges == [fl, (0, 0), ip, sp, dp], rid
-        assert c == klass
+    assert rules(dt, "decision_tree") == {i: golden_rule(leaf) for i, leaf in enumerate(DT_LEAVES)}
 
 
 def test_cells_complete_and_disjoint(dt):
@@ -205,12 +192,13 @@ def test_distance_table_golden(spark, km):
     assert (r.n, r.s, r.capped) == (65536, 33538782645316, 37935)
 
 
-def test_strict_mode(spark):
-    from pktsieve import DT_MODEL_PATH
+def test_strict_mode(spark, tmp_path):
     from pktsieve.operators.dtree_compile import compile_dt, compile_from_lines
     from pktsieve.sources.models import model_lines_from_text
 
-    compile_dt(spark, DT_MODEL_PATH, mode="strict")  # the shipped model is clean
+    path = tmp_path / "decision_tree.txt"
+    path.write_text(tree_text())
+    compile_dt(spark, str(path), mode="strict")  # the shipped model is clean
     for text, what in [
         ("when frame_len>=5 then 1;\n", "unread condition"),
         ("when ttl<=5 then 1;\n", "unknown feature"),
