@@ -53,11 +53,16 @@ def split_dropped(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def route(
-    scored: DataFrame, path: str, files_per_port: int | None = None, mode: str = "append", salt_col: str = "pkt_id"
+    scored: DataFrame, path: str, files_per_port: int | None = None, mode: str | None = None, salt_col: str = "pkt_id",
+    run_id: str | None = None,
 ) -> None:
     """A8 + A9 in one pass: sent packets land under ``route=sent/egress_port=<p>``,
     dropped ones under ``route=dropped`` (their port is NULL); nothing is lost.
 
+    With ``run_id`` a run writes its own folder ``run=<run_id>`` and replaces
+    it when it is run again, so a retried job never doubles packets. Without
+    it an existing ``path`` is an error unless ``mode`` says otherwise.
+
     With ``files_per_port`` the rows are first spread over (port, salt)
     buckets, so a port carrying most of the traffic is written by several
     tasks instead of one. The salt is a hash of ``salt_col`` (deterministic,
@@ -68,7 +73,9 @@ def route(
     if files_per_port:
         salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_port))
         out = out.repartition("route", "egress_port", salt)
-    out.write.mode(mode).partitionBy("route", "egress_port").parquet(path.rstrip("/"))
+    target = path.rstrip("/") if run_id is None else f"{path.rstrip('/')}/run={run_id}"
+    mode = mode or ("errorifexists" if run_id is None else "overwrite")
+    out.write.mode(mode).partitionBy("route", "egress_port").parquet(target)
 
 
 def route_stream(scored: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):

@@ -29,7 +29,9 @@ def read_table_stream(spark: SparkSession, path: str, max_files: int | None = No
         r = r.option("maxFilesPerTrigger", max_files)
     if os.path.isfile(path) or path.endswith(".parquet"):
         parent = os.path.dirname(path.rstrip("/"))
-        return r.option("basePath", parent).parquet(path.rstrip("/") + "*")
+        # a stream takes folders or globs: one that only this name matches
+        exact = path.rstrip("/")
+        return r.option("basePath", parent).parquet(f"{exact[:-1]}[{exact[-1]}]")
     return r.parquet(path)
 
 
@@ -61,6 +63,30 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, partition_by
     return spark.read.parquet(f"{base}/data")
 
 
+def run_updates_to_table(spark: SparkSession, counts: DataFrame, name: str) -> DataFrame:
+    """Run ``windowed_counts`` of a stream to completion in update mode; return every window's last count.
+
+    Each micro-batch writes the windows it changed to its own folder, which a
+    retry overwrites, so windows still open when the data ends are in the
+    result. Only rows that come after the watermark has passed their window
+    are left out, as in append mode.
+    """
+    base = scratch_path(spark, name)
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/data/epoch={epoch_id}")
+
+    q = (
+        counts.writeStream.outputMode("update").foreachBatch(per_batch)
+        .option("checkpointLocation", f"{base}/_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    keys = [c for c in counts.columns if c != "n_packets"]
+    return spark.read.parquet(f"{base}/data").groupBy(*keys).agg(F.max_by("n_packets", "epoch").alias("n_packets"))
+
+
 def score_reloading(
     spark: SparkSession,
     stream: DataFrame,

@@ -8,10 +8,12 @@ from pktsieve.operators.kmeans import score_km
 from pktsieve.plans.models import DT_ID, KM_ID
 from pktsieve.session import scratch_path
 from pktsieve.sinks.tables import write_dt_tables
-from pktsieve.sources.fixtures import grid_from
+from pktsieve.sources.fixtures import PACKETS_GRID_SQL, grid_from
 from pktsieve.streaming.score import (
     grid_stream,
+    read_table_stream,
     run_to_table,
+    run_updates_to_table,
     score_dt_stream,
     score_km_stream,
     score_reloading,
@@ -56,11 +58,31 @@ def test_windowed_stream_with_watermark(spark, dt):
     assert got.exceptAll(batch).count() == 0
 
 
+def test_windowed_stream_in_update_mode_is_complete(spark, dt):
+    """Windows still open at the end are in the result, and equal batch."""
+    s = score_dt_stream(grid_stream(spark, SF001), dt, DT_ID)
+    got = run_updates_to_table(spark, windowed_counts(s, "1 hour", "10 minutes"), "t_win_upd")
+    batch = windowed_counts(score_dt(grid_from(spark, SF001), dt, model_id=DT_ID, keep=["ts"]), "1 hour")
+    assert same(got, batch)
+
+
+def test_updates_over_several_batches_keep_the_last_count(spark, dt):
+    """A window that several micro-batches change is counted once; a neighbour of the table isn't read."""
+    base = scratch_path(spark, "t_win_many")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.repartition(3).write.parquet(f"{base}/events.parquet")
+    ev.write.parquet(f"{base}/events.parquet.bak")
+    packets = spark.sql(PACKETS_GRID_SQL, events=read_table_stream(spark, f"{base}/events.parquet", max_files=1))
+    # a delay longer than the data, so that no row is late
+    counts = windowed_counts(score_dt_stream(packets, dt, DT_ID), "1 hour", "3650 days")
+    got = run_updates_to_table(spark, counts, "t_win_many_out")
+    batch = windowed_counts(score_dt(grid_from(spark, SF001), dt, model_id=DT_ID, keep=["ts"]), "1 hour")
+    assert same(got, batch)
+
+
 def test_reload_takes_effect_next_batch(spark, dt):
     """Swapping the compiled tables between micro-batches changes the model used."""
     from pktsieve.plans.models import dt_without_rule
-    from pktsieve.sources.fixtures import PACKETS_GRID_SQL
-    from pktsieve.streaming.score import read_table_stream
 
     base = scratch_path(spark, "t_reload2")
     ev = spark.read.parquet(f"{SF001}/events.parquet")

@@ -1,6 +1,8 @@
 """Compiled tables on storage (A6, A7), routing."""
 
+import pytest
 from conftest import SF001
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pktsieve.operators.dtree_score import score_dt
@@ -35,3 +37,14 @@ def test_route_keeps_every_packet(spark):
     expect = {r.egress_port: r["count"] for r in out.filter("outcome != 'drop'").groupBy("egress_port").count().collect()}
     assert per_port == expect
     assert w.filter(F.col("route") == "sent").filter(F.col("egress_port").isNull()).count() == 0
+
+
+def test_route_rerun_replaces_its_own_run(spark):
+    out = score_dt(grid_from(spark, SF001), dt_without_rule(spark, 10), model_id=DT_ID)
+    path = scratch_path(spark, "t_route_run")
+    for run in ("a", "a", "b"):
+        route(out, path, run_id=run)
+    n = out.count()
+    assert {r["run"]: r["count"] for r in spark.read.parquet(path).groupBy("run").count().collect()} == {"a": n, "b": n}
+    with pytest.raises(AnalysisException):
+        route(out, path)
