@@ -40,6 +40,11 @@ HEADLINE = [
     "id_ranges_bulk",
     "rules_bulk",
     "model_audit",
+    "bins_bulk",
+    "rule_ids_bulk",
+    "dt_route",
+    "stream_dt_score",
+    "stream_windowed_counts",
 ]
 
 

@@ -281,6 +281,11 @@ class DTModel:
             self._cache["n_bins"] = self.bins.count()
         return self._cache["n_bins"]
 
+    def n_models(self) -> int:
+        if "n_models" not in self._cache:
+            self._cache["n_models"] = self.radix().count()
+        return self._cache["n_models"]
+
     def rule_stats(self) -> tuple[int, int]:
         """(most rules in one model, rules over all models)."""
         if "rule_stats" not in self._cache:
@@ -320,7 +325,8 @@ class DTModel:
 
     def cell_rule_pairs(self) -> DataFrame:
         """(model_id, cell, rule_id, class): every cell inside every rule's ranges."""
-        r = self.rules.join(F.broadcast(self.radix()), "model_id")
+        radix = F.broadcast(self.radix()) if self.n_models() <= MAX_BROADCAST_ROWS else self.radix()
+        r = self.rules.join(radix, "model_id")
         for i in range(N_FEATURES):
             r = r.select("*", F.explode(F.sequence(F.col("id_start")[i], F.col("id_end")[i])).alias(f"i{i}"))
         cell = F.lit(0).cast("bigint")
@@ -393,9 +399,12 @@ def compile_from_lines(spark: SparkSession, lines: DataFrame, check: bool = True
     """
     parsed = parse_dt_lines(lines)
     if mode == "strict":
-        found = strict_findings(spark, parsed).limit(5).collect()
-        if found:
-            raise ValueError("; ".join(f"model {r.model_id} line {r.line_no}: {r.finding}" for r in found))
+        found = strict_findings(spark, parsed).transform(checkpointed)
+        total = found.count()
+        if total:
+            first = found.orderBy("model_id", "line_no", "finding").limit(5).collect()
+            named = "; ".join(f"model {r.model_id} line {r.line_no}: {r.finding}" for r in first)
+            raise ValueError(f"{total} findings (strict_findings returns them all), the first: {named}")
     models = lines.select("model_id").distinct()
     # bins feed the lookups and the result: computed once, lineage cut
     bins = build_thresholds(spark, threshold_values(spark, parsed), models).transform(checkpointed)

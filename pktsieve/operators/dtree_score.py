@@ -95,7 +95,7 @@ def discretise_join(df: DataFrame, model: DTModel) -> DataFrame:
         out = out.withColumn("feature", F.lit(f))
         out = locate(out, bins, keys, f, {"bin_id": f"id{i}"}, expanded=exp, broadcast=bc).drop("feature")
     rad = model.radix().select("model_id", *[f"s{i}" for i in range(N_FEATURES)])
-    return out.join(F.broadcast(rad), "model_id", "left")
+    return out.join(_maybe_broadcast(rad, rows=model.n_models()), "model_id", "left")
 
 
 def cell_id() -> F.Column:
@@ -202,13 +202,13 @@ def match_rules(df: DataFrame, model: DTModel) -> DataFrame:
 MAX_INLINE = 1 << 16
 
 
-def inline_choice(model: DTModel, model_id: str) -> str | None:
-    """'cells' or 'ranges' when one model fits the inlined form, else None.
+def inline_fits(model: DTModel, model_id: str) -> tuple[str, ...]:
+    """The inlined forms, 'cells' before 'ranges', that one model is small enough for.
 
     Edges become one comparison each, so at most MAX_EDGES_EXPR per feature;
     the cell array or the rule masks must fit MAX_INLINE entries.
     """
-    key = ("inline_choice", model_id)
+    key = ("inline_fits", model_id)
     if key not in model._cache:
         per = (
             model.bins.filter(F.col("model_id") == model_id)
@@ -218,13 +218,13 @@ def inline_choice(model: DTModel, model_id: str) -> str | None:
         )
         most = model.rules.filter(F.col("model_id") == model_id).count()
         words = max(1, -(-most // BITS))
-        choice = None
+        fits = []
         if per.widest is not None and per.widest <= MAX_EDGES_EXPR:
             if per.cells <= MAX_INLINE and model.cell_pairs(model_id) <= MAX_CELL_PAIRS:
-                choice = "cells"
-            elif per.bins * words <= MAX_INLINE:
-                choice = "ranges"
-        model._cache[key] = choice
+                fits.append("cells")
+            if per.bins * words <= MAX_INLINE:
+                fits.append("ranges")
+        model._cache[key] = tuple(fits)
     return model._cache[key]
 
 
@@ -398,11 +398,9 @@ def score_dt(
     size check, shuffle joins beyond it.
     """
     if model_id is not None and ports is None and discretise_by in ("auto", "expr"):
-        choice = inline_choice(model, str(model_id))
-        if choice is not None and method in ("auto", choice, "ranges"):
-            return score_dt_inline(
-                packets, model, str(model_id), DT_CLASS_PORTS, method=choice if method == "auto" else method, keep=keep
-            )
+        fits = [m for m in inline_fits(model, str(model_id)) if method in ("auto", m)]
+        if fits:
+            return score_dt_inline(packets, model, str(model_id), DT_CLASS_PORTS, method=fits[0], keep=keep)
         # too large to fold: join path; a literal model_id folds away as a join
         # key, so bins are found by the block join (equi key: the block)
         discretise_by = "join"

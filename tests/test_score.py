@@ -203,7 +203,7 @@ def test_wide_model_uses_join_path(spark):
     from conftest import compile_text
     from pyspark.sql.functions import lit
 
-    from pktsieve.operators.dtree_score import inline_choice
+    from pktsieve.operators.dtree_score import inline_fits
     from pktsieve.sources.models import model_lines_from_text
 
     edges = ", ".join(f"np.float64({v}.5)" for v in range(0, 60000, 200))
@@ -216,7 +216,7 @@ def test_wide_model_uses_join_path(spark):
         "when src_port<=1000.5 and dst_port>500.5 then 4;\n"
     )
     m = compile_text(spark, text)
-    assert inline_choice(m, "m") is None
+    assert inline_fits(m, "m") == ()
     g = grid_from(spark, SF001)
     out = score_dt(g, m, model_id="m").select("pkt_id", "rule_id", "class_id")
     df = spark.createDataFrame([("m", text)], "model_id string, text string")
@@ -277,3 +277,14 @@ def test_neighbour_models_leave_the_stamp_alone(spark):
         for got in (score_km(pk, both), score_km(pk, both, model_id="a")):
             got = {r.pkt_id: (r.class_id, r.min_dist, r.delta, r.ipv4_identification) for r in got.collect()}
             assert got == want, k
+
+
+def test_ranges_asked_for_but_too_large_to_inline_take_the_joins(spark, dt):
+    from pktsieve.operators.dtree_compile import DTModel
+
+    m = DTModel(dt.bins, dt.rules, {("inline_fits", DT_ID): ("cells",)})
+    g = grid_from(spark, SF001)
+    cols = ["pkt_id", "rule_id", "class_id", "egress_port", "outcome"]
+    a = score_dt(g, dt, model_id=DT_ID).select(*cols)
+    b = score_dt(g, m, model_id=DT_ID, method="ranges").select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
