@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-__all__ = ["checkpointed", "connected_components", "groups_for", "table", "text_or_empty"]
+__all__ = ["checkpointed", "connected_components", "give_back", "groups_for", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,14 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Return a task's freed buffers to the system: its Python worker lives on beside the next tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory until it is told
+    if trim is not None:
+        trim(0)
+
+
 def groups_for(rows: int, per_group: int) -> int:
     """How many hash groups give about ``per_group`` rows each."""
     return max(1, math.ceil(rows / per_group))

@@ -38,13 +38,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
-from .common import checkpointed, connected_components, groups_for, text_or_empty
+from .common import checkpointed, connected_components, give_back, groups_for, text_or_empty
 from .hashing import mixed, shingle_set
 
 LEVELS = 3  # orders under which a set with too many empty blocks is indexed again
 BLOCK_SETS = 2_048  # sets and shingles of a block of a large cluster
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 1_000_000
 GROUP_SETS = 2_000  # sets of small clusters handled in one group
+ROWS = 1_000  # rows whose index lists a task holds
 
 
 class Threshold:
@@ -108,7 +109,7 @@ def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: i
     """``(id, n, h1, h2, sigs)`` per row: set size, content hash and index lists."""
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in (f.iloc[i : i + ROWS] for f in frames for i in range(0, len(f), ROWS)):
             rows = []
             for doc, body in zip(frame["id"], frame["text"]):
                 s = shingle_set(body, width)
@@ -119,6 +120,7 @@ def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: i
             out = pd.DataFrame(rows, columns=["id", "n", "h1", "h2", "sigs"])
             out["id"] = frame["id"].to_numpy()
             yield out
+        give_back()
 
     plain = docs.select(F.col(key).cast("string").alias("id"), text_or_empty(text).alias("text"))
     out = plain.mapInPandas(build, "id string, n long, h1 long, h2 long, sigs array<long>")
@@ -149,11 +151,17 @@ def link_cluster(sets: list[np.ndarray], threshold: Threshold) -> list[tuple[int
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return [(0, 1)] if threshold.links(both, len(sets[0]) + len(sets[1]) - both) else []
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(m), sizes)
-    _, token = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    order = np.argsort(token, kind="stable")
-    lists, heads = owner[order], np.concatenate(([0], np.cumsum(np.bincount(token))))
+    shingles = np.concatenate(sets)
+    order = np.argsort(shingles, kind="stable")
+    ranked = shingles[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    del shingles, ranked
+    heads = np.concatenate((np.flatnonzero(new), [len(order)]))
+    token = np.empty(len(order), dtype=np.int32)
+    token[order] = np.cumsum(new, dtype=np.int32) - 1
+    lists = np.repeat(np.arange(m, dtype=np.int32), sizes)[order]
+    del order, new
     comps, found = _Components(m), []
     limit = 1 - threshold.percent / 100
     leader, near = np.full(m, -1), np.zeros(m)  # a set linked to each set, and their distance
@@ -221,6 +229,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
             for x, y in link_cluster([shingle_set(t, width) for t in part["text"]], threshold):
                 if ids[x] != ids[y]:
                     out.append((ids[x], ids[y]))
+        give_back()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     links = work.groupBy("g", "b1", "b2").applyInPandas(compare, "a long, b long")

@@ -26,12 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_for, text_or_empty
+from .common import give_back, groups_for, text_or_empty
 from .tokens import encoder
 
 DOCS_PER_GROUP = 8_000
 CACHE = 300_000  # distinct words, and distinct pieces of words, that a task holds
-BATCH = 12_000_000  # bytes of texts that are encoded together
+BATCH = 3_000_000  # bytes of texts that are encoded together
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, h long"
 ARROW = pa.schema([(c, pa.string() if c == "doc_id" else pa.int64()) for c in re.findall(r"(\w+) (?:string|long)", PIECE)])
 PLACED = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -146,6 +146,7 @@ def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
         _words.clear()  # a worker lives on, its memory is the next task's
         _pieces.clear()
+        give_back()
 
     plain = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
     return plain.mapInArrow(cut, PIECE)

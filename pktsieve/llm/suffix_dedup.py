@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
-from .common import checkpointed, groups_for, text_or_empty
+from .common import checkpointed, give_back, groups_for, text_or_empty
 from .hashing import Prefix, mixed
 
 SEGMENTS = 16_000  # distinct segments of an anchor that one task compares
@@ -166,6 +166,7 @@ def _segments(docs: DataFrame, length: int, k: int) -> DataFrame:
                 h, content, place, first, last = find_anchors(np.frombuffer(raw, dtype=np.uint8), length, k)
                 rows.append((row.id, row.th, h.view(np.int64), content.view(np.int64), place, place - first, place - last))
             yield pd.DataFrame(rows, columns=["id", "th", "h", "c", "p", "far", "near"])
+        give_back()
 
     long_enough = docs.where(F.octet_length("text") >= length)
     return long_enough.mapInPandas(
@@ -277,6 +278,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
                 for s in segs:
                     rows.append((s["h"], s["c"], s["far"], s["near"], s["n"], s["kinds"], raw[s["p"] - s["far"] : s["p"] - s["near"] + length]))
             yield pd.DataFrame(rows, columns=["h", "c", "far", "near", "n", "kinds", "body"])
+        give_back()
 
     bodies = checkpointed(
         texts.join(wanted, ["id", "th"]).mapInPandas(read, "h long, c long, far int, near int, n long, kinds long, body binary")
@@ -290,6 +292,8 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
         ends = np.cumsum(far - near + 1)
         runs = [_runs(marked[b - (f - e + 1) : b], f) for f, e, b in zip(far, near, ends)]
         out = pd.DataFrame({"h": frame["h"], "c": frame["c"], "runs": runs})
+        del marked
+        give_back()
         return out[[len(r) > 0 for r in runs]]
 
     compared = (
@@ -353,6 +357,7 @@ def dedup_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
                 kept, removed, runs = remove_spans(_utf8(body), s)
                 rows.append((i, th, removed, runs, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(rows, columns=["id", "th", "removed", "runs", "sha"])
+        give_back()
 
     cut = touched.join(spans, ["id", "th"]).mapInPandas(digest, "id string, th long, removed long, runs long, sha string")
     every = plain.select("id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "utf-8"), 256).alias("own"))
