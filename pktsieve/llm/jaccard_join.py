@@ -2,8 +2,8 @@
 
 Index. A document's set of shingles is sorted by hash value and cut at fixed
 values into blocks, so a block is a stretch of positions. Two sets of sizes a
-and b that link differ in at most (a + b) / 19 elements (at 0.9), so if there
-are more blocks than that they agree in at least one whole block: the index
+and b that link differ in at most (a + b) / 19 elements (at 0.9; (a + b) / 9 at
+0.8), so if there are more blocks than that they agree in at least one whole block: the index
 list of a block's content skips everything else at that position. Sizes are
 dealt to classes, and a set also enters the next class if it is large enough
 to link there, so lists hold sets of comparable size only. Blocks that are
@@ -74,8 +74,12 @@ class Threshold:
         for k in found:
             apart = self.most_apart(self.bounds[k + 1] - 1)
             if apart:  # otherwise only equal sets link, which are one class
-                spare = 1 + apart // 50
-                out.append((k, apart + 1 + spare, spare))
+                n = apart + 2 + apart // 50
+                # the smallest sets of the class leave more blocks empty, the lower the threshold
+                least = max(1, -(-self.percent * self.bounds[k] // 100))
+                while n - apart - 1 < (empty := n * (1 - 1 / n) ** least) + 2 * empty**0.5:
+                    n += 1
+                out.append((k, n, n - apart - 1))
         return out
 
 

@@ -21,8 +21,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays, the one with the smallest id; rows without an id stay."""
-    linked = link_documents(docs, "doc_id", "text", percent=90, width=3)
+    """One document of each group of linked documents stays, the one with the smallest id; rows without an id stay.
+
+    Links are of the general rule: shingles of five words, similarity 0.8 or more.
+    """
+    linked = link_documents(docs, "doc_id", "text", percent=80, width=5)
     gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(*docs.columns).alias("h"))
     kept = packed.join(gone, F.col("own") == F.col("gone"), "left_anti")
