@@ -8,7 +8,11 @@ list of a block's content skips everything else at that position. Sizes are
 dealt to classes, and a set also enters the next class if it is large enough
 to link there, so lists hold sets of comparable size only. Blocks that are
 empty tell nothing; spare blocks make up for them, and the few sets with more
-empty blocks than that are indexed again under another order.
+empty blocks than that are indexed again under another order. Classes of small
+sets, in which no number of blocks leaves enough of them filled, are listed by
+single shingles instead: the shingles of a set are ordered by how many sets hold
+them, rarest first, and two sets that link share one of the first
+``size - least overlap + 1`` of both.
 
 Answers. Sets that share an index list form candidate clusters. In a cluster,
 one set's overlaps with all others are counted at once; sets linked to it
@@ -53,6 +57,7 @@ class Threshold:
 
     def __init__(self, percent: int):
         self.percent = percent
+        self._shapes: dict[int, tuple[int, int]] = {}
         self.bounds = [1]
         while self.bounds[-1] < 1 << 40:
             self.bounds.append(max(self.bounds[-1] + 1, -(-self.bounds[-1] * 3 // 2)))
@@ -64,23 +69,33 @@ class Threshold:
         """Elements in which two linked sets of at most this size can differ."""
         return 2 * larger * (100 - self.percent) // (100 + self.percent)
 
+    def prefix(self, size: int) -> int:
+        """How many of a set's shingles, in an order common to all sets, hold one that any linked set's first hold too."""
+        return size + (-self.percent * size) // 100 + 1
+
+    def _shape(self, k: int) -> tuple[int, int]:
+        """Blocks and spare blocks of a class; (0, 0) if no number of blocks will do, (0, -1) if only equal sets link."""
+        if k not in self._shapes:
+            apart = self.most_apart(self.bounds[k + 1] - 1)
+            # the smallest sets of the class leave more blocks empty, the lower the threshold
+            least = max(1, -(-self.percent * self.bounds[k] // 100))
+            shape = (0, 0) if apart else (0, -1)
+            for n in range(apart + 2 + apart // 50, 2 * apart + 8) if apart else ():
+                empty = n * (1 - 1 / n) ** least
+                if n - apart - 1 >= empty + 2 * empty**0.5:
+                    shape = n, n - apart - 1
+                    break
+            self._shapes[k] = shape
+        return self._shapes[k]
+
     def classes(self, size: int) -> list[tuple[int, int, int]]:
-        """(class, blocks, spare blocks) that a set of this size is indexed in."""
+        """(class, blocks, spare blocks) that a set of this size is indexed in; 0 blocks: it is listed by shingles."""
         c = int(np.searchsorted(self.bounds, size, side="right")) - 1
         found = [c]
         if 100 * size >= self.percent * self.bounds[c + 1]:
             found.append(c + 1)
-        out = []
-        for k in found:
-            apart = self.most_apart(self.bounds[k + 1] - 1)
-            if apart:  # otherwise only equal sets link, which are one class
-                n = apart + 2 + apart // 50
-                # the smallest sets of the class leave more blocks empty, the lower the threshold
-                least = max(1, -(-self.percent * self.bounds[k] // 100))
-                while n - apart - 1 < (empty := n * (1 - 1 / n) ** least) + 2 * empty**0.5:
-                    n += 1
-                out.append((k, n, n - apart - 1))
-        return out
+        # in a class whose shape has -1 only equal sets link, which are one before anything is compared
+        return [(k, *self._shape(k)) for k in found if self._shape(k)[1] >= 0]
 
 
 def _blocks(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +110,8 @@ def signatures(s: np.ndarray, threshold: Threshold) -> np.ndarray:
     """Keys of the index lists that a set of sorted hashes is in."""
     out = []
     for k, n, spare in threshold.classes(len(s)):
+        if not n:
+            continue
         for level in range(LEVELS):
             values = s if level == 0 else np.sort(mixed(s + np.uint64(level)))
             sums, sizes = _blocks(values, n)
@@ -110,7 +127,10 @@ def signatures(s: np.ndarray, threshold: Threshold) -> np.ndarray:
 
 
 def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: int) -> DataFrame:
-    """``(id, n, h1, h2, sigs)`` per row: set size, content hash and index lists."""
+    """``(id, n, h1, h2, sigs, loose, th)`` per row.
+
+    Set size, content hash, index lists, the shingles of a set that is listed by them, and the text's hash.
+    """
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in (f.iloc[i : i + ROWS] for f in frames for i in range(0, len(f), ROWS)):
@@ -120,17 +140,35 @@ def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: i
                 h1 = mixed(s).sum(dtype=np.uint64)
                 h2 = mixed(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)
                 sigs = signatures(s, threshold) if len(s) else s
-                rows.append((doc, len(s), int(h1.astype(np.int64)), int(h2.astype(np.int64)), sigs.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["id", "n", "h1", "h2", "sigs"])
+                loose = s if len(s) and any(not n for _, n, _ in threshold.classes(len(s))) else s[:0]
+                rows.append((doc, len(s), int(h1.astype(np.int64)), int(h2.astype(np.int64)), sigs.view(np.int64), loose.view(np.int64)))
+            out = pd.DataFrame(rows, columns=["id", "n", "h1", "h2", "sigs", "loose"])
+            out["th"] = frame["th"].to_numpy()
             out["id"] = frame["id"].to_numpy()
             yield out
         give_back()
 
-    plain = docs.select(F.col(key).cast("string").alias("id"), text_or_empty(text).alias("text"))
-    out = plain.mapInPandas(build, "id string, n long, h1 long, h2 long, sigs array<long>")
+    body = text_or_empty(text)
+    plain = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"), F.xxhash64(body).alias("th"))
+    out = plain.mapInPandas(build, "id string, n long, h1 long, h2 long, sigs array<long>, loose array<long>, th long")
     return out.withColumn("id", F.col("id").cast("long"))
 
 
+def rare_first(sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """``(sig, node)``: the index lists of the sets that are listed by single shingles.
+
+    ``sets`` holds ``(node, n, loose)``. A shingle that one set alone holds
+    lists nothing, but takes one of the first places of its set.
+    """
+    p = threshold.percent
+    held = sets.where(F.size("loose") > 0).select("node", "n", F.explode("loose").alias("sh"))
+    often = held.groupBy("sh").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = held.join(often, "sh").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sh"))).alias("s"))
+    first = F.expr(f"n - cast(ceil({p} * n / 100) as int) + 1 - (n - size(s))").cast("int")
+    lists = shared.select("node", F.explode(F.slice("s", F.lit(1), F.greatest(first, F.lit(0)))).alias("x"))
+    return lists.select(F.xxhash64(F.lit(9), "x.sh").alias("sig"), "node")
+
+
 class _Components:
     def __init__(self, n: int):
         self.of = np.arange(n)
@@ -193,7 +231,7 @@ def link_cluster(sets: list[np.ndarray], threshold: Threshold) -> list[tuple[int
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
-    """``(key, n_shingles, component_id)`` of every row: set size and the smallest id reachable by links."""
+    """``(key, n_shingles, component_id, text_hash)`` of every row: set size, the smallest id reachable by links, xxhash64 of the text."""
     threshold = Threshold(percent)
     rows = checkpointed(indexed(docs, key, text, threshold, width))
     named = rows.where("id is not null and n > 0")
@@ -203,7 +241,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     small = lambda df, n: F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df  # noqa: E731  checked size
     # index lists with more than one set; a list is a star around its smallest set
     one_each = named.join(small(reps.select("n", "h1", "h2", F.col("rep").alias("id")), n_reps), ["n", "h1", "h2", "id"])
-    posts = one_each.select(F.explode("sigs").alias("sig"), F.col("h1").alias("node")).repartition("sig")
+    loose = rare_first(one_each.select(F.col("h1").alias("node"), "n", "loose"), threshold)
+    posts = one_each.select(F.explode("sigs").alias("sig"), F.col("h1").alias("node")).unionByName(loose).repartition("sig")
     lists = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     edges = posts.join(lists, "sig").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     clusters = connected_components(edges)
@@ -242,9 +281,9 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     of_class = reps.join(comps, F.col("rep") == F.col("id"), "left").select(
         "n", "h1", "h2", F.coalesce("component", "rep").alias("component_id")
     )
-    out = rows.select("id", "n", "h1", "h2").join(of_class, ["n", "h1", "h2"], "left")
+    out = rows.select("id", "n", "h1", "h2", "th").join(of_class, ["n", "h1", "h2"], "left")
     comp = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
     return out.select(
         F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"),
-        comp.cast(docs.schema[key].dataType).alias("component_id"),
+        comp.cast(docs.schema[key].dataType).alias("component_id"), F.col("th").alias("text_hash"),
     )

@@ -67,7 +67,7 @@ def op7_winnowing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return link_documents(table(spark, sf, "documents"), "doc_id", "text", percent=90, width=3)
+    return link_documents(table(spark, sf, "documents"), "doc_id", "text", percent=90, width=3).drop("text_hash")
 
 
 OP8_SQL = r"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid
+from .common import text_or_empty
 from .jaccard_join import link_documents
 from .mixing import mixed_documents
 from .packing import pack
@@ -23,15 +24,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays, the one with the smallest id; rows without an id stay.
 
-    Links are of the general rule: shingles of five words, similarity 0.8 or more.
+    Links are of the general rule: shingles of five words, similarity 0.8 or
+    more. A document is a row's id and text: of rows that repeat both one stays
+    (the one whose columns hash lowest), rows that share an id but not the text
+    are judged each. Null and empty texts link with nothing; an empty table
+    gives an empty table.
     """
     linked = link_documents(docs, "doc_id", "text", percent=80, width=5)
-    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(*docs.columns).alias("h"))
-    kept = packed.join(gone, F.col("own") == F.col("gone"), "left_anti")
-    # rows that share an id are one document
-    named = kept.where("own is not null").groupBy("own").agg(F.min_by("row", "h").alias("row")).select("row.*")
-    return named.unionByName(kept.where("own is null").select("row.*"))
+    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("own"), F.col("text_hash").alias("th")).distinct()
+    packed = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own"), F.xxhash64(text_or_empty("text")).alias("th")
+    )
+    kept = packed.join(gone, ["own", "th"], "left_anti")
+    # only rows that repeat an id and a text are gathered by them
+    again = linked.where("doc_id = component_id").groupBy(F.col("doc_id").alias("own"), F.col("text_hash").alias("th")).count()
+    again = again.where("count > 1").select("own", "th")
+    repeats = kept.join(again, ["own", "th"], "left_semi").groupBy("own", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.join(again, ["own", "th"], "left_anti").select("row.*").unionByName(repeats.select("row.*"))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

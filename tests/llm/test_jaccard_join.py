@@ -6,13 +6,13 @@ import re
 from pktsieve.llm import jaccard_join as jj
 
 
-def shingles(text):
+def shingles(text, width=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(w)} if 0 < len(w) < 3 else {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    return {tuple(w)} if 0 < len(w) < width else {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
 
 
-def brute(texts, ids):
-    sets = [shingles(t) for t in texts]
+def brute(texts, ids, percent=90, width=3):
+    sets = [shingles(t, width) for t in texts]
     comp = list(range(len(texts)))
 
     def find(i):
@@ -23,7 +23,7 @@ def brute(texts, ids):
     for i in range(len(texts)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and ids[i] is not None and ids[j] is not None and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and ids[i] is not None and ids[j] is not None and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(i), find(j)
                 comp[max(x, y)] = min(x, y)
     least = {}
@@ -57,10 +57,41 @@ def test_equals_all_pairs(docs_of, monkeypatch):
     for blocks in (2048, 3):  # 3: clusters are cut into blocks
         monkeypatch.setattr(jj, "BLOCK_SETS", blocks)
         want = brute(texts, ids)
-        got = jj.link_documents(docs_of(texts, ids=ids)).collect()
+        got = jj.link_documents(docs_of(texts, ids=ids)).drop("text_hash").collect()
         assert sorted(map(str, (tuple(r) for r in got))) == sorted(str((k[1], *v)) for k, v in want.items())
 
 
+def test_equals_all_pairs_at_five_words(docs_of):
+    """At 80 % of five-word shingles: small sets listed by shingles, and near copies between 0.80 and 0.90."""
+    rnd = random.Random(80)
+    words = [f"v{i}" for i in range(400)]
+    line = [rnd.choice(words) for _ in range(14)]  # a line that many small texts hold
+    texts = corpus(rnd)
+    for n in [4, 5, 6, 8, 12, 16, 24, 31, 40, 44, 48, 60, 90, 150, 300]:
+        for _ in range(4):
+            base = [rnd.choice(words) for _ in range(n)] + (line if n < 50 else [])
+            for gone in (0, 1, 2, n // 10, n // 7):
+                at = rnd.randrange(len(base) - gone + 1)
+                texts.append(" ".join(base[:at] + base[at + gone :]))
+            at = rnd.randrange(len(base))
+            texts.append(" ".join([*base[:at], "new", *base[at + 1 :]]))
+    ids = rnd.sample(range(10_000), len(texts))
+    want = brute(texts, ids, 80, 5)
+    near = sum(v[1] != k[1] for k, v in want.items())
+    assert near > 150
+    got = jj.link_documents(docs_of(texts, ids=ids), percent=80, width=5).collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted((k[1], *v) for k, v in want.items())
+
+
+def test_every_threshold_has_classes():
+    for percent in range(50, 100):
+        t = jj.Threshold(percent)
+        for size in range(1, 5001):
+            for k, n, spare in t.classes(size):
+                apart = t.most_apart(t.bounds[k + 1] - 1)
+                assert apart >= 1 and (n, spare) == (0, 0) or n == apart + 1 + spare <= 2 * apart + 8
+
+
 def test_clusters_by_derived_answers_equal_all_pairs():
     import numpy as np
 

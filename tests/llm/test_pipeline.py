@@ -38,6 +38,22 @@ def test_stages_and_columns(spark, docs_of, tmp_path):
     assert counts[-1] > 0
 
 
+def test_join_stage_keeps_one_of_near_copies_and_differing_texts_of_an_id(spark, docs_of):
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(900)]
+    base = [rnd.choice(words) for _ in range(200)]
+    cut = base[:90] + base[115:]  # 0.80 to 0.90 of the shingles
+    other = [rnd.choice(words) for _ in range(30)]
+    texts = [" ".join(base), " ".join(cut), " ".join(other), " ".join(other[:20]), None, None, "", " ".join(base), "same", "same"]
+    ids = [1, 2, 3, 3, 5, 5, 6, 3, 9, 9]
+    docs = docs_of(texts, ids=ids).select("doc_id", "text", "lang", "source", "n_chars")
+    a, b = (len({tuple(t[i : i + 5]) for i in range(len(t) - 4)}) for t in (base, cut))
+    assert 0.80 <= b / (a + 4) < 0.90
+    rows = stages.ngram_jaccard_join(spark, docs, "").collect()
+    got = sorted((r["doc_id"], r["text"] or "") for r in rows)
+    assert got == sorted([(1, texts[0]), (3, texts[2]), (3, texts[3]), (5, ""), (6, ""), (9, "same")])
+
+
 def test_empty_documents(spark, docs_of):
     docs = docs_of(["x"]).where("false").select("doc_id", "text", "lang", "source", "n_chars")
     for stage in (stages.language_id, stages.ngram_jaccard_join, stages.suffix_array_dedup, stages.mix_sources, stages.packing):
