@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-__all__ = ["checkpointed", "connected_components", "give_back", "groups_for", "table", "text_or_empty"]
+__all__ = ["checkpointed", "connected_components", "give_back", "groups_for", "small", "table", "text_or_empty"]
+
+# Broadcast limit in bytes of a hashed relation, as estimated from counted rows and their 8-byte words.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +40,11 @@ def groups_for(rows: int, per_group: int) -> int:
     return max(1, math.ceil(rows / per_group))
 
 
+def small(df: DataFrame, rows: int, words: int) -> DataFrame:
+    """``df`` to be broadcast if its counted rows of about ``words`` 8-byte values fit the limit, else as it is."""
+    return F.broadcast(df) if rows * 8 * (words + 4) <= MAX_BROADCAST_BYTES else df
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph of longs.
 
@@ -47,7 +55,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     its larger (then its smaller) neighbours, so edges become stars around the
     smallest ids in a logarithmic number of rounds. Minima are taken by
     aggregation and joined back, so no node's neighbours are ever gathered in
-    one group. Each round is checkpointed in the shared folder.
+    one group. Each round is checkpointed in the shared folder. Rounds join by
+    sorting, so no round's minima are gathered in the driver for a broadcast.
     """
     both = edges.where("a is not null and b is not null and a <> b")
     cur = checkpointed(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -56,11 +65,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         sym = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         big = (
-            sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            sym.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         )
         # small star: u's smaller neighbours and u are linked to u's minimum
         low = big.groupBy("u").agg(F.min("v").alias("m"))
-        linked = big.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        linked = big.join(low.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = checkpointed(linked.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         state = nxt.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         before = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
