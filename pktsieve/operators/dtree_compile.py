@@ -27,6 +27,8 @@ from ..constants import (
 from ..functions.arith import clamp, safe_double
 from ..session import MAX_BROADCAST_ROWS, checkpointed
 from ..sources.models import UNI, parse_dt_lines, read_model_lines
+from .box_index import BoxIndex
+from .box_index import build as build_index
 from .intervals import expand_blocks, locate
 from .numbering import number_in_order
 
@@ -174,6 +176,29 @@ def rule_bounds(spark: SparkSession, preds: DataFrame, keys: list[str], rules: D
     )
 
 
+def raw_boxes(spark: SparkSession, preds: DataFrame, keys: list[str], rules: DataFrame) -> DataFrame:
+    """The rules' own conditions as boxes: keys + (lo ARRAY<INT>, hi ARRAY<INT>).
+
+    Features are integers, so ``<= v`` is ``<= floor(v)`` and ``> v`` is ``>= floor(v) + 1``.
+    Nothing is clamped or widened to bins; a rule that no value of the domain
+    meets is left out. Each rule's predicates are intersected by one aggregation.
+    """
+    k = known_predicates(spark, preds)
+    v = F.greatest(F.lit(-2.0), F.least(F.col("value"), F.col("fmax").cast("double") + 2))
+    edge = F.floor(v).cast("int")
+    cells = []
+    for i, f in enumerate(DT_FEATURES):
+        here = F.col("fpos") == i
+        cells.append(F.max(F.when(here & (F.col("op") == ">"), edge + 1)).alias(f"a{i}"))
+        cells.append(F.min(F.when(here & (F.col("op") == "<="), edge)).alias(f"b{i}"))
+    bounds = k.groupBy(*keys).agg(*cells)
+    full = rules.select(*keys).join(bounds, keys, "left")
+    lo = [F.greatest(F.lit(0), F.coalesce(f"a{i}", F.lit(0))) for i in range(N_FEATURES)]
+    hi = [F.least(F.lit(FEATURE_MAX[f]), F.coalesce(f"b{i}", F.lit(FEATURE_MAX[f]))) for i, f in enumerate(DT_FEATURES)]
+    out = full.select(*keys, F.array(*lo).alias("lo"), F.array(*hi).alias("hi"))
+    return out.where(F.forall(F.arrays_zip("lo", "hi"), lambda x: x["lo"] <= x["hi"]))
+
+
 def id_ranges(bounds: DataFrame, bins: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """C6 + D3: first and last bin overlapping [lo, hi].
 
@@ -334,6 +359,22 @@ class DTModel:
             cell = cell + F.col(f"i{i}").cast("bigint") * F.col(f"s{i}")
         return r.select("model_id", cell.alias("cell"), "rule_id", "class")
 
+    def boxes(self) -> DataFrame:
+        """The rules as boxes of raw values: (model_id, rule_id, class, lo ARRAY<INT>, hi ARRAY<INT>), inclusive."""
+        vec = self.vectors()
+        right = F.broadcast(vec) if self.n_bins() <= MAX_BROADCAST_ROWS else vec
+        j = self.rules.join(right, "model_id")
+        first = lambda i: F.col("id_start")[i]
+        lo = [F.when(first(i) == 0, F.lit(0)).otherwise(F.get(f"u{i}", first(i) - 1) + 1) for i in range(N_FEATURES)]
+        hi = [F.get(f"u{i}", F.col("id_end")[i]) for i in range(N_FEATURES)]
+        return j.select("model_id", "rule_id", "class", F.array(*lo).alias("lo"), F.array(*hi).alias("hi"))
+
+    def index(self) -> BoxIndex:
+        """The first-match index of all models, built once per compiled model."""
+        if "index" not in self._cache:
+            self._cache["index"] = build_index(self.boxes(), self.model_ids())
+        return self._cache["index"]
+
     def model_ids(self) -> DataFrame:
         """Distinct model ids (computed once per compiled model)."""
         if "ids" not in self._cache:

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..constants import DT_CLASS_PORTS, DT_FEATURES
 from ..functions.features import bypass_port, features, is_bypass
 from ..session import MAX_BROADCAST_ROWS, checkpointed
-from .dtree_compile import MAX_CELL_PAIRS, N_FEATURES, DTModel, known_predicates, predicates, rule_lines
+from .box_index import BoxIndex
+from .box_index import build as build_index
+from .dtree_compile import MAX_CELL_PAIRS, N_FEATURES, DTModel, known_predicates, predicates, raw_boxes, rule_lines
 from .intervals import expand_blocks, locate
 
 # Above this many edges per feature and model, bins are found by a join
@@ -374,11 +376,6 @@ def finish(df: DataFrame, model_cols: list[str]) -> DataFrame:
     return df.select(*cols, outcome.alias("outcome"))
 
 
-def choose_method(model: DTModel) -> str:
-    """Cells when the flat table is small, else direct range matching."""
-    return "cells" if model.cell_pairs() <= MAX_CELL_PAIRS else "ranges"
-
-
 def score_dt(
     packets: DataFrame,
     model: DTModel,
@@ -394,28 +391,34 @@ def score_dt(
     Output: pkt_id, rule_id, class_id, egress_port, outcome (+ ``keep``).
     With ``model_id`` given (one model), the compiled tables are folded into
     the projection: one narrow stage, no join. With a ``model_id`` column
-    (many models), model tables join by equi keys - broadcast after their
-    size check, shuffle joins beyond it.
+    (many models), or a model too large to fold, the first-match index is joined
+    by ``model_id``, one row per model (``method="index"``). ``"cells"`` and ``"ranges"`` are
+    the table forms: bins, then the flat cell table or the rule masks, joined by
+    equi keys - broadcast after their size check, shuffle joins beyond it.
     """
     if model_id is not None and ports is None and discretise_by in ("auto", "expr"):
         fits = [m for m in inline_fits(model, str(model_id)) if method in ("auto", m)]
         if fits:
             return score_dt_inline(packets, model, str(model_id), DT_CLASS_PORTS, method=fits[0], keep=keep)
-        # too large to fold: join path; a literal model_id folds away as a join
-        # key, so bins are found by the block join (equi key: the block)
+        # too large to fold: the join path, whose bins (if it needs any) come
+        # from the block join, as a literal model_id folds away as a join key
         discretise_by = "join"
     ports = class_port_table(model.model_ids()) if ports is None else ports
     if check:
         check_ports(model.rules, ports)
     f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
+    if method in ("auto", "index"):
+        return _routed(model.index().match(f), ports, keep)
     if discretise_by == "auto":
         widest = model.bins.groupBy("model_id", "feature").count().agg(F.max("count")).collect()[0][0] or 0
         discretise_by = "expr" if widest <= MAX_EDGES_EXPR else "join"
     d = discretise(f, model) if discretise_by == "expr" else discretise_join(f, model)
-    if method == "auto":
-        method = choose_method(model)
-    m = match_cells(d, model) if method == "cells" else match_rules(d, model)
-    p = assign_port(m, ports)
+    return _routed(match_cells(d, model) if method == "cells" else match_rules(d, model), ports, keep)
+
+
+def _routed(matched: DataFrame, ports: DataFrame, keep: list[str] | None) -> DataFrame:
+    """C4, C3 and B7 for packets with their rule and class."""
+    p = assign_port(matched, ports)
     base = ["pkt_id", "ingress_port", "rule_id", "class_id", "egress_port"]
     out = p.select(*base, *[c for c in dict.fromkeys(keep or []) if c not in base])
     res = finish(out, ["rule_id", "class_id"])
@@ -430,14 +433,13 @@ def rule_conditions(spark: SparkSession, lines: DataFrame, model_id: str) -> lis
 
     Collects the predicates of one model (bounded by the model text) so the
     rule list can be written as one CASE. Output (rule_no, condition, class).
+    Long rule lists, and many models, are evaluated through ``rules_index`` instead.
     """
     from ..sources.models import parse_dt_lines
 
     rules = rule_lines(parse_dt_lines(lines.filter(F.col("model_id") == model_id)))
     keys = ["line_no", "class"]
     preds = known_predicates(spark, predicates(rules, keys))
-    if rules.count() > 10_000 or preds.count() > 100_000:
-        raise ValueError("rule list too long to evaluate as one expression")
     rows = preds.select("line_no", "class", "feature", "op", "value").collect()
     line_order = sorted({r.line_no for r in rules.select("line_no").collect()})
     classes = {r.line_no: r["class"] for r in rules.select("line_no", "class").collect()}
@@ -447,6 +449,16 @@ def rule_conditions(spark: SparkSession, lines: DataFrame, model_id: str) -> lis
     return [(i, " AND ".join(by_line[ln]) or "TRUE", int(classes[ln])) for i, ln in enumerate(line_order)]
 
 
+def rules_index(spark: SparkSession, preds: DataFrame, rules: DataFrame) -> BoxIndex:
+    """J6 for rule lists of any length and any number of models: an index of the rules' own conditions.
+
+    ``preds`` is (model_id, rule_id, feature, op, value), ``rules`` (model_id, rule_id, class).
+    """
+    keys = ["model_id", "rule_id", "class"]
+    with_class = preds.join(rules.select(*keys), ["model_id", "rule_id"])
+    return build_index(raw_boxes(spark, with_class, keys, rules), rules.select("model_id").distinct())
+
+
 def eval_rules(df: DataFrame, conditions: list[tuple[int, str, int]]) -> DataFrame:
     """The rule text evaluated directly on raw features (first true rule).
 

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ..constants import BYPASS_INGRESS_PORT
 from ..functions.features import features
 from ..operators import dtree_compile as dc
-from ..operators.dtree_score import eval_rules, inline_dt, rule_conditions, score_dt
+from ..operators.dtree_score import class_port_table, eval_rules, inline_dt, rule_conditions, rules_index, score_dt
 from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
 from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
-from ..operators.audit import predicate_audit
+from ..operators.audit import cell_audit, classes_without_port, predicate_audit
 from ..operators.numbering import number_in_order
 from ..session import checkpointed, scratch_path
 from ..sinks.tables import route, write_dt_tables
@@ -85,8 +85,18 @@ def q_dt_match(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_dt_score_multi(spark: SparkSession, sf: str) -> DataFrame:
     """Many models at once: the arrival port picks the model (port 129 gets the
-    tree without rule 10); model tables join on model_id, bins by the block
-    join (C1 join form), rules by the bit-vector match (C2)."""
+    tree without rule 10); the first-match index joins on model_id (C2, E5)."""
+    m = two_trees(spark)
+    g = grid_from(spark, sf).withColumn(
+        "model_id", F.when(F.col("ingress_port") == 129, F.lit(ALT_ID)).otherwise(F.lit(DT_ID))
+    )
+    out = score_dt(g, m, keep=["model_id"])
+    return out.select("pkt_id", "model_id", "class_id", "egress_port", "outcome")
+
+
+def q_dt_match_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """The table forms for many models: bins by the block join (C1 join form),
+    rules by the bit-vector match (C2), both joined on model_id."""
     m = two_trees(spark)
     g = grid_from(spark, sf).withColumn(
         "model_id", F.when(F.col("ingress_port") == 129, F.lit(ALT_ID)).otherwise(F.lit(DT_ID))
@@ -302,7 +312,7 @@ def q_rule_ids_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return number_in_order(rows, "model_id", "rule_id", "rule_no")
 
 
-def corpus_model(spark: SparkSession, sf: str) -> dc.DTModel:
+def corpus_model(spark: SparkSession, sf: str, n_classes: int = 5) -> dc.DTModel:
     """The 20 generated corpus models compiled to tree tables (no text step):
     every rule completed to 5 features, empty rules dropped, rules numbered per
     model in rule order; a rule's class is its id mod 5 (the corpus has none)."""
@@ -313,25 +323,39 @@ def corpus_model(spark: SparkSession, sf: str) -> dc.DTModel:
     numbered = number_in_order(rows.transform(checkpointed), "model_id", "rule_id", "rule_no")
     rules = numbered.select(
         "model_id", F.col("rule_no").alias("rule_id"), F.col("rule_id").alias("line_no"),
-        (F.col("rule_id") % 5).cast("int").alias("class"), "id_start", "id_end",
+        (F.col("rule_id") % n_classes).cast("int").alias("class"), "id_start", "id_end",
     )
     return dc.DTModel(bins=bins, rules=rules.transform(checkpointed))
 
 
 def q_dt_score_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Many large models at once: grid packets, each scored by corpus model
-    pkt_id mod 20, through the join path (block-join bins, multi-word
-    bit-vector rule match, rule -> class join, port map)."""
+    pkt_id mod 20, through the first-match index and the port map."""
     g = grid_from(spark, sf).withColumn("model_id", (F.col("pkt_id") % 20).cast("int"))
     out = score_dt(g, corpus_model(spark, sf), keep=["model_id"])
     return out.select("pkt_id", "model_id", "rule_id", "class_id", "egress_port", "outcome")
 
 
+def q_dt_rules_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """J6 for many large rule lists: the corpus rules' own conditions on raw
+    values (no bins, no clamping), first true rule by rule id, class id mod 5."""
+    p = _preds(spark, sf)
+    rules = p.select("model_id", "rule_id").distinct().withColumn("class", (F.col("rule_id") % 5).cast("int"))
+    g = features(grid_from(spark, sf)).withColumn("model_id", (F.col("pkt_id") % 20).cast("int"))
+    return rules_index(spark, p, rules).match(g).select("pkt_id", "model_id", "rule_id", "class_id")
+
+
 def q_model_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """X3 on the generated corpus: ignored, clamped and off-threshold predicates,
-    rules with an empty range, per model."""
+    """X3 on the generated corpus, per model: ignored, clamped and off-threshold
+    predicates, rules with an empty range; cells without a rule and with several;
+    rules whose class has no port (a rule's class is its id mod 7 here, so some have none)."""
     p = _preds(spark, sf)
-    return predicate_audit(spark, p, _bins_bulk(spark, sf), ["model_id", "rule_id"])
+    model = corpus_model(spark, sf, n_classes=7)
+    found = predicate_audit(spark, p, model.bins, ["model_id", "rule_id"])
+    lost = classes_without_port(model.rules, class_port_table(model.model_ids()))
+    lost = lost.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_rules_without_port"))
+    out = found.join(cell_audit(model), "model_id").join(lost, "model_id", "left")
+    return out.fillna(0, ["n_rules_without_port"])
 
 
 def q_rules_bulk(spark: SparkSession, sf: str) -> DataFrame:
@@ -357,6 +381,8 @@ REGISTRY: dict[str, Query] = {
     "dt_score_bulk": q_dt_score_bulk,
     "dt_match": q_dt_match,
     "dt_score_multi": q_dt_score_multi,
+    "dt_match_multi": q_dt_match_multi,
+    "dt_rules_corpus": q_dt_rules_corpus,
     "dt_default_drop": q_dt_default_drop,
     "dt_route_counts": q_dt_route_counts,
     "class_counts": q_class_counts,
@@ -424,6 +450,41 @@ def _ids_sql(src: str = "bounds") -> str:
     )
 
 
+def _coverage_sql() -> str:
+    """``cov`` (model_id, n_cells, once, twice) over ``valid`` and ``bins``: boxes of id ranges cut in two until one rule
+    at most reaches in, or two cover all. The cut is the median of the lower edges inside, of the feature with the most."""
+    five = range(5)
+    inside = [f"CASE WHEN r.s{i} > b.l{i} THEN r.s{i} WHEN r.e{i} < b.h{i} THEN r.e{i} + 1 END" for i in five]
+    meets = " AND ".join(f"r.s{i} <= b.h{i} AND r.e{i} >= b.l{i}" for i in five)
+    whole = " AND ".join(f"r.s{i} <= b.l{i} AND r.e{i} >= b.h{i}" for i in five)
+    box = ", ".join(f"b.l{i}, b.h{i}" for i in five)
+    size = lambda lo, hi: " * ".join(f"CAST({hi.format(i=i)} - {lo.format(i=i)} + 1 AS HUGEINT)" for i in five)
+    part = size("GREATEST(r.s{i}, b.l{i})", "LEAST(r.e{i}, b.h{i})")
+    stats = (
+        f"SELECT b.model_id, {box}, COUNT(*) AS n, COUNT(*) FILTER ({whole}) AS full_n, MIN({part}) AS part, "
+        + ", ".join(f"COUNT({e}) AS c{i}, quantile_disc({e}, 0.5) AS m{i}" for i, e in enumerate(inside))
+        + f" FROM {{}} b JOIN valid r ON r.model_id = b.model_id AND {meets} GROUP BY b.model_id, {box}"
+    )
+    most = "GREATEST(c0, c1, c2, c3, c4)"
+    pick = "CASE " + " ".join(f"WHEN c{i} = {most} THEN {i}" for i in five) + " END"
+    cut = "CASE " + " ".join(f"WHEN c{i} = {most} THEN m{i}" for i in five) + " END"
+    low = ", ".join(f"l{i}, CASE WHEN side = 0 AND f = {i} THEN cut - 1 ELSE h{i} END AS h{i}" for i in five)
+    both = ", ".join(f"CASE WHEN side = 1 AND f = {i} THEN cut ELSE l{i} END AS l{i}, x.h{i}" for i in five)
+    dims = ", ".join(f"0 AS l{i}, MAX(CASE WHEN f.fpos = {i} THEN b.bin_id END) AS h{i}" for i in five)
+    return (
+        f"dims AS (SELECT b.model_id, {dims} FROM bins b JOIN feats5 f ON f.feature = b.feature GROUP BY b.model_id), "
+        f"boxes AS (SELECT * FROM dims UNION ALL SELECT x.model_id, {both} FROM ("
+        f"SELECT model_id, {low}, side, f, cut FROM (SELECT *, {pick} AS f, {cut} AS cut FROM ({stats.format('boxes')}) "
+        f"WHERE full_n < 2 AND n >= 2) CROSS JOIN (VALUES (0), (1)) t(side)) x), "
+        f"ended AS ({stats.format('boxes')}), "
+        f"sums AS (SELECT model_id, SUM(CASE WHEN full_n >= 1 THEN {size('l{i}', 'h{i}')} ELSE part END) AS once, "
+        f"SUM(CASE WHEN full_n >= 2 THEN {size('l{i}', 'h{i}')} ELSE 0 END) AS twice FROM ended "
+        f"WHERE full_n >= 2 OR n = 1 GROUP BY model_id), "
+        f"cov AS (SELECT d.model_id, {size('l{i}', 'h{i}')} AS n_cells, COALESCE(s.once, 0) AS once, COALESCE(s.twice, 0) AS twice "
+        "FROM dims d LEFT JOIN sums s ON s.model_id = d.model_id)"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     feat_cols = "pkt_id, ingress_port, ipv4_identification, frame_len, ether_type, ip_proto, src_port, dst_port"
     grid_km = O.km_scored("grid")
@@ -463,6 +524,24 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {O.with_packets('grid')}, {O.dt_multi_ctes(129, 'dt_no_rule10', {10})} "
             "SELECT pkt_id, model_id, class_id, egress_port, outcome FROM dt"
         ),
+        "dt_match_multi": (
+            f"WITH {O.with_packets('grid')}, {O.dt_multi_ctes(129, 'dt_no_rule10', {10})} "
+            "SELECT pkt_id, model_id, class_id, egress_port, outcome FROM dt"
+        ),
+        "dt_rules_corpus": (
+            f"{f7}, raw AS (SELECT p.model_id, p.rule_id, "
+            + ", ".join(
+                f"MAX(CASE WHEN p.feature = '{f}' AND p.op = '>' THEN p.value END) AS a{i}, "
+                f"MIN(CASE WHEN p.feature = '{f}' AND p.op = '<=' THEN p.value END) AS b{i}"
+                for i, f in enumerate(O.DT_EDGES)
+            )
+            + f" FROM preds p GROUP BY p.model_id, p.rule_id), {O.with_packets('grid')}, "
+            "pm AS (SELECT *, CAST(pkt_id % 20 AS INT) AS model_id FROM feats), "
+            "hit AS (SELECT pm.pkt_id, pm.model_id, MIN(raw.rule_id) AS rule_id FROM pm LEFT JOIN raw ON raw.model_id = pm.model_id "
+            + " ".join(f"AND pm.{f} > COALESCE(a{i}, -1) AND pm.{f} <= COALESCE(b{i}, 65535)" for i, f in enumerate(O.DT_EDGES))
+            + " GROUP BY pm.pkt_id, pm.model_id) "
+            "SELECT pkt_id, model_id, rule_id, CAST(rule_id % 5 AS INT) AS class_id FROM hit"
+        ),
         "dt_default_drop": f"{O.dt_scored('grid', skip={10})} SELECT pkt_id, class_id, egress_port, outcome FROM dt",
         "dt_route_counts": (
             f"{O.dt_scored('grid')} SELECT egress_port, outcome, COUNT(*) AS n_packets FROM dt GROUP BY egress_port, outcome"
@@ -566,7 +645,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM lab"
         ),
         "model_audit": (
-            f"{f7}, {_bounds_sql()}, {_bins_sql()}, "
+            f"WITH RECURSIVE {O.predicates_cte()}, {O.FEATURE_VALUES}, {_bounds_sql()}, {_bins_sql()}, "
             "pa AS (SELECT p.model_id, p.rule_id, f.fmax, f.feature AS kf, "
             "CAST(FLOOR(GREATEST(-2.0, LEAST(p.value, COALESCE(f.fmax, 0) + 2.0))) AS BIGINT) AS edge, p.feature "
             "FROM preds p LEFT JOIN feats5 f ON p.feature = f.feature), "
@@ -578,10 +657,15 @@ def oracle_sql() -> dict[str, str]:
             "AS n_off_threshold FROM pa GROUP BY model_id), "
             "emp AS (SELECT model_id, COUNT(*) AS n_rules_constrained, CAST(SUM(e) AS BIGINT) AS n_rules_empty FROM "
             "(SELECT model_id, rule_id, MAX(CASE WHEN lo > hi THEN 1 ELSE 0 END) AS e FROM bounds GROUP BY model_id, rule_id) "
-            "GROUP BY model_id) "
+            "GROUP BY model_id), "
+            f"{complete}, valid AS ({rules_out}), {_coverage_sql()}, "
+            "noport AS (SELECT model_id, COUNT(*) AS n FROM valid WHERE rule_id % 7 > 4 GROUP BY model_id) "
             "SELECT per.model_id, n_predicates, n_unknown_feature, n_out_of_domain, n_off_threshold, "
-            "COALESCE(n_rules_constrained, 0) AS n_rules_constrained, COALESCE(n_rules_empty, 0) AS n_rules_empty "
-            "FROM per LEFT JOIN emp ON per.model_id = emp.model_id"
+            "COALESCE(n_rules_constrained, 0) AS n_rules_constrained, COALESCE(n_rules_empty, 0) AS n_rules_empty, "
+            "CAST(cov.n_cells AS DECIMAL(38,0)) AS n_cells, CAST(cov.n_cells - cov.once AS DECIMAL(38,0)) AS n_uncovered, "
+            "CAST(cov.twice AS DECIMAL(38,0)) AS n_overlap, COALESCE(noport.n, 0) AS n_rules_without_port "
+            "FROM per LEFT JOIN emp ON per.model_id = emp.model_id JOIN cov ON cov.model_id = per.model_id "
+            "LEFT JOIN noport ON noport.model_id = per.model_id"
         ),
         "rules_bulk": f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}{rules_out}",
     }
