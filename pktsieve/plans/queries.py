@@ -24,6 +24,7 @@ from ..operators.numbering import number_in_order
 from ..session import checkpointed, scratch_path
 from ..sinks.tables import route, write_dt_tables
 from ..sources.fixtures import PACKETS_GRID_SQL
+from ..sources.text_lines import read_model_lines_at_volume, render_tree_lines, write_model_text
 from ..streaming.score import (
     grid_stream,
     read_table_stream,
@@ -328,6 +329,33 @@ def corpus_model(spark: SparkSession, sf: str, n_classes: int = 5) -> dc.DTModel
     return dc.DTModel(bins=bins, rules=rules.transform(checkpointed))
 
 
+def corpus_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The generated corpus as model text, (model_id, line_no, line), as awkward as the
+    grammar allows: every feature line comes twice (the first with one wrong
+    value), every rule's conditions are repeated, values end in ``.5``."""
+    p = _preds(spark, sf)
+    vals = p.filter("is_threshold").select("model_id", "feature", "value")
+    rules = p.select("model_id", "rule_id").distinct().withColumn("class", (F.col("rule_id") % 5).cast("int"))
+    lines = render_tree_lines(vals, p.unionByName(p), rules)
+    wrong = vals.select("model_id", "feature").distinct().select(
+        "model_id", F.lit(-(1 << 40)).cast("long").alias("line_no"), F.concat("feature", F.lit(" = [np.float64(7.5)];")).alias("line")
+    )
+    return lines.unionByName(wrong)
+
+
+def q_dt_compile_corpus_text(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 at volume (A3, B11, C7, C11, D2, D5, D7, E3): the corpus as text files, read
+    in splits, parsed and compiled; the rules with their numbers, classes and id ranges."""
+    path = scratch_path(spark, "corpus_text")
+    write_model_text(corpus_text(spark, sf), path)
+    model = dc.compile_from_lines(spark, read_model_lines_at_volume(spark, path))
+    return model.rules.select(
+        F.col("model_id").cast("int").alias("model_id"), F.col("rule_id").alias("rule_no"), "class",
+        *[F.col("id_start")[i].alias(f"s{i}") for i in range(5)],
+        *[F.col("id_end")[i].alias(f"e{i}") for i in range(5)],
+    )
+
+
 def q_dt_score_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Many large models at once: grid packets, each scored by corpus model
     pkt_id mod 20, through the first-match index and the port map."""
@@ -409,6 +437,7 @@ REGISTRY: dict[str, Query] = {
     "model_audit": q_model_audit,
     "rule_ids_bulk": q_rule_ids_bulk,
     "dt_score_corpus": q_dt_score_corpus,
+    "dt_compile_corpus_text": q_dt_compile_corpus_text,
 }
 
 
@@ -618,6 +647,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT model_id, rule_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) "
             "AS rule_no FROM valid"
         ),
+        "dt_compile_corpus_text": (
+            f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}) "
+            "SELECT model_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) AS rule_no, "
+            "CAST(rule_id % 5 AS INT) AS class, " + ", ".join(f"s{i}, e{i}" for i in range(5)) + " FROM valid"
+        ),
         "dt_score_corpus": (
             f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}), "
             "vr AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) AS rule_no, "
