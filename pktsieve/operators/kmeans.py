@@ -4,9 +4,12 @@ Scoring is arithmetic on BIGINT inside one projection: per class the three
 capped squared differences are summed, the nearest class is the first strict
 minimum (ties go to the lowest class id), and for three classes the IPv4
 identification is stamped from min_dist and delta. Centres join the packets
-by ``model_id`` as one broadcast row per model (k is small and checked).
-The per-value distance table (C8) and its lookup form (C5) are the second,
-table-driven path; both must agree.
+by ``model_id`` as one broadcast row per model after their entries are counted.
+Models of three centres give ``d1, d2, d3``; any other number of centres gives one
+array ``dist``, whatever the number. Without distances asked for, centres lie in
+spatial blocks with a lower bound each, and blocks that cannot hold the nearest
+one are skipped. The per-value distance table (C8) and its lookup form (C5) are
+the second, table-driven path; both must agree.
 """
 
 from __future__ import annotations
@@ -24,11 +27,9 @@ from ..sources.models import parse_km_lines, read_model_lines, require_centres
 from .numbering import number_in_order
 from .dtree_score import assign_port, class_port_table, finish, port_expr, with_model_id
 
-# Largest k for which centres are laid out as columns of one row.
-MAX_CLASSES = 256
-# Above this k, distances are computed over an array of centres (expression
-# size independent of k) and returned as ``dist`` ARRAY<BIGINT>.
-WIDE_MAX = 16
+# Centres of a block, whose bounding box gives the block's lower bound.
+BLOCK_CENTRES = 32
+ENTRY = "struct<d: bigint, class_id: int>"
 
 
 def number_centres(centres: DataFrame) -> DataFrame:
@@ -50,19 +51,52 @@ class KMModel:
             self._cache[key] = int(c.agg(F.max("class_id")).collect()[0][0] or 0)
         return self._cache[key]
 
+    def all_of_three(self, model_id: str | None = None) -> bool:
+        """Every model (or the given one) has exactly three centres."""
+        key = ("three", model_id)
+        if key not in self._cache:
+            c = self.centres if model_id is None else self.centres.filter(F.col("model_id") == model_id)
+            per = c.groupBy("model_id").agg(F.max("class_id").alias("k"))
+            row = per.agg(F.min("k").alias("least"), F.max("k").alias("most")).first()
+            self._cache[key] = row.least == row.most == 3
+        return self._cache[key]
+
+    def n_centres(self) -> int:
+        if "n" not in self._cache:
+            self._cache["n"] = self.centres.count()
+        return self._cache["n"]
+
     def wide(self) -> DataFrame:
-        """One row per model: centre coordinates as columns c{class}_{feature}."""
+        """One row per model: the coordinates of its first three centres as columns c{class}_{feature}."""
         if "wide" not in self._cache:
-            k = self.k()
-            if k > MAX_CLASSES:
-                raise ValueError(f"{k} classes exceed the wide layout limit")
             aggs = []
-            for c in range(1, k + 1):
+            for c in (1, 2, 3):
                 for f in KM_FEATURES:
                     aggs.append(F.max(F.when(F.col("class_id") == c, F.col(f))).alias(f"c{c}_{f}"))
             self._cache["wide"] = self.centres.groupBy("model_id").agg(*aggs).transform(checkpointed)
         return self._cache["wide"]
 
+    def blocks(self) -> DataFrame:
+        """One row per model: ``k`` and ``blocks``, arrays of centres that lie near each other, with their bounding boxes.
+
+        Centres are numbered along a curve through the cells of a 16 x 16 grid
+        of the two ports (their bits interleaved) and cut every BLOCK_CENTRES.
+        """
+        if "blocks" not in self._cache:
+            bit = lambda c, i: F.shiftright(F.greatest(F.lit(0), F.least(F.col(c), F.lit(65535))).cast("bigint"), 12 + i).bitwiseAND(F.lit(1))
+            z = sum((bit("src_port", i) * (1 << (2 * i + 1)) + bit("dst_port", i) * (1 << (2 * i)) for i in range(4)), F.lit(0).cast("bigint"))
+            placed = self.centres.withColumn("at", F.shiftleft(z, 32) + F.col("class_id"))
+            numbered = number_in_order(placed, "model_id", "at", "i")
+            centre = F.struct("class_id", *[F.col(f).cast("bigint").alias(f) for f in KM_FEATURES])
+            boxes = [x for f in KM_FEATURES for x in (F.min(F.col(f).cast("bigint")).alias(f"lo_{f}"), F.max(F.col(f).cast("bigint")).alias(f"hi_{f}"))]
+            per = numbered.groupBy("model_id", F.floor(F.col("i") / BLOCK_CENTRES).alias("b")).agg(*boxes, F.sort_array(F.collect_list(centre)).alias("centres"))
+            names = [f"{s}_{f}" for f in KM_FEATURES for s in ("lo", "hi")]
+            rows = per.groupBy("model_id").agg(
+                F.sum(F.size("centres")).alias("k"), F.sort_array(F.collect_list(F.struct("b", *names, "centres"))).alias("blocks")
+            )
+            self._cache["blocks"] = checkpointed(rows)
+        return self._cache["blocks"]
+
     def model_ids(self) -> DataFrame:
         """Distinct model ids (computed once per compiled model)."""
         if "ids" not in self._cache:
@@ -106,19 +140,18 @@ def model_counts(model: KMModel) -> DataFrame:
 
 
 def distances(df: DataFrame, model: KMModel) -> DataFrame:
-    """d1..dk per packet (capped squared differences, summed).
+    """The capped squared differences to every centre, summed.
 
-    ``df`` needs model_id, frame_len, src_port, dst_port. Classes a model
-    does not have give NULL distances.
+    ``df`` needs model_id, frame_len, src_port, dst_port. Models of three
+    centres give d1, d2, d3; any other number gives ``dist`` in class order.
     """
-    k = model.k()
-    w = model.wide()
-    # one row per model carrying k x 3 coordinates: check the coordinate count
-    n = model.centres.count() * len(KM_FEATURES)
-    right = F.broadcast(w) if n <= MAX_BROADCAST_ROWS else w
-    j = df.join(right, "model_id", "left")
+    if not model.all_of_three():
+        return nearest_array(_with_arrays(df, model), F.col("centres")).select(*df.columns, "dist")
+    # one row per model carrying 3 x 3 coordinates: check the coordinate count
+    n = model.n_centres() * len(KM_FEATURES)
+    j = df.join(F.broadcast(model.wide()) if n <= MAX_BROADCAST_ROWS else model.wide(), "model_id", "left")
     ds = []
-    for c in range(1, k + 1):
+    for c in (1, 2, 3):
         d = None
         for f in KM_FEATURES:
             centre = F.col(f"c{c}_{f}")
@@ -128,24 +161,60 @@ def distances(df: DataFrame, model: KMModel) -> DataFrame:
     return j.select(*df.columns, *ds)
 
 
+def _with_arrays(df: DataFrame, model: KMModel) -> DataFrame:
+    arr = model.centre_arrays()
+    n = model.n_centres() * (len(KM_FEATURES) + 1)
+    return df.join(F.broadcast(arr) if n <= MAX_BROADCAST_ROWS else arr, "model_id", "left")
+
+
 def centres_of(model: KMModel, model_id: str) -> list[tuple[int, int, int]]:
-    """The centres of one model, in class order (k rows, checked small)."""
+    """The centres of one model, in class order."""
     key = ("centres", model_id)
     if key not in model._cache:
-        rows = (
-            model.centres.filter(F.col("model_id") == model_id)
-            .orderBy("class_id")
-            .limit(MAX_CLASSES + 1)
-            .collect()
-        )
+        rows = model.centres.filter(F.col("model_id") == model_id).orderBy("class_id").collect()
         if not rows:
             raise ValueError(f"model {model_id} not compiled")
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"model {model_id}: more than {MAX_CLASSES} centres")
         model._cache[key] = [tuple(int(r[f]) for f in KM_FEATURES) for r in rows]
     return model._cache[key]
 
 
+def nearest_in_blocks(df: DataFrame, model: KMModel) -> DataFrame:
+    """B12-B15 without listing distances: adds min_dist, class_id and, for models of three centres, delta.
+
+    Blocks are gone through once. A block whose lower bound (the capped
+    distance to its bounding box) is above the best distance so far is skipped;
+    in the others the nearest centre is taken, ties to the lower class.
+    """
+    right = model.blocks()
+    n = model.n_centres() * (len(KM_FEATURES) + 1)
+    j = df.join(F.broadcast(right) if n <= MAX_BROADCAST_ROWS else right, "model_id", "left")
+
+    def bound(b: F.Column) -> F.Column:
+        out = F.lit(0).cast("bigint")
+        for f in KM_FEATURES:
+            x = F.col(f).cast("bigint")
+            gap = F.greatest(b[f"lo_{f}"] - x, x - b[f"hi_{f}"], F.lit(0).cast("bigint"))
+            out = out + cap(gap * gap)
+        return out
+
+    def distance(c: F.Column) -> F.Column:
+        return sum((cap(sq(f, c[f])) for f in KM_FEATURES[1:]), cap(sq(KM_FEATURES[0], c[KM_FEATURES[0]])))
+
+    def entry(c: F.Column) -> F.Column:
+        return F.struct(distance(c).alias("d"), c["class_id"].cast("int").alias("class_id"))
+
+    none = F.lit(None).cast(ENTRY)
+    best = F.aggregate(
+        "blocks", none,
+        lambda acc, b: F.when(bound(b) > acc["d"], acc).otherwise(F.least(acc, F.array_min(F.transform(b["centres"], entry))).cast(ENTRY)),
+    )
+    # three centres: their distances in class order
+    three = F.transform(F.col("blocks")[0]["centres"], distance)
+    found = j.select(*df.columns, best.alias("best"), F.when(F.col("k") == 3, three).alias("three"))
+    delta = F.when(F.col("three").isNotNull(), delta_u32(F.col("three")[2], F.least(F.col("three")[0], F.col("three")[1])))
+    return found.select(*df.columns, F.col("best.d").alias("min_dist"), F.col("best.class_id").alias("class_id"), delta.alias("delta"))
+
+
 def distances_inline(df: DataFrame, centres: list[tuple[int, int, int]]) -> DataFrame:
     """B12-B14 with the centre values as literals (one model)."""
     ds = []
@@ -212,43 +281,36 @@ def build_distance_table(model: KMModel) -> DataFrame:
     Each (model, feature) lists the value domain with a generator; the entries
     are the capped squared distances to every centre, in class order.
     """
-    k = model.k()
-    w = model.wide()
-    feats = F.array(*[F.lit(f) for f in KM_FEATURES])
-    rows = w.select("*", F.explode(feats).alias("feature")).select(
+    feats = F.array(*[F.struct(F.lit(f).alias("feature"), F.transform("centres", lambda c: c[f]).alias("at")) for f in KM_FEATURES])
+    rows = model.centre_arrays().select("model_id", F.inline(feats)).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(KM_VALUE_DOMAIN - 1))).alias("value")
     )
-
-    def centre_of(c: int) -> F.Column:
-        col = None
-        for f in KM_FEATURES:
-            x = F.when(F.col("feature") == f, F.col(f"c{c}_{f}"))
-            col = x if col is None else col.when(F.col("feature") == f, F.col(f"c{c}_{f}"))
-        return col
-
-    dist = F.array(*[cap(sq(F.col("value"), centre_of(c))) for c in range(1, k + 1)])
+    dist = F.transform("at", lambda c: cap(sq(F.col("value"), c)))
     return rows.select("model_id", "feature", F.col("value").cast("int").alias("value"), dist.alias("dist"))
 
 
-def lookup_distances(df: DataFrame, table: DataFrame, k: int) -> DataFrame:
-    """Three exact-match lookups (one per feature), distances summed.
+def lookup_distances(df: DataFrame, table: DataFrame, k: int, entries: int | None = None) -> DataFrame:
+    """Three exact-match lookups (one per feature), distances summed into ``dist`` (class order).
 
-    A missing entry adds nothing (the table default is no action).
+    A missing entry adds nothing (the table default is no action). ``k`` is the
+    largest number of classes; ``entries`` the table's values times classes, counted if not given.
     """
-    size = table.count() * max(1, k)  # entries: values x classes
+    size = table.count() * max(1, k) if entries is None else entries
     out = df
     for f in KM_FEATURES:
         t = table.filter(F.col("feature") == f).select("model_id", F.col("value").alias(f), F.col("dist").alias(f"__dist_{f}"))
         right = F.broadcast(t) if size <= MAX_BROADCAST_ROWS else t
         out = out.join(right, ["model_id", f], "left")
-    ds = []
-    for c in range(k):
-        s = None
-        for f in KM_FEATURES:
-            term = F.coalesce(F.col(f"__dist_{f}")[c], F.lit(0).cast("bigint"))
-            s = term if s is None else s + term
-        ds.append(s.alias(f"d{c + 1}"))
-    return out.select(*df.columns, *ds)
+    none = F.expr("cast(array() as array<bigint>)")
+    nought = F.lit(0).cast("bigint")
+    if k <= 3:  # plain columns instead of a function over arrays
+        one = lambda c: sum((F.coalesce(F.get(f"__dist_{f}", F.lit(c)), nought) for f in KM_FEATURES), nought)
+        held = F.greatest(*[F.coalesce(F.size(f"__dist_{f}"), F.lit(0)) for f in KM_FEATURES], F.lit(0))
+        return out.select(*df.columns, F.slice(F.array(*[one(c) for c in range(k)]), F.lit(1), held).alias("dist"))
+    total = none
+    for f in KM_FEATURES:
+        total = F.zip_with(total, F.coalesce(f"__dist_{f}", none), lambda a, b: F.coalesce(a, nought) + F.coalesce(b, nought))
+    return out.select(*df.columns, total.alias("dist"))
 
 
 # --------------------------------------------------------------------------- J4
@@ -262,75 +324,53 @@ def score_km(
     method: str = "arith",
     distance_table: DataFrame | None = None,
     keep: list[str] | None = None,
+    distances_too: bool = True,
 ) -> DataFrame:
     """Score and route flat packets with nearest-centre models.
 
-    Output: pkt_id, class_id, egress_port, outcome, d1..dk, min_dist and,
-    delta and the stamped ipv4_identification (IPv4 only, never on bypass) for
-    packets whose own model has three centres, whatever other models have. ``method="lookup"`` takes distances from the C8 table.
+    Output: pkt_id, class_id, egress_port, outcome, min_dist, delta and
+    ipv4_identification (stamped on IPv4 packets whose own model has three
+    centres, never on bypass; delta is NULL for other models), and the
+    distances: d1, d2, d3 if every model asked for has three centres, else the
+    array ``dist`` - for any number of centres. ``method="lookup"`` takes distances from
+    the C8 table. With ``distances_too=False`` no distances are returned, and
+    blocks of centres that are too far away are skipped.
     """
     own = None if model_id is None else str(model_id)
-    if method == "arith" and model.k(own) > WIDE_MAX:
-        return _score_km_array(packets, model, model_id, ports, keep)
-    inline = model_id is not None and ports is None and method == "arith"
-    if inline:
-        centres = centres_of(model, str(model_id))
-        k = len(centres)
-        f = features(packets, keep=keep)
-        d = distances_inline(f, centres)
-        n = nearest(d, k)
-        p = n.select("*", port_expr("class_id", KM_CLASS_PORTS).alias("egress_port"))
-        return _finish_km(p, k, keep, k == 3)
-    k = model.k()
+    three = model.all_of_three(own)
+    f = features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns and model_id is None else []))
+    if three and distances_too and model_id is not None and ports is None and method == "arith":
+        n = nearest(distances_inline(f, centres_of(model, own)), 3)
+        p = n.select("*", delta3().alias("delta"), port_expr("class_id", KM_CLASS_PORTS).alias("egress_port"))
+        return _finish_km(p, ["d1", "d2", "d3"], keep)
     ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
-    f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
+    f = with_model_id(f, model_id)
+    if not distances_too:
+        return _finish_km(assign_port(nearest_in_blocks(f, model), ports), [], keep)
     if method == "lookup":
         table = model.distance_table() if distance_table is None else distance_table
-        d = lookup_distances(f, table, k)
-    else:
+        entries = model.n_centres() * len(KM_FEATURES) * KM_VALUE_DOMAIN if distance_table is None else None
+        d = lookup_distances(f, table, model.k(), entries)
+    elif model.all_of_three():
         d = distances(f, model)
-    n = nearest(d, k)
-    p = assign_port(n, ports)
-    return _finish_km(p, k, keep, k == 3 or (k > 3 and model_id is None))
-
-
-def _score_km_array(packets, model: KMModel, model_id, ports, keep) -> DataFrame:
-    """J4 for many centres: the array form, one broadcast row per model."""
-    ports = class_port_table(model.model_ids(), KM_CLASS_PORTS) if ports is None else ports
-    f = with_model_id(features(packets, keep=(keep or []) + (["model_id"] if "model_id" in packets.columns else [])), model_id)
-    arr = model.centre_arrays()
-    n = model.centres.count() * (len(KM_FEATURES) + 1)
-    j = f.join(F.broadcast(arr) if n <= MAX_BROADCAST_ROWS else arr, "model_id", "left")
-    d = nearest_array(j, F.col("centres")).drop("centres")
-    p = assign_port(d, ports)
-    cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", "dist", "min_dist"]
-    cols += [c for c in dict.fromkeys(keep or []) if c not in cols]
-    if model_id is not None:
-        res = finish(p.select(*cols), ["class_id", "dist", "min_dist"])
-        return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
-    three = p.withColumns({f"d{c}": F.get("dist", F.lit(c - 1)) for c in (1, 2, 3)})
-    delta = F.when(F.size("dist") == 3, delta3()).alias("delta")
-    return _stamped(finish(three.select(*cols, delta), ["class_id", "dist", "min_dist", "delta"]), keep)
-
-
-def _finish_km(p: DataFrame, k: int, keep: list[str] | None, stamp: bool) -> DataFrame:
-    dcols = [f"d{c}" for c in range(1, k + 1)]
-    extra = []
-    if stamp:  # three centres of the packet's own model
-        own = sum((F.col(c).isNotNull().cast("int") for c in dcols), F.lit(0))
-        extra.append(F.when(own == 3, delta3()).alias("delta"))
-    cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", *dcols, "min_dist"]
+    else:
+        d = nearest_array(_with_arrays(f, model), F.col("centres")).select(*f.columns, "dist")
+    if model.all_of_three():
+        if method == "lookup":
+            d = d.select(*f.columns, *[F.get("dist", F.lit(c)).alias(f"d{c + 1}") for c in range(3)])
+        n = nearest(d, 3)
+        return _finish_km(assign_port(n.select("*", delta3().alias("delta")), ports), ["d1", "d2", "d3"], keep)
+    pairs = F.transform("dist", lambda x, i: F.struct(x.alias("d"), (i + 1).cast("int").alias("class_id")))
+    n = d.select("*", F.array_min(pairs).alias("best"), *[F.get("dist", F.lit(c)).alias(f"d{c + 1}") for c in range(3)])
+    n = n.select("*", F.col("best.d").alias("min_dist"), F.col("best.class_id").alias("class_id"), F.when(F.size("dist") == 3, delta3()).alias("delta"))
+    return _finish_km(assign_port(n, ports), ["d1", "d2", "d3"] if three else ["dist"], keep)
+
+
+def _finish_km(p: DataFrame, dcols: list[str], keep: list[str] | None) -> DataFrame:
+    """Bypass, outcome and the stamp (B17): where there is a delta (three centres), on IPv4, never on bypass."""
+    cols = ["pkt_id", "ingress_port", "ipv4_identification", "class_id", "egress_port", *dcols, "min_dist", "delta"]
     cols += [c for c in dict.fromkeys(keep or []) if c not in cols]
-    out = p.select(*cols, *extra)
-    model_cols = ["class_id", *dcols, "min_dist"] + (["delta"] if stamp else [])
-    res = finish(out, model_cols)
-    if stamp:
-        return _stamped(res, keep)
-    return res if "ingress_port" in (keep or []) else res.drop("ingress_port")
-
-
-def _stamped(res: DataFrame, keep: list[str] | None) -> DataFrame:
-    """The stamp where there is a delta (three centres), on IPv4, never on bypass."""
+    res = finish(p.select(*cols), ["class_id", *dcols, "min_dist", "delta"])
     byp = F.col("outcome") == "bypass"
     ident = F.when(
         F.col("ipv4_identification").isNotNull() & F.col("delta").isNotNull() & ~byp,

@@ -16,7 +16,7 @@ from ..constants import BYPASS_INGRESS_PORT
 from ..functions.features import features
 from ..operators import dtree_compile as dc
 from ..operators.dtree_score import class_port_table, eval_rules, inline_dt, rule_conditions, rules_index, score_dt
-from ..operators.kmeans import centres_of, distances_inline, nearest_long, score_km
+from ..operators.kmeans import KMModel, centres_of, compile_km_lines, distances_inline, nearest_long, score_km
 from ..operators.frames import decode_frames, frame_checksum
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
 from ..operators.audit import cell_audit, classes_without_port, predicate_audit
@@ -42,6 +42,7 @@ from .models import ALT_ID, DT_ID, KM_ALT_ID, KM_ID, two_kmeans, dt_lines, dt_wi
 Query = Callable[[SparkSession, str], DataFrame]
 
 DT_COLS = ["pkt_id", "rule_id", "class_id", "egress_port", "outcome"]
+MIXED_K = (3, 4, 40, 1000)  # centres of the models of km_score_mixed_k
 KM_COLS = ["pkt_id", "class_id", "egress_port", "outcome", "d1", "d2", "d3", "min_dist", "delta", "ipv4_identification"]
 
 
@@ -152,6 +153,28 @@ def q_km_score_multi(spark: SparkSession, sf: str) -> DataFrame:
     return score_km(b, two_kmeans(spark), keep=["model_id"]).select("model_id", *KM_COLS)
 
 
+def centre_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Centre text of four models, (model_id, line_no, line): 3, 4, 40 and 1,000 centres, a line per part."""
+    p = table(spark, sf, "part").select(
+        "p_partkey", (20 + F.col("p_partkey") * 37 % 1481).alias("a"), (F.col("p_partkey") * 40503 % 65536).alias("b"),
+        (F.col("p_partkey") * 52711 % 65536).alias("c"),
+    )
+    sizes = F.array(*[F.struct(F.lit(m).cast("string").alias("model_id"), F.lit(k).alias("k")) for m, k in enumerate(MIXED_K)])
+    lines = p.select("*", F.inline(sizes)).where(F.col("p_partkey") < F.col("k"))
+    return lines.select("model_id", F.col("p_partkey").alias("line_no"), F.format_string("Centre point : ( %d,%d,%d,);", "a", "b", "c").alias("line"))
+
+
+def q_km_score_mixed_k(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 with models of 3, 4, 40 and 1,000 centres in one pass (A4, A5, E4, B12-B17):
+    pkt_id mod 4 picks the model; blocks of far centres are skipped; packets of
+    the model of three centres are stamped."""
+    model = compile_km_lines(centre_text(spark, sf))
+    model = KMModel(model.centres.transform(checkpointed))
+    g = grid_from(spark, sf).withColumn("model_id", (F.col("pkt_id") % 4).cast("string"))
+    out = score_km(g, model, keep=["model_id"], distances_too=False)
+    return out.select("pkt_id", "model_id", "class_id", "egress_port", "outcome", "min_dist", "delta", "ipv4_identification")
+
+
 def q_km_score(spark: SparkSession, sf: str) -> DataFrame:
     """J4 on the grid: nearest centre, port, stamp."""
     return score_km(grid_from(spark, sf), shipped_km(spark), model_id=KM_ID).select(*KM_COLS)
@@ -425,6 +448,7 @@ REGISTRY: dict[str, Query] = {
     "km_score_bulk": q_km_score_bulk,
     "km_score_lookup": q_km_score_lookup,
     "km_score_multi": q_km_score_multi,
+    "km_score_mixed_k": q_km_score_mixed_k,
     "km_nearest_long": q_km_nearest_long,
     "label_crosstab": q_label_crosstab,
     "frame_decode": q_frame_decode,
@@ -604,6 +628,30 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT 'kmeans' AS model_id, {', '.join(KM_COLS)} FROM kma UNION ALL "
             f"SELECT '{KM_ALT_ID}' AS model_id, {', '.join(KM_COLS)} FROM kmb"
         ),
+        "km_score_mixed_k": (
+            f"WITH {O.with_packets('grid')}, cent AS (SELECT CAST(m AS VARCHAR) AS model_id, p_partkey + 1 AS cls, k, "
+            "20 + p_partkey * 37 % 1481 AS a, p_partkey * 40503 % 65536 AS b, p_partkey * 52711 % 65536 AS c FROM part, "
+            f"(VALUES {', '.join(f'({m}, {k})' for m, k in enumerate(MIXED_K))}) t(m, k) WHERE p_partkey < k), "
+            "pm AS (SELECT *, CAST(pkt_id % 4 AS VARCHAR) AS model_id FROM feats), "
+            "d AS (SELECT pm.pkt_id, pm.model_id, k, cls, "
+            + " + ".join(
+                f"LEAST((CAST(pm.{f} AS BIGINT) - {v}) * (CAST(pm.{f} AS BIGINT) - {v}), {O.KM_DIST_CAP})"
+                for f, v in (("frame_len", "a"), ("src_port", "b"), ("dst_port", "c"))
+            )
+            + " AS dist FROM pm JOIN cent ON cent.model_id = pm.model_id), "
+            "best AS (SELECT pkt_id, model_id, k, MIN(dist) AS md, MIN(dist) FILTER (cls <= 2) AS m2, MIN(dist) FILTER (cls = 3) AS d3 "
+            "FROM d GROUP BY pkt_id, model_id, k), "
+            "near AS (SELECT b.*, (SELECT MIN(cls) FROM d WHERE d.pkt_id = b.pkt_id AND d.dist = b.md) AS cls, "
+            "CASE WHEN k = 3 THEN ((d3 - m2) % 4294967296 + 4294967296) % 4294967296 END AS dl FROM best b), "
+            f"j AS (SELECT near.*, ipv4_identification AS ident, ingress_port = {BYPASS_INGRESS_PORT} AS byp, "
+            f"{O.port_case('cls', O.KM_CLASS_PORTS)} AS port FROM near JOIN feats ON feats.pkt_id = near.pkt_id) "
+            "SELECT pkt_id, model_id, CAST(CASE WHEN NOT byp THEN cls END AS INT) AS class_id, "
+            "CAST(CASE WHEN byp THEN 156 ELSE port END AS INT) AS egress_port, "
+            "CASE WHEN byp THEN 'bypass' WHEN port IS NULL THEN 'drop' ELSE 'forward' END AS outcome, "
+            "CASE WHEN NOT byp THEN md END AS min_dist, CASE WHEN NOT byp THEN dl END AS delta, "
+            "CAST(CASE WHEN ident IS NOT NULL AND NOT byp AND dl IS NOT NULL "
+            "THEN (CAST(ident AS BIGINT) & 65280) | ((dl & 15) * 16) | (md & 15) ELSE ident END AS INT) AS ipv4_identification FROM j"
+        ),
         "km_nearest_long": (
             f"WITH {O.with_packets('grid')}, dist AS (SELECT pkt_id, {O.km_dist_sql()} FROM feats) "
             "SELECT pkt_id, LEAST(d1, d2, d3) AS min_dist, "

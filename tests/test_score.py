@@ -179,7 +179,9 @@ def test_kmeans_any_k(spark):
         "tcp_src_port int, tcp_dst_port int, udp_src_port int, udp_dst_port int",
     )
     out = score_km(pk, m, model_id="k4", ports=None)
-    assert "delta" not in out.columns and "d4" in out.columns
+    # one schema for every number of centres but three: the array of distances, no delta
+    assert "dist" in out.columns and "d1" not in out.columns
+    assert out.filter("delta IS NOT NULL OR size(dist) <> 4").count() == 0
     got = {r.pkt_id: r.class_id for r in out.collect()}
     assert got == {1: 4, 2: 2, 3: 3}
     # classes beyond the shipped port map have no port: dropped, not stamped
@@ -272,13 +274,42 @@ def test_neighbour_models_leave_the_stamp_alone(spark):
     pk = spark.createDataFrame(packets, fields)
     alone = KMModel(spark.createDataFrame(centres("a", 3), schema))
     want = {r.pkt_id: (r.class_id, r.min_dist, r.delta, r.ipv4_identification) for r in score_km(pk, alone, model_id="a").collect()}
-    for k in (4, 20):
+    ports = spark.createDataFrame([("a", 1, 188), ("a", 2, 132), ("a", 3, 133)], "model_id string, class_id int, egress_port int")
+    for k in (2, 4, 17, 300):
         both = KMModel(spark.createDataFrame(centres("a", 3) + centres("b", k), schema))
-        for got in (score_km(pk, both), score_km(pk, both, model_id="a")):
+        forms = [score_km(pk, both), score_km(pk, both, model_id="a"), score_km(pk, both, model_id="a", ports=ports),
+                 score_km(pk, both, model_id="a", distances_too=False), score_km(pk, both, distances_too=False)]
+        if k < 300:
+            forms += [score_km(pk, both, model_id="a", method="lookup"), score_km(pk, both, method="lookup")]
+        for got in forms:
             got = {r.pkt_id: (r.class_id, r.min_dist, r.delta, r.ipv4_identification) for r in got.collect()}
             assert got == want, k
 
 
+def test_blocks_give_the_nearest_of_any_number_of_centres(spark):
+    """Blocks skipped by their bound lose nothing: ties, the cap, and centres far outside the packets."""
+    import random
+
+    from pktsieve.operators.kmeans import KMModel
+
+    rnd = random.Random(11)
+    rows, want = [], {}
+    for k in (1, 2, 33, 700):
+        for c in range(1, k + 1):
+            at = (rnd.randrange(1500), rnd.choice([0, 65535, rnd.randrange(65536)]), rnd.choice([7, rnd.randrange(65536)]))
+            rows.append((f"k{k}", c, *at))
+    m = KMModel(spark.createDataFrame(rows, "model_id string, class_id int, frame_len long, src_port long, dst_port long"))
+    packets = [(i, f"k{rnd.choice([1, 2, 33, 700])}", 130, 2048, rnd.randrange(1500), 6, 9, rnd.choice([0, 65535, rnd.randrange(65536)]),
+                rnd.choice([7, rnd.randrange(65536)]), None, None) for i in range(400)]
+    pk = spark.createDataFrame(packets, "pkt_id int, model_id string, ingress_port int, ether_type int, ipv4_total_len int, ipv4_protocol int, "
+                               "ipv4_identification int, tcp_src_port int, tcp_dst_port int, udp_src_port int, udp_dst_port int")
+    for p in packets:
+        want[p[0]] = min((sum(min((a - b) ** 2, 715827800) for a, b in zip((p[4], p[7], p[8]), r[2:])), r[1]) for r in rows if r[0] == p[1])
+    got = {r.pkt_id: (r.min_dist, r.class_id) for r in score_km(pk, m, distances_too=False).collect()}
+    assert got == want
+    assert {r.pkt_id: (r.min_dist, r.class_id) for r in score_km(pk, m).collect()} == want
+
+
 def test_ranges_asked_for_but_too_large_to_inline_take_the_joins(spark, dt):
     from pktsieve.operators.dtree_compile import DTModel
 
