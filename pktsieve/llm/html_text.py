@@ -4,14 +4,19 @@ A page is cut into blocks at its block-level elements. The first pass decides
 blocks by stop-word density, length and link density, and by what the markup
 says outright: blocks in navigation, page headers, footers, asides, forms,
 adverts, notices or reader comments are boilerplate, and where a page marks its
-article, blocks outside it are too. Short blocks without links stay open. In
-the second pass an open block inherits the label of its nearest decided
-neighbours (of two different ones as near, the article's).
+article, blocks outside it are too. Short blocks with few links stay open. Where
+no listed language fits a page, stop words tell nothing, and length and link
+density decide. In the second pass an open block inherits the label of its
+nearest decided neighbours (of two different ones as near, the article's).
+
+An inline element that is boilerplate (an advert or a hidden mark in a
+paragraph) takes its own text out of its block and leaves the block whole.
 
 Defined results: null or empty HTML gives the empty text; a page cut off
 anywhere is read as far as it goes (a tag that doesn't end is dropped); tags
 may be unclosed or nested wrongly; nothing is capped; rows are judged one by
-one, so repeats and order don't matter; extra columns are never looked at.
+one, so repeats and order don't matter; columns named ``text`` and ``n_chars`` are
+replaced, other extra columns are never looked at.
 """
 
 from __future__ import annotations
@@ -41,6 +46,9 @@ NAMES = frozenset(
     "overlay pager pagination popup promo promoted promotion related recommended replies reply respond search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget complementary contentinfo alert".split()
 )
+# --- fixed values: words that name one reader comment, and a comment section
+COMMENT = frozenset("comment reply response".split())
+COMMENTS = frozenset("responses discussion feedback reactions commentlist".split())
 HEADERS = frozenset(("header", "site header", "page header", "top header", "global header"))
 # --- fixed values: frequent function words of the languages that are told apart by them
 STOP_WORDS = frozenset(
@@ -68,6 +76,7 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 _PART = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
+_DENSE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # scripts that say more in a character
 
 
 def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
@@ -75,41 +84,50 @@ def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
         return True
     if name == "header" and not in_article:
         return True
-    if not attrs or name in ("html", "body", "article", "main"):
+    if not attrs or name in ("html", "body"):
         return False
+    if name in ("article", "main"):  # names of an article tell about its page, unless it is a comment itself
+        return any(
+            parts and (parts[0] in COMMENT or parts[-1] in COMMENT)
+            for value in _named(attrs) for parts in ([p for p in _PART.split(v) if p] for v in value.split())
+        )
     if _HIDDEN.search(attrs):
         return True
-    for m in _NAMED.finditer(attrs):
-        value = (m[2] or m[3] or m[4] or "").lower()
+    for value in _named(attrs):
         parts = [p for p in _PART.split(value) if p]
-        if any(p in NAMES for p in parts):
+        if any(p in NAMES or p in COMMENTS for p in parts):
             return True
         if not in_article and " ".join(parts) in HEADERS:
             return True
     return False
 
 
+def _named(attrs: str) -> list[str]:
+    """The values of class, id and role."""
+    return [(m[2] or m[3] or m[4] or "").lower() for m in _NAMED.finditer(attrs)]
+
+
 class Block:
-    __slots__ = ("pieces", "linked", "dropped", "article")
+    __slots__ = ("pieces", "linked", "dropped", "article", "muted")
 
-    def __init__(self, dropped: bool, article: bool):
+    def __init__(self, dropped: bool, article: bool, muted: bool):
         self.pieces: list[str] = []
         self.linked = 0  # characters in links
-        self.dropped, self.article = dropped, article
+        self.dropped, self.article, self.muted = dropped, article, muted
 
 
 def blocks_of(page: str) -> list[tuple[str, float, bool, bool]]:
     """Text, share of link characters, in boilerplate markup, in an article: of each non-empty block in page order."""
     found: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []  # name, boilerplate from here, article from here
-    state = {"dropped": 0, "article": 0, "links": 0}
-    block = Block(False, False)
+    state = {"dropped": 0, "article": 0, "links": 0, "muted": 0}  # muted: dropped by inline elements
+    block = Block(False, False, False)
 
     def cut() -> None:
         nonlocal block
-        if block.pieces:
+        if block.pieces and not block.muted:
             found.append(block)
-        block = Block(state["dropped"] > 0, state["article"] > 0)
+        block = Block(state["dropped"] > 0, state["article"] > 0, state["muted"] > 0)
 
     def pop(name: str) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -117,12 +135,26 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool]]:
                 while len(stack) > i:
                     gone, dropped, article = stack.pop()
                     state["dropped"] -= dropped
+                    state["muted"] -= dropped and gone not in BLOCK
                     state["article"] -= article
                     state["links"] -= gone == "a"
                 return
 
+    def close_inline(name: str) -> None:
+        """An inline element ends wherever it began; what began in it goes on."""
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == name:
+                _, dropped, article = stack.pop(i)
+                state["dropped"] -= dropped
+                state["muted"] -= dropped
+                state["article"] -= article
+                state["links"] -= name == "a"
+                if block.dropped and not state["dropped"]:
+                    cut()
+                return
+
     def text(piece: str) -> None:
-        if piece:
+        if piece and (block.dropped or not state["dropped"]):
             piece = html.unescape(piece)
             block.pieces.append(piece)
             if state["links"]:
@@ -151,7 +183,7 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool]]:
                     pop(name)
                     cut()
                 else:
-                    pop(name) if any(s[0] == name for s in stack[-8:]) else None
+                    close_inline(name)
             elif name == "br":
                 text(" ")
             else:
@@ -162,9 +194,10 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool]]:
                     article = name in ("article", "main")
                     stack.append((name, dropped, article))
                     state["dropped"] += dropped
+                    state["muted"] += dropped and name not in BLOCK
                     state["article"] += article
                     state["links"] += name == "a"
-                    if name in BLOCK or dropped:
+                    if name in BLOCK:
                         cut()
                 elif name in BLOCK:
                     cut()
@@ -181,38 +214,50 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool]]:
 def classify(blocks, short: int = 80, long: int = 200, most_links: float = 0.33, low: float = 0.1, high: float = 0.2) -> list[bool]:
     """Which blocks are the article's: the two passes."""
     marked = any(article and not dropped for _, _, dropped, article in blocks)
+    words = [_WORD.findall(body.lower()) for body, *_ in blocks]
+    stops = [sum(w in STOP_WORDS for w in ws) for ws in words]
+    told = [i for i, (_, links, dropped, _) in enumerate(blocks) if not dropped and links <= most_links]
+    # without a listed language, density is unknown
+    known = sum(stops[i] for i in told) >= low * sum(len(words[i]) for i in told)
     labels: list[bool | None] = []
-    for body, links, dropped, article in blocks:
+    for i, (body, links, dropped, article) in enumerate(blocks):
+        size = len(body) + 2 * len(_DENSE.findall(body))
         if dropped or (marked and not article):
             labels.append(False)
         elif links > most_links:
             labels.append(False)
-        elif len(body) < short:
-            labels.append(None if links == 0 or marked else False)
+        elif size < short:
+            labels.append(None)
+        elif not known:
+            labels.append(True if links <= low else None)
         else:
-            words = _WORD.findall(body.lower())
-            density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            if density >= high or (len(body) >= long and density >= low):
+            density = stops[i] / max(1, len(words[i]))
+            if density >= high or (size >= long and density >= low):
                 labels.append(True)
-            elif marked or density >= low or len(body) >= long:
+            elif marked or density >= low or size >= long:
                 labels.append(None)
             else:
                 labels.append(False)
     # inside a marked article only its own blocks are neighbours
-    decided = [i for i, x in enumerate(labels) if x is not None and not (marked and (blocks[i][2] or not blocks[i][3]))]
+    decides = [x is not None and not (marked and (b[2] or not b[3])) for x, b in zip(labels, blocks)]
+    n = len(blocks)
+    before, after = [-1] * n, [n] * n  # the nearest decided block on either side
+    for i in range(1, n):
+        before[i] = i - 1 if decides[i - 1] else before[i - 1]
+    for i in range(n - 2, -1, -1):
+        after[i] = i + 1 if decides[i + 1] else after[i + 1]
     out = []
     for i, x in enumerate(labels):
         if x is None:
-            before = max((d for d in decided if d < i), default=None)
-            after = min((d for d in decided if d > i), default=None)
-            if before is None and after is None:
+            b, a = before[i], after[i]
+            if b < 0 and a == n:
                 x = True  # nothing speaks against it
-            elif before is None or (after is not None and after - i < i - before):
-                x = labels[after]
-            elif after is None or i - before < after - i:
-                x = labels[before]
+            elif b < 0 or (a < n and a - i < i - b):
+                x = labels[a]
+            elif a == n or i - b < a - i:
+                x = labels[b]
             else:
-                x = labels[before] or labels[after]
+                x = labels[b] or labels[a]
         out.append(bool(x))
     return out
 
@@ -223,7 +268,7 @@ def main_text(page: str) -> str:
 
 
 def extract(pages: DataFrame, source: str = "html") -> DataFrame:
-    """Add ``text`` (main text) and ``n_chars`` to the given columns, which must not hold these names."""
+    """The given columns with ``text`` (main text) and ``n_chars``, which replace columns of these names."""
 
     @F.pandas_udf("string")
     def body(column: pd.Series) -> pd.Series:
