@@ -342,7 +342,11 @@ def remove_spans(raw: bytes, spans) -> tuple[bytes, int, int]:
 
 
 def dedup_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
-    """``(key, n_bytes, n_removed, n_spans, kept_sha256)`` of every row."""
+    """``(key, n_bytes, n_removed, n_spans, kept_sha256, n_kept, text)`` of every row.
+
+    ``n_kept`` counts the bytes that are left, ``text`` is what is left (a cut inside a
+    character drops what is left of that character there, not in the digest).
+    """
     spans = checkpointed(repeated_spans(docs, key, text, length))
     body = text_or_empty(text)
     plain = docs.select(_row_id(key), body.alias("text"), F.xxhash64(body).alias("th"))
@@ -355,17 +359,18 @@ def dedup_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
             rows = []
             for i, th, body, s in zip(frame["id"], frame["th"], frame["text"], frame["spans"]):
                 kept, removed, runs = remove_spans(_utf8(body), s)
-                rows.append((i, th, removed, runs, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=["id", "th", "removed", "runs", "sha"])
+                rows.append((i, th, removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+            yield pd.DataFrame(rows, columns=["id", "th", "removed", "runs", "sha", "left"])
         give_back()
 
-    cut = touched.join(spans, ["id", "th"]).mapInPandas(digest, "id string, th long, removed long, runs long, sha string")
-    every = plain.select("id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "utf-8"), 256).alias("own"))
+    cut = touched.join(spans, ["id", "th"]).mapInPandas(digest, "id string, th long, removed long, runs long, sha string, left string")
+    every = plain.select("id", "th", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "utf-8"), 256).alias("own"))
     cut = cut.withColumnsRenamed({"id": "cid", "th": "cth"})
     out = every.join(cut, (F.col("id") == F.col("cid")) & (F.col("th") == F.col("cth")), "left")
     return out.select(
         F.col("id").try_cast(docs.schema[key].dataType).alias(key), "n_bytes", F.coalesce("removed", F.lit(0)).alias("n_removed"),
         F.coalesce("runs", F.lit(0)).alias("n_spans"), F.coalesce("sha", "own").alias("kept_sha256"),
+        (F.col("n_bytes") - F.coalesce("removed", F.lit(0))).alias("n_kept"), F.coalesce("left", "text").alias("text"),
     )
 
 

@@ -27,7 +27,7 @@ def brute(texts, length):
                 gone[i : i + length] = b"\1" * length
         kept = bytes(c for c, g in zip(r, gone) if not g)
         runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
-        out.append((len(r), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+        out.append((len(r), sum(gone), runs, hashlib.sha256(kept).hexdigest(), len(kept), kept.decode("utf-8", "ignore")))
     return out
 
 
