@@ -42,6 +42,10 @@ HEADLINE = [
     "model_audit",
     "bins_bulk",
     "rule_ids_bulk",
+    "dt_score_corpus",
+    "dt_rules_corpus",
+    "km_score_mixed_k",
+    "dt_compile_corpus_text",
     "dt_route",
     "stream_dt_score",
     "stream_windowed_counts",

@@ -1,6 +1 @@
 """pktsieve: packet classification with pre-trained models, as Spark jobs."""
-
-import os
-
-MODEL_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "models")
-KM_MODEL_PATH = os.path.join(MODEL_DIR, "kmeans.txt")

@@ -123,6 +123,9 @@ def compile_km_lines(lines: DataFrame, check: bool = True) -> KMModel:
     cents = parse_km_lines(lines)
     if check:
         require_centres(lines, cents)
+        too_large = cents.filter(" OR ".join(f"{f} IS NULL" for f in KM_FEATURES)).limit(1).collect()
+        if too_large:
+            raise ValueError(f"model {too_large[0].model_id} line {too_large[0].line_no}: centre coordinate beyond 64 bits")
     return KMModel(number_centres(cents))
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import KM_MODEL_PATH
+from ..models.centres import centre_text
 from ..models.tree import tree_text
 from ..operators.dtree_compile import DTModel, compile_from_lines
-from ..operators.kmeans import KMModel, compile_km, compile_km_lines
+from ..operators.kmeans import KMModel, compile_km_lines
 from ..session import checkpointed
-from ..sources.models import model_lines_from_text, read_model_lines
+from ..sources.models import model_lines_from_text
 
 DT_ID = "decision_tree"
 KM_ID = "kmeans"
@@ -35,7 +35,7 @@ def shipped_dt(spark: SparkSession) -> DTModel:
 def shipped_km(spark: SparkSession) -> KMModel:
     k = _key(spark, "km")
     if k not in _memo:
-        m = compile_km(spark, KM_MODEL_PATH)
+        m = compile_km_lines(km_lines(spark))
         _memo[k] = KMModel(m.centres.transform(checkpointed))
     return _memo[k]
 
@@ -45,6 +45,11 @@ def dt_lines(spark: SparkSession) -> DataFrame:
     return model_lines_from_text(spark.createDataFrame([(DT_ID, tree_text())], "model_id string, text string"))
 
 
+def km_lines(spark: SparkSession) -> DataFrame:
+    """The lines of the shipped centres' text, which is rendered from their table of fixed values."""
+    return model_lines_from_text(spark.createDataFrame([(KM_ID, centre_text())], "model_id string, text string"))
+
+
 def _rule_line(lines: DataFrame, rule_no: int) -> int:
     return (
         lines.filter(F.col("line").rlike(r"^\s*when\s"))
@@ -80,7 +85,7 @@ def two_kmeans(spark: SparkSession) -> KMModel:
     permuted), compiled in one run."""
     k = _key(spark, "two-km")
     if k not in _memo:
-        lines = read_model_lines(spark, KM_MODEL_PATH)
+        lines = km_lines(spark)
         rev = lines.withColumn("line_no", -F.col("line_no")).withColumn("model_id", F.lit(KM_ALT_ID))
         m = compile_km_lines(lines.unionByName(rev))
         _memo[k] = KMModel(m.centres.transform(checkpointed))

@@ -16,6 +16,7 @@ from ..constants import (
     KM_CLASS_PORTS,
     KM_DIST_CAP,
 )
+from ..models.centres import KM_CENTRES
 from ..models.tree import DT_EDGES, DT_LEAVES, leaf_bounds
 from ..sources.fixtures import oracle_bulk, oracle_frames, oracle_grid, oracle_predicates
 
@@ -27,9 +28,6 @@ def _leaf_sql(leaf: tuple) -> str:
 # the shipped decision tree as integer conditions on raw features, rule_id from 0, with the class of each leaf
 DT_RULES = [(i, _leaf_sql(leaf), leaf[-1]) for i, leaf in enumerate(DT_LEAVES)]
 
-# --- fixed values: the shipped k-means centres (frame_len, src_port, dst_port), class from 1
-KM_CENTRES = [(192, 1171, 846), (372, 49201, 7358), (218, 7690, 50028)]
-
 FEATURES_SELECT = (
     "SELECT pkt_id, ingress_port, ipv4_identification, "
     "COALESCE(ipv4_total_len, 0) AS frame_len, ether_type, "

@@ -22,12 +22,14 @@ from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bul
 from ..operators.audit import cell_audit, classes_without_port, predicate_audit
 from ..operators.numbering import number_in_order
 from ..session import checkpointed, scratch_path
+from ..sinks.store import ModelStore, score_from_store
 from ..sinks.tables import route, write_dt_tables
 from ..sources.fixtures import PACKETS_GRID_SQL
 from ..sources.text_lines import read_model_lines_at_volume, render_tree_lines, write_model_text
 from ..streaming.score import (
     grid_stream,
     read_table_stream,
+    run_counting_late,
     run_to_table,
     run_updates_to_table,
     score_dt_stream,
@@ -212,11 +214,11 @@ def q_label_crosstab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dt_route(spark: SparkSession, sf: str) -> DataFrame:
-    """A8 + A9: route the tree-without-rule-10 output to per-port folders (salted
-    writers) and a dropped table, then read the written tables back."""
+    """A8 + A9: route the tree-without-rule-10 output to per-port folders (writers
+    by the packets of each port) and a dropped table, then read the written tables back."""
     out = score_dt(grid_from(spark, sf), dt_without_rule(spark, 10), model_id=DT_ID)
     path = scratch_path(spark, "route")
-    route(out.select("pkt_id", "egress_port", "outcome"), path, files_per_port=2)
+    route(out.select("pkt_id", "egress_port", "outcome"), path, rows_per_file=1_000_000)
     written = spark.read.parquet(path)
     return written.select("pkt_id", F.col("egress_port").cast("int").alias("egress_port"), "outcome")
 
@@ -262,6 +264,54 @@ def q_stream_reloading(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select(*DT_COLS)
 
 
+def _halves(spark: SparkSession, sf: str, files: int = 4) -> DataFrame:
+    """The grid as a stream of two batches: events of even ids in ``files`` files, then those of odd ids."""
+    base = scratch_path(spark, "halves")
+    events = table(spark, sf, "events")
+    for odd in (0, 1):  # the source takes files in the order of their times
+        events.where(F.col("event_id") % 2 == odd).repartition(files).write.mode("append").parquet(base)
+    return spark.sql(PACKETS_GRID_SQL, events=read_table_stream(spark, base, max_files=files))
+
+
+def q_stream_dt_score_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """H1 with many models in one stream: the arrival port picks the tree, the index joins the stream by model_id."""
+    g = grid_stream(spark, sf).withColumn(
+        "model_id", F.when(F.col("ingress_port") == 129, F.lit(ALT_ID)).otherwise(F.lit(DT_ID))
+    )
+    out = run_to_table(spark, score_dt(g, two_trees(spark), keep=["model_id"]), "stream_dt_multi")
+    return out.select("pkt_id", "model_id", "class_id", "egress_port", "outcome")
+
+
+def q_stream_model_swap(spark: SparkSession, sf: str) -> DataFrame:
+    """H3 (+ A6, A7) for both kinds: after the first of two batches a new version is
+    published (the tree without rule 10, the centres in reverse order); each
+    batch is scored by one version."""
+    store = ModelStore(spark, scratch_path(spark, "store"))
+    store.publish(shipped_dt(spark), shipped_km(spark))
+    turned = shipped_km(spark).centres.withColumn("class_id", (4 - F.col("class_id")).cast("int"))
+
+    def swap(epoch_id: int) -> None:
+        if epoch_id == 0:
+            store.publish(dt_without_rule(spark, 10), KMModel(turned))
+
+    def score(batch: DataFrame, trees, centres) -> DataFrame:
+        flat = [c for c in batch.columns if c != "ts"]
+        dt = score_dt(batch, trees, model_id=DT_ID, keep=flat)
+        dt = dt.select(*flat, F.col("class_id").alias("dt_class"), F.col("egress_port").alias("dt_port"))
+        km = score_km(dt, centres, model_id=KM_ID, keep=["dt_class", "dt_port"])
+        return km.select("pkt_id", "dt_class", "dt_port", F.col("class_id").alias("km_class"), F.col("egress_port").alias("km_port"))
+
+    base = scratch_path(spark, "swap")
+    score_from_store(_halves(spark, sf), store, score, f"{base}/out", f"{base}/_checkpoint", on_batch=swap)
+    return spark.read.parquet(f"{base}/out").select("pkt_id", "model_version", "dt_class", "dt_port", "km_class", "km_port")
+
+
+def q_stream_late_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """X2 with late rows: the events of odd ids come a batch after all those of even
+    ids, so most are behind the watermark; on time and late together are all rows."""
+    return run_counting_late(spark, score_dt_stream(_halves(spark, sf), shipped_dt(spark), DT_ID), "stream_late")
+
+
 # --------------------------------------------------------------------------- captures
 
 
@@ -443,6 +493,9 @@ REGISTRY: dict[str, Query] = {
     "stream_km_score": q_stream_km_score,
     "stream_reloading": q_stream_reloading,
     "stream_windowed_counts": q_stream_windowed_counts,
+    "stream_dt_score_multi": q_stream_dt_score_multi,
+    "stream_model_swap": q_stream_model_swap,
+    "stream_late_counts": q_stream_late_counts,
     "km_distances": q_km_distances,
     "km_score": q_km_score,
     "km_score_bulk": q_km_score_bulk,
@@ -581,6 +634,28 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {O.with_packets('grid')}, {O.dt_multi_ctes(129, 'dt_no_rule10', {10})} "
             "SELECT pkt_id, model_id, class_id, egress_port, outcome FROM dt"
         ),
+        "stream_dt_score_multi": (
+            f"WITH {O.with_packets('grid')}, {O.dt_multi_ctes(129, 'dt_no_rule10', {10})} "
+            "SELECT pkt_id, model_id, class_id, egress_port, outcome FROM dt"
+        ),
+        "stream_model_swap": (
+            f"WITH {O.with_packets('grid')}, r AS (SELECT pkt_id, ingress_port = {BYPASS_INGRESS_PORT} AS byp, pkt_id % 2 AS odd, "
+            f"CASE WHEN pkt_id % 2 = 1 THEN {O.rule_case('class', {10})} ELSE {O.rule_case('class')} END AS dtc, "
+            f"{O.km_dist_sql()} FROM feats), "
+            # reversed centres: class 1 is the third centre
+            "n AS (SELECT *, CASE WHEN odd = 1 THEN CASE WHEN d3 <= d2 AND d3 <= d1 THEN 1 WHEN d2 <= d1 THEN 2 ELSE 3 END "
+            "ELSE CASE WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END END AS kmc FROM r) "
+            "SELECT pkt_id, CAST(odd + 1 AS BIGINT) AS model_version, CASE WHEN NOT byp THEN dtc END AS dt_class, "
+            f"CAST(CASE WHEN byp THEN 156 ELSE {O.port_case('dtc', O.DT_CLASS_PORTS)} END AS INT) AS dt_port, "
+            "CAST(CASE WHEN NOT byp THEN kmc END AS INT) AS km_class, "
+            f"CAST(CASE WHEN byp THEN 156 ELSE {O.port_case('kmc', O.KM_CLASS_PORTS)} END AS INT) AS km_port FROM n"
+        ),
+        "stream_late_counts": (
+            f"{O.dt_scored('grid')}, mark AS (SELECT max(ts) FILTER (pkt_id % 2 = 0) - INTERVAL 10 MINUTE AS w FROM dt), "
+            "late AS (SELECT *, pkt_id % 2 = 1 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= w AS is_late FROM dt, mark) "
+            "SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, class_id, egress_port, "
+            "COUNT(*) FILTER (NOT is_late) AS n_packets, COUNT(*) FILTER (is_late) AS n_late FROM late GROUP BY 1, 2, 3"
+        ),
         "dt_rules_corpus": (
             f"{f7}, raw AS (SELECT p.model_id, p.rule_id, "
             + ", ".join(

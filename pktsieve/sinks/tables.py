@@ -54,7 +54,7 @@ def split_dropped(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def route(
     scored: DataFrame, path: str, files_per_port: int | None = None, mode: str | None = None, salt_col: str = "pkt_id",
-    run_id: str | None = None,
+    run_id: str | None = None, rows_per_file: int | None = None,
 ) -> None:
     """A8 + A9 in one pass: sent packets land under ``route=sent/egress_port=<p>``,
     dropped ones under ``route=dropped`` (their port is NULL); nothing is lost.
@@ -63,16 +63,29 @@ def route(
     it when it is run again, so a retried job never doubles packets. Without
     it an existing ``path`` is an error unless ``mode`` says otherwise.
 
-    With ``files_per_port`` the rows are first spread over (port, salt)
-    buckets, so a port carrying most of the traffic is written by several
-    tasks instead of one. The salt is a hash of ``salt_col`` (deterministic,
-    so a recomputed task routes the same rows to the same bucket).
+    With ``rows_per_file`` the packets per port are counted first, and a port gets
+    as many writers as its packets need, so a port that carries most of the
+    traffic is as many files of the common size. ``files_per_port`` gives every port
+    the same number of writers instead, without counting. Writers are chosen by
+    a hash of ``salt_col`` (deterministic, so a recomputed task routes the same rows
+    to the same writer).
     """
     dest = F.when(F.col("outcome") == "drop", F.lit("dropped")).otherwise(F.lit("sent"))
     out = scored.withColumn("route", dest)
-    if files_per_port:
-        salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_port))
-        out = out.repartition("route", "egress_port", salt)
+    salt = F.xxhash64(F.col(salt_col))
+    if rows_per_file:
+        per = out.groupBy("route", "egress_port").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per port
+        first, chain = 0, None
+        for r in sorted(per, key=lambda r: (r["route"], r["egress_port"] is None, r["egress_port"] or 0)):
+            writers = -(-r["n"] // rows_per_file)
+            here = (F.col("route") == r["route"]) & F.col("egress_port").eqNullSafe(F.lit(r["egress_port"]).cast("int"))
+            writer = F.lit(first) + F.pmod(salt, F.lit(writers)).cast("int")
+            chain = F.when(here, writer) if chain is None else chain.when(here, writer)
+            first += writers
+        if first:
+            out = out.repartitionById(first, chain)
+    elif files_per_port:
+        out = out.repartition("route", "egress_port", F.pmod(salt, F.lit(files_per_port)))
     target = path.rstrip("/") if run_id is None else f"{path.rstrip('/')}/run={run_id}"
     mode = mode or ("errorifexists" if run_id is None else "overwrite")
     out.write.mode(mode).partitionBy("route", "egress_port").parquet(target)

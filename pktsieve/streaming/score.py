@@ -87,6 +87,45 @@ def run_updates_to_table(spark: SparkSession, counts: DataFrame, name: str) -> D
     return spark.read.parquet(f"{base}/data").groupBy(*keys).agg(F.max_by("n_packets", "epoch").alias("n_packets"))
 
 
+def run_counting_late(spark: SparkSession, scored: DataFrame, name: str, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """X2 with late rows counted: (window_start, class_id, egress_port, n_packets, n_late) of a stream run to completion.
+
+    A row is late if its window has ended by the watermark, which is the
+    latest event time of the batches before its own less ``delay``. Windows on time
+    are counted as they come, late rows go to the side table ``late`` and are
+    counted per window and port; together they are all rows. A batch writes its
+    counts, its late rows and its own latest time to folders of its number,
+    which a retry replaces, so the watermark of a retried batch is the same.
+    """
+    base = scratch_path(spark, name)
+    plain = scored.withColumn("ts", as_instant(scored, "ts"))
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        mark = None
+        if epoch_id:
+            marks = spark.read.schema("latest timestamp, epoch long").parquet(f"{base}/marks")
+            mark = marks.where(F.col("epoch") < epoch_id).agg(F.max("latest")).first()[0]
+        placed = batch.withColumn("w", F.window("ts", size))
+        gone = F.lit(False) if mark is None else F.col("w.end") <= F.lit(mark) - F.expr(f"INTERVAL {delay}")
+        placed = placed.withColumn("late", gone)
+        placed.where("late").drop("w", "late").write.mode("overwrite").parquet(f"{base}/late/epoch={epoch_id}")
+        counts = placed.groupBy(F.unix_seconds(F.col("w.start")).alias("window_start"), "class_id", "egress_port").agg(
+            F.count_if(~F.col("late")).alias("n_packets"), F.count_if(F.col("late")).alias("n_late")
+        )
+        counts.write.mode("overwrite").parquet(f"{base}/counts/epoch={epoch_id}")
+        batch.agg(F.max("ts").alias("latest")).write.mode("overwrite").parquet(f"{base}/marks/epoch={epoch_id}")
+
+    q = (
+        plain.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{base}/_checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    parts = spark.read.parquet(f"{base}/counts")
+    return parts.groupBy("window_start", "class_id", "egress_port").agg(
+        F.sum("n_packets").cast("long").alias("n_packets"), F.sum("n_late").cast("long").alias("n_late")
+    )
+
+
 def score_reloading(
     spark: SparkSession,
     stream: DataFrame,
