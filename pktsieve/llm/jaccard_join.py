@@ -334,8 +334,11 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     loose = rare_first(one_each.select(F.col("h1").alias("node"), "n", "loose"), threshold)
     # index lists with more than one set
     posts = kept.select(F.explode("sigs").alias("sig"), "node", "k").unionByName(loose).repartition("sig")
-    shape = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("len"))
-    listed = checkpointed(posts.join(shape.where("low <> high"), "sig").select("sig", "node", "k", "low", "len"))
+    # (it reads all columns of the lists, so that both sides of the join share one shuffle)
+    shape = posts.groupBy("sig").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("len"), F.max("k").alias("k_too")
+    )
+    listed = checkpointed(posts.join(shape.where("low <> high and k_too is not null"), "sig").select("sig", "node", "k", "low", "len"))
     stars = listed.where((F.col("len") > LONG) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
     # short lists: their pairs, each once
     held = listed.where(F.col("len") <= SHORT).groupBy("sig", "k").agg(F.sort_array(F.collect_set("node")).alias("s"))
