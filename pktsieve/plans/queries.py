@@ -17,7 +17,7 @@ from ..functions.features import features
 from ..operators import dtree_compile as dc
 from ..operators.dtree_score import class_port_table, eval_rules, inline_dt, rule_conditions, rules_index, score_dt
 from ..operators.kmeans import KMModel, centres_of, compile_km_lines, distances_inline, nearest_long, score_km
-from ..operators.frames import decode_frames, frame_checksum
+from ..operators.frames import decode_frames, frame_checksum, split_quarantine
 from ..sources.fixtures import bulk_from, frames_from, grid_from, predicates_bulk, table
 from ..operators.audit import cell_audit, classes_without_port, predicate_audit
 from ..operators.numbering import number_in_order
@@ -25,6 +25,7 @@ from ..session import checkpointed, scratch_path
 from ..sinks.store import ModelStore, score_from_store
 from ..sinks.tables import route, write_dt_tables
 from ..sources.fixtures import PACKETS_GRID_SQL
+from ..sources.packets import PACKET, read_packets
 from ..sources.text_lines import read_model_lines_at_volume, render_tree_lines, write_model_text
 from ..streaming.score import (
     grid_stream,
@@ -459,6 +460,24 @@ def q_model_audit(spark: SparkSession, sf: str) -> DataFrame:
     return out.fillna(0, ["n_rules_without_port"])
 
 
+def q_model_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """D6 (+ G2): rules kept, classes, features and thresholds of every corpus model, whose bins must cover the domains."""
+    from ..api import assert_covers
+
+    model = corpus_model(spark, sf)
+    assert_covers(model.bins)
+    return dc.model_counts(model).select("model_id", "n_rules", "n_classes", "n_features", "n_thresholds")
+
+
+def q_packet_table_score(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: the decoded capture written as a table of nested headers, read back with the fixed schema, scored by the tree."""
+    whole, _ = split_quarantine(decode_frames(frames_from(spark, sf)))
+    path = scratch_path(spark, "packets")
+    columns = [F.lit(None).cast("timestamp").alias("ts") if f.name == "ts" else F.col(f.name).cast(f.dataType) for f in PACKET.fields]
+    whole.select(*columns).write.parquet(path)
+    return score_dt(read_packets(spark, path), shipped_dt(spark), model_id=DT_ID).select(*DT_COLS)
+
+
 def q_rules_bulk(spark: SparkSession, sf: str) -> DataFrame:
     """C7 + C11 + D4 + D5: complete every rule to 5 features, keep valid rules."""
     p = _preds(spark, sf)
@@ -513,6 +532,8 @@ REGISTRY: dict[str, Query] = {
     "rules_bulk": q_rules_bulk,
     "model_audit": q_model_audit,
     "rule_ids_bulk": q_rule_ids_bulk,
+    "model_counts": q_model_counts,
+    "packet_table_score": q_packet_table_score,
     "dt_score_corpus": q_dt_score_corpus,
     "dt_compile_corpus_text": q_dt_compile_corpus_text,
 }
@@ -770,6 +791,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT model_id, rule_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) "
             "AS rule_no FROM valid"
         ),
+        "model_counts": (
+            f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}), "
+            "b AS (SELECT model_id, COUNT(DISTINCT feature) AS n_features, COUNT(*) AS n_thresholds FROM bins GROUP BY model_id), "
+            "r AS (SELECT model_id, COUNT(*) AS n_rules, COUNT(DISTINCT rule_id % 5) AS n_classes FROM valid GROUP BY model_id) "
+            "SELECT b.model_id, COALESCE(n_rules, 0) AS n_rules, COALESCE(n_classes, 0) AS n_classes, n_features, n_thresholds "
+            "FROM b LEFT JOIN r ON r.model_id = b.model_id"
+        ),
+        "packet_table_score": (
+            f"WITH {O.frames_ctes()}, feats AS ({O.FEATURES_SELECT}, NULL AS ts FROM fe WHERE err IS NULL), {O.dt_ctes()} {O.DT_OUT}"
+        ),
         "dt_compile_corpus_text": (
             f"{f7}, {_bounds_sql()}, {_bins_sql()}, {complete}, valid AS ({rules_out}) "
             "SELECT model_id, CAST(ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY rule_id) - 1 AS INT) AS rule_no, "
