@@ -35,6 +35,7 @@ looked at.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -49,7 +50,7 @@ from .common import checkpointed, give_back, text_or_empty
 
 CHUNK_DOCS = 4_096  # documents of a chunk
 CHUNK_BYTES = 8_000_000  # bytes of texts after which a chunk ends
-CACHE = 200_000  # distinct units that a task holds
+CACHE = 400_000  # distinct units that a task holds
 RANGE = MAX_BROADCAST_ROWS  # pairs whose counts are broadcast together
 SPAN = np.int64(1 << 20)  # pairs are numbered a * SPAN + b
 
@@ -74,18 +75,28 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte = {c: i for i, c in enumerate(self._alphabet(pre_tokenizers))}
-        self.bytes_a = {}
+        spelt_a = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab(with_added_tokens=False).items():
             if all(c in byte for c in token):
-                self.bytes_a[i] = bytes(byte[c] for c in token)
+                spelt_a[i] = bytes(byte[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [
+        spelt_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.spelt_a, self.spelt_b = _Strings(spelt_a), _Strings(spelt_b)
+        # an id of A before another one of A or before B, an id of B before another one of B or before the next group
+        shown = [f"{i}{mark}".encode() for n, marks in ((len(spelt_a), ",|"), (len(pieces), ",;")) for mark in marks for i in range(n)]
+        self.shown = np.array(shown, dtype=object)
+        self.shown_size = np.array([len(x) for x in shown])
         # units stand alone only if no piece of B runs over a space
         self.by_units = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.units: list[tuple] = []
+        self.text: list[bytes] = []  # the groups of every unit, each with a ";" behind it
+        self.figures = np.zeros((0, 5), dtype=np.int64)  # of every unit: tokens of A, of B, groups, links; 1 if bytes differ
+        self.pairs = np.zeros(0, dtype=np.int64)  # the linked pairs of all units, unit by unit
 
     @staticmethod
     def _alphabet(pre_tokenizers) -> str:
@@ -101,43 +112,73 @@ class Aligner:
     def learn(self, units: list[str]) -> None:
         """Encode and align units that are not known yet."""
         if len(self.known) > CACHE:
-            self.known, self.units = {}, []
+            self.forget()
         new = [u for u in dict.fromkeys(units) if u not in self.known]
-        in_a = self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)
+        if not new:
+            return
+        in_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)]
         in_b = self.b.encode(new, num_threads=1)
-        for unit, enc, b in zip(new, in_a, in_b):
-            self.known[unit] = len(self.units)
-            self.units.append(self._align(unit, enc.ids, b))
-
-    def _align(self, unit: str, a: list[int], b: list[int]) -> tuple | None:
-        """(tokens of A, tokens of B, groups, links, the groups as text, linked pairs) or None if bytes differ."""
-        raw = (" " + unit).encode("utf-8", "surrogatepass")
-        spelt_a, spelt_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(spelt_a) != raw or b"".join(spelt_b) != raw:
-            return None
-        parts, pairs, links = [], [], 0
-        i = j = end_a = end_b = 0
-        while i < len(a):
-            first_a, first_b = i, j
-            end_a += len(spelt_a[i])
-            i += 1
-            while end_a != end_b:
-                if end_b < end_a:
-                    end_b += len(spelt_b[j])
-                    j += 1
-                else:
-                    end_a += len(spelt_a[i])
-                    i += 1
-            x, y = a[first_a:i], b[first_b:j]
-            parts.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            links += len(x) * len(y)
-            if len(x) == len(y) == 1:
-                pairs.append((x[0], y[0], 1))
-            else:
-                mult_x, mult_y = {k: x.count(k) for k in set(x)}, {k: y.count(k) for k in set(y)}
-                pairs.extend((p, q, c * d) for p, c in mult_x.items() for q, d in mult_y.items())
-        found = np.array(pairs, dtype=np.int64).reshape(-1, 3)
-        return len(a), len(b), len(parts), links, ";".join(parts), found[:, 0] * SPAN + found[:, 1], found[:, 2]
+        raw = [(" " + u).encode("utf-8", "surrogatepass") for u in new]
+        good = self.spelt_a.spell(in_a, raw) & self.spelt_b.spell(in_b, raw)
+        texts, figures, pairs = self._align([x for x, g in zip(in_a, good) if g], [x for x, g in zip(in_b, good) if g])
+        rows = np.zeros((len(new), 5), dtype=np.int64)
+        rows[good, :4] = figures
+        rows[~good, 4] = 1
+        shown = iter(texts)
+        self.text.extend(next(shown) if g else b"" for g in good)
+        self.known.update(zip(new, range(len(self.figures), len(self.figures) + len(new))))
+        self.figures = np.concatenate((self.figures, rows))
+        self.pairs = np.concatenate((self.pairs, pairs))
+
+    def _align(self, in_a: list[list[int]], in_b: list[list[int]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Of units spelt alike: their groups as text, (tokens of A, of B, groups, links), and all linked pairs."""
+        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (in_a, in_b))
+        a, b = (np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int64) for ids in (in_a, in_b))
+        end_a, end_b = np.cumsum(self.spelt_a.size[a]), np.cumsum(self.spelt_b.size[b])
+        both = end_a[np.isin(end_a, end_b, assume_unique=True)]  # ends of groups; a unit's end is one
+        group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+        p, q = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
+        first_b = np.cumsum(q) - q
+        # every A token with each B token of its group
+        times = q[group_a]
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first_b[group_a], times)
+        pairs = np.repeat(a, times) * SPAN + b[at]
+        # the ids in the order of the text: a group's ids of A, then its ids of B
+        size_a, size_b = len(self.spelt_a.size), len(self.spelt_b.size)
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        codes = np.empty(len(a) + len(b), dtype=np.int64)
+        codes[np.arange(len(a)) + first_b[group_a]] = a + size_a * last_a[: len(a)]
+        codes[np.arange(len(b)) + np.cumsum(p)[group_b]] = b + 2 * size_a + size_b * last_b[: len(b)]
+        blob = b"".join(self.shown[codes].tolist())
+        ends = np.concatenate(([0], np.cumsum(self.shown_size[codes])))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        last = np.cumsum(n_a) - 1  # the last A token of every unit
+        groups = np.diff(np.concatenate(([0], group_a[last] + 1)))
+        links = np.diff(np.concatenate(([0], np.cumsum(times)[last])))
+        return [blob[x:y] for x, y in zip(ends, ends[1:])], np.stack((n_a, n_b, groups, links), axis=1), pairs
+
+
+class _Strings:
+    """Byte strings by number."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.blob = np.frombuffer(b"".join(strings), dtype=np.uint8)
+
+    def spell(self, ids: list[list[int]], raw: list[bytes]) -> np.ndarray:
+        """Which of some sequences of numbers spell the given bytes."""
+        flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int64)
+        owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+        size = self.size[flat]
+        want = np.array([len(x) for x in raw])
+        good = (np.bincount(owner, weights=size, minlength=len(ids)) == want) & (np.bincount(owner[size == 0], minlength=len(ids)) == 0)
+        keep = good[owner]
+        size, first = size[keep], self.first[flat[keep]]
+        spelt = self.blob[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)]
+        told = np.frombuffer(b"".join([x for x, g in zip(raw, good) if g]), dtype=np.uint8)
+        wrong = np.repeat(np.flatnonzero(good), want[good])[spelt != told]
+        good[wrong] = False
+        return good
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -150,27 +191,20 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _aligners[path_a, path_b]
 
 
-def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of their values."""
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[head], np.add.reduceat(values, head)
-
-
-def inverted(pair: np.ndarray, doc: np.ndarray, times: np.ndarray) -> dict[str, np.ndarray]:
-    """Pair bitmaps and multiplicity planes of a chunk from its occurrences (pair, document in the chunk, links).
+def inverted(pair: np.ndarray, doc: np.ndarray) -> dict[str, np.ndarray]:
+    """Pair bitmaps and multiplicity planes of a chunk from its links (pair, document in the chunk).
 
-    ``pair`` ascending, ``held`` the popcount of each one's bitmap. Posting lists are rows of
-    ``(plane, at, word, bits)``: of the pair at place ``at``, plane ``plane``'s word number ``word``.
+    ``pair`` holds the distinct pairs in ascending order, ``held`` the popcount of each one's bitmap. Posting lists are
+    rows of ``(plane, at, word, bits)``: of the pair at place ``at``, plane ``plane``'s word number ``word``.
     A pair's bitmap of documents is the OR of its planes, as a link counts once or more.
     """
     if not len(pair):
         none = np.zeros(0, dtype=np.int64)
         return dict.fromkeys(("pair", "held", "plane", "at", "word", "bits"), none)
-    names, place = np.unique(pair, return_inverse=True)
-    key, times = _sums(place.astype(np.int64) * CHUNK_DOCS + doc, times)
-    at, doc = key // CHUNK_DOCS, key % CHUNK_DOCS
+    key, times = np.unique(pair * CHUNK_DOCS + doc, return_counts=True)
+    pair, doc = key // CHUNK_DOCS, key % CHUNK_DOCS
+    new = np.concatenate(([True], pair[1:] != pair[:-1]))
+    names, at = pair[new], np.cumsum(new) - 1
     bit = np.uint64(1) << (doc % 64).astype(np.uint64)
     rows = []
 
@@ -202,7 +236,7 @@ def aligned_chunks(docs: DataFrame, key: str, text: str, path_a: str, path_b: st
         size = 0
 
         def chunk() -> pd.DataFrame:
-            parts = [np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in (zip(*found) if found else [()] * 3)]
+            parts = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, dtype=np.int64)] * 2
             row = dict(zip(("ids", "n_a", "n_b", "n_groups", "n_links", "sha"), map(list, zip(*heads)))) | inverted(*parts)
             heads.clear()
             found.clear()
@@ -213,24 +247,25 @@ def aligned_chunks(docs: DataFrame, key: str, text: str, path_a: str, path_b: st
                 part = frame.iloc[lo : lo + 256]
                 cut = [tool.cut(t) if t else [] for t in part["text"]]
                 tool.learn([u for units in cut for u in units])
-                for doc, units in zip(part["doc"], cut):
-                    at = [tool.known[u] for u in units]
-                    got = [tool.units[i] for i in at]
-                    if not got or None in got:
+                at = [np.array([tool.known[u] for u in units], dtype=np.int64) for units in cut]
+                first = np.cumsum(tool.figures[:, 3]) - tool.figures[:, 3]  # of every unit's pairs
+                for doc, units, text in zip(part["doc"], at, part["text"]):
+                    told = tool.figures[units].sum(axis=0)
+                    if not len(units) or told[4]:
                         heads.append((doc, 0, 0, 0, 0, ""))
                     else:
-                        sha = hashlib.sha256(";".join([g[4] for g in got]).encode()).hexdigest()
-                        heads.append((doc, *(sum(g[c] for g in got) for c in range(4)), sha))
-                        pair = np.concatenate([g[5] for g in got])
-                        pair, times = _sums(pair, np.concatenate([g[6] for g in got]))
-                        found.append((pair, np.full(len(pair), len(heads) - 1, dtype=np.int64), times))
-                    size += sum(map(len, units)) + len(units)
+                        shown = b"".join([tool.text[i] for i in units.tolist()])[:-1]
+                        heads.append((doc, *told[:4].tolist(), hashlib.sha256(shown).hexdigest()))
+                        n = tool.figures[units, 3]
+                        spot = np.arange(told[3]) + np.repeat(first[units] - (np.cumsum(n) - n), n)
+                        found.append((tool.pairs[spot], np.full(len(spot), len(heads) - 1, dtype=np.int64)))
+                    size += len(text)
                     if len(heads) == CHUNK_DOCS or size > CHUNK_BYTES:
                         yield chunk()
                         size = 0
         if heads:
             yield chunk()
-        tool.known, tool.units = {}, []  # a worker lives on, its memory is the next task's
+        tool.forget()  # a worker lives on, its memory is the next task's
         give_back()
 
     plain = docs.select(F.col(key).cast("string").alias("doc"), text_or_empty(text).alias("text"))
