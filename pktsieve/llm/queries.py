@@ -82,7 +82,7 @@ WITH RECURSIVE w AS (
   SELECT DISTINCT doc_id, unnest(CASE
     WHEN ws IS NULL OR len(ws) = 0 THEN CAST([] AS VARCHAR[])
     WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g
+    ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)] END) AS g
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
