@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
-from .common import checkpointed, text_or_empty
+from .common import checkpointed, small, text_or_empty
 
 # a run that is not one plain space already
 RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -73,8 +73,8 @@ def _grouped(rows: DataFrame) -> DataFrame:
     copies = checkpointed(
         rows.where("alive").groupBy(*whole).agg(F.count(F.lit(1)).alias("size"), first.alias("keep")).where("size > 1")
     )
-    small = F.broadcast(copies) if copies.count() <= MAX_BROADCAST_ROWS else copies  # checked size
-    return rows.where("alive").join(small, whole, "left").unionByName(rows.where("not alive"), allowMissingColumns=True)
+    # a row holds a hash of 64 characters beside its numbers
+    return rows.where("alive").join(small(copies, copies.count(), 14), whole, "left").unionByName(rows.where("not alive"), allowMissingColumns=True)
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", prefix: int = PREFIX, hash_all: bool = False) -> DataFrame:
