@@ -38,6 +38,7 @@ from .operators.dtree_score import (  # noqa: F401
     eval_rules,
     match_cells,
     match_rules,
+    rules_index,
     score_dt,
 )
 from .operators.frames import decode_frames, rewrite_frames, split_quarantine  # noqa: F401
@@ -48,16 +49,19 @@ from .operators.kmeans import (  # noqa: F401
     lookup_distances,
     nearest,
     nearest_array,
+    nearest_in_blocks,
     nearest_long,
     number_centres as number_centers,
     score_km,
 )
 from .plans.capture import rewrite_capture  # noqa: F401
+from .sinks.store import ModelStore, score_from_store  # noqa: F401
 from .sinks.tables import read_dt_tables, read_km_tables, route, route_stream, split_dropped  # noqa: F401
 from .sinks.tables import write_dt_tables, write_km_tables  # noqa: F401
 from .sources.models import read_dt_model, read_km_model, require_centres  # noqa: F401
 from .sources.packets import read_packets  # noqa: F401
-from .streaming.score import score_dt_stream, score_km_stream, score_reloading, windowed_counts  # noqa: F401
+from .sources.text_lines import read_model_lines_at_volume, write_model_text  # noqa: F401
+from .streaming.score import run_counting_late, score_dt_stream, score_km_stream, score_reloading, windowed_counts  # noqa: F401
 
 
 # --------------------------------------------------------------------------- B
