@@ -39,7 +39,7 @@ def test_entry_smoke(spark):
 
 
 SQL_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "StringType()": "VARCHAR",
-             "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN"}
+             "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN", "DecimalType(38,0)": "DECIMAL(38,0)"}
 
 
 @pytest.mark.parametrize("name", NAMES)
