@@ -9,19 +9,21 @@ the weights sparse. On held-out paragraphs a temperature is chosen by log loss
 and the least probability at which a family is told (otherwise ``unknown``) by
 precision.
 
-Scan. A paragraph (a line that isn't blank) that holds no word of the model's
-cues (words that occur in notices but not in ordinary text) is ``unknown``
-without being scored. The others' n-grams are joined to the weights, which are
-bounded by the notices' n-grams. A prediction is confirmed if the paragraph and
-one of the family's notices share enough of their n-grams (containment).
+Scan. Every paragraph (a line that isn't blank) is scored where it is read, by
+the counter and the regression, which are bounded by the notices' n-grams. A
+prediction is confirmed if the paragraph and one of the family's notices share
+enough of their n-grams (containment).
 
 Defined results: null and empty texts have no paragraphs; rows that repeat in
-full are scored once and reported each; an empty table gives no rows; extra
+full are counted once and reported each; an empty table gives no rows; extra
 columns are never looked at; whole texts are read.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,14 +124,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORDS), lambda w: w != "")
 
 
-def ngrams(w: Column, longest: int = 3) -> Column:
-    """Distinct n-grams of 1 to ``longest`` words."""
+def all_ngrams(w: Column, longest: int = 3) -> Column:
+    """N-grams of 1 to ``longest`` words, as often as they occur."""
 
     def of(n: int) -> Column:
         each = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
         return F.when(F.size(w) >= n, each).otherwise(F.expr("cast(array() as array<string>)"))
 
-    return F.array_distinct(F.concat(w, *[of(n) for n in range(2, longest + 1)]))
+    return F.concat(w, *[of(n) for n in range(2, longest + 1)])
+
+
+def ngrams(w: Column, longest: int = 3) -> Column:
+    """Distinct n-grams of 1 to ``longest`` words."""
+    return F.array_distinct(all_ngrams(w, longest))
 
 
 def training_set(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
@@ -161,7 +168,7 @@ def training_set(spark: SparkSession, docs: DataFrame, text: str = "text") -> Da
     return every.withColumn("fold", F.pmod(F.xxhash64(F.lit(3), "family", "w"), F.lit(5)))
 
 
-# words without which a paragraph isn't scored: those of the notices that ordinary text has no use for
+# words that keep a paragraph out of the sample of ordinary ones: those of the notices that ordinary text has no use for
 CUES = sorted(
     "license licensed licence licenced licenses copyright spdx gpl lgpl agpl mit apache bsd mozilla mpl cc0 gnu affero creative "
     "redistribution redistribute permission proprietary confidential unencumbered waived reserved warranty "
@@ -171,35 +178,36 @@ CUE_PATTERN = r"\b(?:" + "|".join(CUES) + r"|cc[ -]by)\b"
 
 
 class LicenseModel:
-    """Weights as a table, and the calibration."""
+    """The fitted counter of n-grams and regression with its families, the notices' n-grams, and the calibration."""
+
+    def __init__(self, counter, regression, families: list[str], notices: DataFrame, temperature: float, least: float):
+        self.counter, self.regression, self.families = counter, regression, families
+        self.notices, self.temperature, self.least = notices, temperature, least
 
-    def __init__(self, weights: DataFrame, bias: DataFrame, notices: DataFrame, temperature: float, least: float):
-        self.weights, self.bias, self.notices = weights, bias, notices
-        self.temperature, self.least = temperature, least
 
+def _scores(paragraphs: DataFrame, counter, regression, families: list[str]) -> DataFrame:
+    """``paragraphs`` (with words ``w``) and ``z``: every family's margin and name."""
+    counted = counter.transform(paragraphs.withColumn("grams", all_ngrams(F.col("w"))))
+    margins = regression.transform(counted).withColumn("margins", vector_to_array("margins"))
+    names = F.array(*[F.lit(x) for x in families])
+    return margins.withColumn("z", F.zip_with("margins", names, lambda z, f: F.struct(z.alias("z"), f.alias("family")))).drop(
+        "grams", "features", "margins"
+    )
 
-def _scores(paragraphs: DataFrame, weights: DataFrame, bias: DataFrame) -> DataFrame:
-    """``(id, family, z)`` for paragraphs ``(id, w)`` and every family; tables of weights and biases are bounded by the notices."""
-    grams = paragraphs.select("id", F.explode(ngrams(F.col("w"))).alias("gram"))
-    hits = grams.join(F.broadcast(weights), "gram").groupBy("id", "family").agg(F.sum("weight").alias("s"))
-    families = F.array(*[F.struct(F.lit(r["family"]).alias("family"), F.lit(float(r["b"])).alias("b")) for r in bias.collect()])
-    each = paragraphs.select("id", F.inline(families))
-    return each.join(hits, ["id", "family"], "left").select("id", "family", (F.col("b") + F.coalesce("s", F.lit(0.0))).alias("z"))
 
+def _best(z: Column, temperature: float) -> Column:
+    """An array of one: the family of the largest probability, and that probability ``p``."""
 
-def _best(scores: DataFrame, temperature: float) -> DataFrame:
-    """``(id, family, p)``: the family of the largest probability."""
-    e = F.exp(F.col("z") / F.lit(temperature))
-    top = F.max(F.struct(F.col("z"), F.col("family")))
-    best = scores.groupBy("id").agg(top.alias("top"), F.sum(e).alias("sum"))
-    return best.select("id", F.col("top.family").alias("family"), (F.exp(F.col("top.z") / F.lit(temperature)) / F.col("sum")).alias("p"))
+    def of(each: Column) -> Column:
+        top = F.array_max(each)
+        total = F.aggregate(each, F.lit(0.0), lambda s, x: s + F.exp(x["z"] / F.lit(temperature)))
+        return F.struct(top["family"].alias("family"), (F.exp(top["z"] / F.lit(temperature)) / total).alias("p"))
 
+    return F.transform(F.array(z), of)
 
-def fit(spark: SparkSession, docs: DataFrame, text: str = "text") -> LicenseModel:
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer
 
-    rows = checkpointed(training_set(spark, docs, text).withColumn("id", F.monotonically_increasing_id()))
+def fit(spark: SparkSession, docs: DataFrame, text: str = "text") -> LicenseModel:
+    rows = checkpointed(training_set(spark, docs, text))
     train = rows.where("fold <> 0")
     # features: the notices' n-grams only, so the model is bounded by the notices
     notice = spark.createDataFrame([(f, i, t) for f, ts in NOTICES.items() for i, t in enumerate(ts)], "family string, nid int, t string")
@@ -213,28 +221,18 @@ def fit(spark: SparkSession, docs: DataFrame, text: str = "text") -> LicenseMode
     weight = F.element_at(F.create_map(*[F.lit(x) for f, c in counts.items() for x in (f, 1.0 / c)]), F.col("family"))
     model = LogisticRegression(
         family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=60, weightCol="cw", labelCol="label", featuresCol="features",
-        standardization=False,
+        standardization=False, rawPredictionCol="margins", probabilityCol="", predictionCol="",
     ).fit(ready.withColumn("cw", weight * F.lit(1000.0)))
-    matrix, vocabulary = model.coefficientMatrix.toArray(), counter.vocabulary
-    weights = [
-        (vocabulary[j], labels[i], float(matrix[i, j])) for i in range(matrix.shape[0]) for j in range(matrix.shape[1]) if matrix[i, j]
-    ]
-    weights = checkpointed(spark.createDataFrame(weights, "gram string, family string, weight double"))
-    bias = checkpointed(spark.createDataFrame(
-        [(labels[i], float(b)) for i, b in enumerate(model.interceptVector.toArray())], "family string, b double"
-    ))
     # calibration on held-out paragraphs: temperature by log loss, least probability by precision
-    held = rows.where("fold = 0").select("id", F.col("family").alias("truth"), "w")
-    z = checkpointed(_scores(held.select("id", "w"), weights, bias).join(held.select("id", "truth"), "id"))
+    held = rows.where("fold = 0").select(F.col("family").alias("truth"), "w")
+    z = checkpointed(_scores(held, counter, model, labels).select("truth", "z"))
     temperatures = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0]
-    per = z.groupBy("id").agg(
-        F.max(F.when(F.col("family") == F.col("truth"), F.col("z"))).alias("own"),
-        *[F.log(F.sum(F.exp(F.col("z") / t))).alias(f"l{i}") for i, t in enumerate(temperatures)],
-    )
-    losses = per.agg(*[F.avg(F.col(f"l{i}") - F.col("own") / t).alias(f"x{i}") for i, t in enumerate(temperatures)]).first()
+    own = F.array_max(F.filter("z", lambda x: x["family"] == F.col("truth")))["z"]
+    total = lambda t: F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp(x["z"] / t))
+    losses = z.agg(*[F.avg(F.log(total(t)) - own / t).alias(f"x{i}") for i, t in enumerate(temperatures)]).first()
     losses = [x if x is not None else 0.0 for x in losses]
     temperature = temperatures[losses.index(min(losses))]
-    told = _best(z.select("id", "family", "z"), temperature).join(held.select("id", "truth"), "id").where("family <> 'unknown'")
+    told = z.select("truth", F.inline(_best(F.col("z"), temperature))).where("family <> 'unknown'")
     steps = [0.5, 0.6, 0.7, 0.8, 0.9]
     seen = told.agg(*[
         F.coalesce(F.avg(F.when(F.col("p") >= s, (F.col("family") == F.col("truth")).cast("double"))), F.lit(1.0)).alias(f"s{i}")
@@ -242,19 +240,28 @@ def fit(spark: SparkSession, docs: DataFrame, text: str = "text") -> LicenseMode
     ]).first()
     least = next((s for s, precision in zip(steps, seen) if precision >= 0.98), steps[-1])
     grams = notice.select("family", "nid", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    return LicenseModel(weights, bias, checkpointed(grams), temperature, least)
+    return LicenseModel(counter, model, labels, checkpointed(grams), temperature, least)
+
+
+def tell(paragraphs: DataFrame, model: LicenseModel) -> DataFrame:
+    """Every one of ``paragraphs`` (with words ``w``) is scored; those that a family is told for, with ``family`` and ``p``."""
+    scored = _scores(paragraphs, model.counter, model.regression, model.families)
+    told = F.filter(_best(F.col("z"), model.temperature), lambda x: (x["family"] != "unknown") & (x["p"] >= model.least))
+    return scored.select(*paragraphs.columns, F.inline(told))
+
+
+def confirm(told: DataFrame, model: LicenseModel, contained: float = 0.6) -> DataFrame:
+    """``(id, family, p, contained, confirmed)`` for told paragraphs ``(id, w, family, p)``."""
+    grams = told.select("id", "family", F.size(ngrams(F.col("w"))).alias("own"), F.explode(ngrams(F.col("w"))).alias("gram"))
+    shared = grams.join(F.broadcast(model.notices), ["family", "gram"]).groupBy("id", "nid", "size", "own").agg(F.count(F.lit(1)).alias("both"))
+    best = shared.groupBy("id").agg(F.max(F.col("both") / F.least("size", "own")).alias("contained"))
+    out = told.select("id", "family", "p").join(best, "id", "left").withColumn("contained", F.coalesce("contained", F.lit(0.0)))
+    return out.withColumn("confirmed", F.col("contained") >= contained)
 
 
 def scan_paragraphs(paragraphs: DataFrame, model: LicenseModel, contained: float = 0.6) -> DataFrame:
     """``(id, family, p, contained, confirmed)`` for paragraphs ``(id, w)`` that a family is told for."""
-    scored = _best(_scores(paragraphs, model.weights, model.bias), model.temperature)
-    told = scored.where((F.col("family") != "unknown") & (F.col("p") >= model.least))
-    grams = paragraphs.join(told, "id").select("id", "family", "p", F.explode(ngrams(F.col("w"))).alias("gram"))
-    size = paragraphs.select("id", F.size(ngrams(F.col("w"))).alias("own"))
-    shared = grams.join(F.broadcast(model.notices), ["family", "gram"]).groupBy("id", "nid", "size").agg(F.count(F.lit(1)).alias("both"))
-    best = shared.join(size, "id").groupBy("id").agg(F.max(F.col("both") / F.least("size", "own")).alias("contained"))
-    out = told.join(best, "id", "left").withColumn("contained", F.coalesce("contained", F.lit(0.0)))
-    return out.withColumn("confirmed", F.col("contained") >= contained)
+    return confirm(tell(paragraphs.select("id", "w"), model), model, contained)
 
 
 def scan(docs: DataFrame, model: LicenseModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,12 +270,13 @@ def scan(docs: DataFrame, model: LicenseModel, key: str = "doc_id", text: str =
     rows = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("doc"), F.xxhash64(body).alias("th"), body.alias("t"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.trim(x) != "")
     counted = rows.select("doc", "th", F.size(lines).cast("long").alias("n_paragraphs"))
-    cued = rows.select("doc", "th", F.posexplode(F.filter(F.split("t", "\n"), lambda x: F.lower(x).rlike(CUE_PATTERN))).alias("pos", "par"))
-    cued = checkpointed(cued.distinct().withColumn("ph", F.md5("par")))
-    # equal paragraphs are scored once
-    distinct = cued.dropDuplicates(["ph"]).select(F.col("ph").alias("id"), words(F.col("par")).alias("w"))
-    found = scan_paragraphs(distinct, model)
-    per_doc = cued.join(found, F.col("ph") == F.col("id")).groupBy("doc", "th").agg(
+    every = rows.select("doc", "th", F.posexplode(lines).alias("pos", "par")).withColumn("w", words(F.col("par")))
+    told = tell(every, model).withColumn("ph", F.md5("par")).dropDuplicates(["doc", "th", "pos"])
+    told = checkpointed(told.drop("par"))
+    # equal paragraphs are compared with the notices once
+    distinct = told.dropDuplicates(["ph"]).select(F.col("ph").alias("id"), "w", "family", "p")
+    found = confirm(distinct, model).select("id", "confirmed")
+    per_doc = told.join(found, F.col("ph") == F.col("id")).groupBy("doc", "th").agg(
         F.count(F.lit(1)).alias("n_licensed"), F.count(F.when(F.col("confirmed"), 1)).alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
         F.max("p").alias("p"),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -191,6 +192,21 @@ def test_licences(spark, docs_of):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_paragraphs_without_licence_words_are_scored(spark, docs_of):
+    plain = ["The cat sat on the mat and looked at the moon.", "The river is wide and the boat is slow.", None, ""] * 10
+    tails = {  # lines of wrapped notices
+        "mit": "person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in",
+        "bsd": "forms, with or without modification, are permitted provided that the following conditions are met",
+    }
+    assert not any(re.search(license_scan.CUE_PATTERN, t.lower()) for t in tails.values())
+    model = license_scan.fit(spark, docs_of(plain))
+    got = license_scan.scan(docs_of(plain + [f"A first line.\n{t}" for t in tails.values()] * 2), model).collect()
+    rows = sorted((tuple(r) for r in got), key=lambda r: r[0])
+    assert all(r[2:] == (0, 0, "", 0.0) for r in rows[: len(plain)])
+    assert [r[1:5] for r in rows[len(plain) :]] == [(2, 1, 1, f) for f in tails] * 2
+    assert license_scan.scan(docs_of(["x"]).where("false"), model).count() == 0
+
+
 def test_winnowing(docs_of):
     rnd = random.Random(7)
     vocabulary = [f"w{i}" for i in range(30)]
