@@ -410,7 +410,7 @@ def corpus_text(spark: SparkSession, sf: str) -> DataFrame:
     p = _preds(spark, sf)
     vals = p.filter("is_threshold").select("model_id", "feature", "value")
     rules = p.select("model_id", "rule_id").distinct().withColumn("class", (F.col("rule_id") % 5).cast("int"))
-    lines = render_tree_lines(vals, p.unionByName(p), rules)
+    lines = render_tree_lines(vals, p, rules, times=2)
     wrong = vals.select("model_id", "feature").distinct().select(
         "model_id", F.lit(-(1 << 40)).cast("long").alias("line_no"), F.concat("feature", F.lit(" = [np.float64(7.5)];")).alias("line")
     )

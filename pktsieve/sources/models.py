@@ -22,7 +22,7 @@ from ..constants import (
 # Unicode-aware character classes, as in the patterns' original (Python str) meaning.
 UNI = "(?U)"
 # What str.strip() removes: Unicode white space plus the separator controls.
-_WS = r"[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+WS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def model_id_from_path(path_col) -> F.Column:
@@ -58,8 +58,8 @@ def read_model_lines(spark: SparkSession, path: str) -> DataFrame:
     return model_lines_from_text(read_model_texts(spark, path))
 
 
-def _strip(col: F.Column) -> F.Column:
-    return F.regexp_replace(col, f"^{_WS}+|{_WS}+$", "")
+def strip(col: F.Column) -> F.Column:
+    return F.btrim(col, F.lit(WS))
 
 
 def parse_dt_lines(lines: DataFrame) -> DataFrame:
@@ -68,22 +68,21 @@ def parse_dt_lines(lines: DataFrame) -> DataFrame:
     Output: (model_id, line_no, kind, name, rhs, cond, class_text); ``kind``
     is ``feature`` or ``rule``. Other lines are ignored without error.
     """
-    s = _strip(F.col("line"))
     feat_pat = UNI + DT_FEATURE_LINE
     rule_pat = UNI + DT_RULE_LINE
-    staged = lines.select("model_id", "line_no", s.alias("s"))
-    is_feat = F.col("s").rlike(UNI + DT_FEATURE_LINE)
-    is_rule = (~is_feat) & F.col("s").rlike(UNI + DT_RULE_LINE)
-    out = staged.select(
-        "model_id",
-        "line_no",
+    # a found name or class is never empty; each pattern runs once per line and group
+    named = lines.select("model_id", "line_no", strip(F.col("line")).alias("s")).withColumn("name", F.regexp_extract("s", feat_pat, 1))
+    staged = named.withColumn("class_text", F.when(F.col("name") == "", F.regexp_extract("s", rule_pat, 2)))
+    is_feat, is_rule = F.col("name") != "", F.col("class_text") != ""
+    row = F.struct(
         F.when(is_feat, F.lit("feature")).when(is_rule, F.lit("rule")).alias("kind"),
-        F.when(is_feat, F.regexp_extract("s", feat_pat, 1)).alias("name"),
+        F.when(is_feat, F.col("name")).alias("name"),
         F.when(is_feat, F.regexp_extract("s", feat_pat, 2)).alias("rhs"),
         F.when(is_rule, F.regexp_extract("s", rule_pat, 1)).alias("cond"),
-        F.when(is_rule, F.regexp_extract("s", rule_pat, 2)).alias("class_text"),
+        F.when(is_rule, F.col("class_text")).alias("class_text"),
     )
-    return out.filter(F.col("kind").isNotNull())
+    # a generator: filters on the kind aren't moved before the patterns, to run them again
+    return staged.select("model_id", "line_no", F.inline(F.filter(F.array(row), lambda r: r["kind"].isNotNull())))
 
 
 def read_dt_model(spark: SparkSession, path: str) -> DataFrame:

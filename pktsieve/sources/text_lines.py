@@ -76,11 +76,11 @@ def write_model_text(lines: DataFrame, path: str, partitions: int | None = None,
     ordered.select("model_id", F.col("line").alias("value")).write.mode(mode).partitionBy("model_id").text(path)
 
 
-def render_tree_lines(values: DataFrame, preds: DataFrame, rules: DataFrame) -> DataFrame:
+def render_tree_lines(values: DataFrame, preds: DataFrame, rules: DataFrame, times: int = 1) -> DataFrame:
     """Tree model text from tables: (model_id, line_no, line), threshold lines before rule lines.
 
     ``values`` is (model_id, feature, value), ``preds`` (model_id, rule_id, feature, op, value) and ``rules``
-    (model_id, rule_id, class). A feature line holds at most the values of one feature of one model.
+    (model_id, rule_id, class). Each condition is written ``times`` times. A feature line holds at most the values of one feature of one model.
     """
     items = values.groupBy("model_id", "feature").agg(F.array_sort(F.collect_set("value")).alias("v"))
     text = F.array_join(F.transform("v", lambda x: F.concat(F.lit("np.float64("), x.cast("string"), F.lit(")"))), ", ")
@@ -89,7 +89,8 @@ def render_tree_lines(values: DataFrame, preds: DataFrame, rules: DataFrame) ->
         F.concat("feature", F.lit(" = ["), text, F.lit("];")).alias("line"),
     )
     cond = preds.select("model_id", "rule_id", F.concat("feature", "op", F.col("value").cast("string")).alias("c"))
-    told = cond.groupBy("model_id", "rule_id").agg(F.array_join(F.array_sort(F.collect_list("c")), " and ").alias("cond"))
+    told = cond.groupBy("model_id", "rule_id").agg(F.collect_list("c").alias("c"))
+    told = told.select("model_id", "rule_id", F.array_join(F.array_sort(F.flatten(F.array_repeat("c", times))), " and ").alias("cond"))
     ruled = rules.join(told, ["model_id", "rule_id"]).select(
         "model_id", F.col("rule_id").cast("long").alias("line_no"),
         F.concat(F.lit("when "), "cond", F.lit(" then "), F.col("class").cast("string"), F.lit(";")).alias("line"),

@@ -105,6 +105,28 @@ def test_hostile_predicates(spark, pred, expect):
         assert (b.lo, b.hi) == expect
 
 
+def test_patterns_run_once_per_line(spark):
+    """Filters on the kind of a line and the parts of a predicate don't match the patterns again."""
+    from pktsieve.operators.dtree_compile import predicates, rule_lines
+    from pktsieve.sources.models import model_lines_from_text, parse_dt_lines
+
+    white = [" ", "\t", "\x1c", "\xa0", "\u1680", "\u2009", "\u202f", "\u3000"]
+    lines = [f"{w}{w}when a{v}<={v}-1.5{v}and b > .5 and c <= 7 then 3 ;{w}" for w in white for v in white if v != "\x1c"]
+    lines += ["\u200bwhen a<=1 then 1;", "x = [np.float64(1.5)];", " when  then 1;", "when a then 256;", ""]
+    df = spark.createDataFrame([("m", "\n".join(lines))], "model_id string, text string")
+    rules_only = rule_lines(parse_dt_lines(model_lines_from_text(df)))
+    found = predicates(rules_only, ["line_no"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("regexp_extract(") <= 4 and "RLIKE" not in plan
+    n = len(white) * (len(white) - 1)
+    rows = {}
+    for r in found.collect():
+        rows.setdefault(r.line_no, []).append((r.feature, r.op, r.value))
+    # white space within text breaks lines where the grammar says so (U+001C does); the other lines hold three predicates
+    assert rows and all(sorted(v) == [("a", "<=", -1.5), ("b", ">", 0.5), ("c", "<=", 7.0)] for v in rows.values())
+    assert len(rows) == n
+
+
 def test_contradiction_dropped(spark):
     m = compile_text(spark, "src_port = [];\nwhen src_port<=3.5 and src_port>5.5 then 1;\nwhen src_port<=9 then 2;\n")
     got = rules(m)
