@@ -39,12 +39,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Hashes of any substrings of one byte string."""
+    """Hashes of any substrings of one byte string, or of one sequence of 64-bit hashes."""
 
     def __init__(self, a: np.ndarray):
         n = len(a)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[a] * _power(n, False), out=self.sums[1:])
+        np.cumsum((a if a.dtype == np.uint64 else _VALUES[a]) * _power(n, False), out=self.sums[1:])
         self.inverse = _power(n + 1, True)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -59,14 +59,19 @@ _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def word_edges(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end bytes of the words ``[^\\x20\\x09-\\x0D]+`` of a byte string."""
+    edge = np.diff(np.concatenate(([True], _WHITE[a], [True])).astype(np.int8))
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z in lower case."""
     raw = text.encode("utf-8", "surrogatepass").lower()
     if not raw:
         return np.zeros(0, dtype=np.uint64)
     a = np.frombuffer(raw, dtype=np.uint8)
-    edge = np.diff(np.concatenate(([True], _WHITE[a], [True])).astype(np.int8))
-    return Prefix(a).spans(np.flatnonzero(edge == -1), np.flatnonzero(edge == 1))
+    return Prefix(a).spans(*word_edges(a))
 
 
 def shingle_set(text: str, width: int = 3) -> np.ndarray:

@@ -44,8 +44,12 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose every byte of a 400-byte string that occurs again; documents of which nothing is left go."""
-    return dedup_documents(docs, "doc_id", "text", length=400)
+    """Texts lose every byte of a 400-byte string that occurs again, and every passage of 50 words or more that another document holds.
+
+    Words are compared with A-Z in lower case, whatever white space is between
+    them. Documents of which no word is left go; those that had none stay.
+    """
+    return dedup_documents(docs, "doc_id", "text", length=400, words=50)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,11 @@ anywhere else in the corpus. The work is dealt to tasks by content:
 
 The marked starts go back to all documents that hold the segments.
 
+Passages may also be told by words (:func:`repeated_words`): strings of so many
+words that occur in another document, whatever their bytes. They are dealt by
+anchors of words in the same way; only segments whose anchor occurs in several
+documents are looked at, and their strings are dealt by hashes and counted.
+
 Defined results: null text is empty; texts shorter than ``length`` lose
 nothing; ids need not be unique (a row is told by its id and its text's hash);
 an empty table gives no rows; extra columns are kept or ignored as the caller
@@ -38,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
 from .common import checkpointed, give_back, groups_for, text_or_empty
-from .hashing import Prefix, mixed
+from .hashing import Prefix, mixed, word_edges, word_hashes
 
 SEGMENTS = 16_000  # distinct segments of an anchor that one task compares
 CHUNK = 1_000  # segments whose strings are hashed at once
@@ -122,7 +127,7 @@ def suffix_array(text: list[int]) -> list[int]:
 
 
 def find_anchors(a: np.ndarray, length: int, k: int):
-    """Of one byte string: anchor hashes and positions, and first and last start of each one's segment."""
+    """Of one byte string (or sequence of word hashes): anchor hashes and positions, and first and last start of each one's segment."""
     prefix = Prefix(a)
     h = prefix.windows(k)
     m, w = len(h), length - k + 1
@@ -331,6 +336,90 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     return hits.select("id", "th", spans.alias("spans")).groupBy("id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor: int | None = None) -> DataFrame:
+    """``(id, th, passages)`` of each text that shares a string of ``words`` words with another row.
+
+    ``passages`` are first word and word after the last (they may overlap). Words are
+    ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case; what only repeats within a text stays.
+    """
+    k = anchor or max(1, words // 6)
+    plain = docs.select(
+        _row_id(key), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("th")
+    )
+    long_enough = plain.where(F.octet_length("text") >= 2 * words - 1)
+
+    def anchors_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [w for w in map(word_hashes, frame["text"]) if len(w) >= words]
+            found = [np.unique(find_anchors(w, words, k)[0]) for w in found]
+            yield pd.DataFrame({"h": np.concatenate([np.zeros(0, dtype=np.uint64), *found]).view(np.int64)})
+        give_back()
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples(index=False):
+                w = word_hashes(row.text)
+                if len(w) < words:
+                    continue
+                h, content, place, first, last = find_anchors(w, words, k)
+                new = np.zeros(len(h), dtype=np.int32)  # a segment counts once in a text
+                new[np.unique(content, return_index=True)[1]] = 1
+                rows.append((row.id, row.th, h.view(np.int64), content.view(np.int64), place, place - first, place - last, new))
+            yield pd.DataFrame(rows, columns=["id", "th", "h", "c", "p", "far", "near", "new"])
+        give_back()
+
+    several = long_enough.select("text").mapInPandas(anchors_of, "h long").groupBy("h").count().where("count > 1").select("h")
+    several = checkpointed(several)
+    small = lambda df, n: F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df  # noqa: E731  checked size
+    found = long_enough.mapInPandas(
+        find, "id string, th long, h array<long>, c array<long>, p array<int>, far array<int>, near array<int>, new array<int>"
+    )
+    places = found.select("id", "th", F.inline(F.arrays_zip("h", "c", "p", "far", "near", "new")))
+    places = checkpointed(places.join(small(several, several.count()), "h", "left_semi"))
+    kinds = places.groupBy("h", "c", "far", "near").agg(F.sum("new").alias("n"), F.min(F.struct("id", "th", "p")).alias("rep"))
+    kinds = checkpointed(kinds)
+    # segments that only one text holds are compared with the others of their anchor, string by string
+    mixed_anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+    wanted = checkpointed(
+        kinds.join(mixed_anchors.select("h"), "h", "left_semi").groupBy("rep.id", "rep.th").agg(
+            F.collect_list(F.struct("h", "c", "rep.p", "far", "near", "n")).alias("segs")
+        )
+    )
+    texts = plain.join(small(wanted.select("id", "th"), wanted.count()), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for body, d, segs in zip(frame["text"], frame["d"], frame["segs"]):
+                h, c, p, far, near, n = (np.array([s[x] for s in segs], dtype=np.int64) for x in ("h", "c", "p", "far", "near", "n"))
+                owner, inside = _strings_of(far - near + 1, 0, len(segs))
+                back = far[owner] - inside
+                start = p[owner] - back
+                strings = Prefix(word_hashes(body)).spans(start, start + words)
+                yield pd.DataFrame({
+                    "h": h[owner], "back": back.astype(np.int32), "s": strings.view(np.int64), "c": c[owner], "n": n[owner], "d": d,
+                })
+        give_back()
+
+    strings = texts.join(wanted, ["id", "th"]).select("text", F.xxhash64("id", "th").alias("d"), "segs")
+    strings = strings.mapInPandas(read, "h long, back int, s long, c long, n long, d long").repartition("h", "back", "s")
+    often = strings.groupBy("h", "back", "s").agg(F.max("n").alias("most"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    often = often.where("most > 1 or lo <> hi").select("h", "back", "s")
+    alone = strings.where("n = 1").join(often, ["h", "back", "s"]).groupBy("h", "c").agg(F.collect_list("back").alias("b"))
+    alone = alone.select("h", "c", F.expr("transform(b, x -> named_struct('far', x, 'near', x))").alias("runs"))
+    # a segment that several texts hold goes as a whole
+    shared = kinds.where("n > 1").select("h", "c", F.array(F.struct("far", "near")).alias("runs"))
+    hits = places.join(shared.unionByName(alone), ["h", "c"])
+    spans = F.expr(f"transform(runs, r -> named_struct('start', p - r.far, 'end', p - r.near + {words}))")
+    return hits.select("id", "th", spans.alias("spans")).groupBy("id", "th").agg(F.flatten(F.collect_list("spans")).alias("passages"))
+
+
+def words_to_bytes(raw: bytes, passages) -> list[dict]:
+    """Spans of words as spans of bytes, from the first word's start to the last one's end."""
+    starts, ends = word_edges(np.frombuffer(raw, dtype=np.uint8))
+    return [{"start": starts[s["start"]], "end": ends[s["end"] - 1]} for s in passages]
+
+
 def remove_spans(raw: bytes, spans) -> tuple[bytes, int, int]:
     """What is left, how many bytes went, and in how many maximal runs."""
     depth = np.zeros(len(raw) + 1, dtype=np.int64)
@@ -374,28 +463,48 @@ def dedup_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     )
 
 
-def dedup_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
+def dedup_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, words: int | None = None
+) -> DataFrame:
     """The documents without their repeated strings, in the input's columns.
 
-    Rows that are left without any text go, rows that had none stay. A cut
-    inside a character drops what is left of that character.
+    With ``words``, strings of so many words that occur in another document go
+    too. Rows that are left without any text (with ``words``: without any word)
+    go, rows that had none stay. A cut inside a character drops what is left of
+    that character.
     """
     spans = repeated_spans(docs, key, text, length)
+    if words is None:
+        spans = spans.withColumn("passages", F.lit(None).cast("array<struct<start: int, end: int>>"))
+    else:
+        spans = spans.join(repeated_words(docs, key, text, words), ["id", "th"], "full")
+    spans = checkpointed(spans.withColumnsRenamed({"id": "sid", "th": "sth"}))
     body = text_or_empty(text)
     at = docs.columns.index(text)
     packed = docs.select(
         F.struct(*docs.columns).alias("row"), _row_id(key), F.xxhash64(body).alias("th")
     )
-    spans = spans.withColumnsRenamed({"id": "sid", "th": "sth"})
-    joined = packed.join(spans, (F.col("id") == F.col("sid")) & (F.col("th") == F.col("sth")), "left")
+    same = (F.col("id") == F.col("sid")) & (F.col("th") == F.col("sth"))
+    rest = None
+    if spans.count() <= MAX_BROADCAST_ROWS:  # texts that lose nothing stay where they are read
+        touched = F.broadcast(spans.select("sid", "sth"))
+        rest = packed.join(touched, same, "left_anti").select("row.*")
+        packed = packed.join(touched, same, "left_semi")
+    joined = packed.join(spans, same, "left")
 
     @F.pandas_udf("string")
-    def left(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([
-            t if s is None else remove_spans(_utf8(t), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, spans)
-        ], dtype=object)
+    def left(texts: pd.Series, spans: pd.Series, passages: pd.Series) -> pd.Series:
+        out = []
+        for t, s, w in zip(texts, spans, passages):
+            raw = _utf8(t)
+            gone = [*(() if s is None else s), *(() if w is None else words_to_bytes(raw, w))]
+            out.append(remove_spans(raw, gone)[0].decode("utf-8", "ignore") if gone else t)
+        return pd.Series(out, dtype=object)
 
     own = F.col("row")[docs.columns[at]]
-    kept = joined.select("row", "spans", F.when(F.col("spans").isNull(), own).otherwise(left(own, F.col("spans"))).alias("kept"))
-    kept = kept.where(F.col("spans").isNull() | (F.col("kept") != ""))
-    return kept.select(*[F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+    clean = F.col("sid").isNull()
+    kept = joined.select("row", "sid", F.when(clean, own).otherwise(left(own, F.col("spans"), F.col("passages"))).alias("kept"))
+    some = F.col("kept") != "" if words is None else F.col("kept").rlike(r"[^\x20\x09-\x0D]")
+    kept = kept.where(clean | some)
+    kept = kept.select(*[F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+    return kept if rest is None else rest.unionByName(kept)

@@ -58,3 +58,15 @@ def test_empty_documents(spark, docs_of):
     docs = docs_of(["x"]).where("false").select("doc_id", "text", "lang", "source", "n_chars")
     for stage in (stages.language_id, stages.ngram_jaccard_join, stages.suffix_array_dedup, stages.mix_sources, stages.packing):
         assert stage(spark, docs, "").count() == 0
+
+
+def test_suffix_stage_removes_passages_of_over_50_words_below_400_bytes(spark, docs_of):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(4))
+    passage, twice = " ".join(word() for _ in range(55)), " ".join(word() for _ in range(55))
+    own = [" ".join(word() for _ in range(80)) for _ in range(4)]
+    assert len(passage) < 400
+    texts = [own[0] + "\n" + passage, passage + " " + own[1], own[2], twice + " " + own[3] + " " + twice, passage]
+    docs = docs_of(texts).select("doc_id", "text", "lang", "source", "n_chars")
+    got = {r["doc_id"]: r["text"] for r in stages.suffix_array_dedup(spark, docs, "").collect()}
+    assert got == {0: own[0] + "\n", 1: " " + own[1], 2: own[2], 3: texts[3]}

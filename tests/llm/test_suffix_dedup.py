@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -71,5 +72,47 @@ def test_documents_keep_columns_and_clean_rows(docs_of):
     assert {(r["doc_id"], r["text"]) for r in got.collect()} == {(1, clean), (2, "one "), (None, None), (5, "")}
 
 
+def brute_words(texts, words):
+    cut = [[(m.group().lower(), *m.span()) for m in re.finditer("[^ \t-\r]+", t or "")] for t in texts]
+    strings = [[tuple(w for w, _, _ in c[i : i + words]) for i in range(len(c) - words + 1)] for c in cut]
+    held = Counter(s for each in strings for s in set(each))
+    out = []
+    for t, c, each in zip(texts, cut, strings):
+        gone = {x for i, s in enumerate(each) if held[s] > 1 for x in range(c[i][1], c[i + words - 1][2])}
+        left = "".join(ch for x, ch in enumerate(t or "") if x not in gone)
+        out.append(left if left.strip() or not gone else None)
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_removal_by_words_equals_brute_force(docs_of, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(sd, "MAX_BROADCAST_ROWS", -1)
+    rnd = random.Random(8)
+    passages = [[rnd.choice(["ab", "Äb", "x", "of"]) + rnd.choice("abcdefg") for _ in range(rnd.randint(8, 40))] for _ in range(6)]
+    texts = []
+    for i in range(70):
+        parts = []
+        for _ in range(rnd.randint(0, 4)):
+            p = rnd.choice(passages)
+            a = rnd.randint(0, len(p) // 2)
+            p = p[a : rnd.randint(a, len(p))]
+            parts += [w.upper() if rnd.random() < 0.05 and w.isascii() else w for w in p]
+            parts += [f"u{rnd.randrange(9999)}" for _ in range(rnd.randint(0, 12))]
+        texts.append("".join(w + rnd.choice([" ", "\n", "  "]) for w in parts))
+    own = " ".join(f"own{i}" for i in range(15))
+    texts += [own + " and again " + own, "is " * 40, "is " * 12, "is " * 9, None, "", " ", texts[2], " ".join(passages[0][:10])]
+    got = sd.dedup_documents(docs_of(texts), "doc_id", "text", 100_000, 10).collect()
+    want = {i: t for i, t in enumerate(brute_words(texts, 10)) if t is not None}
+    assert {r["doc_id"]: r["text"] or "" for r in got} == want
+    assert sum(want.get(i) != (t or "") for i, t in enumerate(texts)) > 30 and want[70] == texts[70]
+
+
+def test_copies_without_an_id_are_documents_of_their_own(docs_of):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = docs_of([text + " a", text + " a", text], ids=[None, None, None])
+    assert sd.dedup_documents(docs, "doc_id", "text", 1_000, 10).collect() == []
+
+
 def test_empty_table(docs_of):
     assert sd.dedup_digests(docs_of(["x"]).where("false")).count() == 0
