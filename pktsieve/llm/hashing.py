@@ -7,6 +7,8 @@ strings look independent.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -74,6 +76,29 @@ def word_hashes(text: str) -> np.ndarray:
     return Prefix(a).spans(*word_edges(a))
 
 
+def batches(sizes, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to ``limit`` at most (or that are one)."""
+    lo, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > lo and total + n > limit:
+            yield lo, i
+            lo, total = i, 0
+        total += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The :func:`word_hashes` of some texts, one after another, and how many each has."""
+    raws = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+    a = np.frombuffer(b"\n".join(raws), dtype=np.uint8)
+    if not len(a):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(raws), dtype=np.int64)
+    starts, ends = word_edges(a)
+    heads = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    return Prefix(a).spans(starts, ends), np.diff(np.searchsorted(starts, heads))
+
+
 def shingle_set(text: str, width: int = 3) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles; with fewer words, the whole sequence as one."""
     w = word_hashes(text)

@@ -40,7 +40,7 @@ def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup_digests(table(spark, sf, "documents"), "doc_id", "text", length=400)
+    return dedup_digests(table(spark, sf, "documents"), "doc_id", "text", length=400, words=50)
 
 
 def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:

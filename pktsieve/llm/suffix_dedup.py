@@ -7,8 +7,8 @@ anywhere else in the corpus. The work is dealt to tasks by content:
    the smallest hash (rightmost of ties) is its anchor. Equal strings have the
    same anchor at the same place, so strings are compared only where anchors
    are equal. All starts with one anchor are a segment.
-2. Segments that are equal are counted once (pre-aggregated); segments whose
-   anchor occurs nowhere else drop out.
+2. Segments whose anchor occurs nowhere else drop out; those that are equal are
+   counted once (pre-aggregated).
 3. The distinct segments of an anchor are aligned at it and cut into cells. The
    cells are the alphabet of a text whose suffix array is built by Lyndon
    grouping (:func:`suffix_array`). Suffixes that share enough whole cells are
@@ -38,12 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
 from .common import checkpointed, give_back, groups_for, text_or_empty
-from .hashing import Prefix, mixed, word_edges, word_hashes
+from .hashing import Prefix, batches, mixed, word_edges, words_of
 
 SEGMENTS = 16_000  # distinct segments of an anchor that one task compares
 CHUNK = 1_000  # segments whose strings are hashed at once
@@ -126,8 +126,18 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-def find_anchors(a: np.ndarray, length: int, k: int):
-    """Of one byte string (or sequence of word hashes): anchor hashes and positions, and first and last start of each one's segment."""
+def find_anchors(a: np.ndarray, counts: np.ndarray, length: int, k: int):
+    """Of byte strings (or sequences of word hashes) that follow one another, of ``counts`` members each.
+
+    Returns for each segment its text's number, its anchor's hash, the hash of its
+    content, and the places of the anchor and of its first and last start in ``a``.
+    """
+    ends = np.cumsum(counts)
+    starts = np.maximum(counts - length + 1, 0)  # of each text; no string runs into the next one
+    valid = np.repeat(ends - counts - (np.cumsum(starts) - starts), starts) + np.arange(int(starts.sum()))
+    if not len(valid):
+        none = np.zeros(0, dtype=np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
     prefix = Prefix(a)
     h = prefix.windows(k)
     m, w = len(h), length - k + 1
@@ -139,14 +149,19 @@ def find_anchors(a: np.ndarray, length: int, k: int):
     grid = padded.reshape(blocks, w)
     forward = np.minimum.accumulate(grid, axis=1).ravel()
     backward = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    starts = m - w + 1
-    at = (low - (np.minimum(backward[:starts], forward[w - 1 : w - 1 + starts]) & low)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    last = np.concatenate((first[1:], [starts])) - 1
-    place = at[first]
+    at = (low - (np.minimum(backward[valid], forward[valid + w - 1]) & low)).astype(np.int64)
+    turn = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    first, last = valid[turn], valid[np.concatenate((turn[1:], [len(valid)])) - 1]
+    place = at[turn]
     content = prefix.spans(first, last + length)
     content = mixed(content ^ mixed((place - first).astype(np.uint64) << np.uint64(32) | (place - last).astype(np.uint64)))
-    return h[place], content, place, first, last
+    return np.searchsorted(ends, place, "right"), h[place], content, place, first, last
+
+
+def _by_text(owner: np.ndarray, texts: int, *columns: np.ndarray) -> list[list[np.ndarray]]:
+    """Columns of segments cut into one array for each text."""
+    cuts = np.searchsorted(owner, np.arange(texts + 1)).tolist()
+    return [[c[x:y] for x, y in zip(cuts, cuts[1:])] for c in columns]
 
 
 def _row_id(key: str):
@@ -163,14 +178,13 @@ def _segments(docs: DataFrame, length: int, k: int) -> DataFrame:
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for row in frame.itertuples(index=False):
-                raw = _utf8(row.text)
-                if len(raw) < length:
-                    continue
-                h, content, place, first, last = find_anchors(np.frombuffer(raw, dtype=np.uint8), length, k)
-                rows.append((row.id, row.th, h.view(np.int64), content.view(np.int64), place, place - first, place - last))
-            yield pd.DataFrame(rows, columns=["id", "th", "h", "c", "p", "far", "near"])
+            raws = [_utf8(t) for t in frame["text"]]
+            for lo, hi in batches([len(r) for r in raws]):
+                counts = np.array([len(r) for r in raws[lo:hi]])
+                owner, h, content, place, first, last = find_anchors(np.frombuffer(b"".join(raws[lo:hi]), dtype=np.uint8), counts, length, k)
+                base = (np.cumsum(counts) - counts)[owner]
+                columns = _by_text(owner, hi - lo, h.view(np.int64), content.view(np.int64), place - base, place - first, place - last)
+                yield frame[["id", "th"]].iloc[lo:hi].assign(**dict(zip(["h", "c", "p", "far", "near"], columns)))
         give_back()
 
     long_enough = docs.where(F.octet_length("text") >= length)
@@ -259,14 +273,16 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     plain = docs.select(
         _row_id(key), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("th")
     )
+    small = lambda df, n: F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df  # noqa: E731  checked size
     found = checkpointed(_segments(plain, length, k))
+    several = checkpointed(found.select(F.explode("h").alias("h")).groupBy("h").count().where("count > 1").select("h"))
     places = found.select("id", "th", F.inline(F.arrays_zip("h", "c", "p", "far", "near")))
+    places = places.join(small(several, several.count()), "h", "left_semi")
     kinds = places.groupBy("h", "c", "far", "near").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "p")).alias("rep")
     )
-    anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1")
+    anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
     kinds = checkpointed(kinds.join(anchors, "h"))
-    small = lambda df, n: F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df  # noqa: E731  checked size
     # a text that holds one or more segments to compare reads them out
     wanted = checkpointed(
         kinds.where("kinds > 1").groupBy("rep.id", "rep.th").agg(
@@ -285,11 +301,12 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
             yield pd.DataFrame(rows, columns=["h", "c", "far", "near", "n", "kinds", "body"])
         give_back()
 
-    bodies = checkpointed(
-        texts.join(wanted, ["id", "th"]).mapInPandas(read, "h long, c long, far int, near int, n long, kinds long, body binary")
-    )
+    bodies = texts.join(wanted, ["id", "th"]).mapInPandas(read, "h long, c long, far int, near int, n long, kinds long, body binary")
+    hot = kinds.where(F.col("kinds") > SEGMENTS).count()
+    if hot:  # else the bodies are read once and needn't be kept
+        bodies = checkpointed(bodies)
     few = bodies.where(F.col("kinds") <= SEGMENTS)
-    groups = groups_for(few.count(), PER_GROUP)
+    groups = groups_for(kinds.where(F.col("kinds").between(2, SEGMENTS)).count(), PER_GROUP)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         far, near = frame["far"].to_numpy().astype(np.int64), frame["near"].to_numpy().astype(np.int64)
@@ -329,7 +346,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     # a segment that occurs more than once goes as a whole
     copies = kinds.where("n > 1").select("h", "c", F.array(F.struct("far", "near")).alias("runs"))
     once = kinds.where("n = 1").select("h", "c")
-    alone = compared.unionByName(dealt).join(once, ["h", "c"], "left_semi")
+    alone = (compared.unionByName(dealt) if hot else compared).join(once, ["h", "c"], "left_semi")
     runs = copies.unionByName(alone)
     hits = places.join(runs, ["h", "c"])
     spans = F.expr(f"transform(runs, r -> named_struct('start', p - r.far, 'end', p - r.near + {length}))")
@@ -348,25 +365,33 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
     )
     long_enough = plain.where(F.octet_length("text") >= 2 * words - 1)
 
+    def anchors_in(frame: pd.DataFrame):
+        texts = frame["text"].tolist()
+        for lo, hi in batches([len(t) for t in texts]):
+            hashes, counts = words_of(texts[lo:hi])
+            yield lo, hi, counts, *find_anchors(hashes, counts, words, k)
+
+    def once(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Marks one of equal hashes of a text."""
+        order = np.lexsort((hashes, owner))
+        o, x = owner[order], hashes[order]
+        out = np.zeros(len(order), dtype=np.int32)
+        out[order[np.concatenate(([True], (o[1:] != o[:-1]) | (x[1:] != x[:-1])))[: len(order)]]] = 1
+        return out
+
     def anchors_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [w for w in map(word_hashes, frame["text"]) if len(w) >= words]
-            found = [np.unique(find_anchors(w, words, k)[0]) for w in found]
-            yield pd.DataFrame({"h": np.concatenate([np.zeros(0, dtype=np.uint64), *found]).view(np.int64)})
+            for _, _, _, owner, h, *_ in anchors_in(frame):
+                yield pd.DataFrame({"h": h[once(owner, h) > 0].view(np.int64)})
         give_back()
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for row in frame.itertuples(index=False):
-                w = word_hashes(row.text)
-                if len(w) < words:
-                    continue
-                h, content, place, first, last = find_anchors(w, words, k)
-                new = np.zeros(len(h), dtype=np.int32)  # a segment counts once in a text
-                new[np.unique(content, return_index=True)[1]] = 1
-                rows.append((row.id, row.th, h.view(np.int64), content.view(np.int64), place, place - first, place - last, new))
-            yield pd.DataFrame(rows, columns=["id", "th", "h", "c", "p", "far", "near", "new"])
+            for lo, hi, counts, owner, h, content, place, first, last in anchors_in(frame):
+                base = (np.cumsum(counts) - counts)[owner]
+                new = once(owner, content)  # a segment counts once in a text
+                columns = _by_text(owner, hi - lo, h.view(np.int64), content.view(np.int64), place - base, place - first, place - last, new)
+                yield frame[["id", "th"]].iloc[lo:hi].assign(**dict(zip(["h", "c", "p", "far", "near", "new"], columns)))
         give_back()
 
     several = long_enough.select("text").mapInPandas(anchors_of, "h long").groupBy("h").count().where("count > 1").select("h")
@@ -384,28 +409,32 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
     wanted = checkpointed(
         kinds.join(mixed_anchors.select("h"), "h", "left_semi").groupBy("rep.id", "rep.th").agg(
             F.collect_list(F.struct("h", "c", "rep.p", "far", "near", "n")).alias("segs")
-        )
+        ).select("id", "th", *[F.col(f"segs.{x}").alias(x) for x in ("h", "c", "p", "far", "near", "n")])
     )
     texts = plain.join(small(wanted.select("id", "th"), wanted.count()), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for body, d, segs in zip(frame["text"], frame["d"], frame["segs"]):
-                h, c, p, far, near, n = (np.array([s[x] for s in segs], dtype=np.int64) for x in ("h", "c", "p", "far", "near", "n"))
-                owner, inside = _strings_of(far - near + 1, 0, len(segs))
+            for lo, hi in batches(frame["text"].map(len).tolist()):
+                part = frame.iloc[lo:hi]
+                hashes, counts = words_of(part["text"].tolist())
+                text = np.repeat(np.arange(hi - lo), part["h"].map(len))
+                h, c, p, far, near, n = (np.concatenate(part[x].tolist()).astype(np.int64) for x in ("h", "c", "p", "far", "near", "n"))
+                owner, inside = _strings_of(far - near + 1, 0, len(text))
                 back = far[owner] - inside
-                start = p[owner] - back
-                strings = Prefix(word_hashes(body)).spans(start, start + words)
+                start = (np.cumsum(counts) - counts)[text[owner]] + p[owner] - back
+                strings = Prefix(hashes).spans(start, start + words)
                 yield pd.DataFrame({
-                    "h": h[owner], "back": back.astype(np.int32), "s": strings.view(np.int64), "c": c[owner], "n": n[owner], "d": d,
+                    "h": h[owner], "back": back.astype(np.int32), "s": strings.view(np.int64), "c": c[owner], "n": n[owner],
+                    "d": part["d"].to_numpy()[text[owner]],
                 })
         give_back()
 
-    strings = texts.join(wanted, ["id", "th"]).select("text", F.xxhash64("id", "th").alias("d"), "segs")
-    strings = strings.mapInPandas(read, "h long, back int, s long, c long, n long, d long").repartition("h", "back", "s")
-    often = strings.groupBy("h", "back", "s").agg(F.max("n").alias("most"), F.min("d").alias("lo"), F.max("d").alias("hi"))
-    often = often.where("most > 1 or lo <> hi").select("h", "back", "s")
-    alone = strings.where("n = 1").join(often, ["h", "back", "s"]).groupBy("h", "c").agg(F.collect_list("back").alias("b"))
+    strings = texts.join(wanted, ["id", "th"]).select("text", F.xxhash64("id", "th").alias("d"), "h", "c", "p", "far", "near", "n")
+    strings = strings.mapInPandas(read, "h long, back int, s long, c long, n long, d long")
+    same = Window.partitionBy("h", "back", "s")
+    strings = strings.select("*", F.max("n").over(same).alias("most"), F.min("d").over(same).alias("lo"), F.max("d").over(same).alias("hi"))
+    alone = strings.where("n = 1 and (most > 1 or lo <> hi)").groupBy("h", "c").agg(F.collect_list("back").alias("b"))
     alone = alone.select("h", "c", F.expr("transform(b, x -> named_struct('far', x, 'near', x))").alias("runs"))
     # a segment that several texts hold goes as a whole
     shared = kinds.where("n > 1").select("h", "c", F.array(F.struct("far", "near")).alias("runs"))
@@ -420,47 +449,77 @@ def words_to_bytes(raw: bytes, passages) -> list[dict]:
     return [{"start": starts[s["start"]], "end": ends[s["end"] - 1]} for s in passages]
 
 
-def remove_spans(raw: bytes, spans) -> tuple[bytes, int, int]:
-    """What is left, how many bytes went, and in how many maximal runs."""
-    depth = np.zeros(len(raw) + 1, dtype=np.int64)
+def covered(n: int, spans) -> tuple[np.ndarray, list[dict]]:
+    """Which of n bytes the spans cover, and the maximal runs of these."""
+    depth = np.zeros(n + 1, dtype=np.int64)
     np.add.at(depth, [s["start"] for s in spans], 1)
     np.add.at(depth, [s["end"] for s in spans], -1)
     gone = np.cumsum(depth)[:-1] > 0
-    n_runs = int(np.count_nonzero(np.diff(np.concatenate(([0], gone.astype(np.int8)))) == 1))
-    return np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), n_runs
+    edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
+    return gone, [{"start": int(x), "end": int(y)} for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+
+
+def remove_spans(raw: bytes, spans) -> tuple[bytes, int, int]:
+    """What is left, how many bytes went, and in how many maximal runs."""
+    gone, runs = covered(len(raw), spans)
+    return np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), len(runs)
 
 
-def dedup_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
+def _all_spans(docs: DataFrame, key: str, text: str, length: int, words: int | None) -> DataFrame:
+    """``(sid, sth, spans, passages)`` of each text that has any; without ``words`` passages are null."""
+    spans = repeated_spans(docs, key, text, length)
+    if words is None:
+        spans = spans.withColumn("passages", F.lit(None).cast("array<struct<start: int, end: int>>"))
+    else:
+        spans = spans.join(repeated_words(docs, key, text, words), ["id", "th"], "full")
+    return checkpointed(spans.withColumnsRenamed({"id": "sid", "th": "sth"}))
+
+
+def dedup_digests(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, words: int | None = None
+) -> DataFrame:
     """``(key, n_bytes, n_removed, n_spans, kept_sha256, n_kept, text)`` of every row.
 
     ``n_kept`` counts the bytes that are left, ``text`` is what is left (a cut inside a
     character drops what is left of that character there, not in the digest).
+
+    With ``words``, ``passages`` tells where the input has strings of so many words that
+    another document holds (maximal runs of bytes, start and end), ``n_passage_bytes`` how
+    many bytes these are. They are told only: the columns before them go by ``length``.
     """
-    spans = checkpointed(repeated_spans(docs, key, text, length))
+    spans = _all_spans(docs, key, text, length, words)
     body = text_or_empty(text)
     plain = docs.select(_row_id(key), body.alias("text"), F.xxhash64(body).alias("th"))
-    n = spans.count()
-    small = lambda df: F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df  # noqa: E731  checked size
-    touched = plain.join(small(spans.select("id", "th")), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+    touched = spans.select("sid", "sth")
+    if spans.count() <= MAX_BROADCAST_ROWS:  # texts without any span stay where they are read
+        touched = F.broadcast(touched)
+    same = (F.col("id") == F.col("sid")) & (F.col("th") == F.col("sth"))
 
     def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for i, th, body, s in zip(frame["id"], frame["th"], frame["text"], frame["spans"]):
-                kept, removed, runs = remove_spans(_utf8(body), s)
-                rows.append((i, th, removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-            yield pd.DataFrame(rows, columns=["id", "th", "removed", "runs", "sha", "left"])
+            for i, body, s, w in zip(frame["id"], frame["text"], frame["spans"], frame["passages"]):
+                raw = _utf8(body)
+                kept, removed, runs = remove_spans(raw, () if s is None else s)
+                gone, passages = covered(len(raw), () if w is None else words_to_bytes(raw, w))
+                rows.append((
+                    i, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), len(kept), kept.decode("utf-8", "ignore"),
+                    int(gone.sum()), passages,
+                ))
+            yield pd.DataFrame(rows, columns=out.fieldNames())
         give_back()
 
-    cut = touched.join(spans, ["id", "th"]).mapInPandas(digest, "id string, th long, removed long, runs long, sha string, left string")
-    every = plain.select("id", "th", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.encode("text", "utf-8"), 256).alias("own"))
-    cut = cut.withColumnsRenamed({"id": "cid", "th": "cth"})
-    out = every.join(cut, (F.col("id") == F.col("cid")) & (F.col("th") == F.col("cth")), "left")
-    return out.select(
-        F.col("id").try_cast(docs.schema[key].dataType).alias(key), "n_bytes", F.coalesce("removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("runs", F.lit(0)).alias("n_spans"), F.coalesce("sha", "own").alias("kept_sha256"),
-        (F.col("n_bytes") - F.coalesce("removed", F.lit(0))).alias("n_kept"), F.coalesce("left", "text").alias("text"),
+    rest = plain.join(touched, same, "left_anti").select(
+        "id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"),
+        F.octet_length("text").cast("long").alias("n_kept"), "text", F.lit(0).cast("long").alias("n_passage_bytes"),
+        F.array().cast("array<struct<start: int, end: int>>").alias("passages"),
     )
+    out = rest.schema
+    cut = plain.join(touched, same, "left_semi").join(spans, same).select("id", "text", "spans", "passages")
+    every = rest.unionByName(cut.mapInPandas(digest, out))
+    columns = [c for c in every.columns if words is not None or c not in ("n_passage_bytes", "passages")]
+    return every.withColumn("id", F.col("id").try_cast(docs.schema[key].dataType)).select(*columns).withColumnRenamed("id", key)
 
 
 def dedup_documents(
@@ -473,12 +532,7 @@ def dedup_documents(
     go, rows that had none stay. A cut inside a character drops what is left of
     that character.
     """
-    spans = repeated_spans(docs, key, text, length)
-    if words is None:
-        spans = spans.withColumn("passages", F.lit(None).cast("array<struct<start: int, end: int>>"))
-    else:
-        spans = spans.join(repeated_words(docs, key, text, words), ["id", "th"], "full")
-    spans = checkpointed(spans.withColumnsRenamed({"id": "sid", "th": "sth"}))
+    spans = _all_spans(docs, key, text, length, words)
     body = text_or_empty(text)
     at = docs.columns.index(text)
     packed = docs.select(

@@ -5,9 +5,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from pktsieve.llm import queries
 from pktsieve.llm import suffix_dedup as sd
+from pktsieve.llm.hashing import batches, word_hashes, words_of
 
 
 def test_suffix_array_equals_sorting():
@@ -108,6 +111,47 @@ def test_removal_by_words_equals_brute_force(docs_of, monkeypatch, broadcast):
     assert sum(want.get(i) != (t or "") for i, t in enumerate(texts)) > 30 and want[70] == texts[70]
 
 
+def test_query_tells_passages_of_over_50_words_below_400_bytes(spark, docs_of, tmp_path):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(4))
+    passage, twice = " ".join(word() for _ in range(55)), " ".join(word() for _ in range(55))
+    own = [" ".join(word() for _ in range(80)) for _ in range(4)]
+    long = " ".join(word() for _ in range(90))
+    assert len(passage) < 400 < len(long)
+    texts = [
+        own[0] + "\n" + passage, "é " + passage.upper().replace(" ", "\n ") + " " + own[1], own[2], twice + " " + own[3] + " " + twice,
+        None, "", long + " a", long + " b", "c " + long + " c " + passage,
+    ]
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op2_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    at = lambda i, p: [(a := texts[i].encode().index(p.encode()), a + len(p))]
+    upper = passage.upper().replace(" ", "\n ")
+    want = [at(0, passage), at(1, upper), [], [], [], [], at(6, long), at(7, long), at(8, long) + at(8, passage)]
+    assert {i: [tuple(p) for p in r["passages"]] for i, r in got.items()} == dict(enumerate(want))
+    assert {i: r["n_passage_bytes"] for i, r in got.items()} == {i: sum(b - a for a, b in w) for i, w in enumerate(want)}
+    # the removal itself goes by strings of 400 bytes alone
+    assert {i: tuple(r)[1:7] for i, r in got.items()} == dict(enumerate(brute(texts, 400)))
+
+
+def test_segments_of_texts_read_together_are_those_of_each():
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("ab \n") for _ in range(rnd.choice([0, 3, 19, 20, 21, 90]))) for _ in range(60)]
+    for length, k in ((20, 5), (7, 1)):
+        raws = [np.frombuffer(t.encode(), dtype=np.uint8) for t in texts]
+        for parts in (raws, [words_of([t])[0] for t in texts]):
+            counts = np.array([len(x) for x in parts])
+            base = np.cumsum(counts) - counts
+            alone = [
+                (i, *(int(x) for x in (h, c, p + base[i], a + base[i], b + base[i])))
+                for i, x in enumerate(parts) for _, h, c, p, a, b in zip(*sd.find_anchors(x, np.array([len(x)]), length, k))
+            ]
+            joined = sd.find_anchors(np.concatenate(parts), counts, length, k)
+            assert [tuple(int(x) for x in row) for row in zip(*joined)] == alone and alone
+    assert words_of(texts)[0].tolist() == [h for t in texts for h in word_hashes(t).tolist()]
+    assert words_of(texts)[1].tolist() == [len(t.split()) for t in texts]
+    assert list(batches([3, 4, 9, 1, 1], 7)) == [(0, 2), (2, 3), (3, 5)] and list(batches([])) == []
+
+
 def test_copies_without_an_id_are_documents_of_their_own(docs_of):
     text = " ".join(f"w{i}" for i in range(20))
     docs = docs_of([text + " a", text + " a", text], ids=[None, None, None])
