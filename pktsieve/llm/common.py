@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import math
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-__all__ = ["checkpointed", "connected_components", "give_back", "groups_for", "small", "table", "text_or_empty"]
+__all__ = ["checkpointed", "connected_components", "give_back", "giving_back", "groups_for", "small", "table", "text_or_empty"]
 
 # Broadcast limit in bytes of a hashed relation, as estimated from counted rows and their 8-byte words.
 MAX_BROADCAST_BYTES = 16 << 20
@@ -35,6 +37,17 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(task: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``task`` over a partition's batches, followed by :func:`give_back` once its own last batch is freed too."""
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)  # at its end the task's variables are gone
+        give_back()
+
+    return run
+
+
 def groups_for(rows: int, per_group: int) -> int:
     """How many hash groups give about ``per_group`` rows each."""
     return max(1, math.ceil(rows / per_group))

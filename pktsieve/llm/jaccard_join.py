@@ -51,7 +51,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, connected_components, give_back, groups_for, small, text_or_empty
+from .common import checkpointed, connected_components, give_back, giving_back, groups_for, small, text_or_empty
 from .hashing import mixed, shingle_set
 
 LEVELS = 3  # orders under which a set with too many empty blocks is indexed again
@@ -156,6 +156,7 @@ def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: i
     set that is listed by them, and the text's hash.
     """
 
+    @giving_back
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in (f.iloc[i : i + ROWS] for f in frames for i in range(0, len(f), ROWS)):
             rows = []
@@ -174,7 +175,6 @@ def indexed(docs: DataFrame, key: str, text: str, threshold: Threshold, width: i
             out["th"] = frame["th"].to_numpy()
             out["id"] = frame["id"].to_numpy()
             yield out
-        give_back()
 
     body = text_or_empty(text)
     plain = docs.select(F.col(key).cast("string").alias("id"), body.alias("text"), F.xxhash64(body).alias("th"))
@@ -347,12 +347,12 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     of = lambda c: maps.select("k", F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
     pairs = pairs.join(of("a"), ["k", "a"]).join(of("b"), ["k", "b"])
 
+    @giving_back
     def compare_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for _, part in frame.groupby("k"):
                 good = _near(_words(part["bits_a"]), _words(part["bits_b"]), (part["size_a"] + part["size_b"]).to_numpy(), threshold)
                 yield part.loc[good, ["a", "b"]]
-        give_back()
 
     told = pairs.mapInPandas(compare_pairs, "a long, b long")
     between = (F.col("len") > SHORT) & (F.col("len") <= LONG)

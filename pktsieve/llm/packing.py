@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, groups_for, text_or_empty
+from .common import giving_back, groups_for, text_or_empty
 from .tokens import encoder
 
 DOCS_PER_GROUP = 8_000
@@ -127,6 +127,7 @@ def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit:
     """One row per piece: ``doc_id`` (as string), ``start, length, ids_crc32, doc_tokens`` and a hash ``h`` of the document."""
     end = np.array([end_id], dtype="<u4")
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, all_texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.string())
@@ -146,7 +147,6 @@ def cut_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, limit:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
         _words.clear()  # a worker lives on, its memory is the next task's
         _pieces.clear()
-        give_back()
 
     plain = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty(text).alias("text"))
     return plain.mapInArrow(cut, PIECE)

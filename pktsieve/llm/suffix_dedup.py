@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import MAX_BROADCAST_ROWS
-from .common import checkpointed, give_back, groups_for, text_or_empty
+from .common import checkpointed, give_back, giving_back, groups_for, text_or_empty
 from .hashing import Prefix, batches, mixed, word_edges, words_of
 
 SEGMENTS = 16_000  # distinct segments of an anchor that one task compares
@@ -176,6 +176,7 @@ def _utf8(text) -> bytes:
 def _segments(docs: DataFrame, length: int, k: int) -> DataFrame:
     """One row per text: its segments as arrays (anchor, content, far, near: starts lie far..near bytes before the anchor)."""
 
+    @giving_back
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             raws = [_utf8(t) for t in frame["text"]]
@@ -185,7 +186,6 @@ def _segments(docs: DataFrame, length: int, k: int) -> DataFrame:
                 base = (np.cumsum(counts) - counts)[owner]
                 columns = _by_text(owner, hi - lo, h.view(np.int64), content.view(np.int64), place - base, place - first, place - last)
                 yield frame[["id", "th"]].iloc[lo:hi].assign(**dict(zip(["h", "c", "p", "far", "near"], columns)))
-        give_back()
 
     long_enough = docs.where(F.octet_length("text") >= length)
     return long_enough.mapInPandas(
@@ -291,6 +291,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     )
     texts = plain.join(small(wanted.select("id", "th"), wanted.count()), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
 
+    @giving_back
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
@@ -299,7 +300,6 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
                 for s in segs:
                     rows.append((s["h"], s["c"], s["far"], s["near"], s["n"], s["kinds"], raw[s["p"] - s["far"] : s["p"] - s["near"] + length]))
             yield pd.DataFrame(rows, columns=["h", "c", "far", "near", "n", "kinds", "body"])
-        give_back()
 
     bodies = texts.join(wanted, ["id", "th"]).mapInPandas(read, "h long, c long, far int, near int, n long, kinds long, body binary")
     hot = kinds.where(F.col("kinds") > SEGMENTS).count()
@@ -324,6 +324,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int = 400, anch
     )
 
     # the strings of anchors with very many segments, dealt by their content
+    @giving_back
     def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for i in range(0, len(frame), CHUNK):
@@ -379,12 +380,13 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
         out[order[np.concatenate(([True], (o[1:] != o[:-1]) | (x[1:] != x[:-1])))[: len(order)]]] = 1
         return out
 
+    @giving_back
     def anchors_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for _, _, _, owner, h, *_ in anchors_in(frame):
                 yield pd.DataFrame({"h": h[once(owner, h) > 0].view(np.int64)})
-        give_back()
 
+    @giving_back
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lo, hi, counts, owner, h, content, place, first, last in anchors_in(frame):
@@ -392,7 +394,6 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
                 new = once(owner, content)  # a segment counts once in a text
                 columns = _by_text(owner, hi - lo, h.view(np.int64), content.view(np.int64), place - base, place - first, place - last, new)
                 yield frame[["id", "th"]].iloc[lo:hi].assign(**dict(zip(["h", "c", "p", "far", "near", "new"], columns)))
-        give_back()
 
     several = long_enough.select("text").mapInPandas(anchors_of, "h long").groupBy("h").count().where("count > 1").select("h")
     several = checkpointed(several)
@@ -413,6 +414,7 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
     )
     texts = plain.join(small(wanted.select("id", "th"), wanted.count()), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
 
+    @giving_back
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lo, hi in batches(frame["text"].map(len).tolist()):
@@ -428,7 +430,6 @@ def repeated_words(docs: DataFrame, key: str, text: str, words: int = 50, anchor
                     "h": h[owner], "back": back.astype(np.int32), "s": strings.view(np.int64), "c": c[owner], "n": n[owner],
                     "d": part["d"].to_numpy()[text[owner]],
                 })
-        give_back()
 
     strings = texts.join(wanted, ["id", "th"]).select("text", F.xxhash64("id", "th").alias("d"), "h", "c", "p", "far", "near", "n")
     strings = strings.mapInPandas(read, "h long, back int, s long, c long, n long, d long")
@@ -495,6 +496,7 @@ def dedup_digests(
         touched = F.broadcast(touched)
     same = (F.col("id") == F.col("sid")) & (F.col("th") == F.col("sth"))
 
+    @giving_back
     def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
@@ -507,7 +509,6 @@ def dedup_digests(
                     int(gone.sum()), passages,
                 ))
             yield pd.DataFrame(rows, columns=out.fieldNames())
-        give_back()
 
     rest = plain.join(touched, same, "left_anti").select(
         "id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
@@ -547,14 +548,17 @@ def dedup_documents(
     joined = packed.join(spans, same, "left")
 
     @F.pandas_udf("string")
-    def left(texts: pd.Series, spans: pd.Series, passages: pd.Series) -> pd.Series:
-        out = []
-        for t, s, w in zip(texts, spans, passages):
-            raw = _utf8(t)
-            gone = [*(() if s is None else s), *(() if w is None else words_to_bytes(raw, w))]
-            out.append(remove_spans(raw, gone)[0].decode("utf-8", "ignore") if gone else t)
-        return pd.Series(out, dtype=object)
-
+    @giving_back
+    def left(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, spans, passages in parts:
+            out = []
+            for t, s, w in zip(texts, spans, passages):
+                raw = _utf8(t)
+                gone = [*(() if s is None else s), *(() if w is None else words_to_bytes(raw, w))]
+                out.append(remove_spans(raw, gone)[0].decode("utf-8", "ignore") if gone else t)
+            yield pd.Series(out, dtype=object)
+
+    left = left.asNondeterministic()  # else the filter below runs it once more, in a second Python worker of every task
     own = F.col("row")[docs.columns[at]]
     clean = F.col("sid").isNull()
     kept = joined.select("row", "sid", F.when(clean, own).otherwise(left(own, F.col("spans"), F.col("passages"))).alias("kept"))

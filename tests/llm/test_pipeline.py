@@ -1,9 +1,11 @@
 """The pipeline's stages on a small table: columns, decisions and order of work."""
 
 import random
+import weakref
 
 import corpus_pipeline as cp
-from pktsieve.llm import stages
+import numpy as np
+from pktsieve.llm import common, stages
 
 
 def test_stages_and_columns(spark, docs_of, tmp_path):
@@ -70,3 +72,25 @@ def test_suffix_stage_removes_passages_of_over_50_words_below_400_bytes(spark, d
     docs = docs_of(texts).select("doc_id", "text", "lang", "source", "n_chars")
     got = {r["doc_id"]: r["text"] for r in stages.suffix_array_dedup(spark, docs, "").collect()}
     assert got == {0: own[0] + "\n", 1: " " + own[1], 2: own[2], 3: texts[3]}
+
+
+def test_suffix_stage_cuts_texts_once(spark, docs_of):
+    docs = docs_of([f"{i} " + "the same words again " * 40 for i in range(4)])
+    out = stages.suffix_array_dedup(spark, docs, "")
+    # each ArrowEvalPython of a task holds a Python worker of its own
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert all("the same words again" not in r["text"] for r in out.collect())
+
+
+def test_buffers_are_given_back_after_the_last_batch_is_freed(monkeypatch):
+    held, alive = [], []
+
+    def task(frames):
+        for frame in frames:
+            out = frame + 1
+            held.extend((weakref.ref(frame), weakref.ref(out)))
+            yield len(out)
+
+    monkeypatch.setattr(common, "give_back", lambda: alive.append(sum(r() is not None for r in held)))
+    assert list(common.giving_back(task)(np.zeros(n) for n in (1, 2, 3))) == [1, 2, 3]
+    assert len(held) == 6 and alive == [0]
